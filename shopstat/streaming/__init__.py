@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming sources, watermarks or stateful operators; every
+job here is a batch job over Parquet. This package is kept so the layout stays
+stable if a streaming variant of the reports is ever needed.
+"""
