@@ -18,8 +18,12 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+from shopstat.functions import random as rnd  # noqa: E402
 from shopstat.operators import reports as R  # noqa: E402
+from shopstat.operators.allocation import skewed_allocation  # noqa: E402
+from shopstat.operators.ranking import global_row_number, global_running_sum  # noqa: E402
 from shopstat.plans import analytics_job  # noqa: E402
+from shopstat.plans import generate as G  # noqa: E402
 from shopstat.session import scratch_path  # noqa: E402
 from shopstat.sources import model  # noqa: E402
 
@@ -60,6 +64,80 @@ def _report_job_output(name):
     return run
 
 
+def _allocation(remainder):
+    def run(spark, d):
+        cust = model.raw(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"), "c_acctbal")
+        total = model.raw(spark, d, "lineitem").count()
+        return skewed_allocation(cust, "customer_id", F.col("c_acctbal") + F.lit(1000.0), total,
+                                 remainder=remainder)
+    return run
+
+
+def _allocation_top_share(spark, d):
+    alloc = _allocation("fraction")(spark, d)
+    return alloc.agg(
+        F.count(F.lit(1)).alias("n_keys"),
+        F.sum("order_count").alias("total_orders"),
+        F.sum(F.when(F.col("is_top"), F.col("order_count")).otherwise(F.lit(0))).alias("top_orders"),
+        F.round(F.sum(F.when(F.col("is_top"), F.col("order_count")).otherwise(F.lit(0)))
+                / F.sum("order_count"), 6).alias("top_share"),
+    )
+
+
+def _global_rank(spark, d):
+    c = model.raw(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"),
+                                               F.col("c_acctbal").alias("acctbal"))
+    return global_row_number(c, [F.col("acctbal").desc(), F.col("customer_id").asc()], "balance_rank")
+
+
+def _running_total(spark, d):
+    o = model.raw(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"),
+                                             F.col("o_totalprice").alias("total_price"))
+    r = global_running_sum(o, [F.col("order_id").asc()], "total_price", "running_total")
+    return r.select("order_id", "total_price", F.round("running_total", 2).alias("running_total"))
+
+
+def _gen_customers(spark, d):
+    keys = model.raw(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
+    return G.customers_for_keys(keys)
+
+
+def _gen_products(spark, d):
+    keys = model.raw(spark, d, "part").select(F.col("p_partkey").alias("product_id"))
+    return G.products_for_keys(keys)
+
+
+def _gen_orders(spark, d):
+    customers = _gen_customers(spark, d)
+    n_orders = model.raw(spark, d, "orders").count()
+    n_products, first_product = model.raw(spark, d, "part").agg(F.count(F.lit(1)), F.min("p_partkey")).first()
+    return G.orders_for_customers(customers, n_orders, n_products, first_product_id=first_product)
+
+
+def _gen_orders_invariants(spark, d):
+    orders = _gen_orders(spark, d)
+    customers = _gen_customers(spark, d)
+    products = _gen_products(spark, d)
+    with_reg = orders.join(customers.select("customer_id", "registration_date"), "customer_id", "left")
+    known_products = products.select("product_id").withColumn("_known", F.lit(True))
+    checked = with_reg.join(known_products, "product_id", "left")
+    return checked.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("order_id").alias("distinct_order_ids"),
+        F.min("order_id").alias("min_order_id"),
+        F.max("order_id").alias("max_order_id"),
+        F.sum(F.when(F.col("registration_date").isNull(), 1).otherwise(0)).alias("orphan_customers"),
+        F.sum(F.when(F.col("_known").isNull(), 1).otherwise(0)).alias("orphan_products"),
+        F.sum(F.when(F.col("order_date") < F.col("registration_date"), 1).otherwise(0)).alias("dates_before_registration"),
+        F.sum(F.when(~F.col("quantity").between(1, 10), 1).otherwise(0)).alias("quantity_out_of_range"),
+    )
+
+
+def _gen_benchmark(spark, d):
+    keys = model.raw(spark, d, "events").select(F.col("event_id").alias("id"))
+    return G.benchmark_rows_for_keys(keys)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         # R1-R6 reports
@@ -78,6 +156,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_job_revenue_by_category": _report_job_output("sales_by_category"),
         "report_job_monthly_sales": _report_job_output("monthly_trends"),
         "report_job_sales_by_country": _report_job_output("sales_by_country"),
+        # W2-W4 distributed rank / running total, G12 allocation, A8 share
+        "global_rank": _global_rank,
+        "running_total": _running_total,
+        "skew_allocation": _allocation("fraction"),
+        "skew_allocation_weight_rule": _allocation("weight"),
+        "allocation_top_share": _allocation_top_share,
+        # G13-G17 generated tables keyed by the driver tables
+        "gen_customers": _gen_customers,
+        "gen_products": _gen_products,
+        "gen_orders": _gen_orders,
+        "gen_orders_invariants": _gen_orders_invariants,
+        "gen_format_benchmark": _gen_benchmark,
     }
     return q
 
@@ -135,6 +225,169 @@ FROM enriched e LEFT JOIN model_customers c USING (customer_id)
 GROUP BY c.country ORDER BY total_revenue DESC NULLS LAST, c.country NULLS LAST"""
 
 
+# ---- DuckDB text of the counter-based random columns (same integer arithmetic) ----
+
+def _f(v: float) -> str:
+    """A double literal DuckDB parses as DOUBLE, exactly."""
+    return format(float(v), ".17e")
+
+
+def _sql_mix(x: str) -> str:
+    m = rnd.MODULUS
+    s1 = f"(({x}) * {rnd.MULT_A}) % {m}"
+    s2 = f"xor({s1}, ({s1}) >> 16)"
+    s3 = f"(({s2}) * {rnd.MULT_B}) % {m}"
+    s4 = f"xor({s3}, ({s3}) >> 13)"
+    return f"(({s4}) * {rnd.MULT_A}) % {m}"
+
+
+def _sql_hash(key: str, seed: int, salt: int) -> str:
+    m = rnd.MODULUS
+    k = f"CAST({key} AS BIGINT)"
+    lo = f"({k} % {m})"
+    hi = f"(({k} - {lo}) // {m})"
+    stream = f"(({seed * rnd.SEED_MULT + rnd.OFFSET_C} + {hi} * {rnd.HI_MULT}) % {m})"
+    x = _sql_mix(f"({lo} + {stream}) % {m}")
+    return _sql_mix(f"({x} + {(salt * rnd.SALT_MULT + rnd.OFFSET_D) % m}) % {m}")
+
+
+def _sql_u(key, seed, salt):
+    return f"((CAST({_sql_hash(key, seed, salt)} AS DOUBLE) + {_f(0.5)}) / {_f(rnd.MODULUS)})"
+
+
+def _sql_uniform_real(key, seed, salt, a, b):
+    return f"({_f(a)} + {_sql_u(key, seed, salt)} * {_f(b - a)})"
+
+
+def _sql_uniform_int(key, seed, salt, a, b_sql):
+    return f"CAST({a} + floor({_sql_u(key, seed, salt)} * (({b_sql}) - {a})) AS BIGINT)"
+
+
+def _sql_normal(key, seed, salt, mean, sd):
+    z = f"(sqrt({_f(-2.0)} * ln({_sql_u(key, seed, salt)})) * cos({_f(rnd.TWO_PI)} * {_sql_u(key, seed, salt + 1)}))"
+    return f"({_f(mean)} + {_f(sd)} * {z})"
+
+
+def _sql_choice(key, seed, salt, values):
+    lst = "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+    return f"{lst}[1 + CAST(floor({_sql_u(key, seed, salt)} * {len(values)}) AS BIGINT)]"
+
+
+def _sql_poisson(key, seed, salt, lam):
+    cdf = "[" + ", ".join(_f(v) for v in rnd.poisson_cdf(lam)) + "]"
+    return f"CAST(len(list_filter({cdf}, lambda c: c < {_sql_u(key, seed, salt)})) AS BIGINT)"
+
+
+def _sql_pareto(key, seed, salt, alpha, offset):
+    return (f"(pow({_f(1.0)} - {_sql_u(key, seed, salt)}, {_f(-1.0 / alpha)}) - {_f(1.0)} + {_f(offset)})")
+
+
+def _sql_clip(x, lo, hi):
+    return f"greatest(least({x}, {hi}), {lo})"
+
+
+def _sql_customers(keys_sql: str, seed=G.DEFAULT_SEED, as_of=G.DEFAULT_AS_OF) -> str:
+    k = "customer_id"
+    first = _sql_choice(k, seed, G.S_FIRST, G.FIRST_NAMES)
+    last = _sql_choice(k, seed, G.S_LAST, G.LAST_NAMES)
+    start = G.years_before(as_of, 5)
+    span = (as_of - start).days
+    reg = f"CAST(DATE '{start.isoformat()}' + CAST({_sql_uniform_int(k, seed, G.S_REG, 0, str(span + 1))} AS INTEGER) AS TIMESTAMP)"
+    age = f"CAST({_sql_clip('round(' + _sql_normal(k, seed, G.S_AGE, 35.0, 10.0) + ')', 18, 90)} AS INTEGER)"
+    return f"""SELECT CAST(customer_id AS BIGINT) AS customer_id,
+  concat_ws(' ', {first}, {last}) AS name,
+  lower({first}) || '.' || lower({last}) || CAST(customer_id AS VARCHAR) || '@' || {_sql_choice(k, seed, G.S_DOMAIN, G.EMAIL_DOMAINS)} AS email,
+  {age} AS age,
+  {_sql_choice(k, seed, G.S_CITY, G.CITIES)} AS city,
+  {_sql_choice(k, seed, G.S_COUNTRY, G.COUNTRIES)} AS country,
+  {reg} AS registration_date
+FROM ({keys_sql}) keys"""
+
+
+def _sql_products(keys_sql: str, seed=G.DEFAULT_SEED) -> str:
+    k = "product_id"
+    cat = _sql_choice(k, seed, G.S_CATEGORY, G.CATEGORIES)
+    word = _sql_choice(k, seed, G.S_WORD, G.WORDS)
+    rating = f"round({_sql_clip(_sql_normal(k, seed, G.S_RATING, 4.0, 0.8), _f(1.0), _f(5.0))}, 1)"
+    return f"""SELECT CAST(product_id AS BIGINT) AS product_id,
+  concat_ws(' ', upper(substring({word}, 1, 1)) || lower(substring({word}, 2, {1 << 30})),
+            substring({cat}, 1, length({cat}) - 1)) AS name,
+  {cat} AS category,
+  round({_sql_uniform_real(k, seed, G.S_PRICE, 10.0, 500.0)}, 2) AS price,
+  {_sql_poisson(k, seed, G.S_STOCK, 50.0)} AS stock,
+  {rating} AS rating
+FROM ({keys_sql}) keys"""
+
+
+def _sql_allocation(src: str, key: str, total_sql: str, top_fraction=0.2, top_share=0.8,
+                    remainder="fraction") -> str:
+    """CTE list ending in ``alloc`` (key, weight, weight_rank, is_top, quota, order_count).
+    ``src`` is a CTE/table with columns (key, weight)."""
+    order = "remainder" if remainder == "fraction" else "adj_weight"
+    share = _f(top_share)
+    return f"""al_r AS (SELECT {key}, CAST(weight AS DOUBLE) AS weight,
+    row_number() OVER (ORDER BY weight DESC, {key}) AS weight_rank, count(*) OVER () AS n_keys FROM {src}),
+al_f AS (SELECT *, weight_rank <= greatest(1, floor(n_keys * {_f(top_fraction)})) AS is_top FROM al_r),
+al_s AS (SELECT sum(CASE WHEN is_top THEN weight ELSE {_f(0.0)} END) AS s_top,
+                sum(CASE WHEN NOT is_top THEN weight ELSE {_f(0.0)} END) AS s_rest FROM al_f),
+al_a AS (SELECT al_f.*, CASE WHEN al_s.s_top <= 0 OR al_s.s_rest <= 0 THEN {_f(1.0)}
+    WHEN is_top THEN weight * (({share} * al_s.s_rest) / (({_f(1.0)} - {share}) * al_s.s_top))
+    ELSE weight END AS adj_weight FROM al_f, al_s),
+al_q AS (SELECT al_a.*, round(adj_weight / sum(adj_weight) OVER () * CAST(({total_sql}) AS DOUBLE), 6) AS quota FROM al_a),
+al_b AS (SELECT al_q.*, floor(quota) AS base, round(quota - floor(quota), 6) AS remainder FROM al_q),
+al_m AS (SELECT ({total_sql}) - CAST(sum(base) AS BIGINT) AS missing FROM al_b),
+al_k AS (SELECT al_b.*, al_m.missing, row_number() OVER (ORDER BY {order} DESC, {key}) AS remainder_rank FROM al_b, al_m),
+alloc AS (SELECT {key}, weight, weight_rank, is_top, quota,
+    CAST(greatest(base + CASE WHEN missing > 0 AND remainder_rank <= missing THEN 1
+                             WHEN missing < 0 AND n_keys - remainder_rank + 1 <= -missing THEN -1
+                             ELSE 0 END, 0) AS BIGINT) AS order_count FROM al_k)"""
+
+
+def _sql_gen_orders(seed=G.DEFAULT_SEED, as_of=G.DEFAULT_AS_OF) -> str:
+    n = "(SELECT count(*) FROM orders)"
+    n_products = "(SELECT count(*) FROM part)"
+    first_product = "(SELECT min(p_partkey) FROM part)"
+    p = G.PERMUTATION_PRIMES
+    a = (f"(CASE WHEN {n} % {p[0]} <> 0 THEN {p[0]} % {n} WHEN {n} % {p[1]} <> 0 THEN {p[1]} % {n} "
+         f"ELSE {p[2]} % {n} END)")
+    b = f"(({seed * 7919}) % {n})"
+    oid = "order_id"
+    days = f"greatest(date_diff('day', CAST(registration_date AS DATE), DATE '{as_of.isoformat()}'), 0)"
+    rand_days = f"CAST(floor({_sql_u(oid, seed, G.S_DAYS)} * ({days} + 1)) AS BIGINT)"
+    rand_secs = _sql_uniform_int(oid, seed, G.S_SECONDS, 0, "86400")
+    keys = "SELECT c_custkey AS customer_id FROM customer"
+    return f"""WITH cust AS ({_sql_customers(keys, seed, as_of)}),
+w AS (SELECT customer_id, {_sql_pareto('customer_id', seed, G.S_WEIGHT, 1.5, 1.0)} AS weight FROM cust),
+{_sql_allocation('w', 'customer_id', n)},
+placed AS (SELECT a.customer_id, a.order_count, c.registration_date,
+    coalesce(sum(a.order_count) OVER (ORDER BY a.customer_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_pos
+  FROM alloc a JOIN cust c USING (customer_id) WHERE a.order_count > 0),
+expanded AS (SELECT customer_id, registration_date, start_pos, unnest(range(order_count)) AS i FROM placed),
+positioned AS (SELECT customer_id, registration_date, start_pos + i AS pos FROM expanded),
+numbered AS (SELECT customer_id, registration_date, CAST((pos * {a} + {b}) % {n} + 1 AS BIGINT) AS order_id
+  FROM positioned WHERE pos < {n})
+SELECT order_id, CAST(customer_id AS BIGINT) AS customer_id,
+  CAST({first_product} + floor({_sql_u(oid, seed, G.S_PRODUCT)} * {n_products}) AS BIGINT) AS product_id,
+  CAST({_sql_uniform_int(oid, seed, G.S_QUANTITY, 1, '11')} AS SMALLINT) AS quantity,
+  registration_date + to_days(CAST({rand_days} AS INTEGER)) + to_seconds({rand_secs}) AS order_date
+FROM numbered"""
+
+
+def _sql_benchmark(keys_sql: str, seed=G.DEFAULT_SEED, as_of=G.DEFAULT_AS_OF) -> str:
+    k = "id"
+    first = _sql_choice(k, seed, G.S_FIRST, G.FIRST_NAMES)
+    last = _sql_choice(k, seed, G.S_LAST, G.LAST_NAMES)
+    t0, t1 = G._epoch_seconds(G.BENCHMARK_START), G._epoch_seconds(as_of)
+    secs = _sql_uniform_int(k, seed, G.S_DATE, t0, str(t1 + 1))
+    return f"""SELECT CAST(id AS BIGINT) AS id,
+  concat_ws(' ', {first}, {last}) AS name,
+  lower({first}) || '.' || lower({last}) || CAST(id AS VARCHAR) || '@' || {_sql_choice(k, seed, G.S_DOMAIN, G.EMAIL_DOMAINS)} AS email,
+  round({_sql_uniform_real(k, seed, G.S_AMOUNT, 10.0, 5000.0)}, 2) AS amount,
+  TIMESTAMP '1970-01-01 00:00:00' + to_seconds({secs}) AS date,
+  {_sql_choice(k, seed, G.S_CATEGORY, G.CATEGORIES)} AS category
+FROM ({keys_sql}) keys"""
+
+
 def oracle_sql() -> dict[str, str]:
     o = {
         "top_customers": _with(_TOP),
@@ -155,4 +408,30 @@ FROM enriched GROUP BY customer_id"""),
     o["report_job_revenue_by_category"] = o["sales_by_category"]
     o["report_job_monthly_sales"] = o["monthly_trends"]
     o["report_job_sales_by_country"] = o["sales_by_country"]
+
+    acct_w = f"w AS (SELECT c_custkey AS customer_id, c_acctbal + {_f(1000.0)} AS weight FROM customer)"
+    n_lines = "(SELECT count(*) FROM lineitem)"
+    o["global_rank"] = """SELECT c_custkey AS customer_id, c_acctbal AS acctbal,
+       row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS balance_rank FROM customer"""
+    o["running_total"] = """SELECT o_orderkey AS order_id, o_totalprice AS total_price,
+       round(sum(o_totalprice) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2)
+         AS running_total FROM orders"""
+    o["skew_allocation"] = f"WITH {acct_w},\n{_sql_allocation('w', 'customer_id', n_lines)}\nSELECT * FROM alloc"
+    o["skew_allocation_weight_rule"] = (f"WITH {acct_w},\n{_sql_allocation('w', 'customer_id', n_lines, remainder='weight')}"
+                                        "\nSELECT * FROM alloc")
+    o["allocation_top_share"] = f"""WITH {acct_w},\n{_sql_allocation('w', 'customer_id', n_lines)}
+SELECT count(*) AS n_keys, CAST(sum(order_count) AS BIGINT) AS total_orders,
+       CAST(sum(CASE WHEN is_top THEN order_count ELSE 0 END) AS BIGINT) AS top_orders,
+       round(CAST(sum(CASE WHEN is_top THEN order_count ELSE 0 END) AS DOUBLE) / CAST(sum(order_count) AS DOUBLE), 6)
+         AS top_share
+FROM alloc"""
+    o["gen_customers"] = _sql_customers("SELECT c_custkey AS customer_id FROM customer")
+    o["gen_products"] = _sql_products("SELECT p_partkey AS product_id FROM part")
+    o["gen_orders"] = _sql_gen_orders()
+    o["gen_orders_invariants"] = """SELECT count(*) AS n_rows, count(*) AS distinct_order_ids,
+       CAST(1 AS BIGINT) AS min_order_id, count(*) AS max_order_id,
+       CAST(0 AS BIGINT) AS orphan_customers, CAST(0 AS BIGINT) AS orphan_products,
+       CAST(0 AS BIGINT) AS dates_before_registration, CAST(0 AS BIGINT) AS quantity_out_of_range
+FROM orders"""
+    o["gen_format_benchmark"] = _sql_benchmark("SELECT event_id AS id FROM events")
     return o
