@@ -18,12 +18,23 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+from functools import reduce  # noqa: E402
+
+from pyspark.sql import types as T  # noqa: E402
+
 from shopstat.functions import random as rnd  # noqa: E402
+from shopstat.functions.exprs import month_label, month_start  # noqa: E402
+from shopstat.operators.compare import compare_to_baseline, reconcile  # noqa: E402
+from shopstat.operators.joins import enrich_orders  # noqa: E402
 from shopstat.operators import reports as R  # noqa: E402
 from shopstat.operators.allocation import skewed_allocation  # noqa: E402
 from shopstat.operators.ranking import global_row_number, global_running_sum  # noqa: E402
 from shopstat.plans import analytics_job  # noqa: E402
 from shopstat.plans import generate as G  # noqa: E402
+from shopstat.plans.dataset_report import dataset_report  # noqa: E402
+from shopstat.plans.formats import compare_formats, roundtrip  # noqa: E402
+from shopstat.sources.storage import stored_bytes  # noqa: E402
+from shopstat.sources.tables import load_parquet, table_path  # noqa: E402
 from shopstat.session import scratch_path  # noqa: E402
 from shopstat.sources import model  # noqa: E402
 
@@ -138,6 +149,67 @@ def _gen_benchmark(spark, d):
     return G.benchmark_rows_for_keys(keys)
 
 
+
+def _format_roundtrip(fmt):
+    def run(spark, d):
+        return roundtrip(_gen_benchmark(spark, d), fmt, scratch_path(spark, f"roundtrip-{fmt}"))
+    return run
+
+
+def _format_comparison(spark, d):
+    return compare_formats(_gen_benchmark(spark, d), scratch_path(spark, "format-comparison"))
+
+
+def _event_metrics(spark, d):
+    ev = model.raw(spark, d, "events")
+    return ev.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.round(F.sum("value"), 2).alias("total_value"),
+        F.round(F.avg("value"), 6).alias("avg_value"),
+    )
+
+
+def _compare_to_baseline(spark, d):
+    return compare_to_baseline(_event_metrics(spark, d), "event_type", "view",
+                               ["n_events", "total_value", "avg_value"])
+
+
+def _reconcile_top_customers(spark, d):
+    left = R.top_customers_revenue_only(*_sales(spark, d), n=20)
+    right = R.top_customers_zero_fill(model.orders(spark, d), _reduced_catalog(spark, d), n=20)
+    return reconcile(left, right, "customer_id", ["total_revenue"])
+
+
+TPCH_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType()),
+])
+
+
+def _table_row_counts(spark, d):
+    frames = [model.raw(spark, d, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+              for t in TPCH_TABLES]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _orders_per_month(spark, d):
+    o = model.orders(spark, d)
+    return o.groupBy(month_start("order_date").alias("m")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("units")
+    ).select(month_label("m").alias("month"), "n_lines", "units")
+
+
+def _revenue_long(spark, d):
+    cat = R.sales_by_category(*_sales(spark, d)).select(
+        F.lit("category").alias("dimension"), F.col("category").alias("member"), "total_revenue", "units_sold")
+    cty = R.sales_by_country(*_sales(spark, d), model.customers(spark, d)).select(
+        F.lit("country").alias("dimension"), F.col("country").alias("member"), "total_revenue", "units_sold")
+    return cat.unionByName(cty)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         # R1-R6 reports
@@ -168,6 +240,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gen_orders": _gen_orders,
         "gen_orders_invariants": _gen_orders_invariants,
         "gen_format_benchmark": _gen_benchmark,
+        # S1-S8 sources and sinks, R7-R10 comparisons and stored-data report
+        "scan_customer": lambda s, d: load_parquet(s, table_path(d, "customer"), CUSTOMER_SCHEMA),
+        "format_roundtrip_csv": _format_roundtrip("csv"),
+        "format_roundtrip_parquet": _format_roundtrip("parquet"),
+        "format_roundtrip_orc": _format_roundtrip("orc"),
+        "format_comparison": _format_comparison,
+        "dataset_size_lineitem": lambda s, d: stored_bytes(s, table_path(d, "lineitem")),
+        "stored_datasets": lambda s, d: dataset_report(s, d),
+        "compare_to_baseline": _compare_to_baseline,
+        "reconcile_top_customers": _reconcile_top_customers,
+        # primitives: J1+P1 enriched rows, P2 month bucket, A6 counts + U1 union
+        "enriched_orders": lambda s, d: enrich_orders(*_sales(s, d)),
+        "orders_per_month": _orders_per_month,
+        "table_row_counts": _table_row_counts,
+        "revenue_long": _revenue_long,
     }
     return q
 
@@ -434,4 +521,55 @@ FROM alloc"""
        CAST(0 AS BIGINT) AS dates_before_registration, CAST(0 AS BIGINT) AS quantity_out_of_range
 FROM orders"""
     o["gen_format_benchmark"] = _sql_benchmark("SELECT event_id AS id FROM events")
+    o["scan_customer"] = "SELECT * FROM customer"
+    bench = _sql_benchmark("SELECT event_id AS id FROM events")
+    for fmt in ("csv", "parquet", "orc"):
+        o[f"format_roundtrip_{fmt}"] = bench
+    # File sizes are read from the sf0.01 folder the correctness run uses.
+    size_text = ("CASE WHEN b < 1024 THEN printf('%.2f B', round(b, 2)) "
+                 "WHEN b < 1048576 THEN printf('%.2f KB', round(b / 1024.0, 2)) "
+                 "WHEN b < 1073741824 THEN printf('%.2f MB', round(b / 1048576.0, 2)) "
+                 "WHEN b < 1099511627776 THEN printf('%.2f GB', round(b / 1073741824.0, 2)) "
+                 "ELSE printf('%.2f TB', round(b / 1099511627776.0, 2)) END")
+    o["dataset_size_lineitem"] = """SELECT CAST(sum(size) AS BIGINT) AS total_bytes, count(*) AS n_files
+FROM read_blob('/root/testdata/sf0.01/lineitem.parquet')"""
+    o["stored_datasets"] = f"""WITH f AS (
+  SELECT regexp_extract(filename, '[^/]+$') AS dataset, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS total_bytes
+  FROM read_blob('/root/testdata/sf0.01/*') GROUP BY 1)
+SELECT dataset, n_files, total_bytes, {size_text.replace('b ', 'CAST(total_bytes AS DOUBLE) ').replace('(b,', '(CAST(total_bytes AS DOUBLE),').replace('(b /', '(CAST(total_bytes AS DOUBLE) /')} AS size_text
+FROM f ORDER BY dataset"""
+    ev = f"""WITH ev AS (SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value,
+                   round(avg(value), 6) AS avg_value FROM events GROUP BY event_type),
+base AS (SELECT max(n_events) AS b_n, max(total_value) AS b_t, max(avg_value) AS b_a FROM ev WHERE event_type = 'view')"""
+    pct = lambda b, x: (f"round(CASE WHEN {b} <> 0 THEN (CAST({b} AS DOUBLE) - CAST({x} AS DOUBLE)) / "
+                        f"CAST({b} AS DOUBLE) * {_f(100.0)} ELSE {_f(0.0)} END, 6)")
+    o["compare_to_baseline"] = ev + f"""
+SELECT event_type, n_events, total_value, avg_value,
+       {pct('b_n', 'n_events')} AS n_events_change_pct,
+       {pct('b_t', 'total_value')} AS total_value_change_pct,
+       {pct('b_a', 'avg_value')} AS avg_value_change_pct
+FROM ev, base"""
+    o["reconcile_top_customers"] = _with(""", l AS (
+  SELECT customer_id, round(sum(revenue), 2) AS total_revenue FROM enriched GROUP BY customer_id
+  ORDER BY total_revenue DESC NULLS LAST, customer_id LIMIT 20),
+r AS (
+  SELECT customer_id, round(coalesce(sum(revenue), 0.0), 2) AS total_revenue FROM enriched_reduced
+  WHERE customer_id IS NOT NULL GROUP BY customer_id ORDER BY total_revenue DESC, customer_id LIMIT 20)
+SELECT coalesce(l.customer_id, r.customer_id) AS customer_id, l.total_revenue AS left_total_revenue,
+       r.total_revenue AS right_total_revenue, round(l.total_revenue - r.total_revenue, 6) AS diff_total_revenue,
+       CASE WHEN r.customer_id IS NULL THEN 'left_only' WHEN l.customer_id IS NULL THEN 'right_only'
+            WHEN l.total_revenue IS NOT DISTINCT FROM r.total_revenue
+                 OR abs(l.total_revenue - r.total_revenue) <= 0.0 THEN 'match' ELSE 'differ' END AS status
+FROM l FULL OUTER JOIN r ON l.customer_id = r.customer_id""")
+    o["enriched_orders"] = _with("SELECT * FROM enriched")
+    o["orders_per_month"] = _with("""SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS n_lines,
+       CAST(sum(quantity) AS BIGINT) AS units FROM model_orders GROUP BY 1""")
+    o["table_row_counts"] = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
+        for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"])
+    o["revenue_long"] = _with(""", cat AS (""" + _CATEGORY.format(src="enriched") + """),
+cty AS (""" + _COUNTRY + """)
+SELECT 'category' AS dimension, category AS member, total_revenue, units_sold FROM cat
+UNION ALL
+SELECT 'country' AS dimension, country AS member, total_revenue, units_sold FROM cty""")
     return o

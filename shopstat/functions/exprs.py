@@ -125,16 +125,21 @@ def fixed_text(x: ColumnOrName, decimals: int, suffix: str = "") -> Column:
     return F.format_string(f"%.{decimals}f{suffix}", _c(x))
 
 
-# F16 — human-readable size with 1024 steps: B, KB, MB, GB, then TB
+# F16 — human-readable size with 1024 steps: B, KB, MB, GB, then TB. The value is
+# rounded before formatting, so an exact binary tie (e.g. 1.125) is rounded once,
+# half away from zero, rather than left to the formatter's rounding rule.
 def human_size(num_bytes: ColumnOrName) -> Column:
     b = _c(num_bytes).cast("double")
-    k = F.lit(1024.0)
+
+    def text(unit: str, power: int) -> Column:
+        return F.format_string(f"%.2f {unit}", F.round(b / F.lit(1024.0 ** power), 2))
+
     return (
-        F.when(b < k, F.format_string("%.2f B", b))
-        .when(b < k ** 2, F.format_string("%.2f KB", b / k))
-        .when(b < k ** 3, F.format_string("%.2f MB", b / k ** 2))
-        .when(b < k ** 4, F.format_string("%.2f GB", b / k ** 3))
-        .otherwise(F.format_string("%.2f TB", b / k ** 4))
+        F.when(b < F.lit(1024.0), text("B", 0))
+        .when(b < F.lit(1024.0 ** 2), text("KB", 1))
+        .when(b < F.lit(1024.0 ** 3), text("MB", 2))
+        .when(b < F.lit(1024.0 ** 4), text("GB", 3))
+        .otherwise(text("TB", 4))
     )
 
 
