@@ -7,14 +7,16 @@ xor-shifts in between, applied twice). No intermediate exceeds 2^63, so the
 same value comes out of any engine with 64-bit integers — which is what lets the
 generated tables be checked against an independent SQL statement.
 
-``uniform(key, seed, salt)`` is in (0, 1). Use a different ``salt`` for every
-column drawn from the same key.
+``with_hashes(df, key, seed, {name: salt})`` adds one hash column per salt;
+``unit(h)`` turns a hash into a uniform double in (0, 1), from which the
+distributions below are built. Use a different salt for every column drawn
+from the same key.
 """
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the generator (not data-dependent).
@@ -41,41 +43,82 @@ def _mix(x: Column) -> Column:
     return (x * MULT_A) % MODULUS
 
 
-def hash31(key, seed: int, salt: int) -> Column:
-    """Integer in [0, 2^31 - 1) from a non-negative integer key."""
-    k = _c(key).cast("long")
+def _stream(k: Column, seed: int) -> Column:
     lo = k % MODULUS
-    hi = (k - lo) / MODULUS  # exact: k - lo is a multiple of the modulus
-    stream = (F.lit(seed * SEED_MULT + OFFSET_C) + hi.cast("long") * HI_MULT) % MODULUS
-    x = _mix((lo + stream) % MODULUS)
-    return _mix((x + F.lit((salt * SALT_MULT + OFFSET_D) % MODULUS)) % MODULUS)
+    hi = ((k - lo) / MODULUS).cast("long")  # exact: k - lo is a multiple of the modulus
+    return (lo + (F.lit(seed * SEED_MULT + OFFSET_C) + hi * HI_MULT) % MODULUS) % MODULUS
+
+
+def _salt_offset(salt: int) -> int:
+    return (salt * SALT_MULT + OFFSET_D) % MODULUS
+
+
+def hash31(key, seed: int, salt: int) -> Column:
+    """Integer in [0, 2^31 - 1) from a non-negative integer key, as one expression.
+
+    Convenient for a single column; for several random columns of one key use
+    ``with_hashes``, which evaluates every mixing step once."""
+    x = _mix(_stream(_c(key).cast("long"), seed))
+    return _mix((x + F.lit(_salt_offset(salt))) % MODULUS)
+
+
+def _mix_staged(df: DataFrame, names: list[str]) -> DataFrame:
+    """Apply the mixing steps to columns ``names`` in place, one projection per step.
+    Each step reads the previous one through a column reference; Catalyst does not
+    inline a non-trivial expression that is read twice, so nothing is duplicated."""
+    steps = [
+        lambda x: (x * MULT_A) % MODULUS,
+        lambda x: x.bitwiseXOR(F.shiftright(x, 16)),
+        lambda x: (x * MULT_B) % MODULUS,
+        lambda x: x.bitwiseXOR(F.shiftright(x, 13)),
+        lambda x: (x * MULT_A) % MODULUS,
+    ]
+    for step in steps:
+        df = df.select(*[c for c in df.columns if c not in names], *[step(F.col(n)).alias(n) for n in names])
+    return df
+
+
+def with_hashes(df: DataFrame, key: str, seed: int, salts: dict[str, int]) -> DataFrame:
+    """Add one integer hash column (same values as ``hash31``) per entry of ``salts``."""
+    base = "_hash_base"
+    df = df.withColumn(base, _stream(F.col(key).cast("long"), seed))
+    df = _mix_staged(df, [base])
+    df = df.select(*[c for c in df.columns if c != base],
+                   *[((F.col(base) + F.lit(_salt_offset(s))) % MODULUS).alias(n) for n, s in salts.items()])
+    return _mix_staged(df, list(salts))
+
+
+def unit(h) -> Column:
+    """Hash column -> uniform double in (0, 1)."""
+    return (_c(h).cast("double") + F.lit(0.5)) / F.lit(float(MODULUS))
 
 
 def uniform(key, seed: int, salt: int) -> Column:
-    """G2 base: uniform double in (0, 1)."""
-    return (hash31(key, seed, salt).cast("double") + F.lit(0.5)) / F.lit(float(MODULUS))
+    """G2 base: uniform double in (0, 1) from a key."""
+    return unit(hash31(key, seed, salt))
+
 
+# The distributions below take a uniform (0, 1) column: ``unit(hash_col)`` or
+# ``uniform(key, seed, salt)``.
 
 # G2 — uniform real in [a, b)
-def uniform_real(key, seed: int, salt: int, a: float, b: float) -> Column:
-    return F.lit(float(a)) + uniform(key, seed, salt) * F.lit(float(b - a))
+def uniform_real(u: Column, a: float, b: float) -> Column:
+    return F.lit(float(a)) + u * F.lit(float(b - a))
 
 
-# G3 — uniform integer in [a, b)
-def uniform_int(key, seed: int, salt: int, a: int, b) -> Column:
+# G3 — uniform integer in [a, b) (b may be a column)
+def uniform_int(u: Column, a: int, b) -> Column:
     span = (_c(b) if not isinstance(b, int) else F.lit(b)) - F.lit(a)
-    return F.lit(a) + F.floor(uniform(key, seed, salt) * span)
+    return F.lit(a) + F.floor(u * span)
 
 
 # G4 — uniform integer in [0, upper] with a per-row upper bound
-def uniform_upto(key, seed: int, salt: int, upper) -> Column:
-    return F.floor(uniform(key, seed, salt) * (_c(upper) + F.lit(1)))
+def uniform_upto(u: Column, upper) -> Column:
+    return F.floor(u * (_c(upper) + F.lit(1)))
 
 
 # G5 — normal(mean, sd) by Box-Muller from two independent uniforms
-def normal(key, seed: int, salt: int, mean: float, sd: float) -> Column:
-    u1 = uniform(key, seed, salt)
-    u2 = uniform(key, seed, salt + 1)
+def normal(u1: Column, u2: Column, mean: float, sd: float) -> Column:
     z = F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(TWO_PI) * u2)
     return F.lit(float(mean)) + F.lit(float(sd)) * z
 
@@ -94,20 +137,18 @@ def poisson_cdf(lam: float) -> list[float]:
 
 
 # G6 — Poisson(lam) by inverse CDF: the number of cumulative probabilities below u
-def poisson(key, seed: int, salt: int, lam: float = 50.0) -> Column:
+def poisson(u: Column, lam: float = 50.0) -> Column:
     cdf = F.array(*[F.lit(v) for v in poisson_cdf(lam)])
-    u = uniform(key, seed, salt)
     return F.size(F.filter(cdf, lambda c: c < u)).cast("long")
 
 
 # G7 — Pareto(alpha) weights by inverse CDF: (1 - u)^(-1/alpha) - 1 + offset
 # (offset 1.0 = classic Pareto with scale 1; a tiny offset keeps weights positive)
-def pareto(key, seed: int, salt: int, alpha: float = 1.5, offset: float = 1.0) -> Column:
-    u = uniform(key, seed, salt)
+def pareto(u: Column, alpha: float = 1.5, offset: float = 1.0) -> Column:
     return F.pow(F.lit(1.0) - u, F.lit(-1.0 / alpha)) - F.lit(1.0) + F.lit(float(offset))
 
 
 # G8 — categorical choice among literal values
-def choice(key, seed: int, salt: int, values: list) -> Column:
+def choice(u: Column, values: list) -> Column:
     arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (F.lit(1) + F.floor(uniform(key, seed, salt) * F.lit(len(values)))).cast("int"))
+    return F.element_at(arr, (F.lit(1) + F.floor(u * F.lit(len(values)))).cast("int"))

@@ -71,38 +71,46 @@ def _epoch_seconds(d: dt.date) -> int:
 
 
 # ---- G13 customers ----------------------------------------------------------
+def _u(name: str):
+    return rnd.unit(F.col(name))
+
+
 def customers_for_keys(keys: DataFrame, seed: int = DEFAULT_SEED, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
-    k = F.col("customer_id")
-    first = rnd.choice(k, seed, S_FIRST, FIRST_NAMES)
-    last = rnd.choice(k, seed, S_LAST, LAST_NAMES)
+    salts = {"_h_first": S_FIRST, "_h_last": S_LAST, "_h_domain": S_DOMAIN, "_h_age1": S_AGE,
+             "_h_age2": S_AGE + 1, "_h_city": S_CITY, "_h_country": S_COUNTRY, "_h_reg": S_REG}
+    h = rnd.with_hashes(keys.select(F.col("customer_id").cast("long")), "customer_id", seed, salts)
+    first = rnd.choice(_u("_h_first"), FIRST_NAMES)
+    last = rnd.choice(_u("_h_last"), LAST_NAMES)
     start = years_before(as_of, 5)
     span = (as_of - start).days
-    reg_day = F.date_add(F.lit(start), rnd.uniform_int(k, seed, S_REG, 0, span + 1).cast("int"))
-    age = clip(F.round(rnd.normal(k, seed, S_AGE, 35.0, 10.0)), 18, 90).cast("int")
-    return keys.select(
-        k.cast("long").alias("customer_id"),
+    reg_day = F.date_add(F.lit(start), rnd.uniform_int(_u("_h_reg"), 0, span + 1).cast("int"))
+    age = clip(F.round(rnd.normal(_u("_h_age1"), _u("_h_age2"), 35.0, 10.0)), 18, 90).cast("int")
+    return h.select(
+        "customer_id",
         F.concat_ws(" ", first, last).alias("name"),
-        F.concat(F.lower(first), F.lit("."), F.lower(last), k.cast("string"), F.lit("@"),
-                 rnd.choice(k, seed, S_DOMAIN, EMAIL_DOMAINS)).alias("email"),
+        F.concat(F.lower(first), F.lit("."), F.lower(last), F.col("customer_id").cast("string"), F.lit("@"),
+                 rnd.choice(_u("_h_domain"), EMAIL_DOMAINS)).alias("email"),
         age.alias("age"),
-        rnd.choice(k, seed, S_CITY, CITIES).alias("city"),
-        rnd.choice(k, seed, S_COUNTRY, COUNTRIES).alias("country"),
+        rnd.choice(_u("_h_city"), CITIES).alias("city"),
+        rnd.choice(_u("_h_country"), COUNTRIES).alias("country"),
         reg_day.cast("timestamp_ntz").alias("registration_date"),
     )
 
 
 # ---- G14 products -----------------------------------------------------------
 def products_for_keys(keys: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
-    k = F.col("product_id")
-    category = rnd.choice(k, seed, S_CATEGORY, CATEGORIES)
-    word = rnd.choice(k, seed, S_WORD, WORDS)
-    rating = F.round(clip(rnd.normal(k, seed, S_RATING, 4.0, 0.8), 1.0, 5.0), 1)
-    return keys.select(
-        k.cast("long").alias("product_id"),
+    salts = {"_h_category": S_CATEGORY, "_h_word": S_WORD, "_h_price": S_PRICE, "_h_stock": S_STOCK,
+             "_h_rating1": S_RATING, "_h_rating2": S_RATING + 1}
+    h = rnd.with_hashes(keys.select(F.col("product_id").cast("long")), "product_id", seed, salts)
+    category = rnd.choice(_u("_h_category"), CATEGORIES)
+    word = rnd.choice(_u("_h_word"), WORDS)
+    rating = F.round(clip(rnd.normal(_u("_h_rating1"), _u("_h_rating2"), 4.0, 0.8), 1.0, 5.0), 1)
+    return h.select(
+        "product_id",
         F.concat_ws(" ", capitalize_first(word), drop_last_char(category)).alias("name"),
         category.alias("category"),
-        F.round(rnd.uniform_real(k, seed, S_PRICE, 10.0, 500.0), 2).alias("price"),
-        rnd.poisson(k, seed, S_STOCK, 50.0).alias("stock"),
+        F.round(rnd.uniform_real(_u("_h_price"), 10.0, 500.0), 2).alias("price"),
+        rnd.poisson(_u("_h_stock"), 50.0).alias("stock"),
         rating.alias("rating"),
     )
 
@@ -119,9 +127,9 @@ def order_counts(customers: DataFrame, n_orders: int, seed: int = DEFAULT_SEED,
                  remainder: str = "fraction", pareto_offset: float = 1.0,
                  num_partitions: int | None = None) -> DataFrame:
     """G7 + G12: Pareto weights per customer, then the exact skewed allocation."""
-    weight = rnd.pareto(F.col("customer_id"), seed, S_WEIGHT, 1.5, pareto_offset)
-    return skewed_allocation(customers.select("customer_id"), "customer_id", weight, n_orders,
-                             0.2, top_share, remainder, num_partitions)
+    keyed = rnd.with_hashes(customers.select("customer_id"), "customer_id", seed, {"_h_weight": S_WEIGHT})
+    weight = rnd.pareto(_u("_h_weight"), 1.5, pareto_offset)
+    return skewed_allocation(keyed, "customer_id", weight, n_orders, 0.2, top_share, remainder, num_partitions)
 
 
 def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, seed: int = DEFAULT_SEED,
@@ -161,7 +169,7 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
         n_keys = counts.count()
         pad = spark.range(allocated, n_orders).select(
             F.col("id").alias("pos"),
-            (F.lit(1) + F.floor(rnd.uniform(F.col("id"), seed, S_PAD) * F.lit(n_keys))).alias("weight_rank"))
+            (F.lit(1) + F.floor(rnd.uniform("id", seed, S_PAD) * F.lit(n_keys))).alias("weight_rank"))
         pad = pad.join(counts.select("customer_id", "registration_date", "weight_rank"), "weight_rank") \
             .select("customer_id", "registration_date", "pos")
         rows = rows.unionByName(pad)
@@ -169,33 +177,37 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
     a = permutation_multiplier(n_orders)
     b = (seed * 7919) % n_orders
     order_id = ((F.col("pos") * F.lit(a) + F.lit(b)) % F.lit(n_orders) + F.lit(1)).cast("long")
-    oid = F.col("order_id")
+    salts = {"_h_product": S_PRODUCT, "_h_quantity": S_QUANTITY, "_h_days": S_DAYS, "_h_seconds": S_SECONDS}
+    h = rnd.with_hashes(rows.select(order_id.alias("order_id"), "customer_id", "registration_date"),
+                        "order_id", seed, salts)
     days = F.greatest(F.datediff(F.lit(as_of), F.col("registration_date").cast("date")), F.lit(0))
-    return rows.withColumn("order_id", order_id).select(
-        oid,
+    return h.select(
+        "order_id",
         F.col("customer_id").cast("long").alias("customer_id"),
-        rnd.uniform_int(oid, seed, S_PRODUCT, first_product_id, first_product_id + n_products).cast("long")
+        rnd.uniform_int(_u("_h_product"), first_product_id, first_product_id + n_products).cast("long")
         .alias("product_id"),
-        rnd.uniform_int(oid, seed, S_QUANTITY, 1, 11).cast("smallint").alias("quantity"),
-        add_days_seconds(F.col("registration_date"), rnd.uniform_upto(oid, seed, S_DAYS, days),
-                         rnd.uniform_int(oid, seed, S_SECONDS, 0, 86400)).alias("order_date"),
+        rnd.uniform_int(_u("_h_quantity"), 1, 11).cast("smallint").alias("quantity"),
+        add_days_seconds(F.col("registration_date"), rnd.uniform_upto(_u("_h_days"), days),
+                         rnd.uniform_int(_u("_h_seconds"), 0, 86400)).alias("order_date"),
     )
 
 
 # ---- G17 format-benchmark table -----------------------------------------------
 def benchmark_rows_for_keys(keys: DataFrame, seed: int = DEFAULT_SEED, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
-    k = F.col("id")
-    first = rnd.choice(k, seed, S_FIRST, FIRST_NAMES)
-    last = rnd.choice(k, seed, S_LAST, LAST_NAMES)
+    salts = {"_h_first": S_FIRST, "_h_last": S_LAST, "_h_domain": S_DOMAIN, "_h_amount": S_AMOUNT,
+             "_h_date": S_DATE, "_h_category": S_CATEGORY}
+    h = rnd.with_hashes(keys.select(F.col("id").cast("long")), "id", seed, salts)
+    first = rnd.choice(_u("_h_first"), FIRST_NAMES)
+    last = rnd.choice(_u("_h_last"), LAST_NAMES)
     t0, t1 = _epoch_seconds(BENCHMARK_START), _epoch_seconds(as_of)
-    return keys.select(
-        k.cast("long").alias("id"),
+    return h.select(
+        "id",
         F.concat_ws(" ", first, last).alias("name"),
-        F.concat(F.lower(first), F.lit("."), F.lower(last), k.cast("string"), F.lit("@"),
-                 rnd.choice(k, seed, S_DOMAIN, EMAIL_DOMAINS)).alias("email"),
-        F.round(rnd.uniform_real(k, seed, S_AMOUNT, 10.0, 5000.0), 2).alias("amount"),
-        epoch_seconds_to_ntz(rnd.uniform_int(k, seed, S_DATE, t0, t1 + 1)).alias("date"),
-        rnd.choice(k, seed, S_CATEGORY, CATEGORIES).alias("category"),
+        F.concat(F.lower(first), F.lit("."), F.lower(last), F.col("id").cast("string"), F.lit("@"),
+                 rnd.choice(_u("_h_domain"), EMAIL_DOMAINS)).alias("email"),
+        F.round(rnd.uniform_real(_u("_h_amount"), 10.0, 5000.0), 2).alias("amount"),
+        epoch_seconds_to_ntz(rnd.uniform_int(_u("_h_date"), t0, t1 + 1)).alias("date"),
+        rnd.choice(_u("_h_category"), CATEGORIES).alias("category"),
     )
 
 
