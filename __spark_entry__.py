@@ -144,6 +144,12 @@ def _gen_orders_invariants(spark, d):
     )
 
 
+def _gen_order_counts(spark, d):
+    n_orders = model.raw(spark, d, "orders").count()
+    counts = G.order_counts(_gen_customers(spark, d), n_orders)
+    return counts.select("customer_id", "weight_rank", "is_top", "quota", "order_count")
+
+
 def _gen_benchmark(spark, d):
     keys = model.raw(spark, d, "events").select(F.col("event_id").alias("id"))
     return G.benchmark_rows_for_keys(keys)
@@ -238,6 +244,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gen_customers": _gen_customers,
         "gen_products": _gen_products,
         "gen_orders": _gen_orders,
+        "gen_order_counts": _gen_order_counts,
         "gen_orders_invariants": _gen_orders_invariants,
         "gen_format_benchmark": _gen_benchmark,
         # S1-S8 sources and sinks, R7-R10 comparisons and stored-data report
@@ -252,6 +259,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reconcile_top_customers": _reconcile_top_customers,
         # primitives: J1+P1 enriched rows, P2 month bucket, A6 counts + U1 union
         "enriched_orders": lambda s, d: enrich_orders(*_sales(s, d)),
+        "customers_model": lambda s, d: model.customers(s, d),
         "orders_per_month": _orders_per_month,
         "table_row_counts": _table_row_counts,
         "revenue_long": _revenue_long,
@@ -515,6 +523,11 @@ FROM alloc"""
     o["gen_customers"] = _sql_customers("SELECT c_custkey AS customer_id FROM customer")
     o["gen_products"] = _sql_products("SELECT p_partkey AS product_id FROM part")
     o["gen_orders"] = _sql_gen_orders()
+    keys = "SELECT c_custkey AS customer_id FROM customer"
+    o["gen_order_counts"] = f"""WITH cust AS ({_sql_customers(keys)}),
+w AS (SELECT customer_id, {_sql_pareto('customer_id', G.DEFAULT_SEED, G.S_WEIGHT, 1.5, 1.0)} AS weight FROM cust),
+{_sql_allocation('w', 'customer_id', '(SELECT count(*) FROM orders)')}
+SELECT customer_id, weight_rank, is_top, quota, order_count FROM alloc"""
     o["gen_orders_invariants"] = """SELECT count(*) AS n_rows, count(*) AS distinct_order_ids,
        CAST(1 AS BIGINT) AS min_order_id, count(*) AS max_order_id,
        CAST(0 AS BIGINT) AS orphan_customers, CAST(0 AS BIGINT) AS orphan_products,
@@ -562,6 +575,7 @@ SELECT coalesce(l.customer_id, r.customer_id) AS customer_id, l.total_revenue AS
                  OR abs(l.total_revenue - r.total_revenue) <= 0.0 THEN 'match' ELSE 'differ' END AS status
 FROM l FULL OUTER JOIN r ON l.customer_id = r.customer_id""")
     o["enriched_orders"] = _with("SELECT * FROM enriched")
+    o["customers_model"] = _with("SELECT * FROM model_customers")
     o["orders_per_month"] = _with("""SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS n_lines,
        CAST(sum(quantity) AS BIGINT) AS units FROM model_orders GROUP BY 1""")
     o["table_row_counts"] = "\nUNION ALL\n".join(
