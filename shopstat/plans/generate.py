@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from shopstat.functions import random as rnd
 from shopstat.functions.exprs import add_days_seconds, capitalize_first, clip, drop_last_char, epoch_seconds_to_ntz
 from shopstat.operators.allocation import skewed_allocation
+from shopstat.operators.joins import lookup_customer_attribute
 from shopstat.operators.ranking import global_running_sum
 
 # ---- fixed values -----------------------------------------------------------
@@ -140,8 +141,8 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
     spark = customers.sparkSession
     counts = order_counts(customers, n_orders, seed, top_share, remainder, num_partitions=num_partitions)
     # The registration date travels with the customer row into the expansion.
-    counts = counts.select("customer_id", "weight_rank", "order_count").join(
-        customers.select("customer_id", "registration_date"), "customer_id", "inner")
+    counts = lookup_customer_attribute(counts.select("customer_id", "weight_rank", "order_count"),
+                                       customers, "registration_date")
     placed = global_running_sum(counts, [F.col("customer_id").asc()], "order_count", "start_pos",
                                 inclusive=False, num_partitions=num_partitions)
 
