@@ -1,7 +1,7 @@
 """G12 — skewed allocation: split ``total`` units over keys so the top
 ``top_fraction`` of keys by weight hold ``top_share`` of them, exactly ``total`` in all.
 
-Steps (every global step is a one-row aggregate or a distributed rank):
+Steps:
 
 1. rank keys by weight (descending, ties by key) — distributed rank (W2);
 2. the top max(1, floor(n * top_fraction)) keys are "top"; their weights are scaled
@@ -11,7 +11,12 @@ Steps (every global step is a one-row aggregate or a distributed rank):
    differ in the last bits of a sum agree); count = floor(quota);
 4. the units still missing, total - sum(count), go one each to the keys with the
    largest remainder (``remainder="fraction"``) or the heaviest keys
-   (``remainder="weight"``); a surplus is taken back from the other end.
+   (``remainder="weight"``) — a second distributed rank; a surplus is taken back
+   from the other end.
+
+The global quantities (n, S_top, S_rest, the shortfall) are three scalar
+aggregates, each computed once over the checkpointed ranking and used as
+literals, so no pass over the key table is repeated by later actions.
 """
 from __future__ import annotations
 
@@ -31,41 +36,40 @@ def skewed_allocation(keys: DataFrame, key: str, weight: Column, total: int,
     w = keys.select(F.col(key), weight.cast("double").alias("weight"))
     ranked = global_row_number(w, [F.col("weight").desc(), F.col(key).asc()], "weight_rank", num_partitions)
 
-    n = ranked.agg(F.count(F.lit(1)).alias("n_keys"))
-    top_count = F.greatest(F.lit(1), F.floor(F.col("n_keys") * F.lit(float(top_fraction))))
-    flagged = ranked.crossJoin(F.broadcast(n)).withColumn("is_top", F.col("weight_rank") <= top_count)
+    n_keys = ranked.count()
+    top_count = max(1, int(n_keys * float(top_fraction) // 1))
+    flagged = ranked.withColumn("is_top", F.col("weight_rank") <= F.lit(top_count))
+    s_top, s_rest = flagged.agg(
+        F.sum(F.when(F.col("is_top"), F.col("weight")).otherwise(F.lit(0.0))),
+        F.sum(F.when(~F.col("is_top"), F.col("weight")).otherwise(F.lit(0.0))),
+    ).first()
+    s_top, s_rest = s_top or 0.0, s_rest or 0.0
+    if s_top <= 0 or s_rest <= 0:
+        adjusted = F.lit(1.0)
+        w_total = float(n_keys)
+    else:
+        scale = (float(top_share) * s_rest) / ((1.0 - float(top_share)) * s_top)
+        adjusted = F.when(F.col("is_top"), F.col("weight") * F.lit(scale)).otherwise(F.col("weight"))
+        w_total = scale * s_top + s_rest
 
-    sums = flagged.agg(
-        F.sum(F.when(F.col("is_top"), F.col("weight")).otherwise(F.lit(0.0))).alias("s_top"),
-        F.sum(F.when(~F.col("is_top"), F.col("weight")).otherwise(F.lit(0.0))).alias("s_rest"),
-    )
-    share = F.lit(float(top_share))
-    scale = (share * F.col("s_rest")) / ((F.lit(1.0) - share) * F.col("s_top"))
-    uniform_fallback = (F.col("s_top") <= 0) | (F.col("s_rest") <= 0)
-    adjusted = flagged.crossJoin(F.broadcast(sums)).withColumn(
-        "adj_weight",
-        F.when(uniform_fallback, F.lit(1.0))
-        .when(F.col("is_top"), F.col("weight") * scale)
-        .otherwise(F.col("weight")),
-    )
-
-    wsum = adjusted.agg(F.sum("adj_weight").alias("w_total"))
-    quotas = adjusted.crossJoin(F.broadcast(wsum)).withColumn(
-        "quota", F.round(F.col("adj_weight") / F.col("w_total") * F.lit(float(total)), QUOTA_DIGITS)
+    quotas = flagged.withColumn("adj_weight", adjusted).withColumn(
+        "quota", F.round(F.col("adj_weight") / F.lit(w_total) * F.lit(float(total)), QUOTA_DIGITS)
     ).withColumn("base", F.floor("quota")).withColumn(
         "remainder", F.round(F.col("quota") - F.col("base"), QUOTA_DIGITS)
     )
+    missing = int(total) - int(quotas.agg(F.sum("base")).first()[0] or 0)
 
-    missing = quotas.agg((F.lit(int(total)) - F.sum("base")).alias("missing"))
-    order_col = "remainder" if remainder == "fraction" else "adj_weight"
-    ranked2 = global_row_number(
-        quotas.select(key, "weight", "weight_rank", "is_top", "adj_weight", "quota", "base", "remainder"),
-        [F.col(order_col).desc(), F.col(key).asc()], "remainder_rank", num_partitions,
-    ).crossJoin(F.broadcast(missing)).crossJoin(F.broadcast(n))
-
-    give = (F.col("missing") > 0) & (F.col("remainder_rank") <= F.col("missing"))
-    take = (F.col("missing") < 0) & (F.col("n_keys") - F.col("remainder_rank") + 1 <= -F.col("missing"))
-    count = F.greatest(
-        F.col("base") + F.when(give, F.lit(1)).when(take, F.lit(-1)).otherwise(F.lit(0)), F.lit(0)
-    ).cast("long")
-    return ranked2.select(key, "weight", "weight_rank", "is_top", "quota", count.alias("order_count"))
+    if missing == 0:
+        extra = F.lit(0)
+        out = quotas
+    else:
+        order_col = "remainder" if remainder == "fraction" else "adj_weight"
+        out = global_row_number(quotas, [F.col(order_col).desc(), F.col(key).asc()], "remainder_rank",
+                                num_partitions)
+        if missing > 0:
+            extra = F.when(F.col("remainder_rank") <= F.lit(missing), F.lit(1)).otherwise(F.lit(0))
+        else:
+            extra = F.when(F.lit(n_keys) - F.col("remainder_rank") + 1 <= F.lit(-missing), F.lit(-1)) \
+                .otherwise(F.lit(0))
+    count = F.greatest(F.col("base") + extra, F.lit(0)).cast("long")
+    return out.select(key, "weight", "weight_rank", "is_top", "quota", count.alias("order_count"))
