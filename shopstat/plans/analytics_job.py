@@ -19,6 +19,7 @@ from shopstat.operators.aggregates import MONEY_DIGITS
 from shopstat.operators.joins import enrich_orders
 from shopstat.operators.reports import GROWTH_DIGITS, country_rollup
 from shopstat.session import checkpoint_dir
+from shopstat.sources.tables import load_parquet_nanos
 
 # Dataset names of the stored reports (they differ from the function names for two of them).
 OUTPUT_NAMES = {
@@ -90,9 +91,13 @@ def write_reports(orders: DataFrame, products: DataFrame, customers: DataFrame,
 
 
 def run_analytics(spark: SparkSession, raw_dir: str, processed_dir: str, n: int = 10) -> dict[str, str]:
-    """Read customers/products/orders Parquet from ``raw_dir`` and write the four reports."""
+    """Read customers/products/orders Parquet from ``raw_dir`` and write the four reports.
+
+    Accepts both Spark-written tables and pandas/pyarrow-written ones (int32 keys,
+    int16 quantities, nanosecond timestamps)."""
     raw_dir = str(raw_dir)
-    orders = spark.read.parquet(os.path.join(raw_dir, "orders.parquet")).select(
+    # Files written by pandas/pyarrow carry nanosecond timestamps: normalise on load.
+    orders = load_parquet_nanos(spark, os.path.join(raw_dir, "orders.parquet"), ["order_date"]).select(
         F.col("order_id").cast("long"), F.col("customer_id").cast("long"),
         F.col("product_id").cast("long"), F.col("quantity").cast("smallint"),
         F.col("order_date").cast("timestamp_ntz"),
@@ -100,7 +105,7 @@ def run_analytics(spark: SparkSession, raw_dir: str, processed_dir: str, n: int
     products = spark.read.parquet(os.path.join(raw_dir, "products.parquet")).select(
         F.col("product_id").cast("long"), "category", F.col("price").cast("double"),
     )
-    customers = spark.read.parquet(os.path.join(raw_dir, "customers.parquet")).select(
+    customers = load_parquet_nanos(spark, os.path.join(raw_dir, "customers.parquet"), ["registration_date"]).select(
         F.col("customer_id").cast("long"), "country",
     )
     return write_reports(orders, products, customers, processed_dir, n)

@@ -32,6 +32,8 @@ def load_parquet_nanos(spark: SparkSession, path: str, ts_columns: Sequence[str]
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = spark.read.parquet(str(path))
     for c in ts_columns:
+        if c not in df.columns:
+            continue
         if isinstance(df.schema[c].dataType, T.LongType):
             df = df.withColumn(c, epoch_micros_to_ntz(F.floor(F.col(c) / 1000)))
         elif isinstance(df.schema[c].dataType, T.TimestampType):

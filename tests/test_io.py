@@ -92,3 +92,30 @@ def test_generate_then_run_analytics(spark, tmp_dir):
     assert top.count() == 10
     assert spark.read.parquet(paths["sales_by_category"]).agg(F.sum("units_sold")).first()[0] == \
         spark.read.parquet(os.path.join(raw, "orders.parquet")).agg(F.sum("quantity")).first()[0]
+
+
+def test_run_analytics_on_pandas_written_tables(spark, tmp_dir):
+    """Inputs as a pandas/pyarrow generator writes them: int32 ids, int16 quantity,
+    nanosecond timestamps, a product id with no product."""
+    raw, processed = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "processed")
+    os.makedirs(raw)
+    pd.DataFrame({"customer_id": pd.array([1, 2], dtype="int32"), "name": ["a", "b"],
+                  "country": ["France", "Kenya"],
+                  "registration_date": pd.to_datetime(["2023-01-01", "2023-02-01"]).astype("datetime64[ns]")}) \
+        .to_parquet(os.path.join(raw, "customers.parquet"), index=False)
+    pd.DataFrame({"product_id": pd.array([1, 2], dtype="int32"), "name": ["x", "y"],
+                  "category": ["Books", "Home"], "price": [10.0, 25.0]}) \
+        .to_parquet(os.path.join(raw, "products.parquet"), index=False)
+    pd.DataFrame({"order_id": pd.array([1, 2, 3, 4], dtype="int64"),
+                  "customer_id": pd.array([1, 1, 2, 2], dtype="int32"),
+                  "product_id": pd.array([1, 2, 1, 99], dtype="int32"),
+                  "quantity": pd.array([2, 1, 1, 5], dtype="int16"),
+                  "order_date": pd.to_datetime(["2024-01-15 10:00:00.000000001", "2024-01-20 00:00:00.000000000",
+                                                "2024-03-01 00:00:00.000000000", "2024-03-02 23:59:59.000000000"])
+                  .astype("datetime64[ns]")}) \
+        .to_parquet(os.path.join(raw, "orders.parquet"), index=False)
+    paths = analytics_job.run_analytics(spark, raw, processed)
+    monthly = [tuple(r) for r in spark.read.parquet(paths["monthly_trends"]).orderBy("month").collect()]
+    assert monthly == [("2024-01", 45.0, None, None), ("2024-03", 10.0, 45.0, -77.777778)]
+    country = {r.country: (r.total_revenue, r.units_sold) for r in spark.read.parquet(paths["sales_by_country"]).collect()}
+    assert country == {"France": (45.0, 3), "Kenya": (10.0, 6)}
