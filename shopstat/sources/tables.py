@@ -35,7 +35,9 @@ def load_parquet_nanos(spark: SparkSession, path: str, ts_columns: Sequence[str]
         if c not in df.columns:
             continue
         if isinstance(df.schema[c].dataType, T.LongType):
-            df = df.withColumn(c, epoch_micros_to_ntz(F.floor(F.col(c) / 1000)))
+            # exact floor division in integers (a double would lose the last microsecond)
+            micros = F.expr(f"(`{c}` - pmod(`{c}`, 1000)) div 1000")
+            df = df.withColumn(c, epoch_micros_to_ntz(micros))
         elif isinstance(df.schema[c].dataType, T.TimestampType):
             df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
     return df

@@ -38,13 +38,16 @@ def test_csv_keeps_microseconds_and_smallint(spark, tmp_dir):
 
 def test_nanosecond_parquet_is_normalised(spark, tmp_dir):
     path = os.path.join(tmp_dir, "nanos.parquet")
-    pdf = pd.DataFrame({"id": [1, 2], "ts": pd.to_datetime(["2024-01-02 03:04:05.123456789", "1999-12-31 23:59:59.000000000"])})
+    pdf = pd.DataFrame({"id": [1, 2, 3], "ts": pd.to_datetime(["2024-01-02 03:04:05.123456789",
+                                                                "1999-12-31 23:59:59.000000000",
+                                                                "2262-04-11 23:47:16.854775807"])})
     pdf["ts"] = pdf["ts"].astype("datetime64[ns]")
     pdf.to_parquet(path, engine="pyarrow", index=False)
     df = load_parquet_nanos(spark, path, ["ts"])
     assert dict(df.dtypes)["ts"] == "timestamp_ntz"
     got = sorted(tuple(r) for r in df.collect())
-    assert got == [(1, dt.datetime(2024, 1, 2, 3, 4, 5, 123456)), (2, dt.datetime(1999, 12, 31, 23, 59, 59))]
+    assert got == [(1, dt.datetime(2024, 1, 2, 3, 4, 5, 123456)), (2, dt.datetime(1999, 12, 31, 23, 59, 59)),
+                   (3, dt.datetime(2262, 4, 11, 23, 47, 16, 854775))]
 
 
 def test_row_cap_is_repeatable(spark):
