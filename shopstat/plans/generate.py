@@ -50,7 +50,7 @@ EMAIL_DOMAINS = ["example.com", "example.org", "example.net"]
 # Salts: one per random column.
 S_FIRST, S_LAST, S_DOMAIN, S_AGE, S_CITY, S_COUNTRY, S_REG = 1, 2, 3, 4, 6, 7, 8
 S_CATEGORY, S_WORD, S_PRICE, S_STOCK, S_RATING = 11, 12, 13, 14, 15
-S_WEIGHT, S_PRODUCT, S_QUANTITY, S_DAYS, S_SECONDS, S_PAD = 21, 22, 23, 24, 25, 26
+S_WEIGHT, S_PRODUCT, S_QUANTITY, S_DAYS, S_SECONDS = 21, 22, 23, 24, 25
 S_AMOUNT, S_DATE = 31, 32
 
 DEFAULT_SEED = 42
@@ -141,7 +141,7 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
     spark = customers.sparkSession
     counts = order_counts(customers, n_orders, seed, top_share, remainder, num_partitions=num_partitions)
     # The registration date travels with the customer row into the expansion.
-    counts = lookup_customer_attribute(counts.select("customer_id", "weight_rank", "order_count"),
+    counts = lookup_customer_attribute(counts.select("customer_id", "order_count"),
                                        customers, "registration_date")
     placed = global_running_sum(counts, [F.col("customer_id").asc()], "order_count", "start_pos",
                                 inclusive=False, num_partitions=num_partitions)
@@ -163,17 +163,9 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
     ).select("customer_id", "registration_date", (F.col("chunk_start") + F.col("i")).alias("pos")) \
         .filter(F.col("pos") < F.lit(n_orders))  # O4: exactly N positions
 
-    # If the allocation came out short (degenerate weights), pad with uniformly
-    # chosen customers; the pad is smaller than the number of customers.
-    allocated = placed.agg(F.sum("order_count")).first()[0] or 0
-    if allocated < n_orders:
-        n_keys = counts.count()
-        pad = spark.range(allocated, n_orders).select(
-            F.col("id").alias("pos"),
-            (F.lit(1) + F.floor(rnd.uniform("id", seed, S_PAD) * F.lit(n_keys))).alias("weight_rank"))
-        pad = pad.join(counts.select("customer_id", "registration_date", "weight_rank"), "weight_rank") \
-            .select("customer_id", "registration_date", "pos")
-        rows = rows.unionByName(pad)
+    # The allocation never comes out short: every floor loses less than one unit, so
+    # the shortfall is below the number of customers and the +1 step covers it. A
+    # surplus (a count clamped at zero) is cut by the position filter above.
 
     a = permutation_multiplier(n_orders)
     b = (seed * 7919) % n_orders
