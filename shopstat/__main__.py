@@ -23,7 +23,7 @@ from shopstat.operators import reports as R
 from shopstat.operators.compare import reconcile
 from shopstat.plans import analytics_job, generate
 from shopstat.plans.dataset_report import dataset_report
-from shopstat.plans.formats import compare_formats
+from shopstat.plans.formats import compare_formats, metrics_as_text
 from shopstat.sources.tables import cap_rows
 
 
@@ -77,7 +77,7 @@ def main(argv=None) -> None:
     elif args.cmd == "formats":
         table = generate.benchmark_rows_for_keys(generate.key_range(spark, args.rows, "id"))
         metrics = compare_formats(table, args.out, metrics_path=os.path.join(args.out, "benchmark_results.csv"))
-        metrics.show(truncate=False)
+        metrics_as_text(metrics).show(truncate=False)
     elif args.cmd == "compare":
         orders, products = _read_sales(spark, args.raw)
         left = R.top_customers_revenue_only(orders, products, args.top, args.max_rows)

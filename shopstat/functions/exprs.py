@@ -120,9 +120,10 @@ def join_words(*parts: ColumnOrName, sep: str = " ") -> Column:
     return F.concat_ws(sep, *[_c(p) for p in parts])
 
 
-# F15 — fixed-decimal text, e.g. fixed_text(x, 3, " s") -> "1.234 s"
+# F15 — fixed-decimal text, e.g. fixed_text(x, 3, " s") -> "1.234 s"; null stays null
+# (format_string would print a null as the truncated word "null")
 def fixed_text(x: ColumnOrName, decimals: int, suffix: str = "") -> Column:
-    return F.format_string(f"%.{decimals}f{suffix}", _c(x))
+    return F.when(_c(x).isNotNull(), F.format_string(f"%.{decimals}f{suffix}", _c(x)))
 
 
 # F16 — human-readable size with 1024 steps: B, KB, MB, GB, then TB. The value is

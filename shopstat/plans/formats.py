@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopstat.functions.exprs import bytes_to_mb, energy_wh
+from shopstat.functions.exprs import bytes_to_mb, energy_wh, fixed_text
 from shopstat.operators.compare import compare_to_baseline
 from shopstat.schemas import FORMAT_METRICS
 from shopstat.sources.files import read_format, save_metrics, write_format
@@ -67,3 +67,15 @@ def compare_formats(df: DataFrame, out_dir: str, formats=FORMATS, baseline: str
     if metrics_path:
         save_metrics(compared, metrics_path)
     return compared
+
+
+# F15 — the comparison as display text: two decimals, four for energy (null stays null)
+TEXT_COLUMNS = [("file_size_mb", "Size (MB)", 2), ("write_time_s", "Write (s)", 2), ("read_time_s", "Read (s)", 2),
+                ("peak_memory_mb", "Peak Mem (MB)", 2), ("cpu_time_s", "CPU (s)", 2), ("energy_wh", "Energy (Wh)", 4),
+                ("storage_saving_pct", "Storage Savings (%)", 2), ("write_improvement_pct", "Write Improvement (%)", 2),
+                ("read_improvement_pct", "Read Improvement (%)", 2), ("energy_saving_pct", "Energy Savings (%)", 2)]
+
+
+def metrics_as_text(metrics: DataFrame) -> DataFrame:
+    return metrics.select(F.col("format").alias("Format"),
+                          *[fixed_text(F.col(c), d).alias(label) for c, label, d in TEXT_COLUMNS])

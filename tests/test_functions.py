@@ -14,8 +14,9 @@ def one(spark, *cols):
 
 def test_text_functions(spark):
     assert one(spark, X.capitalize_first(F.lit("hELLO world")), X.drop_last_char(F.lit("Clothing")),
-               X.join_words(F.lit("Blue"), F.lit("Hom")), X.fixed_text(F.lit(1.23456), 3, " s")) == \
-        ("Hello world", "Clothin", "Blue Hom", "1.235 s")
+               X.join_words(F.lit("Blue"), F.lit("Hom")), X.fixed_text(F.lit(1.23456), 3, " s"),
+               X.fixed_text(F.lit(None).cast("double"), 2)) == \
+        ("Hello world", "Clothin", "Blue Hom", "1.235 s", None)
 
 
 def test_human_size(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shopstat.plans import analytics_job
 from shopstat.plans import generate as G
 from shopstat.plans.dataset_report import dataset_report
-from shopstat.plans.formats import compare_formats, roundtrip
+from shopstat.plans.formats import compare_formats, metrics_as_text, roundtrip
 from shopstat.sources.files import read_csv, save_metrics, write_csv
 from shopstat.sources.storage import stored_bytes_value
 from shopstat.sources.tables import cap_rows, load_parquet_nanos
@@ -77,6 +77,8 @@ def test_format_comparison(spark, tmp_dir):
     assert rows["Parquet"]["storage_saving_pct"] > 0
     saved = spark.read.option("header", "true").csv(os.path.join(tmp_dir, "metrics.csv"))
     assert saved.count() == 3 and "energy_saving_pct" in saved.columns
+    text = {r["Format"]: r for r in metrics_as_text(metrics).collect()}
+    assert text["CSV"]["Storage Savings (%)"] == "0.00" and text["CSV"]["Energy (Wh)"] is None
 
 
 def test_metrics_sink_column_names(spark, tmp_dir):
