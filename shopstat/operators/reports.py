@@ -75,13 +75,13 @@ def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
     # One row per month: an unpartitioned window over this result is bounded by the
     # number of distinct months, not by the data.
-    w = Window.orderBy("month_start")
-    prev = F.lag("month_revenue").over(w)
-    return by_month.select(
+    with_prev = by_month.withColumn("previous_month_revenue",
+                                    F.lag("month_revenue").over(Window.orderBy("month_start")))
+    return with_prev.select(
         month_label("month_start").alias("month"),
         "month_revenue",
-        prev.alias("previous_month_revenue"),
-        F.round(growth_pct(F.col("month_revenue"), prev), GROWTH_DIGITS).alias("revenue_growth_pct"),
+        "previous_month_revenue",
+        F.round(growth_pct("month_revenue", "previous_month_revenue"), GROWTH_DIGITS).alias("revenue_growth_pct"),
     ).orderBy("month")
 
 

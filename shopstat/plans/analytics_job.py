@@ -62,12 +62,13 @@ def reports_from_aggregate(agg: DataFrame, customers: DataFrame, n: int = 10) ->
     by_month = agg.filter((F.col("gid") == _GID_MONTH) & F.col("month_start").isNotNull()).select(
         "month_start", money(F.col("revenue")).alias("month_revenue")
     )
-    prev = F.lag("month_revenue").over(Window.orderBy("month_start"))
-    monthly = by_month.select(
+    monthly = by_month.withColumn(
+        "previous_month_revenue", F.lag("month_revenue").over(Window.orderBy("month_start"))
+    ).select(
         month_label("month_start").alias("month"),
         "month_revenue",
-        prev.alias("previous_month_revenue"),
-        F.round(growth_pct(F.col("month_revenue"), prev), GROWTH_DIGITS).alias("revenue_growth_pct"),
+        "previous_month_revenue",
+        F.round(growth_pct("month_revenue", "previous_month_revenue"), GROWTH_DIGITS).alias("revenue_growth_pct"),
     ).orderBy("month")
 
     country = country_rollup(per_customer, customers)
