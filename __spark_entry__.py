@@ -339,10 +339,11 @@ def _sql_mix(x: str) -> str:
 def _sql_hash(key: str, seed: int, salt: int) -> str:
     m = rnd.MODULUS
     k = f"CAST({key} AS BIGINT)"
-    lo = f"({k} % {m})"
+    pmod = lambda x: f"((({x}) % {m} + {m}) % {m})"
+    lo = pmod(k)
     hi = f"(({k} - {lo}) // {m})"
-    stream = f"(({seed * rnd.SEED_MULT + rnd.OFFSET_C} + {hi} * {rnd.HI_MULT}) % {m})"
-    x = _sql_mix(f"({lo} + {stream}) % {m}")
+    stream = pmod(f"{seed * rnd.SEED_MULT + rnd.OFFSET_C} + {hi} * {rnd.HI_MULT}")
+    x = _sql_mix(pmod(f"{lo} + {stream}"))
     return _sql_mix(f"({x} + {(salt * rnd.SALT_MULT + rnd.OFFSET_D) % m}) % {m}")
 
 

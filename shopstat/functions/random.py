@@ -44,9 +44,11 @@ def _mix(x: Column) -> Column:
 
 
 def _stream(k: Column, seed: int) -> Column:
-    lo = k % MODULUS
+    """Key and seed folded into [0, 2^31 - 1); non-negative remainders throughout, so
+    negative keys work too (for keys >= 0 this is plain ``%``)."""
+    lo = F.pmod(k, F.lit(MODULUS))
     hi = ((k - lo) / MODULUS).cast("long")  # exact: k - lo is a multiple of the modulus
-    return (lo + (F.lit(seed * SEED_MULT + OFFSET_C) + hi * HI_MULT) % MODULUS) % MODULUS
+    return F.pmod(lo + F.pmod(F.lit(seed * SEED_MULT + OFFSET_C) + hi * HI_MULT, F.lit(MODULUS)), F.lit(MODULUS))
 
 
 def _salt_offset(salt: int) -> int:

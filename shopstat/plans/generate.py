@@ -118,6 +118,10 @@ def products_for_keys(keys: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
 
 # ---- G15 orders -------------------------------------------------------------
 def permutation_multiplier(n: int) -> int:
+    """Multiplier a of the order-id permutation pos -> (a * pos + b) mod n: the first
+    listed prime not dividing n (so gcd(a, n) = 1). a * pos must fit in 64 bits."""
+    if n * max(PERMUTATION_PRIMES) >= 2 ** 63:
+        raise ValueError(f"{n} orders: the affine permutation would overflow 64-bit integers")
     for p in PERMUTATION_PRIMES:
         if n % p != 0:
             return p % n if n > 1 else 0

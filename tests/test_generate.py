@@ -52,7 +52,8 @@ def test_orders_independent_of_chunking_and_partitions(spark):
 
 
 def test_hash_columns_equal_single_expression(spark):
-    df = spark.range(0, 3000).select((F.col("id") * 1_000_003_000).alias("k"))  # keys beyond 2^31 too
+    # keys beyond 2^31 and negative keys too
+    df = spark.range(-1500, 1500).select((F.col("id") * 1_000_003_000).alias("k"))
     staged = rnd.with_hashes(df, "k", 42, {"h1": 1, "h9": 9})
     direct = df.select("k", rnd.hash31("k", 42, 1).alias("h1"), rnd.hash31("k", 42, 9).alias("h9"))
     assert staged.exceptAll(direct).count() == 0
@@ -81,3 +82,10 @@ def test_permutation_is_a_bijection(spark):
     ids = spark.range(n).select(((F.col("id") * a + 17) % n).alias("x"))
     assert ids.distinct().count() == n
     assert ids.schema["x"].dataType == T.LongType()
+
+
+def test_negative_keys_give_uniforms_in_range(spark):
+    df = spark.range(-5000, 0).select(F.col("id").alias("k"))
+    u = rnd.with_hashes(df, "k", 3, {"h": 1}).select(rnd.unit(F.col("h")).alias("u"))
+    lo, hi = u.agg(F.min("u"), F.max("u")).first()
+    assert 0 < lo and hi < 1
