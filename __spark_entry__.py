@@ -26,6 +26,7 @@ from shopstat.functions import random as rnd  # noqa: E402
 from shopstat.functions.exprs import month_label, month_start  # noqa: E402
 from shopstat.operators.compare import compare_to_baseline, reconcile  # noqa: E402
 from shopstat.operators.joins import enrich_orders  # noqa: E402
+from shopstat.operators import aggregates as A  # noqa: E402
 from shopstat.operators import reports as R  # noqa: E402
 from shopstat.operators.allocation import skewed_allocation  # noqa: E402
 from shopstat.operators.ranking import global_row_number, global_running_sum  # noqa: E402
@@ -86,13 +87,15 @@ def _allocation(remainder):
 
 def _allocation_top_share(spark, d):
     alloc = _allocation("fraction")(spark, d)
-    return alloc.agg(
-        F.count(F.lit(1)).alias("n_keys"),
-        F.sum("order_count").alias("total_orders"),
-        F.sum(F.when(F.col("is_top"), F.col("order_count")).otherwise(F.lit(0))).alias("top_orders"),
-        F.round(F.sum(F.when(F.col("is_top"), F.col("order_count")).otherwise(F.lit(0)))
-                / F.sum("order_count"), 6).alias("top_share"),
+    totals = A.totals(
+        alloc,
+        n_keys=F.count(F.lit(1)),
+        total_orders=F.sum("order_count"),
+        top_orders=F.sum(F.when(F.col("is_top"), F.col("order_count")).otherwise(F.lit(0))),
     )
+    share = A.top_share(alloc, F.col("is_top"), F.col("order_count"))
+    return totals.crossJoin(share).select("n_keys", "total_orders", "top_orders",
+                                          F.round("top_share", 6).alias("top_share"))
 
 
 def _global_rank(spark, d):
@@ -196,7 +199,7 @@ CUSTOMER_SCHEMA = T.StructType([
 
 
 def _table_row_counts(spark, d):
-    frames = [model.raw(spark, d, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+    frames = [A.row_count(model.raw(spark, d, t), "n_rows").select(F.lit(t).alias("table_name"), "n_rows")
               for t in TPCH_TABLES]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
