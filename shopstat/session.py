@@ -39,7 +39,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is read from the session. Only when nothing is set (tests,
     local runs) do we create a private folder and register it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — a remote (Connect) session: the server owns the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must be set on the server for checkpoints")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
