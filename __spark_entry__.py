@@ -87,15 +87,13 @@ def _allocation(remainder):
 
 def _allocation_top_share(spark, d):
     alloc = _allocation("fraction")(spark, d)
-    totals = A.totals(
+    return A.totals(
         alloc,
         n_keys=F.count(F.lit(1)),
         total_orders=F.sum("order_count"),
         top_orders=F.sum(F.when(F.col("is_top"), F.col("order_count")).otherwise(F.lit(0))),
+        top_share=F.round(A.top_share(F.col("is_top"), F.col("order_count")), 6),
     )
-    share = A.top_share(alloc, F.col("is_top"), F.col("order_count"))
-    return totals.crossJoin(share).select("n_keys", "total_orders", "top_orders",
-                                          F.round("top_share", 6).alias("top_share"))
 
 
 def _global_rank(spark, d):

@@ -33,7 +33,7 @@ def revenue_zero_fill(df: DataFrame, key: str, revenue_name: str = "total_revenu
     )
 
 
-# A5/A6 — whole-table totals as a one-row frame (crossJoin-able, bounded by construction)
+# A5/A6 — whole-table totals as a one-row frame
 def totals(df: DataFrame, **named: Column) -> DataFrame:
     return df.agg(*[c.alias(n) for n, c in named.items()])
 
@@ -42,8 +42,7 @@ def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-# A8 — share of the total held by rows flagged as "top" (e.g. the top 20 % of keys)
-def top_share(df: DataFrame, is_top: Column, value: Column) -> DataFrame:
-    return df.agg(
-        (F.sum(F.when(is_top, value).otherwise(F.lit(0))) / F.sum(value)).alias("top_share")
-    )
+# A8 — share of the total held by rows flagged as "top" (e.g. the top 20 % of keys),
+# as an aggregate expression so it combines with other totals in one pass
+def top_share(is_top: Column, value: Column) -> Column:
+    return F.sum(F.when(is_top, value).otherwise(F.lit(0))) / F.sum(value)
