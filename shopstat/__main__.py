@@ -4,11 +4,14 @@
     python -m shopstat analytics --raw DIR --processed DIR [--top N]
     python -m shopstat formats   --out DIR [--rows N]
     python -m shopstat compare   --raw DIR [--max-rows N] [--top N]
+    python -m shopstat model     --tables DIR --out DIR
 
 ``generate`` stores customers/products/orders and prints the stored-dataset report;
 ``analytics`` writes the four reports; ``formats`` runs the CSV/Parquet/ORC
 comparison and stores the metrics CSV; ``compare`` reconciles the top customers
-under Spark null rules with the zero-fill (pandas) rules on the same orders.
+under Spark null rules with the zero-fill (pandas) rules on the same orders;
+``model`` materialises the sales model from TPC-H-like tables (lineitem, orders,
+part, customer, nation) in the raw layout the other commands read.
 Uses the active session if there is one (e.g. under spark-submit).
 """
 from __future__ import annotations
@@ -24,6 +27,7 @@ from shopstat.operators.compare import reconcile
 from shopstat.plans import analytics_job, generate
 from shopstat.plans.dataset_report import dataset_report
 from shopstat.plans.formats import compare_formats, metrics_as_text
+from shopstat.sources import model
 from shopstat.sources.tables import cap_rows
 
 
@@ -61,6 +65,9 @@ def main(argv=None) -> None:
     c.add_argument("--raw", required=True)
     c.add_argument("--max-rows", type=int, default=None)
     c.add_argument("--top", type=int, default=10)
+    m = sub.add_parser("model")
+    m.add_argument("--tables", required=True)
+    m.add_argument("--out", required=True)
     args = p.parse_args(argv)
     spark = _session()
 
@@ -84,6 +91,9 @@ def main(argv=None) -> None:
         right = R.top_customers_zero_fill(
             orders if args.max_rows is None else cap_rows(orders, args.max_rows, ["order_id"]), products, args.top)
         reconcile(left, right, "customer_id", ["total_revenue"]).orderBy("customer_id").show(truncate=False)
+    elif args.cmd == "model":
+        for name, path in model.write_model(spark, args.tables, args.out).items():
+            print(name, "->", path)
 
 
 if __name__ == "__main__":

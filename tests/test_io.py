@@ -124,3 +124,16 @@ def test_run_analytics_on_pandas_written_tables(spark, tmp_dir):
     assert monthly == [("2024-01", 45.0, None, None), ("2024-03", 10.0, 45.0, -77.777778)]
     country = {r.country: (r.total_revenue, r.units_sold) for r in spark.read.parquet(paths["sales_by_country"]).collect()}
     assert country == {"France": (45.0, 3), "Kenya": (10.0, 6)}
+
+
+def test_materialised_model_feeds_the_report_job(spark, tmp_dir):
+    from conftest import SMALL_DIR
+    from shopstat.operators import reports as R
+    from shopstat.sources import model
+    raw, processed = os.path.join(tmp_dir, "model"), os.path.join(tmp_dir, "processed")
+    model.write_model(spark, SMALL_DIR, raw)
+    paths = analytics_job.run_analytics(spark, raw, processed)
+    direct = R.sales_by_country(model.orders(spark, SMALL_DIR), model.products(spark, SMALL_DIR),
+                                model.customers(spark, SMALL_DIR))
+    got = spark.read.parquet(paths["sales_by_country"])
+    assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0
