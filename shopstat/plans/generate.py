@@ -140,10 +140,13 @@ def order_counts(customers: DataFrame, n_orders: int, seed: int = DEFAULT_SEED,
 def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, seed: int = DEFAULT_SEED,
                          as_of: dt.date = DEFAULT_AS_OF, top_share: float = 0.8, remainder: str = "fraction",
                          first_product_id: int = 1, chunk_rows: int = 100_000,
-                         rows_per_partition: int = 2_000_000, num_partitions: int | None = None) -> DataFrame:
-    """``customers`` needs customer_id and registration_date."""
+                         rows_per_partition: int = 2_000_000, num_partitions: int | None = None,
+                         pareto_offset: float = 1.0) -> DataFrame:
+    """``customers`` needs customer_id and registration_date. ``pareto_offset`` is
+    added to the Lomax draw: 1.0 gives classic Pareto weights, a tiny value (1e-6)
+    the heavier-tailed variant."""
     spark = customers.sparkSession
-    counts = order_counts(customers, n_orders, seed, top_share, remainder, num_partitions=num_partitions)
+    counts = order_counts(customers, n_orders, seed, top_share, remainder, pareto_offset, num_partitions)
     # The registration date travels with the customer row into the expansion.
     counts = lookup_customer_attribute(counts.select("customer_id", "order_count"),
                                        customers, "registration_date")

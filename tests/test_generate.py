@@ -89,3 +89,10 @@ def test_negative_keys_give_uniforms_in_range(spark):
     u = rnd.with_hashes(df, "k", 3, {"h": 1}).select(rnd.unit(F.col("h")).alias("u"))
     lo, hi = u.agg(F.min("u"), F.max("u")).first()
     assert 0 < lo and hi < 1
+
+
+def test_generator_variants_keep_exact_totals(spark):
+    customers = G.customers_for_keys(spark.range(1, 201).withColumnRenamed("id", "customer_id"))
+    for opts in ({"remainder": "weight"}, {"pareto_offset": 1e-6}, {"top_share": 0.6}):
+        o = G.orders_for_customers(customers, 3000, 40, **opts)
+        assert o.count() == 3000 and o.select("order_id").distinct().count() == 3000
