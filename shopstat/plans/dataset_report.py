@@ -12,10 +12,19 @@ from shopstat.functions.exprs import human_size
 from shopstat.sources.storage import file_listing
 
 
+def _root_marker(root: str) -> str:
+    """The root as it appears inside listed paths (which carry a scheme, e.g. file:)."""
+    r = str(root)
+    if r.startswith("file:"):
+        r = r[len("file:"):]
+    if "://" not in r:
+        r = os.path.abspath(r)
+    return r.rstrip("/") + "/"
+
+
 def dataset_report(spark: SparkSession, root: str) -> DataFrame:
-    marker = "/" + os.path.basename(os.path.normpath(str(root))) + "/"
     # dataset = first path component below ``root`` (a file, or a dataset folder)
-    dataset = F.substring_index(F.substring_index(F.col("path"), marker, -1), "/", 1)
+    dataset = F.substring_index(F.substring_index(F.col("path"), _root_marker(root), -1), "/", 1)
     return (
         file_listing(spark, root)
         .groupBy(dataset.alias("dataset"))

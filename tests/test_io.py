@@ -56,7 +56,7 @@ def test_row_cap_is_repeatable(spark):
 
 
 def test_sizes_and_dataset_report(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "store")
+    root = os.path.join(tmp_dir, "store", "x", "store")  # the root's name repeats in its own path
     _bench_table(spark).write.parquet(os.path.join(root, "a.parquet"))
     _bench_table(spark, 10).coalesce(1).write.parquet(os.path.join(root, "b.parquet"))
     files = []
