@@ -25,7 +25,7 @@ from pyspark.sql import types as T  # noqa: E402
 from shopstat.functions import random as rnd  # noqa: E402
 from shopstat.functions.exprs import month_label, month_start  # noqa: E402
 from shopstat.operators.compare import compare_to_baseline, reconcile  # noqa: E402
-from shopstat.operators.joins import enrich_orders  # noqa: E402
+from shopstat.operators.joins import enrich_orders, lookup_customer_attribute  # noqa: E402
 from shopstat.operators import aggregates as A  # noqa: E402
 from shopstat.operators import reports as R  # noqa: E402
 from shopstat.operators.allocation import skewed_allocation  # noqa: E402
@@ -261,6 +261,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # primitives: J1+P1 enriched rows, P2 month bucket, A6 counts + U1 union
         "enriched_orders": lambda s, d: enrich_orders(*_sales(s, d)),
         "customers_model": lambda s, d: model.customers(s, d),
+        "orders_with_customer_name": lambda s, d: lookup_customer_attribute(
+            model.orders(s, d), model.customers(s, d), "name"),
         "orders_per_month": _orders_per_month,
         "table_row_counts": _table_row_counts,
         "revenue_long": _revenue_long,
@@ -578,6 +580,8 @@ SELECT coalesce(l.customer_id, r.customer_id) AS customer_id, l.total_revenue AS
 FROM l FULL OUTER JOIN r ON l.customer_id = r.customer_id""")
     o["enriched_orders"] = _with("SELECT * FROM enriched")
     o["customers_model"] = _with("SELECT * FROM model_customers")
+    o["orders_with_customer_name"] = _with("""SELECT o.*, c.name
+FROM model_orders o JOIN model_customers c USING (customer_id)""")
     o["orders_per_month"] = _with("""SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS n_lines,
        CAST(sum(quantity) AS BIGINT) AS units FROM model_orders GROUP BY 1""")
     o["table_row_counts"] = "\nUNION ALL\n".join(
