@@ -10,8 +10,9 @@ Steps:
 3. quota = weight / sum(weight) * total, rounded to 6 decimals (so engines that
    differ in the last bits of a sum agree); count = floor(quota);
 4. the units still missing, total - sum(count), go one each to the keys with the
-   largest remainder (``remainder="fraction"``) or the heaviest keys
-   (``remainder="weight"``) — a second distributed rank; a surplus is taken back
+   largest remainder (``remainder="fraction"``; found from a histogram of the
+   rounded remainders, no second sort of the keys) or the heaviest keys
+   (``remainder="weight"``; a second distributed rank); a surplus is taken back
    from the other end.
 
 The global quantities (n, S_top, S_rest, the shortfall) are three scalar
@@ -20,7 +21,7 @@ literals, so no pass over the key table is repeated by later actions.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstat.operators.ranking import global_row_number
@@ -62,6 +63,9 @@ def skewed_allocation(keys: DataFrame, key: str, weight: Column, total: int,
     if missing == 0:
         extra = F.lit(0)
         out = quotas
+    elif missing > 0 and remainder == "fraction":
+        extra = F.when(_first_by_remainder(quotas, key, missing, num_partitions), F.lit(1)).otherwise(F.lit(0))
+        out = quotas
     else:
         order_col = "remainder" if remainder == "fraction" else "adj_weight"
         out = global_row_number(quotas, [F.col(order_col).desc(), F.col(key).asc()], "remainder_rank",
@@ -73,3 +77,21 @@ def skewed_allocation(keys: DataFrame, key: str, weight: Column, total: int,
                 .otherwise(F.lit(0))
     count = F.greatest(F.col("base") + extra, F.lit(0)).cast("long")
     return out.select(key, "weight", "weight_rank", "is_top", "quota", count.alias("order_count"))
+
+
+def _first_by_remainder(quotas: DataFrame, key: str, missing: int, num_partitions: int | None) -> Column:
+    """Condition selecting the first ``missing`` keys in (remainder desc, key asc) order
+    without sorting all keys. Remainders are rounded to 6 decimals, so they take at
+    most 10^6 + 1 values: a histogram of them (bounded, whatever the key count) gives
+    the remainder r* at which the cut falls; only the keys tied at r* are ordered."""
+    hist = quotas.groupBy("remainder").agg(F.count(F.lit(1)).alias("n"))
+    higher = Window.orderBy(F.col("remainder").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("n_above", F.coalesce(F.sum("n").over(higher), F.lit(0)))
+    cut = hist.filter((F.col("n_above") < missing) & (F.col("n_above") + F.col("n") >= missing)).first()
+    r_star, still = cut["remainder"], missing - cut["n_above"]
+    if still == cut["n"]:
+        return F.col("remainder") >= F.lit(r_star)
+    tied = quotas.filter(F.col("remainder") == F.lit(r_star)).select(key)
+    kth_key = global_row_number(tied, [F.col(key).asc()], "_tie_rank", num_partitions) \
+        .filter(F.col("_tie_rank") == still).first()[key]
+    return (F.col("remainder") > F.lit(r_star)) | ((F.col("remainder") == F.lit(r_star)) & (F.col(key) <= F.lit(kth_key)))

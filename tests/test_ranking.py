@@ -86,3 +86,17 @@ def test_allocation_top_share_and_uniform_fallback(spark):
     # a single key: the rest sum is zero -> uniform weights, everything to that key
     one = skewed_allocation(df.limit(1), "k", F.col("w"), 17).collect()
     assert [r.order_count for r in one] == [17]
+
+
+def test_allocation_cut_inside_a_large_tie_group(spark):
+    # two weight levels -> every key of a level has the same remainder, so the units
+    # left over are handed out inside one large group of tied remainders (by key)
+    n, total = 900, 10_007
+    df = spark.range(1, n + 1).select(F.col("id").alias("k"),
+                                      F.when(F.col("id") % 3 == 0, 5.0).otherwise(2.0).alias("w"))
+    out = skewed_allocation(df, "k", F.col("w"), total, num_partitions=4)
+    got = {r.k: r.order_count for r in out.collect()}
+    pdf = df.toPandas()
+    exp = _brute_allocation(list(pdf.k), list(pdf.w), total)
+    assert got == exp and sum(got.values()) == total
+    assert len(set(got.values())) > 2  # some tied keys got the extra unit, some did not
