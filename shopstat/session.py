@@ -36,8 +36,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    On a cluster this is read from the session. Only when nothing is set (tests,
-    local runs) do we create a private folder and register it.
+    On a cluster this is read from the session (and it is an error if it is not set).
+    Only a local session with nothing set (tests, local runs) gets a private folder.
     """
     try:
         sc = spark.sparkContext
@@ -51,7 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        configured = tempfile.mkdtemp(prefix="shopstat-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local "
+                               "folder is not reachable from the executors")
+        configured = tempfile.mkdtemp(prefix="shopstat-ckpt-")  # local session only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
