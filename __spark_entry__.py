@@ -20,8 +20,6 @@ if _HERE not in sys.path:
 
 from functools import reduce  # noqa: E402
 
-from pyspark.sql import types as T  # noqa: E402
-
 from shopstat.functions import random as rnd  # noqa: E402
 from shopstat.functions.exprs import month_label, month_start  # noqa: E402
 from shopstat.operators.compare import compare_to_baseline, reconcile  # noqa: E402
@@ -36,6 +34,7 @@ from shopstat.plans.dataset_report import dataset_report  # noqa: E402
 from shopstat.plans.formats import compare_formats, roundtrip  # noqa: E402
 from shopstat.sources.storage import stored_bytes  # noqa: E402
 from shopstat.sources.tables import load_parquet, table_path  # noqa: E402
+from shopstat.schemas import DRIVER_TABLES  # noqa: E402
 from shopstat.session import scratch_path  # noqa: E402
 from shopstat.sources import model  # noqa: E402
 
@@ -189,11 +188,6 @@ def _reconcile_top_customers(spark, d):
 
 TPCH_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-CUSTOMER_SCHEMA = T.StructType([
-    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
-    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
-    T.StructField("c_mktsegment", T.StringType()),
-])
 
 
 def _table_row_counts(spark, d):
@@ -249,7 +243,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gen_orders_invariants": _gen_orders_invariants,
         "gen_format_benchmark": _gen_benchmark,
         # S1-S8 sources and sinks, R7-R10 comparisons and stored-data report
-        "scan_customer": lambda s, d: load_parquet(s, table_path(d, "customer"), CUSTOMER_SCHEMA),
+        "scan_customer": lambda s, d: load_parquet(s, table_path(d, "customer"), DRIVER_TABLES["customer"]),
         "format_roundtrip_csv": _format_roundtrip("csv"),
         "format_roundtrip_parquet": _format_roundtrip("parquet"),
         "format_roundtrip_orc": _format_roundtrip("orc"),

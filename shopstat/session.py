@@ -13,8 +13,9 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "shopstat",
-                  driver_memory: str = "8g") -> SparkSession:
-    """A local session configured the way the tests and the bench expect."""
+                  driver_memory: str = "8g", event_log_dir: str | None = None) -> SparkSession:
+    """A local session configured the way the tests and the bench expect.
+    ``event_log_dir``: write Spark's event log there (stage and task times)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -28,6 +29,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

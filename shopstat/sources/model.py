@@ -16,11 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstat.operators.joins import bounded_broadcast
+from shopstat.schemas import DRIVER_TABLES
 from shopstat.sources.tables import load_parquet, table_path
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return load_parquet(spark, table_path(sf_dir, name))
+    """A driver table, read with its declared schema (no footer inference at
+    construction; a file whose types differ fails at scan time)."""
+    return load_parquet(spark, table_path(sf_dir, name), DRIVER_TABLES.get(name))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

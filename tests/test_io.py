@@ -137,3 +137,11 @@ def test_materialised_model_feeds_the_report_job(spark, tmp_dir):
                                 model.customers(spark, SMALL_DIR))
     got = spark.read.parquet(paths["sales_by_country"])
     assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0
+
+
+def test_declared_driver_schemas_match_the_files(spark):
+    from conftest import SMALL_DIR
+    from shopstat.schemas import DRIVER_TABLES
+    for name, declared in DRIVER_TABLES.items():
+        inferred = spark.read.parquet(os.path.join(SMALL_DIR, f"{name}.parquet")).schema
+        assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
