@@ -10,6 +10,7 @@ re-reading the order lines, and so a lost executor does not replay the scan.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,12 +83,17 @@ def write_reports(orders: DataFrame, products: DataFrame, customers: DataFrame,
     spark = orders.sparkSession
     checkpoint_dir(spark)
     agg = shared_aggregate(orders, products).checkpoint(eager=True)
-    paths = {}
-    for name, df in reports_from_aggregate(agg, customers, n).items():
-        path = os.path.join(str(processed_dir), f"{OUTPUT_NAMES[name]}.parquet")
+    paths = {name: os.path.join(str(processed_dir), f"{OUTPUT_NAMES[name]}.parquet") for name in OUTPUT_NAMES}
+
+    def write(item):
+        name, df = item
         # The reports are small (bounded by customers/categories/months); one file each.
-        df.coalesce(1).write.mode("overwrite").parquet(path)
-        paths[name] = path
+        df.coalesce(1).write.mode("overwrite").parquet(paths[name])
+
+    # The four writes are independent jobs over the checkpointed aggregate: submit them
+    # together so their small final stages share the executors instead of queueing.
+    with ThreadPoolExecutor(max_workers=len(OUTPUT_NAMES)) as pool:
+        list(pool.map(write, reports_from_aggregate(agg, customers, n).items()))
     return paths
 
 
