@@ -64,19 +64,23 @@ def hash31(key, seed: int, salt: int) -> Column:
     return _mix((x + F.lit(_salt_offset(salt))) % MODULUS)
 
 
+_MIX_STEPS = [  # the steps of _mix, as SQL text over one column
+    "({c} * %d) %% %d" % (MULT_A, MODULUS),
+    "{c} ^ shiftright({c}, 16)",
+    "({c} * %d) %% %d" % (MULT_B, MODULUS),
+    "{c} ^ shiftright({c}, 13)",
+    "({c} * %d) %% %d" % (MULT_A, MODULUS),
+]
+
+
 def _mix_staged(df: DataFrame, names: list[str]) -> DataFrame:
     """Apply the mixing steps to columns ``names`` in place, one projection per step.
     Each step reads the previous one through a column reference; Catalyst does not
-    inline a non-trivial expression that is read twice, so nothing is duplicated."""
-    steps = [
-        lambda x: (x * MULT_A) % MODULUS,
-        lambda x: x.bitwiseXOR(F.shiftright(x, 16)),
-        lambda x: (x * MULT_B) % MODULUS,
-        lambda x: x.bitwiseXOR(F.shiftright(x, 13)),
-        lambda x: (x * MULT_A) % MODULUS,
-    ]
-    for step in steps:
-        df = df.select(*[c for c in df.columns if c not in names], *[step(F.col(n)).alias(n) for n in names])
+    inline a non-trivial expression that is read twice, so nothing is duplicated.
+    Each step is one ``selectExpr`` (one call into the JVM, whatever the column count)."""
+    keep = [f"`{c}`" for c in df.columns if c not in names]
+    for step in _MIX_STEPS:
+        df = df.selectExpr(*keep, *[step.format(c=f"`{n}`") + f" AS `{n}`" for n in names])
     return df
 
 
@@ -85,8 +89,8 @@ def with_hashes(df: DataFrame, key: str, seed: int, salts: dict[str, int]) -> Da
     base = "_hash_base"
     df = df.withColumn(base, _stream(F.col(key).cast("long"), seed))
     df = _mix_staged(df, [base])
-    df = df.select(*[c for c in df.columns if c != base],
-                   *[((F.col(base) + F.lit(_salt_offset(s))) % MODULUS).alias(n) for n, s in salts.items()])
+    keep = [f"`{c}`" for c in df.columns if c != base]
+    df = df.selectExpr(*keep, *[f"(`{base}` + {_salt_offset(s)}) % {MODULUS} AS `{n}`" for n, s in salts.items()])
     return _mix_staged(df, list(salts))
 
 
@@ -138,9 +142,22 @@ def poisson_cdf(lam: float) -> list[float]:
     return out
 
 
+def array_literal(values: list) -> Column:
+    """A literal array built by one SQL expression (one call into the JVM instead of
+    one per element). Doubles are written with 17 significant digits, so they parse
+    back to exactly the same values."""
+    def text(v) -> str:
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        if isinstance(v, float):
+            return format(v, ".17e")
+        return str(int(v))
+    return F.expr("array(" + ", ".join(text(v) for v in values) + ")")
+
+
 # G6 — Poisson(lam) by inverse CDF: the number of cumulative probabilities below u
 def poisson(u: Column, lam: float = 50.0) -> Column:
-    cdf = F.array(*[F.lit(v) for v in poisson_cdf(lam)])
+    cdf = array_literal(poisson_cdf(lam))
     return F.size(F.filter(cdf, lambda c: c < u)).cast("long")
 
 
@@ -152,5 +169,4 @@ def pareto(u: Column, alpha: float = 1.5, offset: float = 1.0) -> Column:
 
 # G8 — categorical choice among literal values
 def choice(u: Column, values: list) -> Column:
-    arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (F.lit(1) + F.floor(u * F.lit(len(values)))).cast("int"))
+    return F.element_at(array_literal(values), (F.lit(1) + F.floor(u * F.lit(len(values)))).cast("int"))
