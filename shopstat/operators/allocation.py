@@ -15,9 +15,9 @@ Steps:
    (``remainder="weight"``; a second distributed rank); a surplus is taken back
    from the other end.
 
-The global quantities (n, S_top, S_rest, the shortfall) are three scalar
-aggregates, each computed once over the checkpointed ranking and used as
-literals, so no pass over the key table is repeated by later actions.
+The global quantities (n, S_top, S_rest, the shortfall and where it is cut) come
+from three passes over the checkpointed ranking, each fetched once as scalars and
+used as literals, so no pass over the key table is repeated by later actions.
 """
 from __future__ import annotations
 
@@ -58,37 +58,52 @@ def skewed_allocation(keys: DataFrame, key: str, weight: Column, total: int,
     ).withColumn("base", F.floor("quota")).withColumn(
         "remainder", F.round(F.col("quota") - F.col("base"), QUOTA_DIGITS)
     )
-    missing = int(total) - int(quotas.agg(F.sum("base")).first()[0] or 0)
-
-    if missing == 0:
-        extra = F.lit(0)
-        out = quotas
-    elif missing > 0 and remainder == "fraction":
-        extra = F.when(_first_by_remainder(quotas, key, missing, num_partitions), F.lit(1)).otherwise(F.lit(0))
+    cut = _remainder_cut(quotas, total) if remainder == "fraction" else None
+    if cut is not None:  # a shortfall, located on the remainder histogram in the same pass
+        extra = F.when(_first_by_remainder(quotas, key, cut, num_partitions), F.lit(1)).otherwise(F.lit(0))
         out = quotas
     else:
-        order_col = "remainder" if remainder == "fraction" else "adj_weight"
-        out = global_row_number(quotas, [F.col(order_col).desc(), F.col(key).asc()], "remainder_rank",
-                                num_partitions)
-        if missing > 0:
-            extra = F.when(F.col("remainder_rank") <= F.lit(missing), F.lit(1)).otherwise(F.lit(0))
+        missing = int(total) - int(quotas.agg(F.sum("base")).first()[0] or 0)
+        if missing == 0:
+            extra = F.lit(0)
+            out = quotas
         else:
-            extra = F.when(F.lit(n_keys) - F.col("remainder_rank") + 1 <= F.lit(-missing), F.lit(-1)) \
-                .otherwise(F.lit(0))
+            order_col = "remainder" if remainder == "fraction" else "adj_weight"
+            out = global_row_number(quotas, [F.col(order_col).desc(), F.col(key).asc()], "remainder_rank",
+                                    num_partitions)
+            if missing > 0:
+                extra = F.when(F.col("remainder_rank") <= F.lit(missing), F.lit(1)).otherwise(F.lit(0))
+            else:
+                extra = F.when(F.lit(n_keys) - F.col("remainder_rank") + 1 <= F.lit(-missing), F.lit(-1)) \
+                    .otherwise(F.lit(0))
     count = F.greatest(F.col("base") + extra, F.lit(0)).cast("long")
     return out.select(key, "weight", "weight_rank", "is_top", "quota", count.alias("order_count"))
 
 
-def _first_by_remainder(quotas: DataFrame, key: str, missing: int, num_partitions: int | None) -> Column:
+def _remainder_cut(quotas: DataFrame, total: int):
+    """One pass over the keys: a histogram of the rounded remainders (at most 10^6 + 1
+    values, whatever the key count) with the floors summed per value. From it, the
+    shortfall (total - sum of floors) and the remainder r* at which handing one unit
+    to each key in (remainder desc, key asc) order runs out. None when there is no
+    shortfall to hand out (none, or a surplus)."""
+    hist = quotas.groupBy("remainder").agg(F.count(F.lit(1)).alias("n"), F.sum("base").alias("base_sum"))
+    by_remainder = Window.orderBy(F.col("remainder").desc())
+    higher = by_remainder.rowsBetween(Window.unboundedPreceding, -1)
+    everything = by_remainder.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    hist = hist.select(
+        "remainder", "n",
+        F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("n_above"),
+        (F.lit(int(total)) - F.sum("base_sum").over(everything)).alias("missing"),
+    )
+    return hist.filter((F.col("n_above") < F.col("missing"))
+                       & (F.col("n_above") + F.col("n") >= F.col("missing"))).first()
+
+
+def _first_by_remainder(quotas: DataFrame, key: str, cut, num_partitions: int | None) -> Column:
     """Condition selecting the first ``missing`` keys in (remainder desc, key asc) order
-    without sorting all keys. Remainders are rounded to 6 decimals, so they take at
-    most 10^6 + 1 values: a histogram of them (bounded, whatever the key count) gives
-    the remainder r* at which the cut falls; only the keys tied at r* are ordered."""
-    hist = quotas.groupBy("remainder").agg(F.count(F.lit(1)).alias("n"))
-    higher = Window.orderBy(F.col("remainder").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("n_above", F.coalesce(F.sum("n").over(higher), F.lit(0)))
-    cut = hist.filter((F.col("n_above") < missing) & (F.col("n_above") + F.col("n") >= missing)).first()
-    r_star, still = cut["remainder"], missing - cut["n_above"]
+    without sorting all keys: every key above the cut remainder r*, and among the keys
+    tied at r* the smallest ones (only those tied keys are ranked)."""
+    r_star, still = cut["remainder"], cut["missing"] - cut["n_above"]
     if still == cut["n"]:
         return F.col("remainder") >= F.lit(r_star)
     tied = quotas.filter(F.col("remainder") == F.lit(r_star)).select(key)
