@@ -453,7 +453,7 @@ def _sql_gen_orders(seed=G.DEFAULT_SEED, as_of=G.DEFAULT_AS_OF) -> str:
 w AS (SELECT customer_id, {_sql_pareto('customer_id', seed, G.S_WEIGHT, 1.5, 1.0)} AS weight FROM cust),
 {_sql_allocation('w', 'customer_id', n)},
 placed AS (SELECT a.customer_id, a.order_count, c.registration_date,
-    coalesce(sum(a.order_count) OVER (ORDER BY a.customer_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_pos
+    coalesce(sum(a.order_count) OVER (ORDER BY a.weight_rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_pos
   FROM alloc a JOIN cust c USING (customer_id) WHERE a.order_count > 0),
 expanded AS (SELECT customer_id, registration_date, start_pos, unnest(range(order_count)) AS i FROM placed),
 positioned AS (SELECT customer_id, registration_date, start_pos + i AS pos FROM expanded),

@@ -12,8 +12,9 @@ Orders: per-customer counts come from the skewed allocation (G12); each customer
 is then split into chunks of at most ``chunk_rows`` orders, chunks are spread by a
 hash repartition and expanded there, so a customer holding a third of all orders
 is generated by many tasks, not one. Positions are laid end to end by an exclusive
-prefix sum over customers (W4) and mapped to order ids by an affine permutation
-(O5), which shuffles nothing.
+prefix sum over customers in weight-rank order (W4, computed from the dense rank
+without a sort) and mapped to order ids by an affine permutation (O5), which
+shuffles nothing.
 """
 from __future__ import annotations
 
@@ -28,7 +29,7 @@ from shopstat.functions import random as rnd
 from shopstat.functions.exprs import add_days_seconds, capitalize_first, clip, drop_last_char, epoch_seconds_to_ntz
 from shopstat.operators.allocation import skewed_allocation
 from shopstat.operators.joins import lookup_customer_attribute
-from shopstat.operators.ranking import global_running_sum
+from shopstat.operators.ranking import running_sum_by_rank
 
 # ---- fixed values -----------------------------------------------------------
 # Product categories (must equal the reference's five categories, in this order).
@@ -148,10 +149,11 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
     spark = customers.sparkSession
     counts = order_counts(customers, n_orders, seed, top_share, remainder, pareto_offset, num_partitions)
     # The registration date travels with the customer row into the expansion.
-    counts = lookup_customer_attribute(counts.select("customer_id", "order_count"),
+    counts = lookup_customer_attribute(counts.select("customer_id", "weight_rank", "order_count"),
                                        customers, "registration_date")
-    placed = global_running_sum(counts, [F.col("customer_id").asc()], "order_count", "start_pos",
-                                inclusive=False, num_partitions=num_partitions)
+    # Blocks of positions are laid end to end in weight-rank order; the rank is dense
+    # and unique, so the prefix sum needs no sort of the customers (W4 by rank).
+    placed = running_sum_by_rank(counts, "weight_rank", "order_count", "start_pos", inclusive=False)
 
     # Split every customer into chunks of at most chunk_rows orders (G11 guarded: no
     # chunk rows for a zero count), spread the chunks, then expand them.

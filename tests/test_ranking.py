@@ -100,3 +100,14 @@ def test_allocation_cut_inside_a_large_tie_group(spark):
     exp = _brute_allocation(list(pdf.k), list(pdf.w), total)
     assert got == exp and sum(got.values()) == total
     assert len(set(got.values())) > 2  # some tied keys got the extra unit, some did not
+
+
+def test_running_sum_by_rank_matches_cumsum(spark):
+    from shopstat.operators.ranking import running_sum_by_rank
+    n = 5000  # several blocks of 1024 ranks
+    df = spark.range(1, n + 1).select(F.col("id").alias("r"), (F.col("id") * 7 % 11).alias("v")).repartition(3)
+    inc = {x.r: x.s for x in running_sum_by_rank(df, "r", "v", "s", block_rows=1024).collect()}
+    exc = {x.r: x.s for x in running_sum_by_rank(df, "r", "v", "s", inclusive=False, block_rows=1024).collect()}
+    cs = np.cumsum([r * 7 % 11 for r in range(1, n + 1)])
+    assert inc == {r: int(cs[r - 1]) for r in range(1, n + 1)}
+    assert exc == {r: int(cs[r - 1] - r * 7 % 11) for r in range(1, n + 1)}
