@@ -54,3 +54,10 @@ def test_no_python_evaluation_in_any_query(spark, name):
     plan = _plan(E.queries()[name](spark, SMALL_DIR))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert node not in plan
+
+
+def test_order_positions_need_no_sort(spark):
+    # positions come from the dense weight rank in fixed-size blocks: hash exchanges only
+    plan = _plan(E.queries()["gen_orders"](spark, SMALL_DIR))
+    assert "rangepartitioning" not in plan
+    assert "hashpartitioning(_blk" in plan
