@@ -38,6 +38,18 @@ from shopstat.schemas import DRIVER_TABLES  # noqa: E402
 from shopstat.session import scratch_path  # noqa: E402
 from shopstat.sources import model  # noqa: E402
 
+try:  # the training-data subpackage is optional: without it the other queries work alone
+    from shopstat.llm import queries as llm  # noqa: E402
+    import corpus_pipeline  # noqa: E402, F401
+except ModuleNotFoundError as e:
+    if (e.name or "").split(".")[:2] not in (["shopstat", "llm"], ["corpus_pipeline"]):
+        raise
+    llm = None
+except ImportError as e:  # an empty folder is left of it
+    if e.name != "shopstat.llm":
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -261,6 +273,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_row_counts": _table_row_counts,
         "revenue_long": _revenue_long,
     }
+    if llm is not None:
+        q |= llm.QUERIES
     return q
 
 
@@ -586,4 +600,6 @@ cty AS (""" + _COUNTRY + """)
 SELECT 'category' AS dimension, category AS member, total_revenue, units_sold FROM cat
 UNION ALL
 SELECT 'country' AS dimension, country AS member, total_revenue, units_sold FROM cty""")
+    if llm is not None:
+        o |= llm.ORACLES
     return o
