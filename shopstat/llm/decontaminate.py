@@ -50,7 +50,9 @@ _ENDS = re.compile(r"[.!?:]['\")\]]*$")
 _EDGES = re.compile(r"^[^\w$€£%°+-]+|[^\w$€£%°]+$")
 _U = np.uint64
 _NAME, _NUM, _UNIT = (_U(xxhash.xxh3_64_intdigest(f"<{k}>")) for k in ("name", "number", "unit"))
-_PIECES: dict[str, tuple[int, int, int]] = {}
+#: A worker's pieces by number, and their hash, kind and whether a sentence ends there, by that number.
+_PIECES: dict[str, int] = {}
+_HASH, _KIND, _END = np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool)
 _LITERAL, _MAYBE_NAME, _IS_NUMBER, _MAYBE_UNIT, _EMPTY = range(5)
 
 
@@ -73,21 +75,31 @@ def _piece(raw: str) -> tuple[int, int, int]:
     return xxhash.xxh3_64_intdigest(low), kind, ends
 
 
+def _learn(pieces: list[str]) -> None:
+    global _HASH, _KIND, _END
+    known = len(_PIECES)
+    h, kind, ends = zip(*map(_piece, pieces), strict=True)
+    _PIECES.update(zip(pieces, range(known, known + len(pieces)), strict=True))
+    if known + len(pieces) > len(_HASH):
+        room = 2 * (known + len(pieces))
+        _HASH, _KIND, _END = (np.concatenate([x[:known], np.zeros(room - known, x.dtype)]) for x in (_HASH, _KIND, _END))
+    _HASH[known:known + len(pieces)] = np.array(h, np.uint64)
+    _KIND[known:known + len(pieces)] = kind
+    _END[known:known + len(pieces)] = ends
+
+
 def template(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Token hashes, whether each is a placeholder (1 name, 2 number, 3 unit, else 0), and the pieces."""
     pieces = (text or "").split()
     if len(_PIECES) > CACHE_WORDS:
         _PIECES.clear()
-    get, info = _PIECES.get, []
-    for p in pieces:
-        x = get(p)
-        if x is None:
-            x = _PIECES[p] = _piece(p)
-        info.append(x)
-    if not info:
+    if not pieces:
         return np.zeros(0, np.uint64), np.zeros(0, np.int8), []
-    h, kind, ends = zip(*info, strict=True)
-    h, kind, ends = np.array(h, np.uint64), np.array(kind, np.int8), np.array(ends, bool)
+    new = set(pieces) - _PIECES.keys()
+    if new:
+        _learn(list(new))
+    at = np.fromiter(map(_PIECES.__getitem__, pieces), np.int64, len(pieces))
+    h, kind, ends = _HASH[at], _KIND[at], _END[at]
     first = np.concatenate([[True], ends[:-1]])
     after_number = np.concatenate([[False], kind[:-1] == _IS_NUMBER])
     slot = np.where((kind == _MAYBE_NAME) & ~first, 1, np.where(kind == _IS_NUMBER, 2, np.where((kind == _MAYBE_UNIT) & after_number, 3, 0))).astype(np.int8)
