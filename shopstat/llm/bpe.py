@@ -30,7 +30,7 @@ _NONE = np.int64(2**62)
 _LAST = 2**62
 _CONTROL = re.compile("[\x1c-\x1f]")
 #: A full stop or comma between a letter or digit and white space is a word of its own.
-_STOP = re.compile(r"(?<=[^\W_])([.,])(?=\s)")
+_STOP = re.compile(r"[.,](?=\s)(?<=[^\W_][.,])")
 _SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
 _CODERS: dict[str, "WordBpe"] = {}
 
@@ -201,7 +201,7 @@ class WordBpe:
         for p in proposals:
             if p is not None and len(p) > 1:
                 wanted.update(a * width + b for a, b in zip(p, p[1:], strict=False))
-        new = np.array(list(wanted - known.keys()), dtype=np.int64)
+        new = np.array(list(wanted.difference(known)), dtype=np.int64)
         if len(new):
             if len(known) > 4 * CACHE_PIECES:
                 known.clear()
@@ -229,7 +229,7 @@ class WordBpe:
             return list(filter(None, _SPACE.split(text)))
         if "<|" not in text and "Σ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text)):
             text = text.lower()
-        return _STOP.sub(r" \1", text).split()
+        return _STOP.sub(r" \g<0>", text).split()
 
     def _fill(self, pieces: list[str]) -> None:
         """Encode distinct pieces without white space."""
@@ -266,7 +266,7 @@ class WordBpe:
         text in UTF-8."""
         split = [self._split(t) for t in texts]
         wanted = set().union(*split)
-        missing = wanted - self.ids_of.keys()
+        missing = wanted.difference(self.ids_of)
         if len(self.ids_of) + len(missing) > CACHE_PIECES:
             self.ids_of.clear()
             self.text_of.clear()

@@ -95,7 +95,7 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
         _PIECES.clear()
     if not pieces:
         return np.zeros(0, np.uint64), np.zeros(0, np.int8), []
-    new = set(pieces) - _PIECES.keys()
+    new = set(pieces).difference(_PIECES)
     if new:
         _learn(list(new))
     at = np.fromiter(map(_PIECES.__getitem__, pieces), np.int64, len(pieces))

@@ -193,7 +193,7 @@ class Labeller:
         if len(self.index) > CACHE_WORDS:
             self.index.clear()
         index = self.index
-        new = list(set().union(*docs) - index.keys())
+        new = list(set().union(*docs).difference(index))
         need = len(index) + len(new)
         if need > len(self.table):
             self.table = np.concatenate([self.table, np.zeros((max(need, 2 * len(self.table)) - len(self.table), self.table.shape[1]))])

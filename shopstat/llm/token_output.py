@@ -13,6 +13,7 @@ without shards. Extra columns of the input take no part.
 """
 from __future__ import annotations
 
+import json
 import math
 import re
 import struct
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rans
+from .bpe import byte_characters
 from .common import CommittedFile, open_store, remove, stored_at, text_slices
 from shopstat.session import scratch_path
 
@@ -32,12 +34,16 @@ from shopstat.session import scratch_path
 BLOCK_TOKENS = 1 << 18
 SHARD_TOKENS = 1 << 23
 #: Entries of a worker's piece cache; it is emptied when full.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 700_000
 
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 _RUN = re.compile(r"\s\s")
 #: A full stop or comma between a letter or digit and white space is a word of its own.
-_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
+_STOP = re.compile(r"[.,](?=[ \n])(?<=[^\W_][.,])")
+_ODD = ("  ", "\n\n", " \n", "\n ", "\0", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+#: The character of each byte in a byte-level vocabulary, for str.translate().
+_BYTES = dict(enumerate(byte_characters()))
+
 
 
 class PieceEncoder:
@@ -57,13 +63,17 @@ class PieceEncoder:
         self.pieces: dict[str, bytes] = {}
         plain = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
                  if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        steps = json.loads(self.tokenizer.to_str())
+        #: Whether a word goes to the merges as it stands, by its bytes.
+        self.plain = steps["normalizer"] is None and steps["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         self.fence_id, self.fence = min(plain, default=(None, None))
 
     @staticmethod
     def split(text: str) -> list[str]:
         """Pieces; all but the first begin with the space before them."""
-        if "\0" not in text and not _RUN.search(text):
-            return _STOP.sub("\0\\1", text).replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+        if not any(x in text for x in _ODD) and (text.isascii() or not _RUN.search(text)):
+            return _STOP.sub("\0\\g<0>", text).replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
         parts = text.split(" ")
         pieces, open_piece = [], parts[0]
         for left, right in zip(parts, parts[1:], strict=False):
@@ -76,21 +86,13 @@ class PieceEncoder:
 
     def _fill(self, pieces: list[str]) -> None:
         """Encode distinct pieces, many in one call: a special token between them keeps them apart."""
-        rest = []
-        led = []
+        rest, model = [], self.tokenizer.model.tokenize
         for p in pieces:
-            (led if p[:1] == " " and p[1:].isalnum() else rest).append(p)
-        for at in range(0, len(led), 2000):
-            # Words that each begin with their own space stand side by side; offsets tell them apart.
-            part = led[at:at + 2000]
-            enc = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            bounds = np.cumsum([len(p) for p in part])
-            owner = np.searchsorted(bounds, [o[0] for o in enc.offsets], side="right")
-            ends = np.searchsorted(owner, np.arange(len(part)), side="right").tolist()
-            blob, begin = np.array(enc.ids, "<u4").tobytes(), 0
-            for p, end in zip(part, ends, strict=True):
-                self.pieces[p] = blob[4 * begin:4 * end]
-                begin = end
+            if self.plain and p.lstrip(" ").isalpha():  # a word by itself, with the space before it
+                ids = [t.id for t in model(p.encode().decode("latin-1").translate(_BYTES))]
+                self.pieces[p] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(p)
         for p in rest if self.fence is None else [p for p in rest if self.fence in p]:
             ids = self.tokenizer.encode(p, add_special_tokens=False).ids
             self.pieces[p] = struct.pack(f"<{len(ids)}I", *ids)
@@ -108,7 +110,7 @@ class PieceEncoder:
         """Ids of each text, packed as little-endian unsigned 32-bit integers."""
         split = [self.split(t) for t in texts]
         wanted = set().union(*split)
-        missing = wanted - self.pieces.keys()
+        missing = wanted.difference(self.pieces)
         if len(self.pieces) + len(missing) > CACHE_PIECES:
             self.pieces.clear()
             missing = wanted
