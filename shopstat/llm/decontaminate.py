@@ -35,7 +35,7 @@ MIN_WORDS = 13
 MIN_SHARE = 0.8
 SHORTEST = 6
 BITMAP_BITS = 25
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 # Units and number words that become placeholders.
 UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg t oz lb lbs pound pounds ton tons ml cl l
@@ -58,6 +58,12 @@ _LITERAL, _MAYBE_NAME, _IS_NUMBER, _MAYBE_UNIT, _EMPTY = range(5)
 
 def _piece(raw: str) -> tuple[int, int, int]:
     """(hash, kind, whether a sentence ends here) of a piece between white space."""
+    plain = raw if raw.isalpha() else raw[:-1] if raw[-1] in ".," and raw[:-1].isalpha() else None
+    if plain is not None:  # letters alone, or with a full stop or comma behind them
+        low = plain.lower()
+        kind = (_IS_NUMBER if low in NUMBER_WORDS else _MAYBE_UNIT if low in UNITS
+                else _MAYBE_NAME if plain[0].isupper() and plain[1:].islower() else _LITERAL)
+        return xxhash.xxh3_64_intdigest(low), kind, int(raw[-1] == ".")
     word = _EDGES.sub("", raw)
     ends = 1 if _ENDS.search(raw) else 0
     if not any(c.isalnum() for c in word):

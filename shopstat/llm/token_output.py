@@ -18,9 +18,12 @@ import math
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,6 +44,7 @@ _RUN = re.compile(r"\s\s")
 #: A full stop or comma between a letter or digit and white space is a word of its own.
 _STOP = re.compile(r"[.,](?=[ \n])(?<=[^\W_][.,])")
 _ODD = ("  ", "\n\n", " \n", "\n ", "\0", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_WORDS = regex.compile(public_tokenizers.PATTERN)
 #: The character of each byte in a byte-level vocabulary, for str.translate().
 _BYTES = dict(enumerate(byte_characters()))
 
@@ -60,14 +64,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.pieces: dict[str, bytes] = {}
-        plain = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
-                 if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
-        steps = json.loads(self.tokenizer.to_str())
-        #: Whether a word goes to the merges as it stands, by its bytes.
-        self.plain = steps["normalizer"] is None and steps["pre_tokenizer"] == {
-            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
-        self.fence_id, self.fence = min(plain, default=(None, None))
+        self.pieces = Pieces(self.tokenizer)
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -84,39 +81,38 @@ class PieceEncoder:
                 open_piece += " " + right
         return [*pieces, open_piece]
 
-    def _fill(self, pieces: list[str]) -> None:
-        """Encode distinct pieces, many in one call: a special token between them keeps them apart."""
-        rest, model = [], self.tokenizer.model.tokenize
-        for p in pieces:
-            if self.plain and p.lstrip(" ").isalpha():  # a word by itself, with the space before it
-                ids = [t.id for t in model(p.encode().decode("latin-1").translate(_BYTES))]
-                self.pieces[p] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                rest.append(p)
-        for p in rest if self.fence is None else [p for p in rest if self.fence in p]:
-            ids = self.tokenizer.encode(p, add_special_tokens=False).ids
-            self.pieces[p] = struct.pack(f"<{len(ids)}I", *ids)
-        joint = [] if self.fence is None else [p for p in rest if self.fence not in p]
-        for at in range(0, len(joint), 2000):
-            part = joint[at:at + 2000]
-            ids = np.array(self.tokenizer.encode(self.fence.join(part), add_special_tokens=False).ids, "<u4")
-            ends = [*np.nonzero(ids == self.fence_id)[0].tolist(), len(ids)]
-            blob, begin = ids.tobytes(), 0
-            for p, end in zip(part, ends, strict=True):
-                self.pieces[p] = blob[4 * begin:4 * end]
-                begin = end + 1
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed as little-endian unsigned 32-bit integers."""
-        split = [self.split(t) for t in texts]
-        wanted = set().union(*split)
-        missing = wanted.difference(self.pieces)
-        if len(self.pieces) + len(missing) > CACHE_PIECES:
+        if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
-            missing = wanted
-        self._fill(list(missing))
         get = self.pieces.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        return [b"".join(map(get, self.split(t))) for t in texts]
+
+
+class Pieces(dict):
+    """Packed ids by piece; a piece that is not there yet is encoded by the library."""
+
+    def __init__(self, tokenizer) -> None:
+        self.whole, self.word = tokenizer.encode, tokenizer.model.tokenize
+        steps = json.loads(tokenizer.to_str())
+        #: Whether words go to the merges by their bytes and nothing else happens before.
+        self.plain = steps["normalizer"] is None and steps["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+
+    def __missing__(self, piece: str) -> bytes:
+        if self.plain and piece.lstrip(" ").isalpha():
+            words = (piece,)
+        elif self.plain and not any(s in piece for s in self.special):
+            words = _WORDS.findall(piece)
+        else:
+            words = None
+        if words is None:
+            ids = self.whole(piece, add_special_tokens=False).ids
+        else:
+            ids = [t.id for w in words for t in self.word(w.encode().decode("latin-1").translate(_BYTES))]
+        packed = self[piece] = array("I", ids).tobytes()
+        return packed
 
 
 def _encoder(path: str) -> PieceEncoder:
