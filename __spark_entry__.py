@@ -71,10 +71,10 @@ def _top_customers(spark, d):
 
 
 def _reduced_catalog(spark, d):
-    # A catalog without the largest sizes: order lines for those parts find no
-    # product, which exercises the null-category / null-revenue rules.
-    return model.raw(spark, d, "part").filter(F.col("p_size") <= 40).select(
-        F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category"),
+    # The whole catalog with the largest sizes under other keys: order lines for those
+    # parts find no product, which exercises the null-category / null-revenue rules.
+    return model.raw(spark, d, "part").select(
+        F.when(F.col("p_size") > 40, -F.col("p_partkey")).otherwise(F.col("p_partkey")).alias("product_id"), F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("price"))
 
 
@@ -193,18 +193,18 @@ def _compare_to_baseline(spark, d):
 
 
 def _reconcile_top_customers(spark, d):
-    left = R.top_customers_revenue_only(*_sales(spark, d), n=20)
-    right = R.top_customers_zero_fill(model.orders(spark, d), _reduced_catalog(spark, d), n=20)
+    left = R.customer_revenue(*_sales(spark, d))
+    right = R.customer_revenue(model.orders(spark, d), _reduced_catalog(spark, d))
     return reconcile(left, right, "customer_id", ["total_revenue"])
 
 
-TPCH_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def _table_row_counts(spark, d):
     frames = [A.row_count(model.raw(spark, d, t), "n_rows").select(F.lit(t).alias("table_name"), "n_rows")
-              for t in TPCH_TABLES]
+              for t in TABLES]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -290,7 +290,7 @@ model_orders AS (
 model_products AS (
   SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_retailprice AS price FROM part),
 reduced_products AS (
-  SELECT p_partkey AS product_id, p_type AS category, p_retailprice AS price FROM part WHERE p_size <= 40),
+  SELECT CASE WHEN p_size > 40 THEN -p_partkey ELSE p_partkey END AS product_id, p_type AS category, p_retailprice AS price FROM part),
 model_customers AS (
   SELECT c.c_custkey AS customer_id, c.c_name AS name, n.n_name AS country
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
@@ -318,12 +318,13 @@ FROM {src} GROUP BY category ORDER BY total_revenue DESC NULLS LAST, category NU
 
 _MONTHLY = """, m AS (
   SELECT strftime(order_date, '%Y-%m') AS month, round(sum(revenue), 2) AS month_revenue
-  FROM enriched WHERE order_date IS NOT NULL GROUP BY 1),
-l AS (SELECT month, month_revenue, lag(month_revenue) OVER (ORDER BY month) AS previous_month_revenue FROM m)
+  FROM enriched GROUP BY 1),
+l AS (SELECT month, month_revenue, CASE WHEN month IS NOT NULL THEN lag(month_revenue) OVER (ORDER BY month NULLS LAST) END
+        AS previous_month_revenue FROM m)
 SELECT month, month_revenue, previous_month_revenue,
        round((month_revenue - previous_month_revenue) / nullif(previous_month_revenue, 0) * 100.0, 6)
          AS revenue_growth_pct
-FROM l ORDER BY month"""
+FROM l ORDER BY month NULLS LAST"""
 
 _COUNTRY = """SELECT c.country, round(sum(e.revenue), 2) AS total_revenue,
        CAST(sum(e.quantity) AS BIGINT) AS units_sold
@@ -443,20 +444,20 @@ al_a AS (SELECT al_f.*, CASE WHEN al_s.s_top <= 0 OR al_s.s_rest <= 0 THEN {_f(1
 al_q AS (SELECT al_a.*, round(adj_weight / sum(adj_weight) OVER () * CAST(({total_sql}) AS DOUBLE), 6) AS quota FROM al_a),
 al_b AS (SELECT al_q.*, floor(quota) AS base, round(quota - floor(quota), 6) AS remainder FROM al_q),
 al_m AS (SELECT ({total_sql}) - CAST(sum(base) AS BIGINT) AS missing FROM al_b),
-al_k AS (SELECT al_b.*, al_m.missing, row_number() OVER (ORDER BY {order} DESC, {key}) AS remainder_rank FROM al_b, al_m),
+al_k AS (SELECT al_b.*, al_m.missing, row_number() OVER (ORDER BY CASE WHEN missing < 0 AND base > 0 THEN 1 ELSE 0 END, {order} DESC, {key})
+    AS remainder_rank FROM al_b, al_m),
 alloc AS (SELECT {key}, weight, weight_rank, is_top, quota,
-    CAST(greatest(base + CASE WHEN missing > 0 AND remainder_rank <= missing THEN 1
+    CAST(base + CASE WHEN missing > 0 AND remainder_rank <= missing THEN 1
                              WHEN missing < 0 AND n_keys - remainder_rank + 1 <= -missing THEN -1
-                             ELSE 0 END, 0) AS BIGINT) AS order_count FROM al_k)"""
+                             ELSE 0 END AS BIGINT) AS order_count FROM al_k)"""
 
 
 def _sql_gen_orders(seed=G.DEFAULT_SEED, as_of=G.DEFAULT_AS_OF) -> str:
     n = "(SELECT count(*) FROM orders)"
     n_products = "(SELECT count(*) FROM part)"
     first_product = "(SELECT min(p_partkey) FROM part)"
-    p = G.PERMUTATION_PRIMES
-    a = (f"(CASE WHEN {n} % {p[0]} <> 0 THEN {p[0]} % {n} WHEN {n} % {p[1]} <> 0 THEN {p[1]} % {n} "
-         f"ELSE {p[2]} % {n} END)")
+    first = f"greatest(1, CAST(floor({n} * {_f(G.GOLDEN_SECTION)}) AS BIGINT))"
+    stride = f"(SELECT min(x) FROM (SELECT unnest(range({first}, {first} + 1000)) AS x) WHERE gcd(x, {n}) = 1)"
     b = f"(({seed * 7919}) % {n})"
     oid = "order_id"
     days = f"greatest(date_diff('day', CAST(registration_date AS DATE), DATE '{as_of.isoformat()}'), 0)"
@@ -471,8 +472,8 @@ placed AS (SELECT a.customer_id, a.order_count, c.registration_date,
   FROM alloc a JOIN cust c USING (customer_id) WHERE a.order_count > 0),
 expanded AS (SELECT customer_id, registration_date, start_pos, unnest(range(order_count)) AS i FROM placed),
 positioned AS (SELECT customer_id, registration_date, start_pos + i AS pos FROM expanded),
-numbered AS (SELECT customer_id, registration_date, CAST((pos * {a} + {b}) % {n} + 1 AS BIGINT) AS order_id
-  FROM positioned WHERE pos < {n})
+ids AS (SELECT o + 1 AS order_id, ((o - {b} + {n}) % {n} * {stride}) % {n} AS pos FROM (SELECT unnest(range({n})) AS o)),
+numbered AS (SELECT customer_id, registration_date, CAST(order_id AS BIGINT) AS order_id FROM positioned JOIN ids USING (pos))
 SELECT order_id, CAST(customer_id AS BIGINT) AS customer_id,
   CAST({first_product} + floor({_sql_u(oid, seed, G.S_PRODUCT)} * {n_products}) AS BIGINT) AS product_id,
   CAST({_sql_uniform_int(oid, seed, G.S_QUANTITY, 1, '11')} AS SMALLINT) AS quantity,
@@ -567,7 +568,7 @@ FROM f ORDER BY dataset"""
                    round(avg(value), 6) AS avg_value FROM events GROUP BY event_type),
 base AS (SELECT max(n_events) AS b_n, max(total_value) AS b_t, max(avg_value) AS b_a FROM ev WHERE event_type = 'view')"""
     pct = lambda b, x: (f"round(CASE WHEN {b} <> 0 THEN (CAST({b} AS DOUBLE) - CAST({x} AS DOUBLE)) / "
-                        f"CAST({b} AS DOUBLE) * {_f(100.0)} ELSE {_f(0.0)} END, 6)")
+                        f"CAST({b} AS DOUBLE) * {_f(100.0)} WHEN {b} = 0 AND {x} IS NOT NULL THEN {_f(0.0)} END, 6)")
     o["compare_to_baseline"] = ev + f"""
 SELECT event_type, n_events, total_value, avg_value,
        {pct('b_n', 'n_events')} AS n_events_change_pct,
@@ -575,11 +576,9 @@ SELECT event_type, n_events, total_value, avg_value,
        {pct('b_a', 'avg_value')} AS avg_value_change_pct
 FROM ev, base"""
     o["reconcile_top_customers"] = _with(""", l AS (
-  SELECT customer_id, round(sum(revenue), 2) AS total_revenue FROM enriched GROUP BY customer_id
-  ORDER BY total_revenue DESC NULLS LAST, customer_id LIMIT 20),
+  SELECT customer_id, round(sum(revenue), 2) AS total_revenue FROM enriched GROUP BY customer_id),
 r AS (
-  SELECT customer_id, round(coalesce(sum(revenue), 0.0), 2) AS total_revenue FROM enriched_reduced
-  WHERE customer_id IS NOT NULL GROUP BY customer_id ORDER BY total_revenue DESC, customer_id LIMIT 20)
+  SELECT customer_id, round(sum(revenue), 2) AS total_revenue FROM enriched_reduced GROUP BY customer_id)
 SELECT coalesce(l.customer_id, r.customer_id) AS customer_id, l.total_revenue AS left_total_revenue,
        r.total_revenue AS right_total_revenue, round(l.total_revenue - r.total_revenue, 6) AS diff_total_revenue,
        CASE WHEN r.customer_id IS NULL THEN 'left_only' WHEN l.customer_id IS NULL THEN 'right_only'
@@ -589,12 +588,12 @@ FROM l FULL OUTER JOIN r ON l.customer_id = r.customer_id""")
     o["enriched_orders"] = _with("SELECT * FROM enriched")
     o["customers_model"] = _with("SELECT * FROM model_customers")
     o["orders_with_customer_name"] = _with("""SELECT o.*, c.name
-FROM model_orders o JOIN model_customers c USING (customer_id)""")
+FROM model_orders o LEFT JOIN model_customers c USING (customer_id)""")
     o["orders_per_month"] = _with("""SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS n_lines,
        CAST(sum(quantity) AS BIGINT) AS units FROM model_orders GROUP BY 1""")
     o["table_row_counts"] = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
-        for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"])
+        for t in TABLES)
     o["revenue_long"] = _with(""", cat AS (""" + _CATEGORY.format(src="enriched") + """),
 cty AS (""" + _COUNTRY + """)
 SELECT 'category' AS dimension, category AS member, total_revenue, units_sold FROM cat

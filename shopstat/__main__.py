@@ -28,7 +28,7 @@ from shopstat.plans import analytics_job, generate
 from shopstat.plans.dataset_report import dataset_report
 from shopstat.plans.formats import compare_formats, metrics_as_text
 from shopstat.sources import model
-from shopstat.sources.tables import cap_rows
+from shopstat.sources.tables import load_parquet_nanos
 
 
 def _session() -> SparkSession:
@@ -40,7 +40,7 @@ def _session() -> SparkSession:
 
 
 def _read_sales(spark: SparkSession, raw: str):
-    orders = spark.read.parquet(os.path.join(raw, "orders.parquet"))
+    orders = load_parquet_nanos(spark, os.path.join(raw, "orders.parquet"), ["order_date"])
     products = spark.read.parquet(os.path.join(raw, "products.parquet"))
     return orders, products
 
@@ -63,7 +63,6 @@ def main(argv=None) -> None:
     f.add_argument("--rows", type=int, default=500_000)
     c = sub.add_parser("compare")
     c.add_argument("--raw", required=True)
-    c.add_argument("--max-rows", type=int, default=None)
     c.add_argument("--top", type=int, default=10)
     m = sub.add_parser("model")
     m.add_argument("--tables", required=True)
@@ -87,9 +86,8 @@ def main(argv=None) -> None:
         metrics_as_text(metrics).show(truncate=False)
     elif args.cmd == "compare":
         orders, products = _read_sales(spark, args.raw)
-        left = R.top_customers_revenue_only(orders, products, args.top, args.max_rows)
-        right = R.top_customers_zero_fill(
-            orders if args.max_rows is None else cap_rows(orders, args.max_rows, ["order_id"]), products, args.top)
+        left = R.top_customers_revenue_only(orders, products, args.top)
+        right = R.top_customers_zero_fill(orders, products, args.top)
         reconcile(left, right, "customer_id", ["total_revenue"]).orderBy("customer_id").show(truncate=False)
     elif args.cmd == "model":
         for name, path in model.write_model(spark, args.tables, args.out).items():

@@ -36,12 +36,13 @@ def growth_pct(current: ColumnOrName, previous: ColumnOrName) -> Column:
     return F.try_divide(_c(current) - _c(previous), _c(previous)) * F.lit(100.0)
 
 
-# F3 — percentage change against a baseline, (base - x) / base * 100, 0.0 when base is 0
+# F3 — percentage change against a baseline, (base - x) / base * 100; 0.0 when base is 0,
+# null when either is null (not measured)
 def change_vs_baseline(base: ColumnOrName, value: ColumnOrName, guard_zero: bool = True) -> Column:
     pct = (_c(base) - _c(value)) / _c(base) * F.lit(100.0)
     if not guard_zero:
         return F.try_divide(_c(base) - _c(value), _c(base)) * F.lit(100.0)
-    return F.when(_c(base) != 0, pct).otherwise(F.lit(0.0))
+    return F.when(_c(base) != 0, pct).when((_c(base) == 0) & _c(value).isNotNull(), F.lit(0.0))
 
 
 # F4 — rounding; Spark rounds half away from zero, ``half_even=True`` gives banker's rounding

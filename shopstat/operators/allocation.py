@@ -69,14 +69,19 @@ def skewed_allocation(keys: DataFrame, key: str, weight: Column, total: int,
             out = quotas
         else:
             order_col = "remainder" if remainder == "fraction" else "adj_weight"
-            out = global_row_number(quotas, [F.col(order_col).desc(), F.col(key).asc()], "remainder_rank",
-                                    num_partitions)
+            if abs(missing) > n_keys:
+                raise ValueError(f"the quotas miss the total by {missing}, more than a unit a key: it exceeds double precision")
+            # A surplus is taken from the end of the order, where only keys with a unit to give stand.
+            order = [F.col(order_col).desc(), F.col(key).asc()]
+            if missing < 0:
+                order.insert(0, (F.col("base") > 0).cast("int").asc())
+            out = global_row_number(quotas, order, "remainder_rank", num_partitions)
             if missing > 0:
                 extra = F.when(F.col("remainder_rank") <= F.lit(missing), F.lit(1)).otherwise(F.lit(0))
             else:
                 extra = F.when(F.lit(n_keys) - F.col("remainder_rank") + 1 <= F.lit(-missing), F.lit(-1)) \
                     .otherwise(F.lit(0))
-    count = F.greatest(F.col("base") + extra, F.lit(0)).cast("long")
+    count = (F.col("base") + extra).cast("long")
     return out.select(key, "weight", "weight_rank", "is_top", "quota", count.alias("order_count"))
 
 

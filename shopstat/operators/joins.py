@@ -1,4 +1,4 @@
-"""Joins of the sales model (J1-J5) and the size-checked broadcast helper."""
+"""Joins of the sales model."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -9,17 +9,6 @@ from pyspark.sql import functions as F
 from shopstat.functions.exprs import revenue
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned unchanged and the planner keeps its shuffle join (or AQE converts it at
-    run time from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # J1 (+P1) — orders LEFT JOIN products on product_id, with revenue per row.
 # Unmatched orders keep null price/category and a null revenue; their units count.
 # No broadcast hint: the product dimension grows with the data, so the planner
@@ -31,9 +20,9 @@ def enrich_orders(orders: DataFrame, products: DataFrame,
     return orders.join(dim, "product_id", "left").withColumn("revenue", revenue("price", "quantity"))
 
 
-# J3 — attach one customer attribute per row (inner equi-join on customer_id)
+# J3 — attach one customer attribute per row; rows of an unknown customer stay, with null
 def lookup_customer_attribute(df: DataFrame, customers: DataFrame, attribute: str) -> DataFrame:
-    return df.join(customers.select("customer_id", attribute), "customer_id", "inner")
+    return df.join(customers.select("customer_id", attribute), "customer_id", "left")
 
 
 # J4 — attach the customer's country; rows with an unknown customer keep a null country
@@ -41,11 +30,13 @@ def attach_country(df: DataFrame, customers: DataFrame) -> DataFrame:
     return df.join(customers.select("customer_id", "country"), "customer_id", "left")
 
 
-# J5 — the baseline row's metrics attached to every row. The baseline is one global
-# aggregate row (a handful of numbers), fetched once and added as literals: no join.
+# J5 — the baseline row's metrics attached to every row. The baseline is one row (a
+# handful of numbers), fetched once and added as literals: no join. No baseline row, or
+# more than one, is an error.
 def attach_baseline(df: DataFrame, key: str, baseline_key_value, metrics: Sequence[str],
                     prefix: str = "base_") -> DataFrame:
-    base = df.filter(F.col(key) == F.lit(baseline_key_value)).agg(
-        *[F.max(m).alias(m) for m in metrics]
-    ).first()
+    rows = df.filter(F.col(key) == F.lit(baseline_key_value)).select(*metrics).limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"{'no' if not rows else 'more than one'} baseline row has {key} = {baseline_key_value!r}")
+    base = rows[0]
     return df.select("*", *[F.lit(base[m]).cast(df.schema[m].dataType).alias(prefix + m) for m in metrics])

@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from shopstat.functions.exprs import growth_pct, month_label, month_start, revenue
 from shopstat.operators.aggregates import MONEY_DIGITS, revenue_and_units, revenue_zero_fill
 from shopstat.operators.joins import attach_country, enrich_orders
-from shopstat.sources.tables import cap_rows
 
 GROWTH_DIGITS = 6
 
@@ -65,24 +64,27 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 
 # R3 — month-over-month revenue trend. Months without orders are not filled: the
-# "previous month" is the previous month present. Rows without an order date are
-# left out (a null month would otherwise become the first month's predecessor).
+# "previous month" is the previous month present. Rows without an order date form a
+# null month, which comes last and is nobody's predecessor and has none.
 def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
-    dated = orders.filter(F.col("order_date").isNotNull()).select("product_id", "quantity", "order_date")
-    enriched = enrich_orders(dated, products, ("price",))
+    enriched = enrich_orders(orders.select("product_id", "quantity", "order_date"), products, ("price",))
     by_month = enriched.groupBy(month_start("order_date").alias("month_start")).agg(
         _money(F.sum("revenue")).alias("month_revenue")
     )
-    # One row per month: an unpartitioned window over this result is bounded by the
-    # number of distinct months, not by the data.
-    with_prev = by_month.withColumn("previous_month_revenue",
-                                    F.lag("month_revenue").over(Window.orderBy("month_start")))
+    return month_trend(by_month)
+
+
+def month_trend(by_month: DataFrame) -> DataFrame:
+    """(month_start, month_revenue) -> the trend. One row per month: an unpartitioned
+    window over this result is bounded by the number of distinct months, not by the data."""
+    previous = F.lag("month_revenue").over(Window.orderBy(F.asc_nulls_last("month_start")))
+    with_prev = by_month.withColumn("previous_month_revenue", F.when(F.col("month_start").isNotNull(), previous))
     return with_prev.select(
         month_label("month_start").alias("month"),
         "month_revenue",
         "previous_month_revenue",
         F.round(growth_pct("month_revenue", "previous_month_revenue"), GROWTH_DIGITS).alias("revenue_growth_pct"),
-    ).orderBy("month")
+    ).orderBy(F.asc_nulls_last("month"))
 
 
 # R4 — revenue and units per customer country (unknown customer -> null country)
@@ -111,12 +113,8 @@ def top_customers_zero_fill(orders: DataFrame, products: DataFrame, n: int = 10)
         .orderBy(F.desc_nulls_last("total_revenue"), F.asc("customer_id")).limit(n)
 
 
-# R6 — top N customers by revenue only, optionally over a repeatable row cap of the
-# orders (the cap keeps the first ``max_rows`` rows in ``cap_order`` order).
-def top_customers_revenue_only(orders: DataFrame, products: DataFrame, n: int = 10,
-                               max_rows: int | None = None,
-                               cap_order: tuple[str, ...] = ("order_id",)) -> DataFrame:
-    src = orders if max_rows is None else cap_rows(orders, max_rows, cap_order)
-    enriched = enrich_orders(src.select("customer_id", "product_id", "quantity"), products)
+# R6 — top N customers by revenue only
+def top_customers_revenue_only(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
+    enriched = enrich_orders(orders.select("customer_id", "product_id", "quantity"), products)
     agg = enriched.groupBy("customer_id").agg(_money(F.sum("revenue")).alias("total_revenue"))
     return agg.orderBy(F.desc_nulls_last("total_revenue"), F.asc("customer_id")).limit(n)

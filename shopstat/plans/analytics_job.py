@@ -12,13 +12,13 @@ from __future__ import annotations
 import os
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstat.functions.exprs import growth_pct, month_label, month_start
+from shopstat.functions.exprs import month_start
 from shopstat.operators.aggregates import MONEY_DIGITS
 from shopstat.operators.joins import enrich_orders
-from shopstat.operators.reports import GROWTH_DIGITS, country_rollup
+from shopstat.operators.reports import country_rollup, month_trend
 from shopstat.session import checkpoint_dir
 from shopstat.sources.tables import load_parquet_nanos
 
@@ -60,17 +60,8 @@ def reports_from_aggregate(agg: DataFrame, customers: DataFrame, n: int = 10) ->
         "category", money(F.col("revenue")).alias("total_revenue"), F.col("units").alias("units_sold")
     ).orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("category"))
 
-    by_month = agg.filter((F.col("gid") == _GID_MONTH) & F.col("month_start").isNotNull()).select(
-        "month_start", money(F.col("revenue")).alias("month_revenue")
-    )
-    monthly = by_month.withColumn(
-        "previous_month_revenue", F.lag("month_revenue").over(Window.orderBy("month_start"))
-    ).select(
-        month_label("month_start").alias("month"),
-        "month_revenue",
-        "previous_month_revenue",
-        F.round(growth_pct("month_revenue", "previous_month_revenue"), GROWTH_DIGITS).alias("revenue_growth_pct"),
-    ).orderBy("month")
+    monthly = month_trend(agg.filter(F.col("gid") == _GID_MONTH).select(
+        "month_start", money(F.col("revenue")).alias("month_revenue")))
 
     country = country_rollup(per_customer, customers)
     return {"top_customers": top, "sales_by_category": category,

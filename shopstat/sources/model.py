@@ -15,7 +15,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstat.operators.joins import bounded_broadcast
 from shopstat.schemas import DRIVER_TABLES
 from shopstat.sources.tables import load_parquet, table_path
 
@@ -49,15 +48,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# nation is a fixed-size dimension (25 rows in the TPC-H layout); its size is still
-# checked before it is broadcast.
-NATION_MAX_ROWS = 10_000
-
-
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = raw(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = raw(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    n = bounded_broadcast(n, NATION_MAX_ROWS)
     return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("name"),

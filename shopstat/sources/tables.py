@@ -1,5 +1,4 @@
-"""Scans: Parquet with an explicit schema (S1), nanosecond-timestamp normaliser (S9),
-repeatable row cap (S10)."""
+"""Scans: Parquet with an explicit schema (S1), nanosecond-timestamp normaliser."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -41,9 +40,3 @@ def load_parquet_nanos(spark: SparkSession, path: str, ts_columns: Sequence[str]
         elif isinstance(df.schema[c].dataType, T.TimestampType):
             df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
     return df
-
-
-# S10 — first ``max_rows`` rows. The reference caps with an unsorted limit; here the cap
-# is repeatable: rows are taken in ``order_by`` order (a total order is the caller's job).
-def cap_rows(df: DataFrame, max_rows: int, order_by: Sequence[str]) -> DataFrame:
-    return df.orderBy(*order_by).limit(max_rows)

@@ -14,7 +14,7 @@ def test_generate_analytics_compare_formats_model(spark, tmp_dir, capsys):
     main(["analytics", "--raw", raw, "--processed", processed])
     for stored in ("revenue_by_category", "top_customers", "monthly_sales", "sales_by_country"):
         assert os.path.exists(os.path.join(processed, f"{stored}.parquet"))
-    main(["compare", "--raw", raw, "--max-rows", "500", "--top", "5"])
+    main(["compare", "--raw", raw, "--top", "5"])
     main(["formats", "--out", os.path.join(tmp_dir, "fmt"), "--rows", "300"])
     assert os.path.exists(os.path.join(tmp_dir, "fmt", "benchmark_results.csv"))
     main(["model", "--tables", SMALL_DIR, "--out", os.path.join(tmp_dir, "model")])

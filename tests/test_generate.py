@@ -96,3 +96,18 @@ def test_generator_variants_keep_exact_totals(spark):
     for opts in ({"remainder": "weight"}, {"pareto_offset": 1e-6}, {"top_share": 0.6}):
         o = G.orders_for_customers(customers, 3000, 40, **opts)
         assert o.count() == 3000 and o.select("order_id").distinct().count() == 3000
+
+
+def test_neighbouring_order_ids_come_from_far_positions():
+    for n in (10_000, 100_000, 1_000_000, 500_001, 1_000_002):
+        back = pow(G.permutation_multiplier(n), -1, n)
+        assert all(min(k * back % n, -k * back % n) > 0.005 * n for k in range(1, 11))
+
+
+def test_surplus_is_taken_only_from_keys_that_have_a_unit(spark):
+    from shopstat.operators.allocation import skewed_allocation
+
+    keys = spark.range(3001).select(F.col("id").alias("k"), F.when(F.col("id") == 3000, 0.0).otherwise(1.0).alias("w"))
+    for total in (2999, 3000, 12_345):
+        got = skewed_allocation(keys, "k", F.col("w"), total).agg(F.sum("order_count"), F.min("order_count")).first()
+        assert got[0] == total and got[1] >= 0

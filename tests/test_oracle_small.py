@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL_DIR
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = E.TABLES
 # The stored-size oracles read the sf0.01 folder by path; they are covered by the
 # driver's run and by test_io.
 PATH_BOUND = {"stored_datasets", "dataset_size_lineitem"}

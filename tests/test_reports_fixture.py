@@ -55,10 +55,34 @@ def test_zero_fill(tables):
     assert rows(R.top_customers_zero_fill(o, p)) == [(1, 45.0), (2, 10.0), (3, 0.0)]
 
 
-def test_revenue_only_with_cap(tables):
+def test_revenue_only(tables):
     o, p, _ = tables
-    # first three orders by order_id only: customer 1 -> 45, customer 2 -> 10
-    assert rows(R.top_customers_revenue_only(o, p, max_rows=3)) == [(1, 45.0), (2, 10.0)]
+    assert rows(R.top_customers_revenue_only(o, p)) == [(1, 45.0), (2, 10.0), (3, None)]
+
+
+def test_orders_without_a_date_form_the_last_month(spark):
+    ts = dt.datetime
+    o = spark.createDataFrame([(1, 1, 1, 3, ts(2024, 1, 1)), (2, 1, 1, 2, None)], schemas.ORDERS)
+    p = spark.createDataFrame([(1, "a", "Books", 10.0)], schemas.PRODUCTS)
+    assert rows(R.monthly_trends(o, p)) == [("2024-01", 30.0, None, None), (None, 20.0, None, None)]
+
+
+def test_unknown_customers_stay_in_the_lookup(tables):
+    from shopstat.operators.joins import lookup_customer_attribute
+
+    o, _, c = tables
+    got = lookup_customer_attribute(o, c, "name").collect()
+    assert len(got) == 5 and {r.name for r in got if r.customer_id == 3} == {None}
+
+
+def test_missing_baseline_is_an_error_and_unmeasured_is_null(spark):
+    from shopstat.operators.compare import compare_to_baseline
+
+    df = spark.createDataFrame([("a", 4.0, None), ("b", 3.0, None), ("z", None, 1.0)], "k string, m double, e double")
+    with pytest.raises(ValueError):
+        compare_to_baseline(df, "k", "none", ["m"])
+    got = {r.k: (r.m_change_pct, r.e_change_pct) for r in compare_to_baseline(df, "k", "a", ["m", "e"]).collect()}
+    assert got == {"a": (0.0, None), "b": (25.0, None), "z": (None, None)}
 
 
 def test_month_with_zero_previous_revenue(spark):
