@@ -15,7 +15,7 @@ import zlib
 import numpy as np
 
 SCALE_BITS = 20
-LANES = 512
+LANES = 1024
 CHECKPOINT_STEPS = 128
 
 _SLOTS = np.uint64((1 << SCALE_BITS) - 1)

@@ -34,7 +34,7 @@ from .common import CommittedFile, open_store, remove, stored_at, text_slices
 from shopstat.session import scratch_path
 
 #: Ids of a block and of a shard, roughly: both are closed at the end of a document.
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 19
 SHARD_TOKENS = 1 << 23
 #: Entries of a worker's piece cache; it is emptied when full.
 CACHE_PIECES = 700_000
