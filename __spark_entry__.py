@@ -332,35 +332,17 @@ FROM enriched e LEFT JOIN model_customers c USING (customer_id)
 GROUP BY c.country ORDER BY total_revenue DESC NULLS LAST, c.country NULLS LAST"""
 
 
-# ---- DuckDB text of the counter-based random columns (same integer arithmetic) ----
+# ---- DuckDB text of the counter-based random columns (the same digests) ----
 
 def _f(v: float) -> str:
     """A double literal DuckDB parses as DOUBLE, exactly."""
     return format(float(v), ".17e")
 
 
-def _sql_mix(x: str) -> str:
-    m = rnd.MODULUS
-    s1 = f"(({x}) * {rnd.MULT_A}) % {m}"
-    s2 = f"xor({s1}, ({s1}) >> 16)"
-    s3 = f"(({s2}) * {rnd.MULT_B}) % {m}"
-    s4 = f"xor({s3}, ({s3}) >> 13)"
-    return f"(({s4}) * {rnd.MULT_A}) % {m}"
-
-
-def _sql_hash(key: str, seed: int, salt: int) -> str:
-    m = rnd.MODULUS
-    k = f"CAST({key} AS BIGINT)"
-    pmod = lambda x: f"((({x}) % {m} + {m}) % {m})"
-    lo = pmod(k)
-    hi = f"(({k} - {lo}) // {m})"
-    stream = pmod(f"{seed * rnd.SEED_MULT + rnd.OFFSET_C} + {hi} * {rnd.HI_MULT}")
-    x = _sql_mix(pmod(f"{lo} + {stream}"))
-    return _sql_mix(f"({x} + {(salt * rnd.SALT_MULT + rnd.OFFSET_D) % m}) % {m}")
-
-
 def _sql_u(key, seed, salt):
-    return f"((CAST({_sql_hash(key, seed, salt)} AS DOUBLE) + {_f(0.5)}) / {_f(rnd.MODULUS)})"
+    digest = f"md5('{seed}:{salt // 2}:' || CAST(CAST({key} AS BIGINT) AS VARCHAR))"
+    bits = f"(CAST('0x' || substr({digest}, {1 + salt % 2 * 14}, 14) AS BIGINT) >> 3)"
+    return f"least((CAST({bits} AS DOUBLE) + {_f(0.5)}) / {_f(2.0**53)}, {_f(1.0 - 2.0**-53)})"
 
 
 def _sql_uniform_real(key, seed, salt, a, b):
@@ -456,10 +438,13 @@ def _sql_gen_orders(seed=G.DEFAULT_SEED, as_of=G.DEFAULT_AS_OF) -> str:
     n = "(SELECT count(*) FROM orders)"
     n_products = "(SELECT count(*) FROM part)"
     first_product = "(SELECT min(p_partkey) FROM part)"
-    first = f"greatest(1, CAST(floor({n} * {_f(G.GOLDEN_SECTION)}) AS BIGINT))"
-    stride = f"(SELECT min(x) FROM (SELECT unnest(range({first}, {first} + 1000)) AS x) WHERE gcd(x, {n}) = 1)"
-    b = f"(({seed * 7919}) % {n})"
     oid = "order_id"
+    cube = lambda x, key: (f"((({x} + {key}) % {G.PRIME}) * (({x} + {key}) % {G.PRIME}) % {G.PRIME} "
+                           f"* (({x} + {key}) % {G.PRIME}) % {G.PRIME})")
+    rounds = "\n".join(f"""a{i} AS (SELECT customer_id, registration_date, n, w, h, x, x // w AS r, (x % w + {cube('(x // w)', across)}) % w AS k FROM p{i}, par),
+p{i + 1} AS (SELECT customer_id, registration_date,
+  ((CASE WHEN r < h THEN (r + {cube('k', down)}) % h * w + k ELSE x END) + {shift} % n) % n AS x FROM a{i}),"""
+                       for i, (across, down, shift) in enumerate(G.permutation_keys(seed)))
     days = f"greatest(date_diff('day', CAST(registration_date AS DATE), DATE '{as_of.isoformat()}'), 0)"
     rand_days = f"CAST(floor({_sql_u(oid, seed, G.S_DAYS)} * ({days} + 1)) AS BIGINT)"
     rand_secs = _sql_uniform_int(oid, seed, G.S_SECONDS, 0, "86400")
@@ -472,8 +457,10 @@ placed AS (SELECT a.customer_id, a.order_count, c.registration_date,
   FROM alloc a JOIN cust c USING (customer_id) WHERE a.order_count > 0),
 expanded AS (SELECT customer_id, registration_date, start_pos, unnest(range(order_count)) AS i FROM placed),
 positioned AS (SELECT customer_id, registration_date, start_pos + i AS pos FROM expanded),
-ids AS (SELECT o + 1 AS order_id, ((o - {b} + {n}) % {n} * {stride}) % {n} AS pos FROM (SELECT unnest(range({n})) AS o)),
-numbered AS (SELECT customer_id, registration_date, CAST(order_id AS BIGINT) AS order_id FROM positioned JOIN ids USING (pos))
+par AS (SELECT n, w, n // w AS h FROM (SELECT count(*) AS n, CAST(floor(sqrt(count(*))) AS BIGINT) AS w FROM orders)),
+p0 AS (SELECT customer_id, registration_date, CAST(pos AS BIGINT) AS x FROM positioned),
+{rounds}
+numbered AS (SELECT customer_id, registration_date, x + 1 AS order_id FROM p{G.ROUNDS})
 SELECT order_id, CAST(customer_id AS BIGINT) AS customer_id,
   CAST({first_product} + floor({_sql_u(oid, seed, G.S_PRODUCT)} * {n_products}) AS BIGINT) AS product_id,
   CAST({_sql_uniform_int(oid, seed, G.S_QUANTITY, 1, '11')} AS SMALLINT) AS quantity,

@@ -1,16 +1,16 @@
 """Counter-based random columns.
 
 ``rand(seed)`` depends on how rows are split into partitions; these columns do
-not: every value is a pure function of (key, seed, salt), computed with integer
-arithmetic modulo the prime 2^31 - 1 (two Lehmer multiplications with
-xor-shifts in between, applied twice). No intermediate exceeds 2^63, so the
-same value comes out of any engine with 64-bit integers — which is what lets the
-generated tables be checked against an independent SQL statement.
+not: every value is a pure function of (seed, salt, key), 53 bits of the MD5
+digest of their text. Any engine with MD5 gives the same value, which is what lets
+the generated tables be checked against an independent SQL statement. Keys of any
+size and sign, and seeds of any size, have streams of their own. One digest serves
+two salts (``2 n`` and ``2 n + 1``).
 
 ``with_hashes(df, key, seed, {name: salt})`` adds one hash column per salt;
 ``unit(h)`` turns a hash into a uniform double in (0, 1), from which the
 distributions below are built. Use a different salt for every column drawn
-from the same key.
+from the same key. A null key gives null.
 """
 from __future__ import annotations
 
@@ -19,15 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the generator (not data-dependent).
-MODULUS = 2147483647          # 2^31 - 1
-MULT_A = 48271
-MULT_B = 69621
-SEED_MULT = 1000003
-HI_MULT = 999983
-SALT_MULT = 7919
-OFFSET_C = 12345
-OFFSET_D = 104729
+BITS = 53
+HEX_DIGITS = 14  # 56 bits of the digest; the last three are dropped
 TWO_PI = 6.283185307179586
 
 
@@ -35,73 +28,36 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _mix(x: Column) -> Column:
-    x = (x * MULT_A) % MODULUS
-    x = x.bitwiseXOR(F.shiftright(x, 16))
-    x = (x * MULT_B) % MODULUS
-    x = x.bitwiseXOR(F.shiftright(x, 13))
-    return (x * MULT_A) % MODULUS
+def _digest(key: Column, seed: int, pair: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:{pair}:"), key.cast("long").cast("string")))
 
 
-def _stream(k: Column, seed: int) -> Column:
-    """Key and seed folded into [0, 2^31 - 1); non-negative remainders throughout, so
-    negative keys work too (for keys >= 0 this is plain ``%``)."""
-    lo = F.pmod(k, F.lit(MODULUS))
-    hi = ((k - lo) / MODULUS).cast("long")  # exact: k - lo is a multiple of the modulus
-    return F.pmod(lo + F.pmod(F.lit(seed * SEED_MULT + OFFSET_C) + hi * HI_MULT, F.lit(MODULUS)), F.lit(MODULUS))
+def _bits(digest: Column, salt: int) -> Column:
+    part = F.substring(digest, 1 + salt % 2 * HEX_DIGITS, HEX_DIGITS)
+    return F.shiftright(F.conv(part, 16, 10).cast("long"), 4 * HEX_DIGITS - BITS)
 
 
-def _salt_offset(salt: int) -> int:
-    return (salt * SALT_MULT + OFFSET_D) % MODULUS
-
-
-def hash31(key, seed: int, salt: int) -> Column:
-    """Integer in [0, 2^31 - 1) from a non-negative integer key, as one expression.
-
-    Convenient for a single column; for several random columns of one key use
-    ``with_hashes``, which evaluates every mixing step once."""
-    x = _mix(_stream(_c(key).cast("long"), seed))
-    return _mix((x + F.lit(_salt_offset(salt))) % MODULUS)
-
-
-_MIX_STEPS = [  # the steps of _mix, as SQL text over one column
-    "({c} * %d) %% %d" % (MULT_A, MODULUS),
-    "{c} ^ shiftright({c}, 16)",
-    "({c} * %d) %% %d" % (MULT_B, MODULUS),
-    "{c} ^ shiftright({c}, 13)",
-    "({c} * %d) %% %d" % (MULT_A, MODULUS),
-]
-
-
-def _mix_staged(df: DataFrame, names: list[str]) -> DataFrame:
-    """Apply the mixing steps to columns ``names`` in place, one projection per step.
-    Each step reads the previous one through a column reference; Catalyst does not
-    inline a non-trivial expression that is read twice, so nothing is duplicated.
-    Each step is one ``selectExpr`` (one call into the JVM, whatever the column count)."""
-    keep = [f"`{c}`" for c in df.columns if c not in names]
-    for step in _MIX_STEPS:
-        df = df.selectExpr(*keep, *[step.format(c=f"`{n}`") + f" AS `{n}`" for n in names])
-    return df
+def hash53(key, seed: int, salt: int) -> Column:
+    """Integer in [0, 2^53) from an integer key, as one expression."""
+    return _bits(_digest(_c(key), seed, salt // 2), salt)
 
 
 def with_hashes(df: DataFrame, key: str, seed: int, salts: dict[str, int]) -> DataFrame:
-    """Add one integer hash column (same values as ``hash31``) per entry of ``salts``."""
-    base = "_hash_base"
-    df = df.withColumn(base, _stream(F.col(key).cast("long"), seed))
-    df = _mix_staged(df, [base])
-    keep = [f"`{c}`" for c in df.columns if c != base]
-    df = df.selectExpr(*keep, *[f"(`{base}` + {_salt_offset(s)}) % {MODULUS} AS `{n}`" for n, s in salts.items()])
-    return _mix_staged(df, list(salts))
+    """Add one integer hash column (same values as ``hash53``) per entry of ``salts``; a
+    digest that two salts share is computed once."""
+    pairs = sorted({s // 2 for s in salts.values()})
+    digests = df.select("*", *[_digest(F.col(key), seed, p).alias(f"_digest{p}") for p in pairs])
+    return digests.select(*df.columns, *[_bits(F.col(f"_digest{s // 2}"), s).alias(n) for n, s in salts.items()])
 
 
 def unit(h) -> Column:
     """Hash column -> uniform double in (0, 1)."""
-    return (_c(h).cast("double") + F.lit(0.5)) / F.lit(float(MODULUS))
+    return F.least((_c(h).cast("double") + F.lit(0.5)) / F.lit(2.0**BITS), F.lit(1.0 - 2.0**-BITS))
 
 
 def uniform(key, seed: int, salt: int) -> Column:
     """G2 base: uniform double in (0, 1) from a key."""
-    return unit(hash31(key, seed, salt))
+    return unit(hash53(key, seed, salt))
 
 
 # The distributions below take a uniform (0, 1) column: ``unit(hash_col)`` or

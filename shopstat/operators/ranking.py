@@ -4,8 +4,8 @@
 rows are range-partitioned on the full sort key (the key includes a unique id,
 so even one value shared by a third of the rows is split across partitions),
 sorted inside each partition, and numbered locally. The only global step is over
-one row per partition: the rows-before / sum-before each partition, a table
-bounded by the partition count, which is broadcast back.
+one row per partition: the rows before each partition, a table bounded by the
+partition count, which is broadcast back. A running total follows from that rank.
 
 The laid-out frame is checkpointed to the shared checkpoint folder: range
 boundaries come from sampling, and the local numbering must describe one fixed
@@ -49,18 +49,12 @@ def _layout(df: DataFrame, order: Sequence[Column], num_partitions: int | None)
     return laid.checkpoint(eager=True)
 
 
-def _partition_offsets(laid: DataFrame, value: Column | None) -> DataFrame:
-    """Per partition: rows and (optionally) value total in all earlier partitions.
-    One row per partition, so both the window and the broadcast are bounded."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    if value is not None:
-        aggs.append(F.sum(value).alias("_vsum"))
-    per = laid.groupBy(_PID).agg(*aggs)
+def _partition_offsets(laid: DataFrame) -> DataFrame:
+    """Per partition: rows in all earlier partitions. One row per partition, so both the
+    window and the broadcast are bounded."""
+    per = laid.groupBy(_PID).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    cols = [F.col(_PID), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before")]
-    if value is not None:
-        cols.append(F.coalesce(F.sum("_vsum").over(before), F.lit(0)).alias("_sum_before"))
-    return per.select(*cols)
+    return per.select(_PID, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"))
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank",
@@ -71,7 +65,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank",
     for the caller.
     """
     laid = _layout(df, order, num_partitions)
-    offsets = _partition_offsets(laid, None)
+    offsets = _partition_offsets(laid)
     return (
         laid.join(F.broadcast(offsets), _PID)
         .withColumn(out, F.col("_rows_before") + F.col(_IDX) + F.lit(1))
@@ -86,17 +80,8 @@ def global_running_sum(df: DataFrame, order: Sequence[Column], value: str, out:
     ``inclusive=False`` gives the sum of all earlier rows (an exclusive prefix sum,
     i.e. the start offset of each row's block when rows are laid end to end).
     """
-    laid = _layout(df, order, num_partitions)
-    offsets = _partition_offsets(laid, F.col(value))
-    frame_end = Window.currentRow if inclusive else -1
-    local = Window.partitionBy(_PID).orderBy(_IDX).rowsBetween(Window.unboundedPreceding, frame_end)
-    local_sum = F.coalesce(F.sum(value).over(local), F.lit(0))
-    return (
-        laid.withColumn("_local", local_sum)
-        .join(F.broadcast(offsets), _PID)
-        .withColumn(out, F.col("_sum_before") + F.col("_local"))
-        .drop(_PID, _IDX, "_rows_before", "_sum_before", "_local")
-    )
+    ranked = global_row_number(df, order, "_rank", num_partitions)
+    return running_sum_by_rank(ranked, "_rank", value, out, inclusive).drop("_rank")
 
 
 # W3 — rank by fractional part (largest remainder first), ties by key
@@ -109,20 +94,25 @@ def running_sum_by_rank(df: DataFrame, rank: str, value: str, out: str = "runnin
                         inclusive: bool = True, block_rows: int = 65_536) -> DataFrame:
     """W4 for rows that already carry a dense, unique rank 1..n: running total of
     ``value`` in rank order without any sort or checkpoint. The rank itself cuts the
-    rows into blocks of ``block_rows`` consecutive ranks: a running sum inside each
-    block (one hash exchange, at most ``block_rows`` rows per window group) plus the
-    total of all earlier blocks (one row per block: n / block_rows rows, e.g. ~230k
-    for 1.5e10 keys, broadcast). The blocks are a function of the data, so a retried
-    task sees exactly the same layout."""
-    blocked = df.withColumn("_blk", F.expr(f"(`{rank}` - 1) div {int(block_rows)}"))
+    rows into blocks of ``block_rows`` consecutive ranks, and blocks into groups of as many:
+    a running sum inside each block (one hash exchange, at most ``block_rows`` rows per
+    window group), one of the block totals inside each group, and one of the group totals
+    (n / block_rows^2 rows: 233 for 10^12). Blocks and groups are a function of the data,
+    so a retried task sees exactly the same layout. The joins carry no hint."""
+    size = int(block_rows)
+    blocked = df.withColumn("_blk", F.expr(f"(`{rank}` - 1) div {size}"))
     frame_end = Window.currentRow if inclusive else -1
     local = Window.partitionBy("_blk").orderBy(rank).rowsBetween(Window.unboundedPreceding, frame_end)
-    per_block = blocked.groupBy("_blk").agg(F.sum(value).alias("_bsum"))
-    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select("_blk", F.coalesce(F.sum("_bsum").over(before), F.lit(0)).alias("_sum_before"))
+    per_block = blocked.groupBy("_blk").agg(F.sum(value).alias("_bsum")).withColumn("_grp", F.expr(f"_blk div {size}"))
+    in_group = Window.partitionBy("_grp").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    over_groups = Window.orderBy("_grp").rowsBetween(Window.unboundedPreceding, -1)
+    groups = per_block.groupBy("_grp").agg(F.sum("_bsum").alias("_gsum"))
+    groups = groups.select("_grp", F.coalesce(F.sum("_gsum").over(over_groups), F.lit(0)).alias("_g_before"))
+    offsets = (per_block.withColumn("_b_before", F.coalesce(F.sum("_bsum").over(in_group), F.lit(0))).join(groups, "_grp")
+               .select("_blk", (F.col("_g_before") + F.col("_b_before")).alias("_sum_before")))
     return (
         blocked.withColumn("_local", F.coalesce(F.sum(value).over(local), F.lit(0)))
-        .join(F.broadcast(offsets), "_blk")
+        .join(offsets, "_blk")
         .withColumn(out, F.col("_sum_before") + F.col("_local"))
         .drop("_blk", "_sum_before", "_local")
     )

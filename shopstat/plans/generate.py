@@ -13,12 +13,12 @@ is then split into chunks of at most ``chunk_rows`` orders, chunks are spread by
 hash repartition and expanded there, so a customer holding a third of all orders
 is generated by many tasks, not one. Positions are laid end to end by an exclusive
 prefix sum over customers in weight-rank order (W4, computed from the dense rank
-without a sort) and mapped to order ids by an affine permutation (O5), which
-shuffles nothing.
+without a sort) and mapped to order ids by a keyed permutation (O5), computed per row.
 """
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import math
 import os
 
@@ -57,8 +57,9 @@ S_AMOUNT, S_DATE = 31, 32
 DEFAULT_SEED = 42
 DEFAULT_AS_OF = dt.date(2025, 6, 30)
 BENCHMARK_START = dt.date(2018, 1, 1)
-# Affine permutation multipliers: the first prime that does not divide N is used.
-GOLDEN_SECTION = 0.6180339887498949
+# Order-id permutation: rounds, and the prime of the polynomials that key them.
+ROUNDS = 3
+PRIME = 2147483647
 
 
 def years_before(d: dt.date, years: int) -> dt.date:
@@ -118,18 +119,36 @@ def products_for_keys(keys: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
 
 
 # ---- G15 orders -------------------------------------------------------------
-def permutation_stride(n: int) -> int:
-    """How far apart the positions of neighbouring order ids lie: the first number from
-    the golden section of n on that has no divisor in common with n."""
-    stride = max(1, int(n * GOLDEN_SECTION))
-    while math.gcd(stride, n) != 1:
-        stride += 1
-    return stride
-
-
-def permutation_multiplier(n: int) -> int:
-    """Multiplier a of the order-id permutation pos -> (a * pos + b) mod n."""
-    return pow(permutation_stride(n), -1, n)
+def permutation_keys(seed: int) -> list[tuple[int, int, int]]:
+    """Per round: the two keys of its polynomials and the rotation after it."""
+    out = []
+    for r in range(ROUNDS):
+        d = hashlib.sha256(f"{seed}:{r}".encode()).digest()
+        x, y, shift = (int.from_bytes(d[at:at + 8], "big") for at in (0, 8, 16))
+        out.append((x % PRIME, y % PRIME, shift >> 2))
+    return out
+
+
+def permuted(df: DataFrame, column: str, n: int, seed: int) -> DataFrame:
+    """``column``, a position in [0, n), replaced by its image under a keyed permutation
+    of [0, n). The positions form rows of isqrt(n); every round rotates each row by a keyed
+    amount, then each column, then all positions. Each step is one to one for any n (the
+    incomplete last row waits for the rotation of all), all products stay below 2^62, and
+    nothing is shuffled between tasks."""
+    n = max(n, 1)
+    width = math.isqrt(n)
+    rows = n // width
+    keep = [f"`{c}`" for c in df.columns if c != column]
+
+    def cube(x: str, key: int) -> str:
+        y = f"(({x} + {key}) % {PRIME})"
+        return f"({y} * {y} % {PRIME} * {y} % {PRIME})"
+
+    for across, down, shift in permutation_keys(seed):
+        df = df.selectExpr(*keep, f"`{column}` AS _x", f"`{column}` div {width} AS _r", f"`{column}` % {width} AS _k")
+        df = df.selectExpr(*keep, "_x", "_r", f"(_k + {cube('_r', across)}) % {width} AS _k")
+        df = df.selectExpr(*keep, f"(CASE WHEN _r < {rows} THEN (_r + {cube('_k', down)}) % {rows} * {width} + _k ELSE _x END + {shift % n}) % {n} AS `{column}`")
+    return df
 
 
 def order_counts(customers: DataFrame, n_orders: int, seed: int = DEFAULT_SEED, top_share: float = 0.8,
@@ -151,12 +170,12 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
     the heavier-tailed variant."""
     spark = customers.sparkSession
     counts = order_counts(customers, n_orders, seed, top_share, remainder, pareto_offset, num_partitions)
-    # The registration date travels with the customer row into the expansion.
-    counts = lookup_customer_attribute(counts.select("customer_id", "weight_rank", "order_count"),
-                                       customers, "registration_date")
     # Blocks of positions are laid end to end in weight-rank order; the rank is dense
     # and unique, so the prefix sum needs no sort of the customers (W4 by rank).
-    placed = running_sum_by_rank(counts, "weight_rank", "order_count", "start_pos", inclusive=False)
+    placed = running_sum_by_rank(counts.select("customer_id", "weight_rank", "order_count"),
+                                 "weight_rank", "order_count", "start_pos", inclusive=False)
+    # The registration date travels with the customer row into the expansion.
+    placed = lookup_customer_attribute(placed, customers, "registration_date")
 
     # Split every customer into chunks of at most chunk_rows orders (G11 guarded: no
     # chunk rows for a zero count), spread the chunks, then expand them.
@@ -174,15 +193,9 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunk_len") - 1)).alias("i"),
     ).select("customer_id", "registration_date", (F.col("chunk_start") + F.col("i")).alias("pos"))
     # The allocation is exact, so there are exactly N positions.
-
-    a = permutation_multiplier(n_orders)
-    b = (seed * 7919) % n_orders
-    # The product needs more than 64 bits from about 4e9 orders on: decimals hold it exactly.
-    wide = n_orders >= 1 << 31
-    pos, by = (F.col("pos").cast("decimal(19,0)"), F.lit(a).cast("decimal(18,0)")) if wide else (F.col("pos"), F.lit(a))
-    order_id = ((pos * by % F.lit(n_orders)).cast("long") + F.lit(b)) % F.lit(n_orders) + F.lit(1)
+    ids = permuted(rows, "pos", n_orders, seed)
     salts = {"_h_product": S_PRODUCT, "_h_quantity": S_QUANTITY, "_h_days": S_DAYS, "_h_seconds": S_SECONDS}
-    h = rnd.with_hashes(rows.select(order_id.alias("order_id"), "customer_id", "registration_date"),
+    h = rnd.with_hashes(ids.select((F.col("pos") + 1).alias("order_id"), "customer_id", "registration_date"),
                         "order_id", seed, salts)
     days = F.greatest(F.datediff(F.lit(as_of), F.col("registration_date").cast("date")), F.lit(0))
     return h.select(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,7 +57,7 @@ def test_hash_columns_equal_single_expression(spark):
     # keys beyond 2^31 and negative keys too
     df = spark.range(-1500, 1500).select((F.col("id") * 1_000_003_000).alias("k"))
     staged = rnd.with_hashes(df, "k", 42, {"h1": 1, "h9": 9})
-    direct = df.select("k", rnd.hash31("k", 42, 1).alias("h1"), rnd.hash31("k", 42, 9).alias("h9"))
+    direct = df.select("k", rnd.hash53("k", 42, 1).alias("h1"), rnd.hash53("k", 42, 9).alias("h9"))
     assert staged.exceptAll(direct).count() == 0
 
 
@@ -76,12 +78,38 @@ def test_distributions(spark):
     assert (stats[7], stats[8]) == (1, 10)
 
 
-def test_permutation_is_a_bijection(spark):
-    n = 9_999
-    a = G.permutation_multiplier(n)
-    ids = spark.range(n).select(((F.col("id") * a + 17) % n).alias("x"))
-    assert ids.distinct().count() == n
-    assert ids.schema["x"].dataType == T.LongType()
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 9_999, 10_000, 100_000, 1_000_000, 500_001, 1_000_002])
+def test_permutation_is_a_bijection(spark, n):
+    ids = G.permuted(spark.range(n).select(F.col("id").alias("pos")), "pos", n, 42)
+    assert ids.schema["pos"].dataType == T.LongType()
+    assert tuple(ids.agg(F.count_distinct("pos"), F.min("pos"), F.max("pos")).first()) == (n, 0, n - 1)
+
+
+@pytest.mark.parametrize("n", [10_000, 100_000, 1_000_000, 500_001, 1_000_002])
+def test_neighbouring_ids_are_as_if_shuffled(spark, n):
+    """Positions cut into 50 customers: neighbours share one about as often as a shuffle would have it."""
+    rows = G.permuted(spark.range(n).select((F.col("id") * 50 / n).cast("int").alias("c"), F.col("id").alias("pos")), "pos", n, 42)
+    c = np.empty(n, int)
+    for r in rows.toPandas().itertuples():
+        c[r.pos] = r.c
+    for d in (*range(1, 11), 100, 1000):
+        assert abs((c[d:] == c[:-d]).mean() - 0.02) < 6 * (0.02 / n) ** 0.5
+
+
+def test_permutation_of_huge_ranges_stays_in_long(spark):
+    n = 10**16 + 7
+    got = G.permuted(spark.range(n - 1000, n).select(F.col("id").alias("pos")), "pos", n, 42)
+    assert got.agg(F.count_distinct("pos")).first()[0] == 1000
+    assert got.filter((F.col("pos") < 0) | (F.col("pos") >= n)).count() == 0
+
+
+def test_streams_of_far_keys_and_other_seeds_share_nothing(spark):
+    near = spark.range(20_000).select(F.col("id").alias("k"))
+    base = rnd.with_hashes(near, "k", 42, {"h": 1, "g": 2})
+    assert base.select("h").unionByName(base.select(F.col("g").alias("h"))).distinct().count() == 40_000
+    for other, seed in ((near.select((F.col("k") + 2**31 - 1).alias("k")), 42), (near, 43), (near, 42 + 2**31)):
+        assert rnd.with_hashes(other, "k", seed, {"h": 1}).join(base.select("h"), "h").count() == 0
+    assert base.agg(F.max("h")).first()[0] >= 2**52
 
 
 def test_negative_keys_give_uniforms_in_range(spark):
@@ -98,12 +126,6 @@ def test_generator_variants_keep_exact_totals(spark):
         assert o.count() == 3000 and o.select("order_id").distinct().count() == 3000
 
 
-def test_neighbouring_order_ids_come_from_far_positions():
-    for n in (10_000, 100_000, 1_000_000, 500_001, 1_000_002):
-        back = pow(G.permutation_multiplier(n), -1, n)
-        assert all(min(k * back % n, -k * back % n) > 0.005 * n for k in range(1, 11))
-
-
 def test_surplus_is_taken_only_from_keys_that_have_a_unit(spark):
     from shopstat.operators.allocation import skewed_allocation
 
