@@ -7,6 +7,7 @@ must give the same rows. Every query reads whole tables.
 """
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
@@ -20,6 +21,7 @@ if _HERE not in sys.path:
 
 from functools import reduce  # noqa: E402
 
+from shopstat.functions import exprs as X  # noqa: E402
 from shopstat.functions import random as rnd  # noqa: E402
 from shopstat.functions.exprs import month_label, month_start  # noqa: E402
 from shopstat.operators.compare import compare_to_baseline, reconcile  # noqa: E402
@@ -31,11 +33,12 @@ from shopstat.operators.ranking import global_row_number, global_running_sum  #
 from shopstat.plans import analytics_job  # noqa: E402
 from shopstat.plans import generate as G  # noqa: E402
 from shopstat.plans.dataset_report import dataset_report  # noqa: E402
-from shopstat.plans.formats import compare_formats, roundtrip  # noqa: E402
+from shopstat.plans.formats import check_formats, compare_formats, roundtrip  # noqa: E402
 from shopstat.sources.storage import stored_bytes  # noqa: E402
-from shopstat.sources.tables import load_parquet, table_path  # noqa: E402
-from shopstat.schemas import DRIVER_TABLES  # noqa: E402
-from shopstat.session import scratch_path  # noqa: E402
+from shopstat.sources.tables import load_parquet, load_parquet_nanos, table_path  # noqa: E402
+from shopstat.schemas import DRIVER_TABLES, FORMAT_METRICS  # noqa: E402
+from shopstat.sources.files import read_csv, save_metrics  # noqa: E402
+from shopstat.session import scratch_path, stored  # noqa: E402
 from shopstat.sources import model  # noqa: E402
 
 try:  # the training-data subpackage is optional: without it the other queries work alone
@@ -51,6 +54,7 @@ except ImportError as e:  # an empty folder is left of it
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+EARLY = dt.date(1992, 1, 1)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -170,12 +174,92 @@ def _gen_benchmark(spark, d):
 
 def _format_roundtrip(fmt):
     def run(spark, d):
-        return roundtrip(_gen_benchmark(spark, d), fmt, scratch_path(spark, f"roundtrip-{fmt}"))
+        return roundtrip(model.raw(spark, d, "lineitem"), fmt, scratch_path(spark, f"roundtrip-{fmt}"))
     return run
 
 
 def _format_comparison(spark, d):
-    return compare_formats(_gen_benchmark(spark, d), scratch_path(spark, "format-comparison"))
+    lines = model.raw(spark, d, "lineitem")
+    return check_formats(lines, compare_formats(lines, scratch_path(spark, "format-comparison")))
+
+
+def _metrics_sink(spark, d):
+    # One row of measurements per event type, through the metrics file.
+    ev = model.raw(spark, d, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.max("value").alias("most"), F.min("value").alias("least"))
+    nothing = F.lit(None).cast("double")
+    rows = ev.select(F.col("event_type").alias("format"), F.concat(F.lit("events/"), "event_type").alias("file_path"),
+                     X.bytes_to_mb("n").alias("file_size_mb"), F.col("most").alias("write_time_s"), F.col("least").alias("read_time_s"),
+                     nothing.alias("peak_memory_mb"), X.larger_of("most", "least").alias("cpu_time_s"), X.energy_wh("most").alias("energy_wh"))
+    return read_csv(spark, save_metrics(rows, scratch_path(spark, "metrics")), FORMAT_METRICS)
+
+
+def _line_measures(spark, d):
+    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
+    return model.raw(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        X.narrow(quantity).alias("units"),
+        X.floor_of(price).alias("whole_price"),
+        X.round_to(X.fractional(price), 6).alias("price_fraction"),
+        X.round_to(quantity / 8, 2, half_even=True).alias("eighths"),
+        X.days_between("l_shipdate", F.lit(EARLY)).alias("days_since"),
+        X.to_ntz("l_shipdate").alias("ship_midnight"),
+        X.join_words("l_returnflag", "l_linestatus", sep="/").alias("flags"),
+        X.larger_of("l_discount", "l_tax").alias("larger_rate"),
+        X.fixed_text(price, 2, " EUR").alias("price_text"),
+        X.energy_wh(quantity).alias("energy_wh"),
+        X.bytes_to_mb(price).alias("megabytes"),
+    )
+
+
+def _generate_all(spark, d):
+    # As many customers, products and orders as the given tables have, stored and read back.
+    sizes = {"customers": "customer", "products": "part", "orders": "orders"}
+    n = {name: model.raw(spark, d, t).count() for name, t in sizes.items()}
+    paths = G.generate_all(spark, scratch_path(spark, "generated"), n["customers"], n["products"], n["orders"])
+    frames = [spark.read.parquet(paths[name]).agg(
+        F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys"),
+        F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+        for name, key in (("customers", "customer_id"), ("products", "product_id"), ("orders", "order_id"))]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _order_shuffle(spark, d):
+    """For each distance, whether order ids that far apart have the same customer about as often as
+    after a true shuffle: sum(p^2), within six standard deviations."""
+    ids, _ = stored(_gen_orders(spark, d).select("order_id", "customer_id"), "order-shuffle")
+    n = ids.count()
+    per = ids.groupBy("customer_id").agg(F.count(F.lit(1)).alias("c"))
+    expected = per.agg(F.sum(F.col("c") * F.col("c"))).first()[0] / float(n * n)
+    shifted = ids.select(F.col("customer_id").alias("other"), F.explode(F.sequence(F.lit(1), F.lit(10))).alias("distance"), "order_id")
+    pairs = shifted.withColumn("order_id", F.col("order_id") - F.col("distance")).join(ids, "order_id")
+    share = F.avg((F.col("other") == F.col("customer_id")).cast("double"))
+    return pairs.groupBy("distance").agg((F.abs(share - expected) < 6 * (expected / n) ** 0.5).alias("as_shuffled"))
+
+
+def _random_streams(spark, d):
+    """Properties of the random base over the event ids: distinct draws, draws shared with the next seed and
+    with keys 2^31 - 1 further on, and whether moments lie within six standard errors."""
+    keys = model.raw(spark, d, "events").select("event_id")
+    draws, _ = stored(rnd.with_hashes(keys, "event_id", 42, {"h": 40, "g": 41}), "random-streams")
+    next_seed = rnd.with_hashes(keys, "event_id", 43, {"h": 40}).select("h")
+    far = rnd.with_hashes(keys.select((F.col("event_id") + 2**31 - 1).alias("event_id")), "event_id", 42, {"h": 40}).select("h")
+    shared = [other.join(draws.select("h"), "h").count() for other in (next_seed, far)]
+    u, v = rnd.unit("h"), rnd.unit("g")
+    root = F.sqrt(F.count(F.lit(1)))
+
+    def near(x, mean, sd):
+        return F.abs(F.avg(x) - mean) < 6 * sd / root
+
+    return draws.agg(
+        F.count(F.lit(1)).alias("n_keys"), F.count_distinct("h").alias("distinct_draws"),
+        F.lit(shared[0]).cast("long").alias("shared_with_next_seed"), F.lit(shared[1]).cast("long").alias("shared_with_far_keys"),
+        near(u, 0.5, 12**-0.5).alias("uniform_mean"), near(u * v, 0.25, (7 / 144) ** 0.5).alias("independent_salts"),
+        near(rnd.uniform_int(u, 1, 11), 5.5, 8.25**0.5).alias("integer_mean"), near(rnd.normal(u, v, 35.0, 10.0), 35.0, 10.0).alias("normal_mean"),
+        near(rnd.poisson(u, 50.0), 50.0, 50**0.5).alias("poisson_mean"),
+        near((rnd.pareto(u, 1.5, 1.0) > 2.0).cast("double"), 2**-1.5, (2**-1.5 * (1 - 2**-1.5)) ** 0.5).alias("pareto_tail"),
+        near((rnd.choice(u, G.CATEGORIES) == G.CATEGORIES[0]).cast("double"), 0.2, 0.4).alias("category_share"),
+    )
 
 
 def _event_metrics(spark, d):
@@ -216,11 +300,7 @@ def _orders_per_month(spark, d):
 
 
 def _revenue_long(spark, d):
-    cat = R.sales_by_category(*_sales(spark, d)).select(
-        F.lit("category").alias("dimension"), F.col("category").alias("member"), "total_revenue", "units_sold")
-    cty = R.sales_by_country(*_sales(spark, d), model.customers(spark, d)).select(
-        F.lit("country").alias("dimension"), F.col("country").alias("member"), "total_revenue", "units_sold")
-    return cat.unionByName(cty)
+    return analytics_job.long_report(*_sales(spark, d), model.customers(spark, d))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -254,12 +334,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gen_order_counts": _gen_order_counts,
         "gen_orders_invariants": _gen_orders_invariants,
         "gen_format_benchmark": _gen_benchmark,
+        "generate_all": _generate_all,
+        # properties of the generator, against constants
+        "order_shuffle": _order_shuffle,
+        "random_streams": _random_streams,
         # S1-S8 sources and sinks, R7-R10 comparisons and stored-data report
         "scan_customer": lambda s, d: load_parquet(s, table_path(d, "customer"), DRIVER_TABLES["customer"]),
         "format_roundtrip_csv": _format_roundtrip("csv"),
         "format_roundtrip_parquet": _format_roundtrip("parquet"),
         "format_roundtrip_orc": _format_roundtrip("orc"),
         "format_comparison": _format_comparison,
+        "metrics_sink": _metrics_sink,
+        "orders_normalised": lambda s, d: load_parquet_nanos(s, table_path(d, "orders")),
         "dataset_size_lineitem": lambda s, d: stored_bytes(s, table_path(d, "lineitem")),
         "stored_datasets": lambda s, d: dataset_report(s, d),
         "compare_to_baseline": _compare_to_baseline,
@@ -270,6 +356,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orders_with_customer_name": lambda s, d: lookup_customer_attribute(
             model.orders(s, d), model.customers(s, d), "name"),
         "orders_per_month": _orders_per_month,
+        "line_measures": _line_measures,
         "table_row_counts": _table_row_counts,
         "revenue_long": _revenue_long,
     }
@@ -439,11 +526,10 @@ def _sql_gen_orders(seed=G.DEFAULT_SEED, as_of=G.DEFAULT_AS_OF) -> str:
     n_products = "(SELECT count(*) FROM part)"
     first_product = "(SELECT min(p_partkey) FROM part)"
     oid = "order_id"
-    cube = lambda x, key: (f"((({x} + {key}) % {G.PRIME}) * (({x} + {key}) % {G.PRIME}) % {G.PRIME} "
-                           f"* (({x} + {key}) % {G.PRIME}) % {G.PRIME})")
-    rounds = "\n".join(f"""a{i} AS (SELECT customer_id, registration_date, n, w, h, x, x // w AS r, (x % w + {cube('(x // w)', across)}) % w AS k FROM p{i}, par),
+    squared = lambda x, key: f"((({x} + {key}) % {G.PRIME}) * (({x} + {key}) % {G.PRIME}) % {G.PRIME})"
+    rounds = "\n".join(f"""a{i} AS (SELECT customer_id, registration_date, n, w, h, x, x // w AS r, (x % w + {squared('(x // w)', across)}) % w AS k FROM p{i}, par),
 p{i + 1} AS (SELECT customer_id, registration_date,
-  ((CASE WHEN r < h THEN (r + {cube('k', down)}) % h * w + k ELSE x END) + {shift} % n) % n AS x FROM a{i}),"""
+  ((CASE WHEN r < h THEN (r + {squared('k', down)}) % h * w + k ELSE x END) + {shift} % n) % n AS x FROM a{i}),"""
                        for i, (across, down, shift) in enumerate(G.permutation_keys(seed)))
     days = f"greatest(date_diff('day', CAST(registration_date AS DATE), DATE '{as_of.isoformat()}'), 0)"
     rand_days = f"CAST(floor({_sql_u(oid, seed, G.S_DAYS)} * ({days} + 1)) AS BIGINT)"
@@ -535,9 +621,33 @@ SELECT customer_id, weight_rank, is_top, quota, order_count FROM alloc"""
 FROM orders"""
     o["gen_format_benchmark"] = _sql_benchmark("SELECT event_id AS id FROM events")
     o["scan_customer"] = "SELECT * FROM customer"
-    bench = _sql_benchmark("SELECT event_id AS id FROM events")
     for fmt in ("csv", "parquet", "orc"):
-        o[f"format_roundtrip_{fmt}"] = bench
+        o[f"format_roundtrip_{fmt}"] = "SELECT * FROM lineitem"
+    o["format_comparison"] = """SELECT f.format, (SELECT count(*) FROM lineitem) AS rows_read, true AS rows_match, true AS has_size,
+       f.saving AS baseline_saving_pct
+FROM (VALUES ('CSV', CAST(0 AS DOUBLE)), ('Parquet', NULL), ('ORC', NULL)) AS f(format, saving)"""
+    watts = f"* {_f(65.0)} / {_f(3600.0)}"
+    o["metrics_sink"] = f"""SELECT event_type AS format, 'events/' || event_type AS file_path, count(*) / {_f(1048576.0)} AS file_size_mb,
+       max(value) AS write_time_s, min(value) AS read_time_s, CAST(NULL AS DOUBLE) AS peak_memory_mb,
+       greatest(max(value), min(value)) AS cpu_time_s, max(value) {watts} AS energy_wh
+FROM events GROUP BY event_type"""
+    o["orders_normalised"] = "SELECT * FROM orders"
+    o["line_measures"] = f"""SELECT l_orderkey, l_linenumber, CAST(l_quantity AS SMALLINT) AS units,
+       CAST(floor(l_extendedprice) AS BIGINT) AS whole_price, round(l_extendedprice - floor(l_extendedprice), 6) AS price_fraction,
+       round_even(l_quantity / 8, 2) AS eighths,
+       CAST(date_diff('day', DATE '{EARLY.isoformat()}', CAST(l_shipdate AS DATE)) AS INTEGER) AS days_since,
+       CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS ship_midnight, concat_ws('/', l_returnflag, l_linestatus) AS flags,
+       greatest(l_discount, l_tax) AS larger_rate, printf('%.2f EUR', l_extendedprice) AS price_text,
+       l_quantity {watts} AS energy_wh, l_extendedprice / {_f(1048576.0)} AS megabytes
+FROM lineitem"""
+    o["generate_all"] = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS dataset, count(*) AS n_rows, count(*) AS n_keys, CAST(1 AS BIGINT) AS first_key, count(*) AS last_key FROM {t}"
+        for name, t in (("customers", "customer"), ("products", "part"), ("orders", "orders")))
+    o["order_shuffle"] = "SELECT CAST(unnest(range(1, 11)) AS INTEGER) AS distance, true AS as_shuffled"
+    o["random_streams"] = """SELECT count(*) AS n_keys, count(*) AS distinct_draws, CAST(0 AS BIGINT) AS shared_with_next_seed,
+       CAST(0 AS BIGINT) AS shared_with_far_keys, true AS uniform_mean, true AS independent_salts, true AS integer_mean, true AS normal_mean,
+       true AS poisson_mean, true AS pareto_tail, true AS category_share
+FROM events"""
     # File sizes are read from the sf0.01 folder the correctness run uses.
     size_text = ("CASE WHEN b < 1024 THEN printf('%.2f B', round(b, 2)) "
                  "WHEN b < 1048576 THEN printf('%.2f KB', round(b / 1024.0, 2)) "

@@ -3,7 +3,7 @@
     python -m shopstat generate  --out DIR [--customers N --products N --orders N --seed S]
     python -m shopstat analytics --raw DIR --processed DIR [--top N]
     python -m shopstat formats   --out DIR [--rows N]
-    python -m shopstat compare   --raw DIR [--max-rows N] [--top N]
+    python -m shopstat compare   --raw DIR [--top N]
     python -m shopstat model     --tables DIR --out DIR
 
 ``generate`` stores customers/products/orders and prints the stored-dataset report;
@@ -40,12 +40,12 @@ def _session() -> SparkSession:
 
 
 def _read_sales(spark: SparkSession, raw: str):
-    orders = load_parquet_nanos(spark, os.path.join(raw, "orders.parquet"), ["order_date"])
+    orders = load_parquet_nanos(spark, os.path.join(raw, "orders.parquet"))
     products = spark.read.parquet(os.path.join(raw, "products.parquet"))
     return orders, products
 
 
-def main(argv=None) -> None:
+def main(argv=None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(prog="shopstat")
     sub = p.add_subparsers(dest="cmd", required=True)
     g = sub.add_parser("generate")
@@ -68,7 +68,7 @@ def main(argv=None) -> None:
     m.add_argument("--tables", required=True)
     m.add_argument("--out", required=True)
     args = p.parse_args(argv)
-    spark = _session()
+    spark = spark or _session()
 
     if args.cmd == "generate":
         t0 = time.perf_counter()

@@ -146,7 +146,7 @@ def human_size(num_bytes: ColumnOrName) -> Column:
 
 
 # F17 — energy estimate in Wh from CPU seconds at a fixed power draw
-CPU_TDP_WATTS = 65.0
+CPU_TDP_WATTS = 65.0  # fixed value
 
 
 def energy_wh(cpu_seconds: ColumnOrName, watts: float = CPU_TDP_WATTS) -> Column:

@@ -12,6 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY_DIGITS = 2
+#: Money is summed as decimals: the same total for any partitioning, exact to 10^32.
+MONEY_TYPE = "decimal(28,6)"
+
+
+def money_sum(amount: str | Column) -> Column:
+    """Exact sum of an amount; an all-null group gives null."""
+    c = F.col(amount) if isinstance(amount, str) else amount
+    return F.sum(c.cast(MONEY_TYPE))
+
+
+def money(total: str | Column) -> Column:
+    """A sum rounded to cents, as a double."""
+    c = F.col(total) if isinstance(total, str) else total
+    return F.round(c, MONEY_DIGITS).cast("double")
 
 
 # A1/A2/A3 — grouped revenue and units in one pass. Revenue: null rows skipped, an
@@ -20,7 +34,7 @@ def revenue_and_units(df: DataFrame, keys: Sequence[str | Column], revenue_name:
                       units_name: str = "units", revenue_col: str = "revenue",
                       quantity_col: str = "quantity") -> DataFrame:
     return df.groupBy(*keys).agg(
-        F.sum(revenue_col).alias(revenue_name),
+        money_sum(revenue_col).alias(revenue_name),
         F.sum(quantity_col).alias(units_name),
     )
 
@@ -29,7 +43,7 @@ def revenue_and_units(df: DataFrame, keys: Sequence[str | Column], revenue_name:
 def revenue_zero_fill(df: DataFrame, key: str, revenue_name: str = "total_revenue",
                       revenue_col: str = "revenue") -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.coalesce(F.sum(revenue_col), F.lit(0.0)).alias(revenue_name)
+        F.coalesce(money_sum(revenue_col), F.lit(0)).alias(revenue_name)
     )
 
 

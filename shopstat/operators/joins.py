@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstat.functions.exprs import revenue
+from shopstat.session import stored
 
 
 # J1 (+P1) — orders LEFT JOIN products on product_id, with revenue per row.
@@ -31,10 +32,12 @@ def attach_country(df: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 # J5 — the baseline row's metrics attached to every row. The baseline is one row (a
-# handful of numbers), fetched once and added as literals: no join. No baseline row, or
-# more than one, is an error.
+# handful of numbers), fetched once and added as literals: no join. The result table is
+# written first, so that what it comes from runs once. No baseline row, or more than one,
+# is an error.
 def attach_baseline(df: DataFrame, key: str, baseline_key_value, metrics: Sequence[str],
                     prefix: str = "base_") -> DataFrame:
+    df, _ = stored(df, "baseline")
     rows = df.filter(F.col(key) == F.lit(baseline_key_value)).select(*metrics).limit(2).collect()
     if len(rows) != 1:
         raise ValueError(f"{'no' if not rows else 'more than one'} baseline row has {key} = {baseline_key_value!r}")

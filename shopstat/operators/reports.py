@@ -6,7 +6,7 @@ product_id, category, price; ``customers`` has customer_id, country.
 
 Conventions fixed for every report:
 
-* money is rounded to cents, growth to 6 decimals (double sums depend on order);
+* money is summed as decimals and rounded to cents at the end, growth to 6 decimals;
 * descending sorts put nulls last and break ties on the key, so top-k is repeatable;
 * unmatched products keep their units and contribute a null revenue.
 
@@ -28,16 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstat.functions.exprs import growth_pct, month_label, month_start, revenue
-from shopstat.operators.aggregates import MONEY_DIGITS, revenue_and_units, revenue_zero_fill
+from shopstat.operators.aggregates import money, money_sum, revenue_and_units, revenue_zero_fill
 from shopstat.operators.joins import attach_country, enrich_orders
 
 GROWTH_DIGITS = 6
 
 
-def _money(c):
-    return F.round(c, MONEY_DIGITS)
-
-
 # R1 — top N customers by revenue
 def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     per_customer = customer_revenue(orders, products)
@@ -48,7 +44,7 @@ def customer_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue and units per customer (no limit): the shared input of R1 and R4."""
     enriched = enrich_orders(orders.select("customer_id", "product_id", "quantity"), products)
     agg = revenue_and_units(enriched, ["customer_id"], "total_revenue", "units_purchased")
-    return agg.select("customer_id", _money(F.col("total_revenue")).alias("total_revenue"), "units_purchased")
+    return agg.select("customer_id", money("total_revenue").alias("total_revenue"), "units_purchased")
 
 
 # R2 — revenue and units per product category (null category = unmatched products)
@@ -56,10 +52,10 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     per_product = orders.groupBy("product_id").agg(F.sum("quantity").alias("units"))
     joined = per_product.join(products.select("product_id", "category", "price"), "product_id", "left")
     agg = joined.groupBy("category").agg(
-        F.sum(revenue("price", "units")).alias("total_revenue"),
+        F.sum(revenue(F.col("price").cast("decimal(18,6)"), F.col("units").cast("decimal(19,0)"))).alias("total_revenue"),
         F.sum("units").alias("units_sold"),
     )
-    return agg.select("category", _money(F.col("total_revenue")).alias("total_revenue"), "units_sold") \
+    return agg.select("category", money("total_revenue").alias("total_revenue"), "units_sold") \
         .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("category"))
 
 
@@ -69,7 +65,7 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
 def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
     enriched = enrich_orders(orders.select("product_id", "quantity", "order_date"), products, ("price",))
     by_month = enriched.groupBy(month_start("order_date").alias("month_start")).agg(
-        _money(F.sum("revenue")).alias("month_revenue")
+        money(money_sum("revenue")).alias("month_revenue")
     )
     return month_trend(by_month)
 
@@ -97,24 +93,27 @@ def sales_by_country(orders: DataFrame, products: DataFrame, customers: DataFram
 def country_rollup(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
     """Per-customer (revenue, units) -> per-country totals. Sums of per-customer sums
     equal the line-level sums (an all-null customer stays null and is skipped)."""
-    with_country = attach_country(per_customer, customers)
-    agg = with_country.groupBy("country").agg(
+    return country_totals(per_customer, customers).orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("country"))
+
+
+def country_totals(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """The rows of ``country_rollup``, in no order."""
+    agg = attach_country(per_customer, customers).groupBy("country").agg(
         F.sum("revenue").alias("total_revenue"), F.sum("units").alias("units_sold")
     )
-    return agg.select("country", _money(F.col("total_revenue")).alias("total_revenue"), "units_sold") \
-        .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("country"))
+    return agg.select("country", money("total_revenue").alias("total_revenue"), "units_sold")
 
 
 # R5 — top N customers with pandas null rules (null customer dropped, all-null -> 0.0)
 def top_customers_zero_fill(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     enriched = enrich_orders(orders.select("customer_id", "product_id", "quantity"), products)
     agg = revenue_zero_fill(enriched, "customer_id")
-    return agg.select("customer_id", _money(F.col("total_revenue")).alias("total_revenue")) \
+    return agg.select("customer_id", money("total_revenue").alias("total_revenue")) \
         .orderBy(F.desc_nulls_last("total_revenue"), F.asc("customer_id")).limit(n)
 
 
 # R6 — top N customers by revenue only
 def top_customers_revenue_only(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     enriched = enrich_orders(orders.select("customer_id", "product_id", "quantity"), products)
-    agg = enriched.groupBy("customer_id").agg(_money(F.sum("revenue")).alias("total_revenue"))
+    agg = enriched.groupBy("customer_id").agg(money(money_sum("revenue")).alias("total_revenue"))
     return agg.orderBy(F.desc_nulls_last("total_revenue"), F.asc("customer_id")).limit(n)

@@ -3,9 +3,9 @@
 Instead of joining the order lines three or four times (once per report), the job
 scans and joins them once and computes every report's first aggregation in one
 pass with GROUPING SETS ((customer_id), (category), (month_start)). That
-aggregate is small (customers + categories + months rows); it is checkpointed to
-the shared checkpoint folder so the four outputs are derived from it without
-re-reading the order lines, and so a lost executor does not replay the scan.
+aggregate (customers + categories + months rows) is written to the shared folder,
+partitioned by grouping set, so that each report reads its own part alone and none
+reads the order lines again; it is deleted when the reports are written.
 """
 from __future__ import annotations
 
@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstat.functions.exprs import month_start
-from shopstat.operators.aggregates import MONEY_DIGITS
+from shopstat.operators.aggregates import money, money_sum
 from shopstat.operators.joins import enrich_orders
-from shopstat.operators.reports import country_rollup, month_trend
-from shopstat.session import checkpoint_dir
+from shopstat.operators.reports import country_rollup, country_totals, month_trend
+from shopstat.session import discard, stored
 from shopstat.sources.tables import load_parquet_nanos
 
-# Dataset names of the stored reports (they differ from the function names for two of them).
+# Dataset names of the stored reports (they differ from the function names for two of them).
 OUTPUT_NAMES = {
     "sales_by_category": "revenue_by_category",
     "top_customers": "top_customers",
@@ -42,26 +42,48 @@ def shared_aggregate(orders: DataFrame, products: DataFrame) -> DataFrame:
     return enriched.groupingSets(
         [["customer_id"], ["category"], ["month_start"]], "customer_id", "category", "month_start"
     ).agg(
-        F.sum("revenue").alias("revenue"),
+        money_sum("revenue").alias("revenue"),
         F.sum("quantity").alias("units"),
         F.grouping_id().alias("gid"),
     )
 
 
+def stored_aggregate(orders: DataFrame, products: DataFrame) -> tuple[DataFrame, str]:
+    """The shared aggregate in a scratch table of one folder per grouping set, and its path."""
+    return stored(shared_aggregate(orders, products), "report-aggregate", ("gid",))
+
+
+def _per_customer(agg: DataFrame) -> DataFrame:
+    return agg.filter(F.col("gid") == _GID_CUSTOMER).select("customer_id", "revenue", "units")
+
+
+def _per_category(agg: DataFrame) -> DataFrame:
+    return agg.filter(F.col("gid") == _GID_CATEGORY).select(
+        "category", money("revenue").alias("total_revenue"), F.col("units").alias("units_sold"))
+
+
+def long_report(orders: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """U1 — categories and countries as one table (dimension, member, total_revenue,
+    units_sold), from one pass over the order lines."""
+    agg, _ = stored_aggregate(orders, products)
+    by_category = _per_category(agg).withColumnRenamed("category", "member")
+    by_country = country_totals(_per_customer(agg), customers).withColumnRenamed("country", "member")
+    both = [part.select(F.lit(name).alias("dimension"), "member", "total_revenue", "units_sold")
+            for name, part in (("category", by_category), ("country", by_country))]
+    return both[0].unionByName(both[1])
+
+
 def reports_from_aggregate(agg: DataFrame, customers: DataFrame, n: int = 10) -> dict[str, DataFrame]:
-    money = lambda c: F.round(c, MONEY_DIGITS)
-    per_customer = agg.filter(F.col("gid") == _GID_CUSTOMER).select("customer_id", "revenue", "units")
+    per_customer = _per_customer(agg)
 
     top = per_customer.select(
-        "customer_id", money(F.col("revenue")).alias("total_revenue"), F.col("units").alias("units_purchased")
+        "customer_id", money("revenue").alias("total_revenue"), F.col("units").alias("units_purchased")
     ).orderBy(F.desc_nulls_last("total_revenue"), F.asc("customer_id")).limit(n)
 
-    category = agg.filter(F.col("gid") == _GID_CATEGORY).select(
-        "category", money(F.col("revenue")).alias("total_revenue"), F.col("units").alias("units_sold")
-    ).orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("category"))
+    category = _per_category(agg).orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("category"))
 
     monthly = month_trend(agg.filter(F.col("gid") == _GID_MONTH).select(
-        "month_start", money(F.col("revenue")).alias("month_revenue")))
+        "month_start", money("revenue").alias("month_revenue")))
 
     country = country_rollup(per_customer, customers)
     return {"top_customers": top, "sales_by_category": category,
@@ -72,8 +94,7 @@ def write_reports(orders: DataFrame, products: DataFrame, customers: DataFrame,
                   processed_dir: str, n: int = 10) -> dict[str, str]:
     """Compute the four reports and write them under ``processed_dir``; returns the paths."""
     spark = orders.sparkSession
-    checkpoint_dir(spark)
-    agg = shared_aggregate(orders, products).checkpoint(eager=True)
+    agg, scratch = stored_aggregate(orders, products)
     paths = {name: os.path.join(str(processed_dir), f"{OUTPUT_NAMES[name]}.parquet") for name in OUTPUT_NAMES}
 
     def write(item):
@@ -81,10 +102,11 @@ def write_reports(orders: DataFrame, products: DataFrame, customers: DataFrame,
         # The reports are small (bounded by customers/categories/months); one file each.
         df.coalesce(1).write.mode("overwrite").parquet(paths[name])
 
-    # The four writes are independent jobs over the checkpointed aggregate: submit them
+    # The four writes are independent jobs over the stored aggregate: submit them
     # together so their small final stages share the executors instead of queueing.
     with ThreadPoolExecutor(max_workers=len(OUTPUT_NAMES)) as pool:
         list(pool.map(write, reports_from_aggregate(agg, customers, n).items()))
+    discard(spark, scratch)
     return paths
 
 
@@ -95,7 +117,7 @@ def run_analytics(spark: SparkSession, raw_dir: str, processed_dir: str, n: int
     int16 quantities, nanosecond timestamps)."""
     raw_dir = str(raw_dir)
     # Files written by pandas/pyarrow carry nanosecond timestamps: normalise on load.
-    orders = load_parquet_nanos(spark, os.path.join(raw_dir, "orders.parquet"), ["order_date"]).select(
+    orders = load_parquet_nanos(spark, os.path.join(raw_dir, "orders.parquet")).select(
         F.col("order_id").cast("long"), F.col("customer_id").cast("long"),
         F.col("product_id").cast("long"), F.col("quantity").cast("smallint"),
         F.col("order_date").cast("timestamp_ntz"),
@@ -103,7 +125,7 @@ def run_analytics(spark: SparkSession, raw_dir: str, processed_dir: str, n: int
     products = spark.read.parquet(os.path.join(raw_dir, "products.parquet")).select(
         F.col("product_id").cast("long"), "category", F.col("price").cast("double"),
     )
-    customers = load_parquet_nanos(spark, os.path.join(raw_dir, "customers.parquet"), ["registration_date"]).select(
+    customers = load_parquet_nanos(spark, os.path.join(raw_dir, "customers.parquet")).select(
         F.col("customer_id").cast("long"), "country",
     )
     return write_reports(orders, products, customers, processed_dir, n)

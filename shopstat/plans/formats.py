@@ -2,7 +2,9 @@
 dataset, read it back, and compare every format against the CSV baseline.
 
 Timings are wall-clock seconds of distributed jobs: a write, and a full read
-executed into the ``noop`` sink (so the whole plan runs, nothing is collected).
+executed into the ``noop`` sink (so the whole plan runs, nothing is collected). The
+table is stored before the first timer starts, and every format first writes and reads
+a few rows untimed.
 Sizes come from the file listing (S8). Process-level memory and CPU probes of
 the single-machine original have no cluster meaning; those columns are null.
 """
@@ -10,6 +12,7 @@ from __future__ import annotations
 
 import os
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,7 @@ from pyspark.sql import types as T
 from shopstat.functions.exprs import bytes_to_mb, energy_wh, fixed_text
 from shopstat.operators.compare import compare_to_baseline
 from shopstat.schemas import FORMAT_METRICS
+from shopstat.session import discard, scratch_path, stored
 from shopstat.sources.files import read_format, save_metrics, write_format
 from shopstat.sources.storage import stored_bytes_value
 
@@ -49,6 +53,9 @@ def measure_format(df: DataFrame, fmt: str, path: str) -> tuple:
 def compare_formats(df: DataFrame, out_dir: str, formats=FORMATS, baseline: str = "csv",
                     metrics_path: str | None = None) -> DataFrame:
     spark: SparkSession = df.sparkSession
+    df, source = stored(df, "format-input")
+    for fmt in formats:
+        measure_format(df.limit(1000), fmt, scratch_path(spark, f"format-warm-up-{fmt}"))
     rows = [measure_format(df, fmt, os.path.join(str(out_dir), f"benchmark.{fmt}")) for fmt in formats]
     raw_schema = T.StructType([
         T.StructField("format", T.StringType()), T.StructField("file_path", T.StringType()),
@@ -66,9 +73,31 @@ def compare_formats(df: DataFrame, out_dir: str, formats=FORMATS, baseline: str
         compared = compared.withColumnRenamed(m + "_change_pct", name)
     if metrics_path:
         save_metrics(compared, metrics_path)
+    discard(spark, source)
     return compared
 
 
+def _row_digest(df: DataFrame) -> DataFrame:
+    """How many rows, and the sum of their hashes: equal for equal bags of rows."""
+    return df.agg(F.count(F.lit(1)).alias("rows_read"), F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")).alias("digest"))
+
+
+def check_formats(df: DataFrame, metrics: DataFrame) -> DataFrame:
+    """What must hold of a comparison whatever the timings: per format, the rows read back,
+    whether they are the rows of ``df``, whether bytes were stored, and the saving where it
+    must be zero (the baseline's own)."""
+    spark, names = df.sparkSession, {label: fmt for fmt, label in FORMAT_LABELS.items()}
+    expected = _row_digest(df).first()
+    read = [_row_digest(read_format(spark, names[r["format"]], r["file_path"], df.schema)).select(
+        F.lit(r["format"]).alias("format"), "rows_read",
+        ((F.col("rows_read") == expected["rows_read"]) & F.col("digest").eqNullSafe(F.lit(expected["digest"]))).alias("rows_match"),
+        F.lit(r["file_size_mb"] > 0).alias("has_size"),
+        F.lit(r["storage_saving_pct"] if r["format"] == FORMAT_LABELS["csv"] else None).cast("double").alias("baseline_saving_pct"))
+        for r in metrics.collect()]  # one row per format
+    return reduce(DataFrame.unionByName, read)
+
+
+# Column labels and decimals of the printed comparison.
 # F15 — the comparison as display text: two decimals, four for energy (null stays null)
 TEXT_COLUMNS = [("file_size_mb", "Size (MB)", 2), ("write_time_s", "Write (s)", 2), ("read_time_s", "Read (s)", 2),
                 ("peak_memory_mb", "Peak Mem (MB)", 2), ("cpu_time_s", "CPU (s)", 2), ("energy_wh", "Energy (Wh)", 4),

@@ -140,14 +140,14 @@ def permuted(df: DataFrame, column: str, n: int, seed: int) -> DataFrame:
     rows = n // width
     keep = [f"`{c}`" for c in df.columns if c != column]
 
-    def cube(x: str, key: int) -> str:
+    def squared(x: str, key: int) -> str:
         y = f"(({x} + {key}) % {PRIME})"
-        return f"({y} * {y} % {PRIME} * {y} % {PRIME})"
+        return f"({y} * {y} % {PRIME})"
 
     for across, down, shift in permutation_keys(seed):
         df = df.selectExpr(*keep, f"`{column}` AS _x", f"`{column}` div {width} AS _r", f"`{column}` % {width} AS _k")
-        df = df.selectExpr(*keep, "_x", "_r", f"(_k + {cube('_r', across)}) % {width} AS _k")
-        df = df.selectExpr(*keep, f"(CASE WHEN _r < {rows} THEN (_r + {cube('_k', down)}) % {rows} * {width} + _k ELSE _x END + {shift % n}) % {n} AS `{column}`")
+        df = df.selectExpr(*keep, "_x", "_r", f"(_k + {squared('_r', across)}) % {width} AS _k")
+        df = df.selectExpr(*keep, f"(CASE WHEN _r < {rows} THEN (_r + {squared('_k', down)}) % {rows} * {width} + _k ELSE _x END + {shift % n}) % {n} AS `{column}`")
     return df
 
 

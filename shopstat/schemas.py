@@ -25,69 +25,7 @@ CUSTOMERS = T.StructType([
     T.StructField("country", T.StringType()),
 ])
 
-# ---- generated tables (full reference column set) ---------------------------
-GEN_CUSTOMERS = T.StructType([
-    T.StructField("customer_id", T.LongType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("email", T.StringType()),
-    T.StructField("age", T.IntegerType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("registration_date", T.TimestampNTZType()),
-])
-
-GEN_PRODUCTS = T.StructType([
-    T.StructField("product_id", T.LongType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("stock", T.LongType()),
-    T.StructField("rating", T.DoubleType()),
-])
-
-GEN_ORDERS = T.StructType([
-    T.StructField("order_id", T.LongType()),
-    T.StructField("customer_id", T.LongType()),
-    T.StructField("product_id", T.LongType()),
-    T.StructField("quantity", T.ShortType()),
-    T.StructField("order_date", T.TimestampNTZType()),
-])
-
-FORMAT_BENCHMARK = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("email", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("date", T.TimestampNTZType()),
-    T.StructField("category", T.StringType()),
-])
-
 # ---- results ----------------------------------------------------------------
-TOP_CUSTOMERS = T.StructType([
-    T.StructField("customer_id", T.LongType()),
-    T.StructField("total_revenue", T.DoubleType()),
-    T.StructField("units_purchased", T.LongType()),
-])
-
-SALES_BY_CATEGORY = T.StructType([
-    T.StructField("category", T.StringType()),
-    T.StructField("total_revenue", T.DoubleType()),
-    T.StructField("units_sold", T.LongType()),
-])
-
-MONTHLY_TRENDS = T.StructType([
-    T.StructField("month", T.StringType()),
-    T.StructField("month_revenue", T.DoubleType()),
-    T.StructField("previous_month_revenue", T.DoubleType()),
-    T.StructField("revenue_growth_pct", T.DoubleType()),
-])
-
-SALES_BY_COUNTRY = T.StructType([
-    T.StructField("country", T.StringType()),
-    T.StructField("total_revenue", T.DoubleType()),
-    T.StructField("units_sold", T.LongType()),
-])
-
 FORMAT_METRICS = T.StructType([
     T.StructField("format", T.StringType()),
     T.StructField("file_path", T.StringType()),

@@ -39,17 +39,12 @@ def write_orc(df: DataFrame, path: str) -> str:
     return str(path)
 
 
-# S6 — ORC scan
-def read_orc(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.orc(str(path))
-
-
 def write_format(df: DataFrame, fmt: str, path: str) -> str:
     writers = {"csv": write_csv, "parquet": save_parquet, "orc": write_orc}
     return writers[fmt](df, path)
 
 
+# S6 — scan of any of the three formats with its schema
 def read_format(spark: SparkSession, fmt: str, path: str, schema: T.StructType) -> DataFrame:
     if fmt == "csv":
         return read_csv(spark, path, schema)
@@ -58,16 +53,11 @@ def read_format(spark: SparkSession, fmt: str, path: str, schema: T.StructType)
 
 # S7 — the metrics table as CSV with report column names. The table has one row per
 # measured format, so a single output file is bounded by construction.
-METRIC_COLUMNS = [
-    ("format", "format"), ("file_path", "file_path"), ("file_size_mb", "file_size_mb"),
-    ("write_time_s", "write_time_s"), ("read_time_s", "read_time_s"),
-    ("peak_memory_mb", "peak_memory_mb"), ("cpu_time_s", "cpu_time_s"), ("energy_wh", "energy_wh"),
-    ("storage_saving_pct", "storage_saving_pct"), ("write_improvement_pct", "write_improvement_pct"),
-    ("read_improvement_pct", "read_improvement_pct"), ("energy_saving_pct", "energy_saving_pct"),
-]
+# The columns and their order.
+METRIC_COLUMNS = ["format", "file_path", "file_size_mb", "write_time_s", "read_time_s", "peak_memory_mb", "cpu_time_s",
+                  "energy_wh", "storage_saving_pct", "write_improvement_pct", "read_improvement_pct", "energy_saving_pct"]
 
 
 def save_metrics(metrics: DataFrame, path: str) -> str:
-    cols = [metrics[src].alias(dst) for src, dst in METRIC_COLUMNS if src in metrics.columns]
-    metrics.select(*cols).coalesce(1).write.mode("overwrite").option("header", "true").csv(str(path))
-    return str(path)
+    cols = [c for c in METRIC_COLUMNS if c in metrics.columns]
+    return write_csv(metrics.select(*cols).coalesce(1), path)

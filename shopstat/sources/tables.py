@@ -1,7 +1,7 @@
 """Scans: Parquet with an explicit schema (S1), nanosecond-timestamp normaliser."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,20 +23,40 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def nanosecond_columns(spark: SparkSession, file: str) -> set[str]:
+    """The columns that a Parquet file's footer declares as TIMESTAMP(NANOS)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        text = reader.getFooter().getFileMetaData().getSchema().toString()
+    finally:
+        reader.close()
+    return set(re.findall(r"^\s*(?:optional|required) int64 (.+?) \(TIMESTAMP\(NANOS\b", text, re.M))
+
+
 # S9 — files written by pandas/pyarrow carry TIMESTAMP(NANOS) columns, which Spark
-# refuses. Read those columns as epoch nanoseconds and turn them into timestamp_ntz.
-# The flag only changes how nanosecond columns are read, so it is left on for the
-# session (the scan is planned when the action runs, not when this returns).
-def load_parquet_nanos(spark: SparkSession, path: str, ts_columns: Sequence[str]) -> DataFrame:
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.parquet(str(path))
-    for c in ts_columns:
-        if c not in df.columns:
-            continue
-        if isinstance(df.schema[c].dataType, T.LongType):
-            # exact floor division in integers (a double would lose the last microsecond)
-            micros = F.expr(f"(`{c}` - pmod(`{c}`, 1000)) div 1000")
-            df = df.withColumn(c, epoch_micros_to_ntz(micros))
-        elif isinstance(df.schema[c].dataType, T.TimestampType):
-            df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
-    return df
+# refuses. The footer says which columns those are: they are read as epoch nanoseconds and
+# turned into timestamp_ntz; any other bigint stays as it is, and a zoned timestamp becomes
+# its UTC wall clock whatever the session zone. The flag is on only while the schema is
+# inferred; the scan itself has an explicit schema and needs none.
+def load_parquet_nanos(spark: SparkSession, path: str) -> DataFrame:
+    flag = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(flag, None)
+    spark.conf.set(flag, "true")
+    try:
+        inferred = spark.read.parquet(str(path))
+        schema, files = inferred.schema, inferred.inputFiles()
+    finally:
+        spark.conf.unset(flag) if before is None else spark.conf.set(flag, before)
+    nanos = nanosecond_columns(spark, files[0]) if files else set()
+    columns = []
+    for field in schema:
+        name = "`" + field.name.replace("`", "``") + "`"
+        c = F.col(name)
+        if field.name in nanos:  # integer floor division (a double would lose the last microsecond)
+            c = epoch_micros_to_ntz(F.expr(f"({name} - pmod({name}, 1000)) div 1000"))
+        elif isinstance(field.dataType, T.TimestampType):
+            c = epoch_micros_to_ntz(F.unix_micros(c))
+        columns.append(c.alias(field.name))
+    return spark.read.schema(schema).parquet(str(path)).select(*columns)

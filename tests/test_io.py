@@ -43,7 +43,7 @@ def test_nanosecond_parquet_is_normalised(spark, tmp_dir):
                                                                 "2262-04-11 23:47:16.854775807"])})
     pdf["ts"] = pdf["ts"].astype("datetime64[ns]")
     pdf.to_parquet(path, engine="pyarrow", index=False)
-    df = load_parquet_nanos(spark, path, ["ts"])
+    df = load_parquet_nanos(spark, path)
     assert dict(df.dtypes)["ts"] == "timestamp_ntz"
     got = sorted(tuple(r) for r in df.collect())
     assert got == [(1, dt.datetime(2024, 1, 2, 3, 4, 5, 123456)), (2, dt.datetime(1999, 12, 31, 23, 59, 59)),
@@ -140,3 +140,32 @@ def test_declared_driver_schemas_match_the_files(spark):
     for name, declared in DRIVER_TABLES.items():
         inferred = spark.read.parquet(os.path.join(SMALL_DIR, f"{name}.parquet")).schema
         assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
+
+
+def test_plain_bigints_zones_and_the_flag_are_left_alone(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "mixed.parquet")
+    pd.DataFrame({"ts": pd.to_datetime(["2024-01-02 03:04:05.000000999"]).astype("datetime64[ns]"), "seconds": [1_700_000_000],
+                  "zoned": pd.to_datetime(["2024-01-02 03:04:05"], utc=True).astype("datetime64[us, UTC]")}).to_parquet(path, index=False)
+    flag, zone = "spark.sql.legacy.parquet.nanosAsLong", spark.conf.get("spark.sql.session.timeZone")
+    before = spark.conf.get(flag, None)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = load_parquet_nanos(spark, path)
+        assert spark.conf.get(flag, None) == before
+        moment = dt.datetime(2024, 1, 2, 3, 4, 5)
+        assert [tuple(r) for r in df.collect()] == [(moment, 1_700_000_000, moment)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_money_is_exact_for_any_partitioning(spark):
+    from shopstat.operators import reports as R
+    rows = spark.range(200_000)
+    orders = rows.select(F.col("id").alias("order_id"), (F.col("id") % 2).alias("customer_id"), (F.col("id") % 3).alias("product_id"),
+                         F.lit(2).cast("smallint").alias("quantity"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("order_date"))
+    products = spark.createDataFrame([(0, "a", 100_000.01), (1, "b", 99_999_999.99), (2, "c", 0.37)], "product_id long, category string, price double")
+    cents = {"a": 66_667 * 2 * 10_000_001, "b": 66_667 * 2 * 9_999_999_999, "c": 66_666 * 2 * 37}
+    for parts in (1, 7):
+        df = orders.repartition(parts)
+        assert R.monthly_trends(df, products).first()["month_revenue"] == sum(cents.values()) / 100
+        assert {r.category: r.total_revenue for r in R.sales_by_category(df, products).collect()} == {k: c / 100 for k, c in cents.items()}

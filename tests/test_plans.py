@@ -47,12 +47,13 @@ def test_report_job_uses_one_grouping_sets_pass(spark):
     assert "Expand" in plan and plan.count("Scan parquet") == 3
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+OWN = sorted(n for n in E.queries() if E.llm is None or n not in E.llm.QUERIES)
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_no_python_evaluation_in_any_query(spark, name):
-    if name.startswith(("report_job", "format_")):
-        pytest.skip("reads back written files; covered by the queries that produce them")
     plan = _plan(E.queries()[name](spark, SMALL_DIR))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
+    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas", "InArrow"):
         assert node not in plan
 
 
@@ -61,3 +62,17 @@ def test_order_positions_need_no_sort(spark):
     plan = _plan(E.queries()["gen_orders"](spark, SMALL_DIR))
     assert "rangepartitioning" not in plan
     assert "hashpartitioning(_blk" in plan
+    # the customer table is read twice: its key for the allocation, its date once for the join
+    assert plan.count("customer.parquet") <= 2
+
+
+def test_running_total_has_no_exchange_on_whole_partitions(spark):
+    plan = _plan(E.queries()["running_total"](spark, SMALL_DIR))
+    assert "Window [sum(total_price" in plan and "hashpartitioning(_blk" in plan
+    assert all("total_price" not in line for line in plan.splitlines() if "hashpartitioning(_part_id" in line)
+
+
+def test_results_read_twice_are_computed_once(spark):
+    """The baseline comparison and the long report read a stored table, not their inputs again."""
+    for name, table in (("compare_to_baseline", "events.parquet"), ("revenue_long", "lineitem.parquet")):
+        assert table not in _plan(E.queries()[name](spark, SMALL_DIR))
