@@ -23,6 +23,7 @@ from array import array
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -47,7 +48,7 @@ _ODD = ("  ", "\n\n", " \n", "\n ", "\0", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
 _WORDS = regex.compile(public_tokenizers.PATTERN)
 #: The character of each byte in a byte-level vocabulary, for str.translate().
 _BYTES = dict(enumerate(byte_characters()))
-
+_SPACE = _BYTES[ord(" ")]
 
 
 class PieceEncoder:
@@ -66,11 +67,16 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.pieces = Pieces(self.tokenizer)
 
+    @staticmethod
+    def marked(text: str) -> str | None:
+        """The pieces joined by zero characters; None where ``split`` must look closer."""
+        if any(x in text for x in _ODD) or not text.isascii() and _RUN.search(text):
+            return None
+        return _STOP.sub("\0\\g<0>", text).replace("\n", "\0\n\0").replace(" ", "\0 ")
+
     @staticmethod
     def split(text: str) -> list[str]:
         """Pieces; all but the first begin with the space before them."""
-        if not any(x in text for x in _ODD) and (text.isascii() or not _RUN.search(text)):
-            return _STOP.sub("\0\\g<0>", text).replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
         parts = text.split(" ")
         pieces, open_piece = [], parts[0]
         for left, right in zip(parts, parts[1:], strict=False):
@@ -86,7 +92,25 @@ class PieceEncoder:
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
         get = self.pieces.__getitem__
-        return [b"".join(map(get, self.split(t))) for t in texts]
+        marked = [self.marked(t) for t in texts]
+        plain = [m for m in marked if m is not None]
+        encoded = iter(self._joined(plain) if plain else ())
+        return [b"".join(map(get, self.split(t))) if m is None else next(encoded) for t, m in zip(texts, marked, strict=True)]
+
+    def _joined(self, marked: list[str]) -> list[bytes]:
+        """Ids of marked texts: their pieces are numbered together, each distinct one is looked up
+        once, and the ids of all are gathered by number."""
+        split = pc.split_pattern(pa.array(["\0".join(marked)], pa.large_string()), "\0").values.dictionary_encode()
+        packed = list(map(self.pieces.__getitem__, split.dictionary.to_pylist()))
+        known = np.frombuffer(b"".join(packed), "<u4")
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        first = np.cumsum(sizes) - sizes
+        piece = split.indices.to_numpy()
+        size = sizes[piece]
+        end = np.cumsum(size)
+        ids = known[np.repeat(first[piece] - (end - size), size) + np.arange(end[-1])]
+        ends = end[np.cumsum([m.count("\0") + 1 for m in marked]) - 1].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class Pieces(dict):
@@ -101,9 +125,12 @@ class Pieces(dict):
         self.special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
 
     def __missing__(self, piece: str) -> bytes:
-        if self.plain and piece.lstrip(" ").isalpha():
-            words = (piece,)
-        elif self.plain and not any(s in piece for s in self.special):
+        letters = piece[1:] if piece.startswith(" ") else piece
+        if self.plain and letters.isalpha():  # one word
+            text = piece.replace(" ", _SPACE) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
+            packed = self[piece] = array("I", [t.id for t in self.word(text)]).tobytes()
+            return packed
+        if self.plain and not any(s in piece for s in self.special):
             words = _WORDS.findall(piece)
         else:
             words = None
@@ -130,7 +157,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, end_id: int | None = 0,
         encoder = _encoder(tokenizer)
         end = b"" if end_id is None else struct.pack("<I", end_id)
         for batch in batches:
-            for part in text_slices(batch, "text", 2 << 20):
+            for part in text_slices(batch, "text", 8 << 20):
                 packed = [np.frombuffer(x + end, "<u4") for x in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
                 wide = [bool(len(x)) and int(x.max()) > 0xFFFF for x in packed]
                 yield pa.RecordBatch.from_arrays([

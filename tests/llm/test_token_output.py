@@ -68,3 +68,16 @@ def test_table_of_one_id_and_of_many():
     assert rans.Table.of_counts(np.array([0, 9])).frequencies.tolist() == [0, 1 << rans.SCALE_BITS]
     many = rans.Table.of_counts(np.ones(300_000)).frequencies
     assert many.min() >= 1 and many.sum() == 1 << rans.SCALE_BITS
+
+
+def test_pieces_encode_as_the_library_does_on_random_texts():
+    import random
+
+    from shopstat.llm.token_output import PieceEncoder
+
+    encoder = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    parts = [" ", "  ", " ", " ", "a", "abc", "é", "ß", "的", "1", "12", ".", ",", ". ", ", ", "\n", "\t", "'s", "'", "-", "\0", "\x1c", "<|endoftext|>", "²", "_"]
+    rnd = random.Random(5)
+    texts = ["", " ", "  abc", "a  b"] + ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(5000)]
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want
