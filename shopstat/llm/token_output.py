@@ -179,8 +179,9 @@ def count_ids(encoded: DataFrame) -> DataFrame:
     def run(batches):
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for wide, ids in zip(batch.column("wide").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                got = np.bincount(_unpack(wide, ids), minlength=len(counts))
+            wide, ids = batch.column("wide").to_pylist(), batch.column("ids").to_pylist()
+            for kind in (False, True):
+                got = np.bincount(_unpack(kind, b"".join(x for x, w in zip(ids, wide, strict=True) if w == kind)), minlength=len(counts))
                 got[:len(counts)] += counts
                 counts = got
         used = np.nonzero(counts)[0]

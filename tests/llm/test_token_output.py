@@ -73,9 +73,7 @@ def test_table_of_one_id_and_of_many():
 def test_pieces_encode_as_the_library_does_on_random_texts():
     import random
 
-    from shopstat.llm.token_output import PieceEncoder
-
-    encoder = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = PieceEncoder(PATH)
     parts = [" ", "  ", " ", " ", "a", "abc", "é", "ß", "的", "1", "12", ".", ",", ". ", ", ", "\n", "\t", "'s", "'", "-", "\0", "\x1c", "<|endoftext|>", "²", "_"]
     rnd = random.Random(5)
     texts = ["", " ", "  abc", "a  b"] + ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(5000)]
