@@ -157,7 +157,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, end_id: int | None = 0,
         encoder = _encoder(tokenizer)
         end = b"" if end_id is None else struct.pack("<I", end_id)
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
+            for part in text_slices(batch, "text", 4 << 20):
                 packed = [np.frombuffer(x + end, "<u4") for x in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
                 wide = [bool(len(x)) and int(x.max()) > 0xFFFF for x in packed]
                 yield pa.RecordBatch.from_arrays([
@@ -179,11 +179,12 @@ def count_ids(encoded: DataFrame) -> DataFrame:
     def run(batches):
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            wide, ids = batch.column("wide").to_pylist(), batch.column("ids").to_pylist()
-            for kind in (False, True):
-                got = np.bincount(_unpack(kind, b"".join(x for x, w in zip(ids, wide, strict=True) if w == kind)), minlength=len(counts))
-                got[:len(counts)] += counts
-                counts = got
+            for part in text_slices(batch, "ids", 2 << 20):
+                wide, ids = part.column("wide").to_pylist(), part.column("ids").to_pylist()
+                for kind in (False, True):
+                    got = np.bincount(_unpack(kind, b"".join(x for x, w in zip(ids, wide, strict=True) if w == kind)), minlength=len(counts))
+                    got[:len(counts)] += counts
+                    counts = got
         used = np.nonzero(counts)[0]
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["id", "n"])
 
