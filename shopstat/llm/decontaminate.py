@@ -3,18 +3,20 @@
 Texts become sequences of template tokens: numbers, units behind a number and capitalised words
 within a sentence turn into typed placeholders, everything else is the lower-cased word without
 outer punctuation. Windows of ``window`` tokens of all documents meet the benchmark's windows by a
-hash join (items shorter than a window form one window of their own length). Windows on the same
-diagonal (document position minus item position) form one candidate passage, and its slots are
-checked: every filler of the item must be replaced by one filler throughout, and different fillers
+hash join (items shorter than a window form one window of their own length), once as templates and
+once as literal words without placeholders. Windows on the same diagonal (document position minus
+item position) form one candidate passage. Its literal windows count as they are; the slots of its
+template windows are checked: every filler of the item must be replaced by one filler throughout, and different fillers
 by different ones. So a question with other numbers and names is caught, and a text that only has
 the same shape is not.
 
 A bitmap of the benchmark's window hashes, of a fixed number of bits, spares the join windows that
 cannot match; what it lets through by chance the join removes. Nothing else is broadcast.
 
-A passage counts when its slots are consistent and it covers ``min_words`` tokens, or a share of
-``min_share`` of an item. Windows of which more than half are placeholders are no evidence, and
-items of fewer than ``shortest`` tokens cannot be told from chance. Defined cases: null and empty texts
+A passage counts when its literal windows, or all its windows if its slots are consistent, cover
+``min_words`` tokens, or a share of ``min_share`` of an item. Template windows of which more than
+half are placeholders, or of fewer than ``shortest`` tokens, cannot be told from chance and are no
+evidence; literal windows are, whatever they hold, down to items of one word. Defined cases: null and empty texts
 and items match nothing; rows sharing an id are one document; null ids are reported as null; an
 empty table or benchmark gives no rows.
 """
@@ -53,7 +55,7 @@ _NAME, _NUM, _UNIT = (_U(xxhash.xxh3_64_intdigest(f"<{k}>")) for k in ("name", "
 #: A worker's pieces by number, and their hash, kind and whether a sentence ends there, by that number.
 _PIECES: dict[str, int] = {}
 _HASH, _KIND, _END = np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool)
-_LITERAL, _MAYBE_NAME, _IS_NUMBER, _MAYBE_UNIT, _EMPTY = range(5)
+_LITERAL, _MAYBE_NAME, _IS_NUMBER, _MAYBE_UNIT, _EMPTY, _SYMBOL = range(6)
 
 
 def _piece(raw: str) -> tuple[int, int, int]:
@@ -67,7 +69,7 @@ def _piece(raw: str) -> tuple[int, int, int]:
     word = _EDGES.sub("", raw)
     ends = 1 if _ENDS.search(raw) else 0
     if not any(c.isalnum() for c in word):
-        return 0, _MAYBE_UNIT if word in UNITS else _EMPTY, ends
+        return (xxhash.xxh3_64_intdigest(word), _SYMBOL, ends) if word in UNITS else (0, _EMPTY, ends)
     low = word.lower()
     m = _GLUED.fullmatch(word)
     if low in NUMBER_WORDS or _NUMBER.fullmatch(word) or (m and (not m[3] or m[3].lower() in UNITS)):
@@ -94,69 +96,94 @@ def _learn(pieces: list[str]) -> None:
     _END[known:known + len(pieces)] = ends
 
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Token hashes, whether each is a placeholder (1 name, 2 number, 3 unit, else 0), and the pieces."""
+def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """Token hashes with placeholders, those of the words themselves, whether each is a placeholder
+    (1 name, 2 number, 3 unit, else 0), and the pieces."""
     pieces = (text or "").split()
     if len(_PIECES) > CACHE_WORDS:
         _PIECES.clear()
     if not pieces:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8), []
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8), []
     new = set(pieces).difference(_PIECES)
     if new:
         _learn(list(new))
     at = np.fromiter(map(_PIECES.__getitem__, pieces), np.int64, len(pieces))
-    h, kind, ends = _HASH[at], _KIND[at], _END[at]
+    word, kind, ends = _HASH[at], _KIND[at], _END[at]
     first = np.concatenate([[True], ends[:-1]])
     after_number = np.concatenate([[False], kind[:-1] == _IS_NUMBER])
-    slot = np.where((kind == _MAYBE_NAME) & ~first, 1, np.where(kind == _IS_NUMBER, 2, np.where((kind == _MAYBE_UNIT) & after_number, 3, 0))).astype(np.int8)
-    keep = (kind != _EMPTY) & ~((kind == _MAYBE_UNIT) & (h == 0) & ~after_number)
-    h = np.where(slot == 1, _NAME, np.where(slot == 2, _NUM, np.where(slot == 3, _UNIT, h)))
+    unit = ((kind == _MAYBE_UNIT) | (kind == _SYMBOL)) & after_number
+    slot = np.where((kind == _MAYBE_NAME) & ~first, 1, np.where(kind == _IS_NUMBER, 2, np.where(unit, 3, 0))).astype(np.int8)
+    keep = (kind != _EMPTY) & ~((kind == _SYMBOL) & ~after_number)
+    h = np.where(slot == 1, _NAME, np.where(slot == 2, _NUM, np.where(slot == 3, _UNIT, word)))
     if keep.all():
-        return h, slot, pieces
+        return h, word, slot, pieces
     at = np.nonzero(keep)[0]
-    return h[at], slot[at], [pieces[i] for i in at.tolist()]
+    return h[at], word[at], slot[at], [pieces[i] for i in at.tolist()]
 
 
-def windows(h: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the window at each position, and whether at least half of it is words."""
-    n = len(h) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    out, filled = np.full(n, _U(size)), np.zeros(n, np.int32)
-    for k in range(size):
-        out = (out ^ h[k:k + n]) * _U(0x9E3779B97F4A7C15)
+def windows(h: np.ndarray, sizes: set[int], seed: int):
+    """Of each of the sizes, the hash of the window at each position."""
+    out = np.full(len(h), _U(seed))
+    for k in range(min(max(sizes, default=0), len(h))):
+        out = (out[:len(h) - k] ^ h[k:]) * _U(0x9E3779B97F4A7C15)
         out ^= out >> _U(29)
-        filled += slot[k:k + n] > 0
-    return out, 2 * filled <= size
+        if k + 1 in sizes:
+            yield k + 1, out
 
 
 def _filler(piece: str) -> str:
     return _EDGES.sub("", piece).lower()
 
 
-def _rows(texts, ids, sizes_of, wanted):
-    """Of each window that ``wanted`` lets pass: id, size, hash, position, slots as 'offset type filler'."""
+def _rows(texts, ids, literal_of, template_of, wanted, window):
+    """Of each window that ``wanted`` lets pass: id, size, whether literal, hash, position, tokens of the
+    text, slots of a template as 'offset type filler'. Templates without slots are literal windows already."""
     out = []
     for i, text in zip(ids, texts, strict=True):
-        h, slot, pieces = template(text)
-        for size in sizes_of(len(h)):
-            w, good = windows(h, slot, size)
-            for at in np.nonzero(good & wanted(w))[0].tolist():
+        h, word, slot, pieces = template(text)
+        n = len(h)
+        for size, w in windows(word, literal_of(n), 1):
+            at = np.nonzero(wanted(w))[0]
+            if size < window:  # a whole item: once in a text is enough
+                at = at[np.unique(w[at], return_index=True)[1]]
+            out += [(i, size, True, x, k, n, []) for x, k in zip(w[at].astype(np.int64).tolist(), at.tolist(), strict=True)]
+        before = np.concatenate([[0], np.cumsum(slot > 0)])
+        for size, w in windows(h, template_of(n), 2) if before[-1] else ():
+            filled = before[size:] - before[:-size]
+            for at in np.nonzero((filled > 0) & (2 * filled <= size) & wanted(w))[0].tolist():
                 held = np.nonzero(slot[at:at + size])[0].tolist()
-                out.append((i, size, int(w[at].astype(np.int64)), at, len(h), [f"{slot[at + k]}{k:03d}{_filler(pieces[at + k])}" for k in held]))
+                out.append((i, size, False, int(w[at].astype(np.int64)), at, n, [f"{slot[at + k]}{k:03d}{_filler(pieces[at + k])}" for k in held]))
     return out
 
 
-_NAMES = ["id", "size", "h", "at", "n", "slots"]
-_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
-_SCHEMA = "id long, size int, h long, at long, n long, slots array<string>"
+_NAMES = ["id", "size", "literal", "h", "at", "n", "slots"]
+_TYPES = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+_SCHEMA = "id long, size int, literal boolean, h long, at long, n long, slots array<string>"
 
 
 def _frame(rows):
-    columns = zip(*rows, strict=True) if rows else [[]] * 6
+    columns = zip(*rows, strict=True) if rows else [[]] * len(_NAMES)
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
 
 
+def covered(places, size: int) -> int:
+    """Tokens under windows of that size at these places."""
+    places = sorted(places)
+    return sum(min(y - x, size) for x, y in zip(places, places[1:], strict=False)) + size if places else 0
+
+
+def passage(found: list[tuple[int, bool, list[tuple[str, str]]]], size: int, enough) -> tuple[int, bool] | None:
+    """Matched words of a diagonal's windows (place, whether literal, pairs of fillers), and whether
+    fillers were changed; None if they are not ``enough``."""
+    literal = {at for at, same, _ in found if same}
+    pairs = {p for _, _, held in found for p in held}
+    if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
+        words = covered({at for at, _, _ in found}, size)
+        return (words, any(a != b for a, b in pairs)) if enough(words) else None
+    words = covered(literal, size)
+    return (words, False) if enough(words) else None
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE,
                  shortest: int = SHORTEST, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text") -> DataFrame:
@@ -165,9 +192,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     spark = docs.sparkSession
 
     def items(batches):
-        sizes = lambda n: [window] if n >= window else [n] if n >= shortest else []
+        literal = lambda n: {min(n, window)} - {0}
+        template = lambda n: {min(n, window)} if n >= min(shortest, window) else set()
         for batch in batches:
-            yield _frame(_rows(batch.column("text").to_pylist(), batch.column("id").to_pylist(), sizes, lambda w: np.ones(len(w), bool)))
+            yield _frame(_rows(batch.column("text").to_pylist(), batch.column("id").to_pylist(), literal, template, lambda w: np.ones(len(w), bool), window))
 
     slim = benchmark.select(quoted(item_col).cast("long").alias("id"), quoted(item_text_col).alias("text")).filter("id IS NOT NULL")
     bench = slim.mapInArrow(items, _SCHEMA).cache()
@@ -177,7 +205,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)  # at most so many rows came, whatever the benchmark's size
     for r in words:
         bitmap[r.w] = _U(r.bits & (2**64 - 1))
-    sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # at most one per window length
+    sizes = [set(), set()]  # of templates and of literal windows: at most one per window length
+    for r in bench.select("size", "literal").distinct().collect():
+        sizes[r["literal"]].add(r["size"])
     box = spark.sparkContext.broadcast(bitmap)
 
     def scan(batches):
@@ -189,27 +219,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
 
         for batch in batches:
             for part in text_slices(batch, "text", 4 << 20):
-                yield _frame(_rows(part.column("text").to_pylist(), part.column("id").to_pylist(), lambda n: sizes, wanted))
+                yield _frame(_rows(part.column("text").to_pylist(), part.column("id").to_pylist(), lambda n: sizes[True], lambda n: sizes[False], wanted, window))
 
     found = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text")).mapInArrow(scan, _SCHEMA)
-    item = bench.select("size", "h", F.col("id").alias("item"), F.col("at").alias("item_at"), F.col("n").alias("item_words"), F.col("slots").alias("item_slots"))
-    both = found.join(item, ["size", "h"])
+    item = bench.select("size", "literal", "h", F.col("id").alias("item"), F.col("at").alias("item_at"), F.col("n").alias("item_words"), F.col("slots").alias("item_slots"))
+    both = found.join(item, ["size", "literal", "h"])
     # Fillers face each other by their place in the window: 'type item-filler > document-filler'.
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(F.concat(F.substring(a, 1, 1), F.substring(a, 5, 1 << 20)).alias("item"),
                                                                     F.concat(F.substring(b, 1, 1), F.substring(b, 5, 1 << 20)).alias("doc")))
-    diagonal = both.groupBy("id", "item", "item_words", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
-        F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"), F.max("size").alias("size"))
-    one_way = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
-    other_way = F.size(F.array_distinct(F.transform("pairs", lambda p: p["doc"])))
-    # Tokens under the windows: a window adds as many as it lies behind the one before, at most its size.
-    places = F.array_sort("places")
-    covered = F.col("size").cast("long") + F.aggregate(
-        F.zip_with(F.slice(places, 2, F.greatest(F.size("places") - 1, F.lit(0))), places, lambda x, y: F.when(x.isNull(), F.lit(0).cast("long")).otherwise(F.least(x - y, F.col("size").cast("long")))),
-        F.lit(0).cast("long"), lambda acc, x: acc + x)
-    judged = diagonal.withColumn("matched_words", covered).filter((F.size("pairs") == one_way) & (F.size("pairs") == other_way)).filter(
-        (F.col("matched_words") >= min_words) | (F.col("matched_words") >= F.lit(min_share) * F.col("item_words")))
-    changed = F.exists("pairs", lambda p: p["item"] != p["doc"])
-    best = judged.groupBy("id", "item").agg(F.max(F.struct("matched_words", (~changed).alias("same"), "item_words")).alias("b"))
+    diagonal = both.groupBy("id", "item", "item_words", "size", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
+        F.collect_set(F.struct(F.col("item_at").alias("at"), "literal", pairs.alias("pairs"))).alias("found"),
+        (F.max("item_at") - F.min("item_at") + F.first("size")).alias("most"))
+    enough = lambda words, item_words: words >= min_words or words >= min_share * item_words
+
+    def judge(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                out = []
+                for r in batch.slice(at, 128).to_pylist():
+                    found = [(w["at"], w["literal"], [(p["item"], p["doc"]) for p in w["pairs"]]) for w in r["found"]]
+                    got = passage(found, r["size"], lambda words, n=r["item_words"]: enough(words, n))
+                    if got:
+                        out.append((r["id"], r["item"], got[0], not got[1], r["item_words"]))
+                columns = zip(*out, strict=True) if out else [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.bool_(), pa.int64()], strict=True)],
+                                                 names=["id", "item", "matched_words", "same", "item_words"])
+
+    long_enough = (F.col("most") >= min_words) | (F.col("most") >= F.lit(min_share) * F.col("item_words"))
+    judged = diagonal.filter(long_enough).select("id", "item", "item_words", "size", "found").mapInArrow(
+        judge, "id long, item long, matched_words long, same boolean, item_words long")
+    best = judged.groupBy("id", "item").agg(F.max(F.struct("matched_words", "same", "item_words")).alias("b"))
     return best.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("b.matched_words").cast("long").alias("matched_words"),
                        F.col("b.item_words").alias("item_words"), (~F.col("b.same")).alias("reparameterised"))
 

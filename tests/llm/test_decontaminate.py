@@ -38,3 +38,16 @@ def test_found_items_match_brute_force(spark):
     texts = [(r.doc_id, plain(r.text)) for r in docs.collect()]
     want = {(i, r.item_id) for r in items.collect() for i, t in texts if plain(r.text) in t}
     assert want <= {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()}
+
+
+def found(table, docs, bench):
+    df, items = table(list(enumerate(docs)), "doc_id long, text string"), table(list(enumerate(bench)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in contaminated(df, items).collect()}
+
+
+def test_verbatim_copies_full_of_placeholders_and_short_items(table):
+    sums = "12 + 30 = 42, 15 + 9 = 24, 8 + 77 = 85, 4 + 4 = 8, 61 + 5 = 66"
+    names = "the list Anna Bert Cora Dora Emil Fritz Gerd Hans Ida Jens Karl Lena Max Nora Otto"
+    got = found(table, [f"so we write {sums} here", f"look at {names} again", "he asked what is two plus two and left", sums.replace("2", "3"), "a price of 5 % only", "a price of 5 $ only"],
+                [sums, names, "What is two plus two?", "price of 5 %"])
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (4, 3)} and not any(r.reparameterised for r in got.values())
