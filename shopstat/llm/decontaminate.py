@@ -6,23 +6,24 @@ outer punctuation. Windows of ``window`` tokens of all documents meet the benchm
 hash join (items shorter than a window form one window of their own length), once as templates and
 once as literal words without placeholders. Windows on the same diagonal (document position minus
 item position) form one candidate passage. Its literal windows count as they are; the slots of its
-template windows are checked: every filler of the item must be replaced by one filler throughout, and different fillers
-by different ones. So a question with other numbers and names is caught, and a text that only has
-the same shape is not.
+template windows are checked: every filler of the item must be replaced by one filler throughout, and
+different names by different ones (two numbers may become the same). A window that changes a filler for
+which this does not hold is no evidence; the rest of the diagonal is. So a question with other numbers
+and names is caught, and a text that only has the same shape is not.
 
 A bitmap of the benchmark's window hashes, of a fixed number of bits, spares the join windows that
 cannot match; what it lets through by chance the join removes. Nothing else is broadcast.
 
-A passage counts when its literal windows, or all its windows if its slots are consistent, cover
-``min_words`` tokens, or a share of ``min_share`` of an item. Template windows of which more than
-half are placeholders, or of fewer than ``shortest`` tokens, cannot be told from chance and are no
-evidence; literal windows are, whatever they hold, down to items of one word. Defined cases: null and empty texts
-and items match nothing; rows sharing an id are one document; null ids are reported as null; an
-empty table or benchmark gives no rows.
+A passage counts when its windows cover ``min_words`` tokens, or a share of ``min_share`` of an item.
+Template windows of which more than half are placeholders, or of fewer than ``shortest`` tokens, cannot
+be told from chance and are no evidence; literal windows are, whatever they hold, down to items of one
+word. Defined cases: null and empty texts and items match nothing; rows sharing an id are one document;
+null ids are reported as null; an empty table or benchmark gives no rows.
 """
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -175,13 +176,16 @@ def covered(places, size: int) -> int:
 def passage(found: list[tuple[int, bool, list[tuple[str, str]]]], size: int, enough) -> tuple[int, bool] | None:
     """Matched words of a diagonal's windows (place, whether literal, pairs of fillers), and whether
     fillers were changed; None if they are not ``enough``."""
-    literal = {at for at, same, _ in found if same}
-    pairs = {p for _, _, held in found for p in held}
-    if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
-        words = covered({at for at, _, _ in found}, size)
-        return (words, any(a != b for a, b in pairs)) if enough(words) else None
-    words = covered(literal, size)
-    return (words, False) if enough(words) else None
+    by_item, by_doc = defaultdict(set), defaultdict(set)
+    for _, _, held in found:
+        for a, b in held:
+            by_item[a].add(b)
+            by_doc[b].add(a)
+    torn = {a for a, bs in by_item.items() if len(bs) > 1}
+    torn |= {a for b, items in by_doc.items() if len(items) > 1 and b[0] == "1" for a in items}
+    kept = [(at, held) for at, same, held in found if same or all(a == b or a not in torn for a, b in held)]
+    words = covered({at for at, _ in kept}, size)
+    return (words, any(a != b for _, held in kept for a, b in held)) if enough(words) else None
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE,

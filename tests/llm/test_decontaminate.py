@@ -51,3 +51,12 @@ def test_verbatim_copies_full_of_placeholders_and_short_items(table):
     got = found(table, [f"so we write {sums} here", f"look at {names} again", "he asked what is two plus two and left", sums.replace("2", "3"), "a price of 5 % only", "a price of 5 $ only"],
                 [sums, names, "What is two plus two?", "price of 5 %"])
     assert set(got) == {(0, 0), (1, 1), (2, 2), (4, 3)} and not any(r.reparameterised for r in got.values())
+
+
+def test_one_conflict_leaves_the_rest_of_a_passage(table):
+    long = "take 5 grains of salt and stir them slowly into the warm water until nothing is left to see then wait a while and add another 5 grains to it"
+    pears = "If a farmer sells 3 baskets of pears and 4 crates of plums, how many does the farmer sell?"
+    got = found(table, [long.replace("another 5", "another 6"), pears.replace("3", "5").replace("4", "5"), QUESTION.replace("Alice get", "Bob get"),
+                        CHANGED.replace("after 75", "after 31"), MIXED_UP], [long, pears, QUESTION])
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 2)}
+    assert {k: r.reparameterised for k, r in got.items()} == {(0, 0): False, (1, 1): True, (2, 2): False, (3, 2): True}
