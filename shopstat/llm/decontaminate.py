@@ -1,10 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become sequences of template tokens: numbers, units behind a number and capitalised words
-within a sentence turn into typed placeholders, everything else is the lower-cased word without
+within a sentence turn into typed placeholders, everything else is the case-folded word without
 outer punctuation. Windows of ``window`` tokens of all documents meet the benchmark's windows by a
 hash join (items shorter than a window form one window of their own length), once as templates and
-once as literal words without placeholders. Windows on the same diagonal (document position minus
+once as case-folded literal words, so that a change of case hides nothing. Windows on the same diagonal (document position minus
 item position) form one candidate passage. Its literal windows count as they are; the slots of its
 template windows are checked: every filler of the item must be replaced by one filler throughout, and
 different names by different ones (two numbers may become the same). A window that changes a filler for
@@ -66,7 +66,7 @@ def _piece(raw: str) -> tuple[int, int, int]:
         low = plain.lower()
         kind = (_IS_NUMBER if low in NUMBER_WORDS else _MAYBE_UNIT if low in UNITS
                 else _MAYBE_NAME if plain[0].isupper() and plain[1:].islower() else _LITERAL)
-        return xxhash.xxh3_64_intdigest(low), kind, int(raw[-1] == ".")
+        return xxhash.xxh3_64_intdigest(plain.casefold()), kind, int(raw[-1] == ".")
     word = _EDGES.sub("", raw)
     ends = 1 if _ENDS.search(raw) else 0
     if not any(c.isalnum() for c in word):
@@ -81,7 +81,7 @@ def _piece(raw: str) -> tuple[int, int, int]:
         kind = _MAYBE_NAME
     else:
         kind = _LITERAL
-    return xxhash.xxh3_64_intdigest(low), kind, ends
+    return xxhash.xxh3_64_intdigest(word.casefold()), kind, ends
 
 
 def _learn(pieces: list[str]) -> None:
@@ -133,7 +133,7 @@ def windows(h: np.ndarray, sizes: set[int], seed: int):
 
 
 def _filler(piece: str) -> str:
-    return _EDGES.sub("", piece).lower()
+    return _EDGES.sub("", piece).casefold()
 
 
 def _rows(texts, ids, literal_of, template_of, wanted, window):

@@ -60,3 +60,10 @@ def test_one_conflict_leaves_the_rest_of_a_passage(table):
                         CHANGED.replace("after 75", "after 31"), MIXED_UP], [long, pears, QUESTION])
     assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 2)}
     assert {k: r.reparameterised for k, r in got.items()} == {(0, 0): False, (1, 1): True, (2, 2): False, (3, 2): True}
+
+
+def test_a_change_of_case_hides_nothing(table):
+    german = ("heute kauft der Bauer auf dem Markt in der Stadt große Äpfel und süße Birnen für die Kinder der Straße, "
+              "dann fährt der Wagen mit dem Pferd durch das Tor zum Haus der Familie am Fluß")
+    got = found(table, [german.upper(), german.lower(), german], [german])
+    assert set(got) == {(0, 0), (1, 0), (2, 0)} and {r.matched_words for r in got.values()} == {len(german.split())}
