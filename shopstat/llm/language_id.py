@@ -7,8 +7,8 @@ word its distribution over languages, so code-switched text is labelled word by
 language is the one with the largest mean over its words. Chains have at most ``CHAIN`` words; a
 longer text is several chains, all of which count.
 
-Training runs on a bounded sample: ``MAX_DOCS`` documents of smallest id hash with a known language,
-``MAX_DOC_WORDS`` words of each. Training chains are spliced from runs of words of different
+Training runs on a bounded sample of rows: the whole texts of ``MAX_DOCS`` documents of smallest id
+hash with a known language. Training chains are spliced from runs of words of different
 documents, so that switches between languages are seen. Labelling reads every whole text.
 
 Defined cases: null text or text without a letter gets ``und`` with score 0; without anything to
@@ -32,7 +32,6 @@ from .common import others, quoted, schema, text_slices, with_columns
 COLUMN_BITS = 16
 CHAIN = 64
 MAX_DOCS = 4_000
-MAX_DOC_WORDS = 60
 EPOCHS = 6
 UNKNOWN = "und"
 CACHE_WORDS = 200_000
@@ -124,12 +123,16 @@ def fit(samples: list[tuple[str, list[str]]], epochs: int = EPOCHS, seed: int =
         return {"langs": [], "weights": np.zeros((1 << COLUMN_BITS, 0)), "move": np.zeros((0, 0)), "start": np.zeros(0)}
     k, rng = len(langs), np.random.default_rng(seed)
     index = {w: i for i, w in enumerate(sorted({w for _, ws in samples for w in ws}))}
-    rows, cols = features(list(index))
-    order = np.argsort(rows, kind="stable")
-    cols, begin = cols[order], np.searchsorted(rows[order], np.arange(len(index) + 1))
+    cols, sizes, vocabulary = [], [], list(index)
+    for at in range(0, len(vocabulary), 20_000):
+        part = vocabulary[at:at + 20_000]
+        r, c = features(part)
+        cols.append(c[np.argsort(r, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(r, minlength=len(part)))
+    cols, begin = np.concatenate(cols), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
     runs = []
     for lang, ws in samples:
-        ids, at = [index[w] for w in ws], 0
+        ids, at = np.array([index[w] for w in ws], np.int64), 0
         while at < len(ids):
             size = int(rng.integers(4, 40))
             runs.append((langs.index(lang), ids[at:at + size]))
@@ -142,31 +145,25 @@ def fit(samples: list[tuple[str, list[str]]], epochs: int = EPOCHS, seed: int =
     grad_w, grad_m, grad_s = np.full_like(weights, 1e-4), np.full_like(move, 1e-4), np.full_like(start, 1e-4)
     for _ in range(epochs):
         rng.shuffle(runs)
-        chains, chain = [], []
-        for lang, ids in runs:
-            chain += [(lang, i) for i in ids]
-            if len(chain) >= CHAIN:
-                chains.append(chain[:CHAIN])
-                chain = []
-        if chain:
-            chains.append(chain)
-        for at in range(0, len(chains), 64):
-            part = sorted(chains[at:at + 64], key=len, reverse=True)
-            word = np.array([i for c in part for _, i in c])
-            label = np.array([lang for c in part for lang, _ in c])
-            ends = np.cumsum([len(c) for c in part])
-            spans = [(int(e) - len(c), int(e)) for c, e in zip(part, ends, strict=True)]
-            sizes = begin[word + 1] - begin[word]
-            f_row = np.repeat(np.arange(len(word)), sizes)
-            f_col = cols[np.arange(len(f_row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begin[word], sizes)]
-            emit = np.stack([np.bincount(f_row, weights=weights[f_col, j], minlength=len(word)) for j in range(k)], 1)
-            padded, lengths = _padded(emit, spans)
+        words = np.concatenate([ids for _, ids in runs])
+        labels = np.repeat([lang for lang, _ in runs], [len(ids) for _, ids in runs])
+        for at in range(0, len(words), 64 * CHAIN):  # chains follow each other; the last may be shorter
+            word, label = words[at:at + 64 * CHAIN], labels[at:at + 64 * CHAIN]
+            spans = [(s, min(s + CHAIN, len(word))) for s in range(0, len(word), CHAIN)]
+            ends = np.array([e for _, e in spans])
+            distinct, which = np.unique(word, return_inverse=True)
+            sizes = begin[distinct + 1] - begin[distinct]
+            starts = np.cumsum(sizes) - sizes  # every word has a feature
+            f_col = cols[np.arange(sizes.sum()) + np.repeat(begin[distinct] - starts, sizes)]
+            emit = np.add.reduceat(weights[f_col], starts, axis=0)
+            padded, lengths = _padded(emit[which], spans)
             marginal, _, moved = forward_backward(padded, lengths, move, start)
             fill = np.arange(padded.shape[1])[None, :] < lengths[:, None]
             diff = marginal[fill]
             diff[np.arange(len(label)), label] -= 1
-            touched, inverse = np.unique(f_col, return_inverse=True)
-            g = np.stack([np.bincount(inverse, weights=diff[f_row, j], minlength=len(touched)) for j in range(k)], 1) + 1e-3 * weights[touched]
+            touched = np.nonzero(np.bincount(f_col, minlength=len(weights)))[0]
+            diff = np.stack([np.bincount(which, weights=diff[:, j]) for j in range(k)], 1)
+            g = np.stack([np.bincount(f_col, weights=np.repeat(diff[:, j], sizes), minlength=len(weights))[touched] for j in range(k)], 1) + 1e-3 * weights[touched]
             grad_w[touched] += g * g
             weights[touched] -= 0.3 * g / np.sqrt(grad_w[touched])
             inside = np.ones(len(label) - 1, bool)
@@ -227,9 +224,9 @@ def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
     slim = docs.select(quoted(id_col).cast("long").alias("id"), quoted(lang_col).alias("lang"), quoted(text_col).alias("text"))
     known = slim.filter("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(learn)
     ids = known.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(max_docs)
-    part = F.substring("text", 1, 8 * MAX_DOC_WORDS)
-    rows = known.join(ids, "id", "left_semi").select("id", "lang", part.alias("text")).collect()  # at most max_docs beginnings
-    return fit(sorted((r.lang, words_of(r.text)[:MAX_DOC_WORDS]) for r in rows))
+    rows = known.join(ids, "id", "left_semi").select("lang", "text").collect()  # at most max_docs documents
+    one: dict[str, str] = {}  # of equal words one object
+    return fit(sorted((r.lang, [one.setdefault(w, w) for w in words_of(r.text)]) for r in rows))
 
 
 _LABELLERS: dict[str, Labeller] = {}

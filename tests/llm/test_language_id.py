@@ -53,3 +53,11 @@ def test_nothing_to_learn_and_empty_table(table):
     model = L.train(docs, F.lit(True))
     assert [r.lang_pred for r in L.predict(docs, model).collect()] == ["und"]
     assert L.predict(table([], "doc_id long, text string"), model).count() == 0
+
+
+def test_learns_from_whole_texts(table):
+    header = "copyright notice all rights reserved by the owner of this page " * 10
+    words = {"de": "wasser brücke straße fenster garten", "fr": "rivière montagne fenêtre jardin soleil"}
+    docs = table([(i, header + " ".join([words[lang]] * 30), lang) for i, lang in enumerate(["de", "fr"] * 20)], "doc_id long, text string, lang string")
+    got = L.predict(table([(1, words["de"]), (2, words["fr"])], "doc_id long, text string"), L.train(docs, F.lit(True))).collect()
+    assert {r.doc_id: (r.lang_pred, r.score > 0.9) for r in got} == {1: ("de", True), 2: ("fr", True)}
