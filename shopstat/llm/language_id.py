@@ -7,8 +7,9 @@ word its distribution over languages, so code-switched text is labelled word by
 language is the one with the largest mean over its words. Chains have at most ``CHAIN`` words; a
 longer text is several chains, all of which count.
 
-Training runs on a bounded sample of rows: the whole texts of ``MAX_DOCS`` documents of smallest id
-hash with a known language. Training chains are spliced from runs of words of different
+Training runs on a bounded sample of rows: the whole texts of at most ``MAX_DOCS`` documents with a known
+language (one of each language at least), in equal numbers of each language as far as it has them, those
+of smallest hash. Training chains are spliced from runs of words of different
 documents, so that switches between languages are seen. Labelling reads every whole text.
 
 Defined cases: null text or text without a letter gets ``und`` with score 0; without anything to
@@ -219,14 +220,35 @@ class Labeller:
         return np.split(out, cuts[:-1]) if len(docs) else []
 
 
+def quotas(counts: dict[str, int], total: int) -> dict[str, int]:
+    """Documents to draw of each language: equally many, more where others have fewer, at least one."""
+    out, left = {}, total
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = max(1, min(n, left // (len(counts) - i)))
+        left = max(0, left - out[lang])
+    return out
+
+
 def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_DOCS) -> dict:
     """Fit on a bounded sample of the documents for which ``learn`` (a condition on the column ``id``) holds."""
     slim = docs.select(quoted(id_col).cast("long").alias("id"), quoted(lang_col).alias("lang"), quoted(text_col).alias("text"))
-    known = slim.filter("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(learn)
-    ids = known.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(max_docs)
-    rows = known.join(ids, "id", "left_semi").select("lang", "text").collect()  # at most max_docs documents
+    known = slim.filter("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(learn).withColumn("h", F.xxhash64("id", "text"))
+    counts = {r["lang"]: r["n"] for r in known.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    quota = quotas(counts, max_docs)
+    # Hashes up to a bound, so that a language's quota lies under it all but surely; then the smallest of them.
+    bounds = []
+    for lang, q in quota.items():
+        share = (q + 6 * q ** 0.5 + 30) / counts[lang]
+        bounds.append((lang, 2**63 - 1 if share >= 1 else int(share * 2**64) - 2**63))
+    few = docs.sparkSession.createDataFrame(bounds, "lang string, bound long")
+    drawn = known.join(F.broadcast(few), "lang").filter("h <= bound").select("lang", "h", "text").dropDuplicates(["lang", "h"])
     one: dict[str, str] = {}  # of equal words one object
-    return fit(sorted((r.lang, [one.setdefault(w, w) for w in words_of(r.text)]) for r in rows))
+    samples: dict[str, list] = {}
+    for r in sorted(drawn.collect(), key=lambda r: (r.lang, r.h)):  # few more rows than max_docs
+        mine = samples.setdefault(r.lang, [])
+        if len(mine) < quota[r.lang]:
+            mine.append((r.lang, [one.setdefault(w, w) for w in words_of(r.text)]))
+    return fit(sorted(x for mine in samples.values() for x in mine))
 
 
 _LABELLERS: dict[str, Labeller] = {}

@@ -61,3 +61,12 @@ def test_learns_from_whole_texts(table):
     docs = table([(i, header + " ".join([words[lang]] * 30), lang) for i, lang in enumerate(["de", "fr"] * 20)], "doc_id long, text string, lang string")
     got = L.predict(table([(1, words["de"]), (2, words["fr"])], "doc_id long, text string"), L.train(docs, F.lit(True))).collect()
     assert {r.doc_id: (r.lang_pred, r.score > 0.9) for r in got} == {1: ("de", True), 2: ("fr", True)}
+
+
+def test_rare_language_is_learned(spark):
+    text = F.when(F.col("doc_id") % 500 == 7, "rivière montagne fenêtre jardin soleil").otherwise("wasser brücke straße fenster garten")
+    docs = spark.range(6000).withColumnRenamed("id", "doc_id").select("doc_id", text.alias("text"), F.when(F.col("doc_id") % 500 == 7, "fr").otherwise("de").alias("lang"))
+    model = L.train(docs, F.lit(True), max_docs=20)
+    assert model["langs"] == ["de", "fr"]
+    wrong = L.predict(docs, model).filter("lang_pred <> lang").count()
+    assert wrong == 0 and L.quotas({"a": 3, "b": 90, "c": 100}, 43) == {"a": 3, "b": 20, "c": 20}
