@@ -6,8 +6,8 @@ terms swapped for others of the same group, and the loss adds the squared change
 log-odds between a text and its swapped form. So a group's mention alone cannot carry a score even
 where the labels happen to go with it, and neutral mentions are not taken for abuse.
 
-Training runs on a bounded sample of labelled rows (``MAX_ROWS`` rows of smallest id hash, at most
-``MAX_WORDS`` distinct words of each): only their column numbers reach the driver. Scoring reads every
+Training runs on a bounded sample of labelled rows (``MAX_ROWS`` rows of smallest id hash, all words of
+each): only their column numbers reach the driver. Scoring reads every
 whole text. The features see the text only.
 
 Defined cases: null and empty texts get the score of the intercept; without any usable label the
@@ -28,7 +28,6 @@ from .common import others, quoted, schema, text_slices, with_columns
 
 COLUMN_BITS = 18
 MAX_ROWS = 20_000
-MAX_WORDS = 2_000
 #: Weight of the squared counterfactual difference, of absolute weights and of squared weights.
 COUNTERFACTUAL = 1.0
 #: Times the root of (log of columns / rows): below it chance alone moves a column.
@@ -168,17 +167,17 @@ def train(docs: DataFrame, labels: DataFrame, learn, max_rows: int = MAX_ROWS, i
         for batch in batches:
             for part in text_slices(batch, "text"):
                 texts = part.column("text").to_pylist()
-                both = [(columns_of(t)[:MAX_WORDS], swapped(t)) for t in texts]
-                yield pa.RecordBatch.from_arrays([part.column("y"), pa.array([a.astype("<u4").tobytes() for a, _ in both], pa.binary()),
-                                                  pa.array([None if b is None else b[:MAX_WORDS].astype("<u4").tobytes() for _, b in both], pa.binary())],
-                                                 names=["y", "own", "other"])
+                both = [(columns_of(t), swapped(t)) for t in texts]
+                packed = [[a for a, _ in both], [None if b is None else np.setdiff1d(a, b) for a, b in both], [None if b is None else np.setdiff1d(b, a) for a, b in both]]
+                yield pa.RecordBatch.from_arrays([part.column("y")] + [pa.array([None if x is None else x.astype("<u4").tobytes() for x in column], pa.binary()) for column in packed],
+                                                 names=["y", "own", "removed", "added"])
 
     rows = (docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text")).join(picked, "id").select("id", "y", "text")
-            .mapInArrow(featurise, "y int, own binary, other binary").collect())  # of at most max_rows documents
-    rows = [(bytes(r.own), None if r.other is None else bytes(r.other), r.y) for r in rows]
-    rows.sort(key=lambda r: (r[0], r[2]))  # the same order, and so the same sums, each time
-    read = lambda x: None if x is None else np.frombuffer(x, "<u4").astype(np.int64)
-    return fit([(read(a), read(b), y) for a, b, y in rows])
+            .mapInArrow(featurise, "y int, own binary, removed binary, added binary").collect())  # of at most max_rows documents
+    rows.sort(key=lambda r: (bytes(r.own), r.y))  # the same order, and so the same sums, each time
+    read = lambda x: np.frombuffer(x, "<u4").astype(np.int64)
+    own = [read(r.own) for r in rows]
+    return fit([(a, None if r.removed is None else np.union1d(np.setdiff1d(a, read(r.removed)), read(r.added)), r.y) for a, r in zip(own, rows, strict=True)])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:

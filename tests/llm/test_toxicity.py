@@ -62,3 +62,13 @@ def test_nothing_to_learn_and_empty_table(table):
     model = T.train(docs, table([], "doc_id long, toxic int"), F.lit(True))
     assert [round(r.score, 9) for r in T.score(docs, model).collect()] == [0.0]
     assert T.score(table([], "doc_id long, text string"), model).count() == 0
+
+
+def test_learns_from_all_words_of_long_texts(table):
+    filler = [f"word{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(3000)]
+    high = max((f"slur{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)), key=T._column)
+    assert sum(T._column(w) < T._column(high) for w in filler) > 2500
+    docs = table([(i, " ".join(filler + [high] * (i % 2))) for i in range(40)], "doc_id long, text string")
+    weights, _ = T.train(docs, table([(i, i % 2) for i in range(40)], "doc_id long, toxic int"), F.lit(True))
+    assert weights[T._column(high)] > 0
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in T.score(docs, (weights, _)).collect())
