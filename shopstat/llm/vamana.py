@@ -233,9 +233,8 @@ def nearest(base: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id
             for i, row in enumerate(found, at):
                 row = row[row >= 0]
                 best = np.einsum("ij,j->i", x[row], q[i])
-                got = []
-                for s, p in sorted(zip((-best).tolist(), row.tolist(), strict=True))[:k + 2]:
-                    got += [(s, v) for v in ids[p] if v != q_ids[i]]
+                last = np.sort(-best)[min(k, len(best) - 1)] if len(best) else 0.0  # of k + 1 points one may be the query's own
+                got = [(s, v) for s, p in zip((-best).tolist(), row.tolist(), strict=True) if s <= last for v in ids[p] if v != q_ids[i]]
                 out += [(q_ids[i], v, -s) for s, v in sorted(got)[:k]]
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})

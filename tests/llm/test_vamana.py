@@ -44,3 +44,9 @@ def test_few_rows_and_empty_table(table):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5])]
     assert got(nearest(table(rows, "vec_id long, embedding array<float>"), F.col("id") == 0)) == {0: [(1, 1.0), (2, 0.5)]}
     assert nearest(table([], "vec_id long, embedding array<float>"), F.col("id") == 0).count() == 0
+
+
+def test_ties_of_different_vectors_go_to_the_smallest_ids(table):
+    rows = [(1000, [1.0] + [0.0] * 60)] + [(60 - i, [0.5] + [float(i == j) for j in range(60)]) for i in range(60)]
+    have = got(nearest(table(rows, "vec_id long, embedding array<double>"), F.col("id") == 1000, 5))
+    assert have == {1000: [(i, 0.5) for i in range(1, 6)]}
