@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, kd_sharding, language_id, line_dedup, near_dedup, token_output, toxicity, vamana, warc
+from . import bitplane_kmeans, bpe, decontaminate, kd_sharding, language_id, line_dedup, near_dedup, piece_bpe, token_output, toxicity, vamana, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,18 +69,47 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op12_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    out = piece_bpe.encode_decode(table(spark, d, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_bitplane_kmeans(spark: SparkSession, d: str) -> DataFrame:
+    return bitplane_kmeans.cluster_vectors(table(spark, d, "embeddings"), k=8, rounds=10, seed=3, scale=1024)
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_vamana, op3_near_dedup, op4_token_output, op5_bpe, op6_warc, op7_toxicity,
-                                   op8_language_id, op9_kd_sharding, op10_decontaminate, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_vamana, op3_near_dedup, op4_token_output, op5_bpe, op6_warc, op7_toxicity, op8_language_id,
+                                   op9_kd_sharding, op10_decontaminate, op12_sentencepiece, op13_bitplane_kmeans, pipeline)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+
+def _lloyd_rounds(k: int, rounds: int, seed: int) -> str:
+    """DuckDB: components as rows, a table of centroids and one of assignments for each round."""
+    ctes = [f"""v AS MATERIALIZED (SELECT vec_id, unnest(range(1, 65)) AS j, unnest(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT c, j, x AS y FROM v JOIN (SELECT vec_id, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c FROM (SELECT DISTINCT vec_id FROM v)) USING (vec_id) WHERE c < {k})"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""d{r} AS (SELECT vec_id, c, CAST(sum((x - y) * (x - y)) AS BIGINT) AS distance FROM v JOIN c{r} USING (j) GROUP BY ALL),
+a{r} AS MATERIALIZED (SELECT vec_id, arg_min(c, (distance, c)) AS c, min(distance) AS distance FROM d{r} GROUP BY vec_id)""")
+        if r < rounds:
+            ctes.append(f"""s{r} AS (SELECT c, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{r} USING (vec_id) GROUP BY c, j),
+c{r + 1} AS MATERIALIZED (SELECT c, j, coalesce((s - ((s % n) + n) % n) // n, y) AS y FROM c{r} LEFT JOIN s{r} USING (c, j))""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN (SELECT c, sha256(string_agg(y, ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY c) USING (c)"""
+
+
 ORACLES = {
+    "op13_bitplane_kmeans": _lloyd_rounds(8, 10, 3),
     "op1_line_dedup": f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM d),
 k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM l),
