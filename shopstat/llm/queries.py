@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitplane_kmeans, bpe, decontaminate, kd_sharding, language_id, line_dedup, near_dedup, piece_bpe, token_output, toxicity, vamana, warc
+from . import bitplane_kmeans, bpe, collocations, decontaminate, kd_sharding, language_id, line_dedup, near_dedup, piece_bpe, token_output, toxicity, vamana, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents"), least=30, top=2000)
+
+
 def op12_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     out = piece_bpe.encode_decode(table(spark, d, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model"))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -85,7 +89,8 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_vamana, op3_near_dedup, op4_token_output, op5_bpe, op6_warc, op7_toxicity, op8_language_id,
-                                   op9_kd_sharding, op10_decontaminate, op12_sentencepiece, op13_bitplane_kmeans, pipeline)}
+                                   op9_kd_sharding, op10_decontaminate, op11_collocations, op12_sentencepiece, op13_bitplane_kmeans,
+                                   pipeline)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -109,6 +114,24 @@ FROM a{rounds} JOIN (SELECT c, sha256(string_agg(y, ',' ORDER BY j)) AS centroid
 
 
 ORACLES = {
+    "op11_collocations": f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(string_split(translate(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), ',;:!?' || chr(10) || chr(11) || chr(12) || chr(13) || chr(9), '......... '), '.')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, list_filter(string_split(piece, ' '), lambda x: x <> '') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS MATERIALIZED ({" UNION ALL ".join(f"""SELECT lang, phrase, {s} AS size, count(*) AS f FROM (
+  SELECT lang, unnest(list_transform(range(1, len(w) - {s - 2}), lambda i: array_to_string(w[i:i + {s - 1}], ' '))) AS phrase FROM w WHERE len(w) >= {s})
+  GROUP BY lang, phrase HAVING count(*) >= 30""" for s in (1, 2, 3, 4))}),
+c AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2),
+held AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, size - s + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS s FROM c)) GROUP BY ALL),
+cut AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:], ' ') AS q FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+best AS (SELECT cut.lang, cut.phrase, a, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = p JOIN f y ON y.lang = cut.lang AND y.phrase = q
+  QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN held USING (lang, phrase) JOIN total USING (lang)
+WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a
+QUALIFY rank <= 2000""",
     "op13_bitplane_kmeans": _lloyd_rounds(8, 10, 3),
     "op1_line_dedup": f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM d),
