@@ -5,8 +5,8 @@ four words are counted in the distinct chunks alone, weighted by how often each
 belongs to the chunk that owns its first word, so what lies in an overlap is counted once.
 
 Phrases are counted by size: one of s words can be frequent only if both its parts of s - 1 words are.
-Each size is first counted by a 64-bit hash; the hashes that are frequent set bits of a filter of fixed
-size. Whatever passes all filters is then counted exactly, by its words. Hashes and filters only
+Sizes below the longest are first counted by a 64-bit hash; the hashes that are frequent set bits of a
+filter of fixed size. Whatever passes all filters is then counted exactly, by its words. Hashes and filters only
 spare work: a collision lets a rare phrase through to the exact count, which drops it.
 """
 from __future__ import annotations
@@ -52,14 +52,14 @@ def _hashes(values: list[bytes]) -> np.ndarray:
 class Tokens:
     """The words and breaks (full stops) of a batch of texts, as numbers into a dictionary."""
 
-    def __init__(self, texts: list[bytes]) -> None:
-        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+    def __init__(self, texts: pa.Array) -> None:
+        lists = pc.ascii_split_whitespace(texts)
         flat = lists.flatten().dictionary_encode()
         self.words = flat.dictionary
         self.codes = flat.indices.to_numpy().astype(np.int64)
         sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
-        if b"" in texts:  # an empty text splits into one empty word
-            empty = np.array([not t for t in texts])
+        empty = pc.binary_length(texts).to_numpy(zero_copy_only=False) == 0
+        if empty.any():  # an empty text splits into one empty word
             keep = ~np.repeat(empty, sizes)
             self.codes, sizes = self.codes[keep], np.where(empty, 0, sizes)
         self.offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -69,7 +69,7 @@ class Tokens:
         self.is_word = self.codes != dot
 
 
-def _chunks(texts: list[bytes], modulus: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def _chunks(texts: pa.Array, modulus: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The chunks of texts, the row each comes from, and how many tokens at its end it does not own."""
     t = Tokens(texts)
     n = len(t.codes)
@@ -97,7 +97,7 @@ def chunk_table(docs: DataFrame, text_col: str, lang_col: str, modulus: int) ->
         for batch in batches:
             for part in text_slices(batch, "text", SLICE_BYTES):
                 texts = [t.as_py().translate(_TABLE).replace(b".", b" . ").strip() for t in part.column("text").cast(pa.binary())]
-                chunk, row, tail = _chunks(texts, modulus)
+                chunk, row, tail = _chunks(pa.array(texts, pa.binary()).view(pa.string()), modulus)
                 yield pa.RecordBatch.from_arrays([part.column("lang").take(pa.array(row)), chunk, pa.array(tail, pa.int32())], names=["lang", "chunk", "tail"])
 
     slim = docs.select(F.coalesce(quoted(lang_col), F.lit("und")).alias("lang"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
@@ -123,7 +123,7 @@ class Phrases:
     """The phrases that a batch of chunks owns, by their first token."""
 
     def __init__(self, batch: pa.RecordBatch) -> None:
-        self.tokens = t = Tokens([c.as_py() for c in batch.column("chunk").cast(pa.binary())])
+        self.tokens = t = Tokens(batch.column("chunk"))
         coded = batch.column("lang").dictionary_encode()
         self.langs, lang = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
         self.lang = lang[t.row]
@@ -159,6 +159,11 @@ class Phrases:
         """The owned phrases of ``size`` words that live: language, words and occurrences, exactly."""
         at = np.flatnonzero(self.live[size - 1] & self.owned)
         codes, words = self.tokens.codes, self.tokens.words
+        if size == 1 and int(self.weight.max(initial=0)) * len(at) < 2**53:  # floating-point sums are then exact
+            key = self.lang[at] * len(words) + codes[at]
+            total = np.bincount(key, weights=self.weight[at].astype(np.float64), minlength=len(self.langs) * len(words)).astype(np.int64)
+            found = np.flatnonzero(total)
+            return self.langs.take(pa.array(found // len(words))), words.take(pa.array(found % len(words))), total[found]
         # Numbers of the phrases so far; both factors are below the tokens of a slice, so none overflows.
         _, own = np.unique(self.lang[at], return_inverse=True)
         for i in range(size):
@@ -171,7 +176,7 @@ class Phrases:
 
 
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
     return keys[first], np.add.reduceat(weights[order], first) if len(first) else np.zeros(0, np.int64)
@@ -228,10 +233,11 @@ def _phrase_counts(chunks: DataFrame, filters: list[Broadcast]) -> DataFrame:
     def run(batches):
         for batch in _gathered(batches):
             p = Phrases(batch)
-            p.keep(filters[0].value)
-            for size, bits in enumerate(filters[1:], 2):
+            for size in range(2, LONGEST + 1):
+                p.keep(filters[size - 2].value)
                 p.extend()
-                p.keep(bits.value)
+                if size < LONGEST:
+                    p.keep(filters[size - 1].value)
                 lang, phrase, f = p.counted(size)
                 yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(f)], names=["lang", "phrase", "f"])
 
@@ -243,7 +249,7 @@ def frequent_phrases(chunks: DataFrame, least: int, filter_bits: int = FILTER_BI
     size 0, with an empty phrase, the count of all words of each language."""
     words = stored(_word_counts(chunks).filter((F.col("f") >= least) | (F.col("phrase") == "")), "words")
     filters = [_filter_of(_word_hashes(words), filter_bits)]
-    for size in range(2, LONGEST + 1):
+    for size in range(2, LONGEST):  # the longest are few by then and counted by their words at once
         filters.append(_filter_of(_hash_counts(chunks, size, filters).filter(F.col("f") >= least), filter_bits))
     both = words.unionByName(_phrase_counts(chunks, filters).filter(F.col("f") >= least))
     size = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.translate("phrase", " ", "")) + 1)
