@@ -15,16 +15,21 @@ import re
 import struct
 import unicodedata
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .common import others, quoted, schema, text_slices, with_columns
+from .common import only_cache, others, quoted, schema, text_slices, with_columns
 
-#: Entries of a worker's cache of pieces; it is emptied when full.
-CACHE_PIECES = 300_000
+#: Entries and bytes of a worker's cache of pieces and of its words; each is emptied when full.
+CACHE_PIECES, CACHE_BYTES = 300_000, 24 << 20
+#: Pairs of entries that a worker remembers.
+CACHE_PAIRS = 800_000
 
 _NONE = np.int64(2**62)
 _LAST = 2**62
@@ -63,13 +68,18 @@ class WordBpe:
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.bytes = {i: c for i, c in enumerate(byte_characters())}
+        library = Tokenizer.from_file(path)
+        self.normalise, self.pre_tokenise = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        self.plain: set[str] = set()  # characters that we take apart as the library does
+        self.odd: set[str] = set()  # and those that its tables of characters know otherwise
         self.strings: list[str] = [""] * (max([*self.vocab.values(), *self.special.values()]) + 1)
         for s, i in [*self.vocab.items(), *self.special.items()]:
             self.strings[i] = s
+        self.strings_array = pa.array(self.strings, pa.string())
         self._merges(model["merges"])
         self.ids_of: dict[str, bytes] = {}  # by piece
-        self.text_of: dict[str, bytes] = {}
-        self.ids_of_word: dict[str, list[int]] = {}
+        self.bytes_held = 0
+        self.ids_of_word: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
         self.words = self.failed = 0
 
@@ -94,9 +104,17 @@ class WordBpe:
         self.width, self.merge_pairs, self.merge_ranks = width, pairs[order], ranks[order]
         # An entry is proposed only if the merges make it of its own characters.
         self.reachable = {s for s, i in vocab.items() if self.exact(self._symbols_of(s)) == [i]}
-        self.reach: dict[str, int] = {}  # by the first two characters: the longest entry
+        # The last character of a word and the suffix are one symbol, for which a private character stands.
+        self.last = {c: chr(0xE000 + b) for b, c in self.bytes.items()}
+        self.lengths = np.zeros(width, np.int64)
+        self.automaton = ahocorasick.Automaton()
         for s in self.reachable:
-            self.reach[s[:2]] = max(len(s), self.reach.get(s[:2], 0))
+            symbols = self._symbols_of(s)
+            joined = "".join(symbols) if len(symbols[-1]) == 1 else "".join(symbols[:-1]) + self.last.get(symbols[-1][0], "")
+            if len(joined) == len(symbols):
+                self.automaton.add_word(joined, vocab[s])
+                self.lengths[vocab[s]] = len(joined)
+        self.automaton.make_automaton()
 
     def _symbols_of(self, entry: str) -> list[str]:
         suffix = self.suffix
@@ -145,27 +163,6 @@ class WordBpe:
                     heapq.heappush(heap, (m, left, ids[left], ids[after[left]]))
         return [x for x in ids if x >= 0]
 
-    def propose(self, entry: str) -> list[int] | None:
-        """Longest entries from the left; None where no entry fits. The suffix is never parted
-        from the character before it."""
-        out, i, n = [], 0, len(entry)
-        body = n - len(self.suffix)
-        vocab, reachable, reach = self.vocab, self.reachable, self.reach
-        while i < n:
-            j = min(n, i + reach.get(entry[i:i + 2], 1))
-            while True:
-                if body <= j < n:  # within the suffix, or parting it
-                    j = body - 1
-                if j <= i:
-                    return None
-                s = entry[i:j]
-                if s in reachable:
-                    out.append(vocab[s])
-                    break
-                j -= 1
-            i = j
-        return out
-
     def _merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.width + b
         at = np.minimum(np.searchsorted(self.merge_pairs, key), len(self.merge_pairs) - 1)
@@ -192,27 +189,37 @@ class WordBpe:
             live = live[~broken & (undo_left | undo_right)]
         return stands
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of words in byte characters without suffix."""
-        suffix = self.suffix
-        proposals = [self.propose(w + suffix) for w in words]
-        wanted: set[int] = set()
-        width, known = self.width, self.pairs
-        for p in proposals:
-            if p is not None and len(p) > 1:
-                wanted.update(a * width + b for a, b in zip(p, p[1:], strict=False))
-        new = np.array(list(wanted.difference(known)), dtype=np.int64)
-        if len(new):
-            if len(known) > 4 * CACHE_PIECES:
-                known.clear()
-                new = np.array(list(wanted), dtype=np.int64)
-            known.update(zip(new.tolist(), self.pairs_stand(new // width, new % width).tolist(), strict=True))
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids (little-endian unsigned 32-bit integers) of words in byte characters without suffix.
+        The longest entries of all words are found in one pass, and their neighbours checked at once."""
+        last, suffix, width = self.last, self.suffix, self.width
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        first = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
+        matches = np.array(list(self.automaton.iter_long("\n".join([w[:-1] + last[w[-1]] for w in words]))), dtype=np.int64).reshape(-1, 2)
+        ids = matches[:, 1]
+        word = np.searchsorted(first, matches[:, 0], side="right") - 1
+        whole = np.bincount(word, weights=self.lengths[ids], minlength=len(words)) == sizes
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        pairs, place = np.unique(ids[inner] * width + ids[inner + 1], return_inverse=True)
+        known = self.pairs
+        new = np.array([k for k in pairs.tolist() if k not in known], dtype=np.int64)
+        if len(known) + len(new) > CACHE_PAIRS:
+            known.clear()
+            new = pairs
+        known.update(zip(new.tolist(), self.pairs_stand(new // width, new % width).tolist(), strict=True))
+        stands = np.array([known[k] for k in pairs.tolist()], dtype=bool)
+        if len(inner):
+            whole[word[inner[~stands[place]]]] = False
+        bounds = 4 * np.searchsorted(word, np.arange(len(words) + 1))
+        flat = ids.astype("<u4").tobytes()
         out = []
-        for w, p in zip(words, proposals, strict=True):
-            if p is None or not all(known[a * width + b] for a, b in zip(p, p[1:], strict=False)):
+        for w, good, a, b in zip(words, whole.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if good:
+                out.append(flat[a:b])
+            else:
                 self.failed += 1
-                p = self.exact([*w[:-1], w[-1] + suffix])
-            out.append(p)
+                own = self.exact([*w[:-1], w[-1] + suffix])
+                out.append(struct.pack(f"<{len(own)}I", *own))
         self.words += len(words)
         return out
 
@@ -222,60 +229,81 @@ class WordBpe:
         # Lower case by single characters: no rule that looks at neighbours.
         return "".join([c.lower() for c in unicodedata.normalize("NFC", piece)])
 
-    def _split(self, text: str) -> list[str]:
+    def _words(self, part: str) -> list[str]:
+        """Words in byte characters of a part without white space."""
+        return ["".join([self.bytes[b] for b in w.encode()]) if not (w.isascii() and w.isprintable()) else w for w in self.word.findall(self._normal(part))]
+
+    def _library_words(self, part: str) -> list[str]:
+        return [w for w, _ in self.pre_tokenise(self.normalise(part))]
+
+    def _find_odd(self, texts: list[str]) -> re.Pattern | None:
+        """A pattern of the characters in ``texts`` that the library takes apart otherwise than Python's
+        tables do (they follow other versions of Unicode); each is compared once, between others."""
+        seen = set().union(*(t for t in texts if not t.isascii()))
+        for c in seen - self.plain - self.odd:
+            probe = f"a{c}b 1{c}. .{c}1, {c}{c} {c}"
+            same = [w for p in self._split(probe) for w in self._words(p)] == self._library_words(probe) and len(_SPACE.sub("", c)) == len("".join(c.split()))
+            (self.plain if same else self.odd).add(c)
+        odd = seen & self.odd
+        return re.compile("[" + "".join(map(re.escape, sorted(odd))) + "]") if odd else None
+
+    def _split(self, text: str, odd: re.Pattern | None = None) -> list[str]:
         """Pieces that encode by themselves: parted by white space, which is dropped, and with a full
-        stop or comma that stands alone behind a word parted from it."""
+        stop or comma that stands alone behind a word parted from it. What holds an odd character is
+        parted at spaces alone and left to the library."""
+        if odd is not None and odd.search(text):
+            return [p for part in text.split(" ") if part for p in ([part] if odd.search(part) else self._split(part))]
         if _CONTROL.search(text):
             return list(filter(None, _SPACE.split(text)))
         if "<|" not in text and "Σ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text)):
             text = text.lower()
         return _STOP.sub(r" \g<0>", text).split()
 
-    def _fill(self, pieces: list[str]) -> None:
-        """Encode distinct pieces without white space."""
-        plan: list[list[str | int]] = []  # of a piece: its words and special ids
-        known, new = self.ids_of_word, {}
+    def _fill(self, pieces: list[str], odd: re.Pattern | None) -> None:
+        """Encode distinct pieces without white space, but for those with odd characters."""
+        plan: list[list[str | bytes]] = []  # of a piece: its words, or the packed ids of special ones
+        known, new = self.ids_of_word, set()
         if len(known) > CACHE_PIECES:
             known.clear()
         for piece in pieces:
-            own: list[str | int] = []
+            own: list[str | bytes] = []
             for part in self.special_cut.split(piece) if self.special_cut and "<|" in piece else (piece,):
                 if part in self.special:
-                    own.append(self.special[part])
+                    own.append(struct.pack("<I", self.special[part]))
                     continue
-                found = self.word.findall(self._normal(part))
-                own += found
-                for w in found:
-                    if w not in known:
-                        new[w] = w if w.isascii() and w.isprintable() else "".join([self.bytes[b] for b in w.encode()])
+                own += self._library_words(part) if odd is not None and odd.search(part) else self._words(part)
             plan.append(own)
-        known.update(zip(new, self.encode_words(list(new.values())), strict=True))
-        strings = self.strings
+            new.update(own)
+        every = [w for w in new if isinstance(w, str) and w not in known]
+        if every:
+            known.update(zip(every, self.encode_words(every), strict=True))
         for piece, own in zip(pieces, plan, strict=True):
-            ids: list[int] = []
-            for w in own:
-                if isinstance(w, int):
-                    ids.append(w)
-                else:
-                    ids += known[w]
-            self.ids_of[piece] = struct.pack(f"<{len(ids)}I", *ids)
-            self.text_of[piece] = " ".join([strings[i] for i in ids]).encode()
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Of each text the ids, packed as little-endian unsigned 32-bit integers, and the decoded
-        text in UTF-8."""
-        split = [self._split(t) for t in texts]
-        wanted = set().union(*split)
-        missing = wanted.difference(self.ids_of)
-        if len(self.ids_of) + len(missing) > CACHE_PIECES:
+            packed = known[own[0]] if len(own) == 1 and isinstance(own[0], str) else b"".join([w if isinstance(w, bytes) else known[w] for w in own])
+            self.ids_of[piece] = packed
+            self.bytes_held += len(piece) + len(packed)
+
+    def encode(self, texts: list[str]) -> pa.Array:
+        """The ids of each text, packed as little-endian unsigned 32-bit integers."""
+        odd = self._find_odd(texts)
+        split = [self._split(t, odd) for t in texts]
+        coded = pa.array([p for s in split for p in s], pa.string()).dictionary_encode()
+        wanted = coded.dictionary.to_pylist()
+        missing = [p for p in wanted if p not in self.ids_of]
+        if len(self.ids_of) + len(missing) > CACHE_PIECES or self.bytes_held > CACHE_BYTES:
             self.ids_of.clear()
-            self.text_of.clear()
+            self.bytes_held = 0
             missing = wanted
-        every = list(missing)
-        for at in range(0, len(every), 20_000):
-            self._fill(every[at:at + 20_000])
-        ids_of, text_of = self.ids_of.__getitem__, self.text_of.__getitem__
-        return [(b"".join(map(ids_of, s)), b" ".join(filter(None, map(text_of, s)))) for s in split]
+        for at in range(0, len(missing), 20_000):
+            self._fill(missing[at:at + 20_000], odd)
+        blobs = pa.array(list(map(self.ids_of.__getitem__, wanted)), pa.binary())
+        offsets = np.concatenate([[0], np.cumsum([len(s) for s in split])])
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), blobs.take(coded.indices)), b"")
+
+    def decode_all(self, packed: pa.Array) -> pa.Array:
+        """The text of each row of packed ids: entries joined by a space."""
+        ids = np.frombuffer(b"".join(packed.to_pylist()), dtype="<u4").astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(pc.binary_length(packed).to_numpy() // 4)])
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), self.strings_array.take(pa.array(ids))), " ")
 
     def decode(self, ids: np.ndarray) -> str:
         """Entries joined by a space, as a file without a decoder asks for; unknown ids vanish."""
@@ -284,6 +312,7 @@ class WordBpe:
 
 def coder(path: str) -> WordBpe:
     """The worker's coder of a tokenizer file."""
+    only_cache("bpe", _CODERS.clear)
     if path not in _CODERS:
         _CODERS[path] = WordBpe(path)
     return _CODERS[path]
@@ -299,10 +328,8 @@ def encode_decode(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
         bpe = coder(tokenizer)
         for batch in batches:
             for part in text_slices(batch, "_text", 2 << 20):
-                got = bpe.encode([t or "" for t in part.column("_text").to_pylist()])
-                yield with_columns(part, {
-                    "_ids": pa.array([x for x, _ in got], pa.binary()),
-                    "_decoded": pa.array([y.decode() for _, y in got], pa.string())}, drop=["_text"])
+                ids = bpe.encode([t or "" for t in part.column("_text").to_pylist()])
+                yield with_columns(part, {"_ids": ids, "_decoded": bpe.decode_all(ids)}, drop=["_text"])
 
     kept = others(docs, "ids", "n_tokens", "decoded")
     slim = docs.select(F.struct(*[quoted(c) for c in kept]).alias("_row"), quoted(text_col).alias("_text"))

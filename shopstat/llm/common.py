@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -92,6 +92,20 @@ class CommittedFile:
         self.fs.move(self.temporary, self.final)
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def only_cache(owner: str, clear: Callable[[], None]) -> None:
+    """Called by a task that fills the cache of the operator ``owner``: Python workers are used by one
+    operator after the other, so the caches that others left in this worker are emptied."""
+    left = [name for name in _CACHES if name != owner]
+    for name in left:
+        _CACHES.pop(name)()
+    _CACHES[owner] = clear
+    if left:
+        pa.default_memory_pool().release_unused()
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples of Python values of the columns ``names``."""
     for batch in batches:

@@ -25,11 +25,11 @@ table stays empty. Result columns replace columns of the same name.
 from __future__ import annotations
 
 import math
-import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,49 +44,46 @@ MISS = 1e-6
 #: Longer lists are confirmed in blocks of BLOCK members.
 LONG_LIST = 48
 BLOCK = 512
-CACHE_WORDS = 400_000
 
-_SPACES = re.compile("[\x20\x09-\x0d]+")
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0         -   　]")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-_WORDS: dict[str, int] = {}
+#: A-Z to lower case and white space to spaces; only ASCII bytes change.
+_TABLE = bytes(32 if 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Pairs of short lists compared at once.
+PAIRS = 100_000
 _U = np.uint64
 
 
-def words_of(text: str) -> list[str]:
-    """Words between ASCII white space, A-Z lower-cased."""
-    text = text.lower() if text.isascii() else text.translate(_LOWER)
-    if _OTHER_SPACE.search(text):
-        return [w for w in _SPACES.split(text) if w]
-    return text.split()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
 
 
+def _shingles(v: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` neighbouring word hashes."""
+    n = len(v) - size + 1
+    out = np.full(max(n, 0), _U(size))
+    for k in range(size):
+        out = _mix(out * _U(0x9E3779B97F4A7C15) + v[k:k + len(out)])
+    return out
+
+
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """Of each text the sorted 64-bit hashes of its distinct shingles; words are parted by ASCII white space."""
+    plain = [(t or "").encode().translate(_TABLE) for t in texts.to_pylist()]
+    lists = pc.split_pattern(pa.array(plain, pa.binary()).view(pa.string()), " ")
+    words = lists.flatten()
+    coded = words.dictionary_encode()
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()], dtype=np.uint64)
+    keep = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    ends = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
+    v = hashes[coded.indices.to_numpy()][keep] if len(hashes) else np.zeros(0, np.uint64)
+    windows = _shingles(v, size)
+    return [np.unique(windows[a:b - size + 1] if b - a >= size else _shingles(v[a:b], max(b - a, 1)) if b > a else v[:0])
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
 def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """The sorted 64-bit hashes of a text's distinct shingles."""
-    words = words_of(text or "")
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_WORDS) > CACHE_WORDS:
-        _WORDS.clear()
-    get, hashes = _WORDS.get, []
-    for w in words:
-        h = get(w)
-        if h is None:
-            h = _WORDS[w] = xxhash.xxh3_64_intdigest(w)
-        hashes.append(h)
-    v = np.array(hashes, dtype=np.uint64)
-    width = min(size, len(v))
-    n = len(v) - width + 1
-    out = np.full(n, _U(width))
-    for k in range(width):
-        out = _mix(out * _U(0x9E3779B97F4A7C15) + v[k:k + n])
-    return np.unique(out)
+    return shingle_sets(pa.array([text], pa.string()), size)[0]
 
 
 @lru_cache
@@ -96,15 +93,17 @@ def _factors(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
     return r[:coordinates] | _U(1), r[coordinates:]
 
 
-def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """The minimum of each hash function over the set."""
+def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
+    """Of each set, none empty, the minimum of every hash function."""
     a, b = _factors(coordinates)
-    out = np.full(coordinates, _U(2**64 - 1))
-    for at in range(0, len(shingles), 4096):
-        part = shingles[at:at + 4096]
+    out = np.empty((len(sets), coordinates), dtype=np.uint64)
+    if sets:
+        flat = np.concatenate(sets)
+        first = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
         for j in range(coordinates):
-            h = part * a[j] + b[j]
-            out[j] = min(out[j], (h ^ (h >> _U(32))).min())
+            h = flat * a[j] + b[j]
+            h ^= h >> _U(32)
+            out[:, j] = np.minimum.reduceat(h, first)
     return out
 
 
@@ -168,13 +167,13 @@ def shingled(docs: DataFrame, shingle: int, coordinates: int, id_col: str, text_
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, "text", 4 << 20):
-                n, cls, sig = [], [], []
-                for text in part.column("text").to_pylist():
-                    s = shingle_set(text, shingle)
-                    n.append(len(s))
-                    cls.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                    sig.append(signature(s, coordinates).tobytes() if len(s) else None)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())],
+                sets = shingle_sets(part.column("text"), shingle)
+                full = [i for i, s in enumerate(sets) if len(s)]
+                sig: list[bytes | None] = [None] * len(sets)
+                for i, row in zip(full, signatures([sets[i] for i in full], coordinates), strict=True):
+                    sig[i] = row.tobytes()
+                cls = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())],
                                                  names=["id", "n_shingles", "cls", "sig"])
 
     slim = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"))
@@ -209,7 +208,19 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int, similarity: tuple[int,
     matches = needed_matches(coordinates, similarity[0] / similarity[1], MISS)
     classes = rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.first("sig").alias("sig"))
     cand = candidate_classes(classes, coordinates, matches)
-    cand = stored(cand.join(classes, "cls"), "near-candidates")
+
+    def pack(batches):
+        for batch in batches:
+            live = batch.column("live")
+            ranks = np.full((batch.num_rows, coordinates), np.iinfo(np.int64).max)
+            flat = live.flatten()
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(live).to_numpy())
+            ranks[row, flat.field("j").to_numpy()] = flat.field("rank").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("sig"), pa.array([r.tobytes() for r in ranks], pa.binary()), batch.column("prefix")],
+                                             names=["cls", "sig", "ranks", "prefix"])
+
+    cand = cand.join(classes, "cls").select("cls", "sig", "live", "prefix")
+    cand = stored(cand.mapInArrow(pack, "cls binary, sig binary, ranks binary, prefix array<struct<rank: long, j: int, v: long>>"), "near-candidates")
     # One text for each candidate class, of the smallest id that has it.
     known = F.coalesce(F.col("id"), F.lit(NULL_ID))
     ids = rows.join(cand.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min(known).alias("_id")).select("_id").distinct()
@@ -218,35 +229,53 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int, similarity: tuple[int,
     def sets_of(batches):
         for batch in batches:
             for part in text_slices(batch, "text", 4 << 20):
-                sets = [shingle_set(t, shingle) for t in part.column("text").to_pylist()]
+                sets = shingle_sets(part.column("text"), shingle)
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "set"])
 
     sets = texts.mapInArrow(sets_of, "cls binary, set binary").join(cand.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
     sets = stored(sets, "near-sets")
-    postings = cand.select("cls", "sig", F.transform("live", lambda x: F.struct(x["j"].alias("j"), x["rank"].alias("rank"))).alias("live"), F.explode("prefix").alias("p"))
-    postings = postings.select("cls", "sig", "live", F.col("p.j").alias("j"), F.col("p.v").alias("v"), F.col("p.rank").alias("rank"))
+    postings = cand.select("cls", "sig", "ranks", F.explode("prefix").alias("p"))
+    postings = postings.select("cls", "sig", "ranks", F.col("p.j").alias("j"), F.col("p.v").alias("v"), F.col("p.rank").alias("rank"))
     sizes = cand.select(F.explode("prefix").alias("p")).groupBy(F.col("p.j").alias("j"), F.col("p.v").alias("v")).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     postings = stored(postings.join(sizes, ["j", "v"]), "near-postings")
     short, long = postings.filter(F.col("members") <= LONG_LIST), postings.filter(F.col("members") > LONG_LIST)
 
-    def read(group, coords=coordinates):
-        n = len(group["cls"])
-        sig = np.frombuffer(b"".join(group["sig"]), np.uint64).reshape(n, coords)
-        live = np.full((n, coords), np.iinfo(np.int64).max)
-        for i, pairs in enumerate(group["live"]):
-            for x in pairs:
-                live[i, x["j"]] = x["rank"]
-        return sig, live
-
-    def pairs_of(table):
-        group = table.to_pydict()
-        sig, live = read(group)
-        a, b = _agreeing(sig, live, sig, live, group["rank"][0], matches, True)
-        cls = group["cls"]
-        return pa.table({"a": pa.array([cls[i] for i in a], pa.binary()), "b": pa.array([cls[i] for i in b], pa.binary())})
-
-    pairs = short.select("j", "v", "cls", "sig", "live", "rank").groupBy("j", "v").applyInArrow(pairs_of, "a binary, b binary")
+    def read(column):
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, coordinates)
+
+    def pairs_of(lists):
+        """Pairs within whole lists, one after the other: those a given distance apart at a time."""
+        j, v = lists.column("j").to_numpy(), lists.column("v").to_numpy()
+        edge = np.append(np.flatnonzero((j[1:] != j[:-1]) | (v[1:] != v[:-1])) + 1, len(j))
+        stop = edge[np.searchsorted(edge, np.arange(len(j)), side="right")]
+        sig, ranks, rank, cls = read(lists.column("sig")), read(lists.column("ranks")).view(np.int64), lists.column("rank").to_numpy(), lists.column("cls")
+        for d in range(1, LONG_LIST):
+            every = np.flatnonzero(np.arange(len(j)) + d < stop)
+            for at in range(0, len(every), PAIRS):
+                x = every[at:at + PAIRS]
+                same = sig[x] == sig[x + d]
+                first = np.where(same, ranks[x], np.iinfo(np.int64).max).min(axis=1)
+                x = x[(same.sum(axis=1) >= matches) & (first == rank[x])]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([cls.take(pa.array(x)), cls.take(pa.array(x + d))], names=["a", "b"])
+
+    def list_pairs(batches):
+        held = None  # the rows of a list that the next batch may go on with
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            j, v = rows.column("j").to_numpy(), rows.column("v").to_numpy()
+            open_ = int(np.argmax((j == j[-1]) & (v == v[-1])))
+            held = rows.slice(open_)
+            if open_:
+                yield from pairs_of(rows.slice(0, open_))
+        if held is not None:
+            yield from pairs_of(held)
+
+    in_lists = short.select("j", "v", "cls", "sig", "ranks", "rank").repartition("j", "v").sortWithinPartitions("j", "v")
+    pairs = in_lists.mapInArrow(list_pairs, "a binary, b binary")
 
     def confirm(batches):
         for batch in batches:
@@ -263,11 +292,11 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int, similarity: tuple[int,
     mine = F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int")
     blocked = long.withColumn("chunks", chunks).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     blocked = blocked.withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
-    blocked = blocked.join(sets, "cls").select("j", "v", "low", "high", "mine", "cls", "sig", "live", "rank", "set")
+    blocked = blocked.join(sets, "cls").select("j", "v", "low", "high", "mine", "cls", "sig", "ranks", "rank", "set")
 
     def block_links(table):
-        group = table.to_pydict()
-        sig, live = read(group)
+        group = table.select(["low", "high", "mine", "cls", "rank", "set"]).to_pydict()
+        sig, live = read(table.column("sig")), read(table.column("ranks")).view(np.int64)
         sets_ = [np.frombuffer(x, np.uint64) for x in group["set"]]
         low = np.array(group["mine"]) == group["low"][0]
         rows_a, rows_b = np.nonzero(low)[0], np.nonzero(~low if group["low"][0] != group["high"][0] else low)[0]
@@ -288,6 +317,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(cls, root) of every end of an edge: large stars and small stars in turn, each a written
     table, until every end hangs on the smallest of its component."""
     edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "stars")
+    # The edges as a set, told by their number and the sum of their hashes.
+    measure = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+    before = measure(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -296,11 +328,11 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(small_least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                                                        F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").filter("u <> v").distinct())
-        after = stored(small, "stars")
-        changed = after.join(edges, ["u", "v"], "left_anti").limit(1).count() + edges.join(after, ["u", "v"], "left_anti").limit(1).count()
-        edges = after
-        if not changed:
+        edges = stored(small, "stars")
+        now = measure(edges)
+        if now == before:
             break
+        before = now
     ends = edges.select(F.col("u").alias("cls"), F.col("v").alias("root"))
     return ends.unionByName(edges.select(F.col("v").alias("cls"), F.col("v").alias("root")).distinct())
 
@@ -324,5 +356,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: tu
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id stands for its component; rows that share an id stay or go together."""
     found = near_duplicates(docs, shingle, similarity, id_col=id_col, text_col=text_col)
-    gone = found.groupBy(id_col).agg(F.max("kept").alias("_kept")).filter(~F.col("_kept")).select(F.col(id_col).alias("_gone"))
+    # Written first, so that its size is known and a short list need not move the texts.
+    gone = stored(found.groupBy(id_col).agg(F.max("kept").alias("_kept")).filter(~F.col("_kept")).select(F.col(id_col).alias("_gone")), "near-gone")
     return docs.join(gone, quoted(id_col).eqNullSafe(F.col("_gone")), "left_anti").select(*[quoted(c) for c in others(docs)])

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import others, quoted, schema, text_slices, with_columns
+from .common import only_cache, others, quoted, schema, text_slices, with_columns
 
 #: Words a worker remembers and the bytes they may take; the memory is emptied when either is reached.
 CACHE_WORDS, CACHE_BYTES = 400_000, 24 << 20
@@ -101,6 +101,11 @@ class PieceBpe:
         if any(c not in normal for c in characters) or any(SPACE in p.lstrip(SPACE) for p in normal) or -1 in self.bytes:
             raise ValueError("this model file is of another kind")
         self.unknown = re.compile("[^" + "".join(map(re.escape, sorted(characters))) + "]")
+        # Where no piece mixes letters with others, no merge crosses between them, and words part there.
+        alphabet = "".join(sorted(c for c in characters if c.isalpha()))
+        letters, rest = f"[{alphabet}]+", f"[^{SPACE}{alphabet}]+"
+        apart = re.compile(f"{SPACE}*(?:{letters}|{rest})?")
+        self.atom = re.compile(f"{SPACE}*(?:{letters}|{rest})|{SPACE}+" if all(map(apart.fullmatch, normal)) else "(?s:.+)")
         self.separator = next(chr(c) for c in range(1, 0x110000) if chr(c) not in characters and chr(c) not in " \n")
         # Pieces that the merges never make are never proposed.
         self.ids = {p: i for p, i in normal.items() if len(p) == 1 or self.merged(p) == [p]}
@@ -146,26 +151,37 @@ class PieceBpe:
 
     def backtrack(self, text: str) -> list[int]:
         """Ids of a text of known characters."""
-        n, sizes, shorter, pieces = len(text), self.lengths, self.shorter, self.pieces
+        n, sizes, shorter = len(text), self.lengths, self.shorter
         longest = [-1] * n
         for last, i in self.automaton.iter(text):  # in order of their ends: the longest comes last
-            longest[last + 1 - len(pieces[i])] = i
-        failed = bytearray(n // 8 + 1)  # positions from which the rest cannot be encoded
+            longest[last + 1 - sizes[i]] = i
+        failed = None  # a bit for each position from which the rest cannot be encoded
+        fits, width = self.fits.get, len(self.pieces)
         out: list[int] = []
-        at, piece = 0, longest[0]
+        at, piece, before = 0, longest[0], 0
         while at < n:
             stop = at + sizes[piece]
-            if not failed[stop >> 3] >> (stop & 7) & 1 and (not out or self.may_follow(out[-1], piece)):
-                out.append(piece)
-                at = stop
-                if at < n:
-                    piece = longest[at]
-            elif shorter[piece] >= 0:
+            if failed is None or not failed[stop >> 3] >> (stop & 7) & 1:
+                good = fits(before + piece) if out else True
+                if good is None:
+                    good = self.may_follow(out[-1], piece)
+                if good:
+                    out.append(piece)
+                    before = piece * width
+                    at = stop
+                    if at < n:
+                        piece = longest[at]
+                    continue
+            if shorter[piece] >= 0:
                 piece = shorter[piece]
             else:
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= sizes[piece]
+                if out:
+                    before = out[-1] * width
         return out
 
     def encode_word(self, word: str) -> list[int]:
@@ -191,20 +207,21 @@ class PieceBpe:
         last, ids = matches[:, 0], matches[:, 1]
         start = last + 1 - self.sizes[ids]
         word = np.searchsorted(first, start, side="right") - 1
-        whole = np.bincount(word, weights=self.sizes[ids], minlength=len(words)) == sizes
+        whole = covered = np.bincount(word, weights=self.sizes[ids], minlength=len(words)) == sizes
         inner = np.flatnonzero(word[1:] == word[:-1])
         keys, place = np.unique(ids[inner] * len(self.pieces) + ids[inner + 1], return_inverse=True)
         fits = np.array([self.may_follow(*divmod(k, len(self.pieces))) for k in keys.tolist()], dtype=bool)
         if len(inner):
+            whole = covered.copy()
             whole[word[inner[~fits[place]]]] = False
         bounds = np.searchsorted(word, np.arange(len(words) + 1))
         flat = ids.astype("<u4").tobytes()
         out = []
-        for w, good, a, b in zip(words, whole.tolist(), (4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True):
+        for w, good, plain, a, b in zip(words, whole.tolist(), covered.tolist(), (4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True):
             if good:
                 out.append(flat[a:b])
             else:
-                own = self.encode_word(w)
+                own = self.backtrack(w) if plain else self.encode_word(w)
                 out.append(struct.pack(f"<{len(own)}I", *own))
                 self.backtracked += 1
         self.words += len(words)
@@ -231,18 +248,23 @@ class PieceBpe:
         return pc.binary_join_element_wise(begin, pc.binary_join(rows, b""), end, b"")
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        missing = [w for w in words if w not in known]
+        known, parts = self.known, self.atom.findall
+        cuts = [None if w in known else parts(w) for w in words]
+        missing = {a for c in cuts if c is not None for a in c if a not in known}
         if self.known_bytes > CACHE_BYTES or len(known) + len(missing) > CACHE_WORDS:
             known.clear()
             self.known_bytes = 0
-            missing = words
-        fresh = dict(zip(missing, self.encode_words(missing), strict=True)) if missing else {}
-        for w, ids in fresh.items():
-            if len(w) <= LONGEST_WORD:
-                known[w] = ids
-                self.known_bytes += len(w) + len(ids)
-        return [fresh[w] if w in fresh else known[w] for w in words]
+            cuts = [parts(w) for w in words]
+            missing = {a for c in cuts for a in c}
+        every = list(missing)
+        fresh = dict(zip(every, self.encode_words(every), strict=True)) if every else {}
+        long = {a: ids for a, ids in fresh.items() if len(a) > LONGEST_WORD}
+        for a in long:
+            del fresh[a]
+        known.update(fresh)
+        self.known_bytes += sum(map(len, fresh)) + sum(map(len, fresh.values()))
+        ids_of = (lambda a: known[a] if a in known else long[a]) if long else known.__getitem__
+        return [known[w] if c is None else b"".join(map(ids_of, c)) for w, c in zip(words, cuts, strict=True)]
 
     def decode(self, packed: pa.Array) -> pa.Array:
         """The text of each row of packed ids. The space that stands before a text goes, control
@@ -292,6 +314,7 @@ class PieceBpe:
 
 def coder(path: str) -> PieceBpe:
     """The worker's coder of a model file."""
+    only_cache("piece_bpe", _CODERS.clear)
     if path not in _CODERS:
         _CODERS[path] = PieceBpe(path)
     return _CODERS[path]

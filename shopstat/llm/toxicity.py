@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import others, quoted, schema, text_slices, with_columns
+from .common import only_cache, others, quoted, schema, text_slices, with_columns
 
 COLUMN_BITS = 18
 MAX_ROWS = 20_000
@@ -164,6 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, learn, max_rows: int = MAX_ROWS, i
     picked = marks.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
 
     def featurise(batches):
+        only_cache("toxicity", _COLUMNS.clear)
         for batch in batches:
             for part in text_slices(batch, "text"):
                 texts = part.column("text").to_pylist()
@@ -187,6 +188,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
     box = docs.sparkSession.sparkContext.broadcast((used, weights[used], bias))
 
     def run(batches):
+        only_cache("toxicity", _COLUMNS.clear)
         columns, values, b = box.value
         table = np.zeros(1 << COLUMN_BITS)
         table[columns] = values
