@@ -31,14 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import others, quoted, text_slices
+from .common import only_cache, others, quoted, stored, text_slices
 
 WINDOW = 8
 MIN_WORDS = 13
 MIN_SHARE = 0.8
 SHORTEST = 6
 BITMAP_BITS = 25
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 # Units and number words that become placeholders.
 UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg t oz lb lbs pound pounds ton tons ml cl l
@@ -100,6 +100,7 @@ def _learn(pieces: list[str]) -> None:
 def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
     """Token hashes with placeholders, those of the words themselves, whether each is a placeholder
     (1 name, 2 number, 3 unit, else 0), and the pieces."""
+    only_cache("decontaminate", _PIECES.clear)
     pieces = (text or "").split()
     if len(_PIECES) > CACHE_WORDS:
         _PIECES.clear()
@@ -202,7 +203,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
             yield _frame(_rows(batch.column("text").to_pylist(), batch.column("id").to_pylist(), literal, template, lambda w: np.ones(len(w), bool), window))
 
     slim = benchmark.select(quoted(item_col).cast("long").alias("id"), quoted(item_text_col).alias("text")).filter("id IS NOT NULL")
-    bench = slim.mapInArrow(items, _SCHEMA).cache()
+    bench = stored(slim.mapInArrow(items, _SCHEMA), "benchmark-windows")
     mask = (1 << BITMAP_BITS) - 1
     place = F.col("h").bitwiseAND(F.lit(mask))
     words = (bench.groupBy(F.shiftrightunsigned(place, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits"))).collect()
@@ -259,5 +260,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document holds no benchmark passage."""
-    gone = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("_gone")).distinct()
+    # Written first, so that its size is known and a short list need not move the texts.
+    gone = stored(contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
     return docs.join(gone, quoted(id_col).eqNullSafe(F.col("_gone")), "left_anti").select(*[quoted(c) for c in others(docs)])

@@ -42,8 +42,9 @@ _EDGE = 1
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, in lower case."""
-    return _LETTERS.findall((text or "").lower())
+    """Runs of letters, in lower case. Other numerals than digits (a half, a superscript) are no letters."""
+    runs = _LETTERS.findall((text or "").lower())
+    return [w for run in runs for w in ([run] if run.isalpha() else "".join([c if c.isalpha() else " " for c in run]).split())]
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

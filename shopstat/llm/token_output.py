@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 
 from . import rans
 from .bpe import byte_characters
-from .common import CommittedFile, open_store, remove, stored_at, text_slices
+from .common import CommittedFile, only_cache, open_store, remove, stored_at, text_slices
 from shopstat.session import scratch_path
 
 #: Ids of a block and of a shard, roughly: both are closed at the end of a document.
 BLOCK_TOKENS = 1 << 19
 SHARD_TOKENS = 1 << 23
 #: Entries of a worker's piece cache; it is emptied when full.
-CACHE_PIECES = 700_000
+CACHE_PIECES = 500_000
 
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 _RUN = re.compile(r"\s\s")
@@ -92,25 +92,22 @@ class PieceEncoder:
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
         get = self.pieces.__getitem__
-        marked = [self.marked(t) for t in texts]
+        odd = self.pieces.odd_in(texts)
+        whole = [odd is not None and bool(odd.search(t)) for t in texts]
+        marked = [None if w else self.marked(t) for t, w in zip(texts, whole, strict=True)]
         plain = [m for m in marked if m is not None]
         encoded = iter(self._joined(plain) if plain else ())
-        return [b"".join(map(get, self.split(t))) if m is None else next(encoded) for t, m in zip(texts, marked, strict=True)]
+        return [self.pieces.library(t) if w else b"".join(map(get, self.split(t))) if m is None else next(encoded)
+                for t, m, w in zip(texts, marked, whole, strict=True)]
 
     def _joined(self, marked: list[str]) -> list[bytes]:
         """Ids of marked texts: their pieces are numbered together, each distinct one is looked up
         once, and the ids of all are gathered by number."""
-        split = pc.split_pattern(pa.array(["\0".join(marked)], pa.large_string()), "\0").values.dictionary_encode()
-        packed = list(map(self.pieces.__getitem__, split.dictionary.to_pylist()))
-        known = np.frombuffer(b"".join(packed), "<u4")
-        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        first = np.cumsum(sizes) - sizes
-        piece = split.indices.to_numpy()
-        size = sizes[piece]
-        end = np.cumsum(size)
-        ids = known[np.repeat(first[piece] - (end - size), size) + np.arange(end[-1])]
-        ends = end[np.cumsum([m.count("\0") + 1 for m in marked]) - 1].tolist()
-        return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
+        lists = pc.split_pattern(pa.array(marked, pa.string()), "\0")
+        coded = lists.flatten().dictionary_encode()
+        packed = pa.array(list(map(self.pieces.__getitem__, coded.dictionary.to_pylist())), pa.binary())
+        offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), packed.take(coded.indices)), b"").to_pylist()
 
 
 class Pieces(dict):
@@ -122,8 +119,29 @@ class Pieces(dict):
         #: Whether words go to the merges by their bytes and nothing else happens before.
         self.plain = steps["normalizer"] is None and steps["pre_tokenizer"] == {
             "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.pre_tokenise = tokenizer.pre_tokenizer.pre_tokenize_str
+        self.alike: set[str] = set()  # characters that both take for the same kind, and the others
+        self.odd: set[str] = set()
         self.special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
 
+    def odd_in(self, texts: list[str]) -> re.Pattern | None:
+        """A pattern of the characters in ``texts`` that the library takes for another kind than Python's
+        tables do (they follow other versions of Unicode); each is compared once, between others."""
+        if not self.plain:
+            return None
+        seen = set().union(*(t for t in texts if not t.isascii()))
+        for c in seen - self.alike - self.odd:
+            probe = f"a{c}b 1{c}2 {c}{c}. .{c}"
+            own = [w.encode().decode("latin-1").translate(_BYTES) for w in _WORDS.findall(probe)]
+            alike = own == [w for w, _ in self.pre_tokenise(probe)] and c.isalpha() == (len(_WORDS.findall(f"a{c}b")) == 1)
+            alike = alike and c.isspace() == bool(regex.match(r"\s", c))
+            (self.alike if alike else self.odd).add(c)
+        odd = seen & self.odd
+        return re.compile("[" + "".join(map(re.escape, sorted(odd))) + "]") if odd else None
+
+    def library(self, text: str) -> bytes:
+        return array("I", self.whole(text, add_special_tokens=False).ids).tobytes()
+
     def __missing__(self, piece: str) -> bytes:
         letters = piece[1:] if piece.startswith(" ") else piece
         if self.plain and letters.isalpha():  # one word
@@ -143,6 +161,7 @@ class Pieces(dict):
 
 
 def _encoder(path: str) -> PieceEncoder:
+    only_cache("token_output", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]

@@ -173,7 +173,8 @@ def train(docs: DataFrame, labels: DataFrame, learn, max_rows: int = MAX_ROWS, i
                 yield pa.RecordBatch.from_arrays([part.column("y")] + [pa.array([None if x is None else x.astype("<u4").tobytes() for x in column], pa.binary()) for column in packed],
                                                  names=["y", "own", "removed", "added"])
 
-    rows = (docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text")).join(picked, "id").select("id", "y", "text")
+    # ``picked`` has at most max_rows rows of two numbers: its size is bounded by a parameter.
+    rows = (docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text")).join(F.broadcast(picked), "id").select("id", "y", "text")
             .mapInArrow(featurise, "y int, own binary, removed binary, added binary").collect())  # of at most max_rows documents
     rows.sort(key=lambda r: (bytes(r.own), r.y))  # the same order, and so the same sums, each time
     read = lambda x: np.frombuffer(x, "<u4").astype(np.int64)

@@ -156,9 +156,14 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: fl
     return graph
 
 
-def _lift(v: np.ndarray, longest: float) -> np.ndarray:
-    """One more coordinate, after which the nearest point has the largest inner product."""
-    v = v / longest
+#: Powers of two that the lengths in a shard span.
+BAND = 8
+
+
+def _lift(v: np.ndarray, power: int, longest: float) -> np.ndarray:
+    """One more coordinate, after which the nearest point has the largest inner product. Vectors are
+    scaled by a power of two first, so that no square is lost or too large."""
+    v = np.ldexp(v, -power) / longest
     rest = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", v, v)))
     rest[rest < 1e-3] = 0
     return np.concatenate([v, rest[:, None]], 1)
@@ -170,6 +175,11 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0)
 
 
+def _unit(q: np.ndarray) -> np.ndarray:
+    q = q / np.abs(q).max(axis=1, keepdims=True)
+    return q / np.linalg.norm(q, axis=1, keepdims=True)
+
+
 def _vectors(rows: list) -> np.ndarray:
     return np.array(rows, dtype=np.float64)
 
@@ -186,31 +196,46 @@ def nearest(base: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id
     few = rows.distinct().withColumn("r", F.row_number().over(salted)).filter(F.col("r") <= k + 1).drop("r")
     few = few.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).filter(F.col("r") <= k + 1)
     points = few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("dim", F.size("v"))
+    # Shards hold vectors of similar length: beside much longer ones all others look alike.
+    big = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    points = points.withColumn("big", big).withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + F.pow(x / F.col("big"), F.lit(2.0)))))
+    points = points.withColumn("band", F.floor((F.log2("big") + F.log2("norm")) / BAND).cast("int"))
     points = stored(points, "ann-points")
-    sizes = {r["dim"]: (r["n"], r["longest"]) for r in points.groupBy("dim").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("longest")).collect()}  # a row a length
-    if not sizes:
+    # A row for each length and band, of which there are few hundred at most.
+    exponent = F.floor(F.log2("big")).cast("int")
+    bands = {(r["dim"], r["band"]): r for r in points.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"), F.max(exponent).alias("power")).collect()}
+    if not bands:
         return base.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    table = F.create_map(*[F.lit(x) for d, (n, _) in sizes.items() for x in (d, max(1, math.ceil(n / shard_rows)))])
-    shards = table[F.col("dim")]
-    longest = {d: x for d, (_, x) in sizes.items()}
-    placed = points.withColumn("shard", F.pmod(F.xxhash64("v"), shards).cast("int"))
+    shards = {key: max(1, math.ceil(r["n"] / shard_rows)) for key, r in bands.items()}
+    power = {key: r["power"] for key, r in bands.items()}
+    count = F.create_map(*[F.lit(x) for (d, b), n in shards.items() for x in (f"{d} {b}", n)])[F.concat_ws(" ", "dim", "band")]
+    placed = points.withColumn("shard", F.pmod(F.xxhash64("v"), count).cast("int"))
+
+    def lifted(x, dim, band):
+        return _lift(x, power[dim, band], longest[dim, band])
+
+    scaled = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.pow(x / F.pow(F.lit(2.0), F.col("power").cast("double")), F.lit(2.0)))
+    powers = F.create_map(*[F.lit(x) for (d, b), p in power.items() for x in (f"{d} {b}", p)])[F.concat_ws(" ", "dim", "band")]
+    longest = {(r["dim"], r["band"]): r["longest"] for r in points.withColumn("power", powers).groupBy("dim", "band").agg(F.max(F.sqrt(scaled)).alias("longest")).collect()}
 
     def index(t):
         x = _vectors(t.column("v").to_pylist())
-        dim = t.column("dim")[0].as_py()
-        graph = build(_lift(x, longest[dim]))
+        dim, band = t.column("dim")[0].as_py(), t.column("band")[0].as_py()
+        graph = build(lifted(x, dim, band))
         edges = [e[e >= 0] for e in graph.edges]
-        return pa.table({"dim": t.column("dim"), "shard": t.column("shard"), "node": pa.array(np.arange(len(x)), pa.int32()), "v": t.column("v"),
+        return pa.table({"dim": t.column("dim"), "band": t.column("band"), "shard": t.column("shard"), "node": pa.array(np.arange(len(x)), pa.int32()), "v": t.column("v"),
                          "ids": t.column("ids"), "edges": pa.array(edges, pa.list_(pa.int32())), "entry": pa.array(np.full(len(x), graph.entry), pa.int32())})
 
-    kinds = "dim int, shard int, node int, v array<double>, ids array<long>, edges array<int>, entry int"
-    graphs = stored(placed.select("dim", "shard", "v", "ids").groupBy("dim", "shard").applyInArrow(index, kinds), "ann-graphs")
+    kinds = "dim int, band int, shard int, node int, v array<double>, ids array<long>, edges array<int>, entry int"
+    graphs = stored(placed.select("dim", "band", "shard", "v", "ids").groupBy("dim", "band", "shard").applyInArrow(index, kinds), "ann-graphs")
     asked = rows.filter(queries).distinct().withColumn("dim", F.size("v"))
     asked_n = asked.count()
     blocks = max(1, math.ceil(asked_n / QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), (shards - 1).cast("int"))))
+    all_shards = F.create_map(*[x for dim in {d for d, _ in shards} for x in (F.lit(dim), F.array(*[
+        F.struct(F.lit(b).alias("band"), F.lit(n).alias("n")) for (d, b), n in shards.items() if d == dim]))])
+    asked = asked.withColumn("of", F.explode(all_shards[F.col("dim")])).withColumn("band", F.col("of.band")).withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("of.n") - 1))).drop("of")
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(nodes, wanted):
@@ -218,28 +243,30 @@ def nearest(base: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id
         if not nodes.num_rows or not wanted.num_rows:
             return empty
         nodes = nodes.sort_by("node")
-        x, dim = _vectors(nodes.column("v").to_pylist()), nodes.column("dim")[0].as_py()
+        x, dim, band = _vectors(nodes.column("v").to_pylist()), nodes.column("dim")[0].as_py(), nodes.column("band")[0].as_py()
         lists = nodes.column("edges").to_pylist()
         edges = np.full((len(x), max(1, max(map(len, lists)))), -1, np.int32)
         for i, e in enumerate(lists):
             edges[i, :len(e)] = e
-        graph = Graph(_lift(x, longest[dim]), edges, nodes.column("entry")[0].as_py())
+        graph = Graph(lifted(x, dim, band), edges, nodes.column("entry")[0].as_py())
         ids = nodes.column("ids").to_pylist()
         q_ids, q = wanted.column("id").to_pylist(), _vectors(wanted.column("v").to_pylist())
-        lifted = np.concatenate([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros((len(q), 1))], 1).astype(np.float32)
+        asking = np.concatenate([_unit(q), np.zeros((len(q), 1))], 1).astype(np.float32)
         out = []
         for at in range(0, len(q), 256):
-            found, _ = graph.search(lifted[at:at + 256], max(beam, 2 * k))
+            found, _ = graph.search(asking[at:at + 256], max(beam, 2 * k))
             for i, row in enumerate(found, at):
                 row = row[row >= 0]
-                best = np.einsum("ij,j->i", x[row], q[i])
+                with np.errstate(over="ignore", invalid="ignore"):
+                    best = np.einsum("ij,j->i", x[row], q[i])
+                best[np.isnan(best)] = -np.inf  # infinite parts of both signs
                 last = np.sort(-best)[min(k, len(best) - 1)] if len(best) else 0.0  # of k + 1 points one may be the query's own
                 got = [(s, v) for s, p in zip((-best).tolist(), row.tolist(), strict=True) if s <= last for v in ids[p] if v != q_ids[i]]
                 out += [(q_ids[i], v, -s) for s, v in sorted(got)[:k]]
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
 
-    both = held.groupBy("dim", "shard", "block").cogroup(asked.groupBy("dim", "shard", "block"))
+    both = held.groupBy("dim", "band", "shard", "block").cogroup(asked.groupBy("dim", "band", "shard", "block"))
     hits = both.applyInArrow(search, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return hits.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -70,3 +70,12 @@ def test_rare_language_is_learned(spark):
     assert model["langs"] == ["de", "fr"]
     wrong = L.predict(docs, model).filter("lang_pred <> lang").count()
     assert wrong == 0 and L.quotas({"a": 3, "b": 90, "c": 100}, 43) == {"a": 3, "b": 20, "c": 20}
+
+
+def test_numerals_without_letters_are_of_no_language(table):
+    model = L.train(table([(i, t, lang) for i in range(20) for t, lang in (("the cat is on the mat", "en"), ("die Katze ist auf der Matte", "de"))],
+                          "doc_id long, text string, lang string"), F.lit(True))
+    rows = [(1, "\u00bd \u00b2 \u2460"), (2, "\u00bd"), (3, "12 _"), (4, None), (5, "x\u00b2y the")]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(table(rows, "doc_id long, text string"), model).collect()}
+    assert {d for d, (p, s) in got.items() if p == "und" and s == 0.0} == {1, 2, 3, 4}
+    assert L.words_of("x\u00b2y \u00bd") == ["x", "y"]

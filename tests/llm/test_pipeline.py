@@ -12,7 +12,7 @@ DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     out = QUERIES[name](spark, DIR)
     want = con.sql(f"SELECT {', '.join(out.columns)} FROM ({ORACLES[name]})").fetchall()

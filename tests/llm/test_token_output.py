@@ -21,6 +21,16 @@ def test_pieces_encode_as_the_library_does():
         assert np.frombuffer(ours.encode([t or ""])[0], "<u4").tolist() == theirs.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_every_code_point():
+    ours, theirs = PieceEncoder(PATH), Tokenizer.from_file(PATH)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 1 << 15):
+        texts = [f"a{chr(c)}b {chr(c)}. {chr(c)}{chr(c)}x" for c in points[at:at + (1 << 15)]]
+        want = [e.ids for e in theirs.encode_batch(texts, add_special_tokens=False)]
+        got = [np.frombuffer(b, "<u4").tolist() for b in ours.encode(texts)]
+        assert [(t, g, w) for t, g, w in zip(texts, got, want, strict=True) if g != w] == []
+
+
 def expected(rows):
     theirs, start, out = Tokenizer.from_file(PATH), 0, []
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):

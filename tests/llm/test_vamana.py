@@ -1,5 +1,6 @@
 """Graph search against brute force."""
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shopstat.llm.vamana import nearest
@@ -50,3 +51,31 @@ def test_ties_of_different_vectors_go_to_the_smallest_ids(table):
     rows = [(1000, [1.0] + [0.0] * 60)] + [(60 - i, [0.5] + [float(i == j) for j in range(60)]) for i in range(60)]
     have = got(nearest(table(rows, "vec_id long, embedding array<double>"), F.col("id") == 1000, 5))
     assert have == {1000: [(i, 0.5) for i in range(1, 6)]}
+
+
+@pytest.mark.parametrize("scales", [(1e-200,), (1e155,), (1e-200, 1.0, 1e150), (5e-324, 1e300)])
+def test_tiny_huge_and_mixed_vectors(table, scales):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=8) * scales[i % len(scales)]).tolist()) for i in range(240)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    with np.errstate(over="ignore", invalid="ignore"):
+        want = brute(rows, 20, lambda i: i % 24 == 0)
+    have = got(nearest(table(rows, "vec_id long, embedding array<double>"), F.col("id") % 24 == 0, 20, shard_rows=100))
+    assert set(have) == set(want) and all(len(v) == 20 for v in have.values())
+    if scales == (1e-200, 1.0, 1e150):  # what can be told apart is found: equal products are all as good
+        hits = [np.mean([np.isclose(s, t, rtol=1e-9, atol=0) for (_, s), (_, t) in zip(have[i], want[i], strict=True)]) for i in have]
+        assert np.mean(hits) >= 0.95
+
+
+def test_several_full_shards_have_the_recall_asked_for(table):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(200, 64))  # vectors about centres, as embeddings are; without any the recall is 0.7
+    rows = [(i, (centres[i % 200] + 0.5 * rng.normal(size=64)).astype(np.float32).tolist()) for i in range(13_000)]
+    have = got(nearest(table(rows, "vec_id long, embedding array<float>").repartition(4), F.col("id") % 500 == 0, 20))
+    x = np.array([v for _, v in rows], np.float64)
+    hits = []
+    for i, found in have.items():
+        s = x @ x[i]
+        s[i] = -np.inf
+        hits.append(len({j for j, _ in found} & set(np.argsort(-s)[:20].tolist())) / 20)
+    assert len(have) == 26 and np.mean(hits) >= 0.95
