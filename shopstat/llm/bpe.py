@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import only_cache, others, quoted, schema, text_slices, with_columns
+from .common import CharacterKinds, only_cache, others, quoted, schema, text_slices, with_columns
 
 #: Entries and bytes of a worker's cache of pieces and of its words; each is emptied when full.
 CACHE_PIECES, CACHE_BYTES = 300_000, 24 << 20
@@ -70,8 +70,7 @@ class WordBpe:
         self.bytes = {i: c for i, c in enumerate(byte_characters())}
         library = Tokenizer.from_file(path)
         self.normalise, self.pre_tokenise = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        self.plain: set[str] = set()  # characters that we take apart as the library does
-        self.odd: set[str] = set()  # and those that its tables of characters know otherwise
+        self.kinds = CharacterKinds(self._is_odd)
         self.strings: list[str] = [""] * (max([*self.vocab.values(), *self.special.values()]) + 1)
         for s, i in [*self.vocab.items(), *self.special.items()]:
             self.strings[i] = s
@@ -236,16 +235,12 @@ class WordBpe:
     def _library_words(self, part: str) -> list[str]:
         return [w for w, _ in self.pre_tokenise(self.normalise(part))]
 
-    def _find_odd(self, texts: list[str]) -> re.Pattern | None:
-        """A pattern of the characters in ``texts`` that the library takes apart otherwise than Python's
-        tables do (they follow other versions of Unicode); each is compared once, between others."""
-        seen = set().union(*(t for t in texts if not t.isascii()))
-        for c in seen - self.plain - self.odd:
-            probe = f"a{c}b 1{c}. .{c}1, {c}{c} {c}"
-            same = [w for p in self._split(probe) for w in self._words(p)] == self._library_words(probe) and len(_SPACE.sub("", c)) == len("".join(c.split()))
-            (self.plain if same else self.odd).add(c)
-        odd = seen & self.odd
-        return re.compile("[" + "".join(map(re.escape, sorted(odd))) + "]") if odd else None
+    def _is_odd(self, c: str) -> bool:
+        """Whether the library takes a character apart otherwise than Python's tables do (they follow
+        other versions of Unicode)."""
+        probe = f"a{c}b 1{c}. .{c}1, {c}{c} {c}"
+        own = [w for p in self._split(probe) for w in self._words(p)]
+        return own != self._library_words(probe) or len(_SPACE.sub("", c)) != len("".join(c.split()))
 
     def _split(self, text: str, odd: re.Pattern | None = None) -> list[str]:
         """Pieces that encode by themselves: parted by white space, which is dropped, and with a full
@@ -284,7 +279,7 @@ class WordBpe:
 
     def encode(self, texts: list[str]) -> pa.Array:
         """The ids of each text, packed as little-endian unsigned 32-bit integers."""
-        odd = self._find_odd(texts)
+        odd = self.kinds.odd_in(texts)
         split = [self._split(t, odd) for t in texts]
         coded = pa.array([p for s in split for p in s], pa.string()).dictionary_encode()
         wanted = coded.dictionary.to_pylist()

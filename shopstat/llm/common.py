@@ -3,9 +3,11 @@ folders and files that tasks read and write themselves."""
 from __future__ import annotations
 
 import posixpath
+import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
@@ -112,6 +114,26 @@ def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*(batch.column(n).to_pylist() for n in names), strict=True)
 
 
+class CharacterKinds:
+    """Which characters of texts are odd, by a test of a single one that is done once for each."""
+
+    def __init__(self, is_odd: Callable[[str], bool]) -> None:
+        self.is_odd = is_odd
+        self.kind = np.zeros(0x110000, dtype=np.uint8)  # 1 plain, 2 odd, 0 not seen yet
+        self.kind[:128] = 1
+
+    def odd_in(self, texts: Iterable[str]) -> re.Pattern | None:
+        """A pattern of the odd characters in ``texts``, if there are any."""
+        points = np.frombuffer("".join([t for t in texts if not t.isascii()]).encode("utf-32-le"), "<u4")
+        if not len(points) or (self.kind[points] == 1).all():
+            return None
+        seen = np.unique(points[self.kind[points] != 1])
+        for c in seen[self.kind[seen] == 0].tolist():
+            self.kind[c] = 2 if self.is_odd(chr(c)) else 1
+        odd = [chr(c) for c in seen[self.kind[seen] == 2].tolist()]
+        return re.compile("[" + "".join(map(re.escape, odd)) + "]") if odd else None
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` of about ``most_bytes`` of text each (at least a row), so that the
     Python copies of long texts stay small."""

@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 
 from . import rans
 from .bpe import byte_characters
-from .common import CommittedFile, only_cache, open_store, remove, stored_at, text_slices
+from .common import CharacterKinds, CommittedFile, only_cache, open_store, remove, stored_at, text_slices
 from shopstat.session import scratch_path
 
 #: Ids of a block and of a shard, roughly: both are closed at the end of a document.
 BLOCK_TOKENS = 1 << 19
 SHARD_TOKENS = 1 << 23
 #: Entries of a worker's piece cache; it is emptied when full.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 650_000
 
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 _RUN = re.compile(r"\s\s")
@@ -120,24 +120,19 @@ class Pieces(dict):
         self.plain = steps["normalizer"] is None and steps["pre_tokenizer"] == {
             "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         self.pre_tokenise = tokenizer.pre_tokenizer.pre_tokenize_str
-        self.alike: set[str] = set()  # characters that both take for the same kind, and the others
-        self.odd: set[str] = set()
+        self.kinds = CharacterKinds(self._is_odd)
         self.special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
 
+    def _is_odd(self, c: str) -> bool:
+        """Whether the library takes a character for another kind than Python's tables do (they follow
+        other versions of Unicode)."""
+        probe = f"a{c}b 1{c}2 {c}{c}. .{c}"
+        own = [w.encode().decode("latin-1").translate(_BYTES) for w in _WORDS.findall(probe)]
+        alike = own == [w for w, _ in self.pre_tokenise(probe)] and c.isalpha() == (len(_WORDS.findall(f"a{c}b")) == 1)
+        return not alike or c.isspace() != bool(regex.match(r"\s", c))
+
     def odd_in(self, texts: list[str]) -> re.Pattern | None:
-        """A pattern of the characters in ``texts`` that the library takes for another kind than Python's
-        tables do (they follow other versions of Unicode); each is compared once, between others."""
-        if not self.plain:
-            return None
-        seen = set().union(*(t for t in texts if not t.isascii()))
-        for c in seen - self.alike - self.odd:
-            probe = f"a{c}b 1{c}2 {c}{c}. .{c}"
-            own = [w.encode().decode("latin-1").translate(_BYTES) for w in _WORDS.findall(probe)]
-            alike = own == [w for w, _ in self.pre_tokenise(probe)] and c.isalpha() == (len(_WORDS.findall(f"a{c}b")) == 1)
-            alike = alike and c.isspace() == bool(regex.match(r"\s", c))
-            (self.alike if alike else self.odd).add(c)
-        odd = seen & self.odd
-        return re.compile("[" + "".join(map(re.escape, sorted(odd))) + "]") if odd else None
+        return self.kinds.odd_in(texts) if self.plain else None
 
     def library(self, text: str) -> bytes:
         return array("I", self.whole(text, add_special_tokens=False).ids).tobytes()
@@ -174,15 +169,23 @@ def encode_texts(docs: DataFrame, tokenizer: str, end_id: int | None = 0,
 
     def run(batches):
         encoder = _encoder(tokenizer)
-        end = b"" if end_id is None else struct.pack("<I", end_id)
+        end = pa.scalar(b"" if end_id is None else struct.pack("<I", end_id), pa.binary())
         for batch in batches:
-            for part in text_slices(batch, "text", 4 << 20):
-                packed = [np.frombuffer(x + end, "<u4") for x in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
-                wide = [bool(len(x)) and int(x.max()) > 0xFFFF for x in packed]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([len(x) for x in packed], pa.int64()), pa.array(wide, pa.bool_()),
-                    pa.array([x.tobytes() if w else x.astype("<u2").tobytes() for x, w in zip(packed, wide, strict=True)], pa.binary())],
-                    names=["doc_id", "n_tokens", "wide", "ids"])
+            for part in text_slices(batch, "text", 6 << 20):
+                packed = pa.array(encoder.encode([t or "" for t in part.column("text").to_pylist()]), pa.binary())
+                packed = pc.binary_join_element_wise(packed, end, b"")
+                n = pc.binary_length(packed).to_numpy() // 4
+                ids = np.frombuffer(b"".join(packed.to_pylist()), "<u4")
+                at = np.concatenate([[0], np.cumsum(n)])
+                if len(ids) and ids.max() > 0xFFFF:
+                    rows = [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                    wide = [bool(len(x)) and int(x.max()) > 0xFFFF for x in rows]
+                    out = pa.array([x.tobytes() if w else x.astype("<u2").tobytes() for x, w in zip(rows, wide, strict=True)], pa.binary())
+                else:
+                    wide = [False] * len(n)
+                    out = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((2 * at).astype("<i4")), pa.py_buffer(ids.astype("<u2"))])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(wide, pa.bool_()), out],
+                                                 names=["doc_id", "n_tokens", "wide", "ids"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return slim.mapInArrow(run, "doc_id long, n_tokens long, wide boolean, ids binary")
