@@ -12,14 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY_DIGITS = 2
-#: Money is summed as decimals: the same total for any partitioning, exact to 10^32.
-MONEY_TYPE = "decimal(28,6)"
+#: Money is summed as whole numbers, so a total is the same for any partitioning.
+MONEY_UNITS = 1_000_000
 
 
 def money_sum(amount: str | Column) -> Column:
-    """Exact sum of an amount; an all-null group gives null."""
-    c = F.col(amount) if isinstance(amount, str) else amount
-    return F.sum(c.cast(MONEY_TYPE))
+    """Exact sum of an amount, as a decimal of six digits; an all-null group gives null. A row adds two
+    longs, its whole part and its millionths; decimals come in above the aggregate, once per group.
+    A row keeps six decimals as far as a double has them (below 4e9 all). The millionths would need
+    2^43 rows to overflow, the whole parts a total of 9.2e18: then the sum is an error, no wrong number."""
+    c = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    whole = F.floor(c)
+    millionths = F.rint((c - whole) * F.lit(float(MONEY_UNITS))).cast("long")
+    total = F.sum(whole).cast("decimal(19,0)") + F.sum(millionths).cast("decimal(19,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    return total.cast("decimal(38,6)")
 
 
 def money(total: str | Column) -> Column:

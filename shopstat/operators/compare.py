@@ -44,3 +44,15 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, metrics: Sequence[str
               .when(F.col("_in_left").isNull(), F.lit("right_only"))
               .when(same, F.lit("match")).otherwise(F.lit("differ")))
     return j.select(*cols, status.alias("status"))
+
+
+# R9 with repeated keys — the two tables as bags: how often each row (key and values, nulls equal)
+# comes on either side. Both sides are counted in one aggregation, so a repeated key costs its
+# distinct rows and never multiplies; status: match / differ / left_only / right_only.
+def reconcile_bags(left: DataFrame, right: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    columns = [*keys, *metrics]
+    sides = [df.select(*columns, F.lit(a).cast("long").alias("_l"), F.lit(b).cast("long").alias("_r")) for df, a, b in ((left, 1, 0), (right, 0, 1))]
+    both = sides[0].unionByName(sides[1]).groupBy(*columns).agg(F.sum("_l").alias("left_count"), F.sum("_r").alias("right_count"))
+    status = (F.when(F.col("left_count") == F.col("right_count"), "match").when(F.col("right_count") == 0, "left_only")
+              .when(F.col("left_count") == 0, "right_only").otherwise("differ"))
+    return both.withColumn("status", status)

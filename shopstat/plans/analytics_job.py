@@ -10,7 +10,6 @@ reads the order lines again; it is deleted when the reports are written.
 from __future__ import annotations
 
 import os
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +19,7 @@ from shopstat.operators.aggregates import money, money_sum
 from shopstat.operators.joins import enrich_orders
 from shopstat.operators.reports import country_rollup, country_totals, month_trend
 from shopstat.session import discard, stored
+from shopstat.sources.files import save_together
 from shopstat.sources.tables import load_parquet_nanos
 
 # Dataset names of the stored reports (they differ from the function names for two of them).
@@ -97,16 +97,13 @@ def write_reports(orders: DataFrame, products: DataFrame, customers: DataFrame,
     agg, scratch = stored_aggregate(orders, products)
     paths = {name: os.path.join(str(processed_dir), f"{OUTPUT_NAMES[name]}.parquet") for name in OUTPUT_NAMES}
 
-    def write(item):
-        name, df = item
-        # The reports are small (bounded by customers/categories/months); one file each.
-        df.coalesce(1).write.mode("overwrite").parquet(paths[name])
-
-    # The four writes are independent jobs over the stored aggregate: submit them
-    # together so their small final stages share the executors instead of queueing.
-    with ThreadPoolExecutor(max_workers=len(OUTPUT_NAMES)) as pool:
-        list(pool.map(write, reports_from_aggregate(agg, customers, n).items()))
-    discard(spark, scratch)
+    # The reports are small (bounded by customers/categories/months); one file each. They take
+    # their places together when all four are whole.
+    reports = reports_from_aggregate(agg, customers, n)
+    try:
+        save_together({paths[name]: df for name, df in reports.items()}, single_file=True)
+    finally:
+        discard(spark, scratch)
     return paths
 
 

@@ -7,7 +7,11 @@ timestamps as strings).
 """
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # CSV text form of timestamps: microseconds kept, no zone (timestamp_ntz).
@@ -16,21 +20,73 @@ _CSV_OPTIONS = {"header": "true", "timestampNTZFormat": CSV_TIMESTAMP_FORMAT,
                 "timestampFormat": CSV_TIMESTAMP_FORMAT, "dateFormat": "yyyy-MM-dd"}
 
 
-# S2 — Parquet sink, overwrite in place; returns the path
+# S2 — Parquet sink; returns the path. What was there stays until the new dataset is whole.
 def save_parquet(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").parquet(str(path))
+    save_together({str(path): df})
     return str(path)
 
 
+def save_together(datasets: dict[str, DataFrame], single_file: bool = False) -> None:
+    """Write Parquet datasets that belong together: each is written beside its place, and only when
+    all are whole do they take their places, by renames. A write that fails leaves all old ones."""
+    spark = next(iter(datasets.values())).sparkSession
+    jvm = spark.sparkContext._jvm
+    tag = uuid.uuid4().hex[:12]
+
+    def beside(path: str, kind: str):
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return jvm.org.apache.hadoop.fs.Path(at.getParent(), f"_{kind}-{tag}-{at.getName()}")
+
+    staged = {path: beside(path, "staged") for path in datasets}
+    fs = next(iter(staged.values())).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def write(path: str) -> None:
+        df = datasets[path]
+        (df.coalesce(1) if single_file else df).write.parquet(staged[path].toString())
+
+    try:
+        # Independent jobs: submitted together, their small final stages share the executors.
+        with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
+            list(pool.map(write, datasets))
+    except BaseException:
+        for at in staged.values():
+            fs.delete(at, True)
+        raise
+    for path, at in staged.items():
+        place, old = jvm.org.apache.hadoop.fs.Path(path), beside(path, "replaced")
+        if fs.exists(place) and not fs.rename(place, old) or not fs.rename(at, place):
+            raise OSError(f"cannot put the new dataset in its place: {path}")
+        fs.delete(old, True)
+
+
 # S3 — CSV sink with a header row
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").options(**_CSV_OPTIONS).csv(str(path))
     return str(path)
 
 
-# S4 — CSV scan with an explicit schema
+# S4 — CSV scan with an explicit schema. A record that does not fit it is an error, never nulls.
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**_CSV_OPTIONS).csv(str(path))
+    return spark.read.schema(schema).options(**_CSV_OPTIONS, mode="FAILFAST").csv(str(path))
+
+
+#: The text of a record that does not fit the schema.
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_set_aside(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """S4 for files that may hold malformed records (a field of another type, too few or too many
+    fields): the rows that fit, and the text and file of each record that does not. Both read the
+    files; every record is in one of the two, so their counts add up to the records there are."""
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = spark.read.schema(whole).options(**_CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).csv(str(path))
+    # Every field is read whatever the caller selects: otherwise a record would count as good or bad
+    # by the columns that happen to be asked for.
+    read = F.length(F.concat_ws("", *[F.col("`" + c.replace("`", "``") + "`").cast("string") for c in schema.names])) >= 0
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file")).filter(read)
+    good = rows.filter(F.col(CORRUPT).isNull()).select(*schema.names)
+    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"), F.col("_file").alias("file"))
+    return good, bad
 
 
 # S5 — ORC sink
