@@ -7,9 +7,10 @@ sorted inside each partition, and numbered locally. The only global step is over
 one row per partition: the rows before each partition, a table bounded by the
 partition count, which is broadcast back. A running total follows from that rank.
 
-The laid-out frame is checkpointed to the shared checkpoint folder: range
-boundaries come from sampling, and the local numbering must describe one fixed
-layout even if a later stage is re-run after an executor loss.
+The laid-out frame is written once, with its numbering, to the shared checkpoint
+folder: range boundaries come from sampling, and the local numbers must describe one
+fixed layout even if a later stage is re-run after an executor loss. The input is read
+by the sample and by the one sort; the table goes when the driver program ends.
 """
 from __future__ import annotations
 
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstat.session import checkpoint_dir
+from shopstat.session import stored
 
 _PID, _IDX = "_part_id", "_part_row"
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row number
@@ -45,8 +46,7 @@ def _layout(df: DataFrame, order: Sequence[Column], num_partitions: int | None)
         .withColumn(_IDX, F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
         .drop("_mid")
     )
-    checkpoint_dir(df.sparkSession)
-    return laid.checkpoint(eager=True)
+    return stored(laid, "rank-layout")[0]
 
 
 def _partition_offsets(laid: DataFrame) -> DataFrame:

@@ -5,11 +5,14 @@ Jobs never build their own session: they take the caller's ``SparkSession``.
 """
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import sys
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -60,10 +63,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: set[str] = set()  # tables of this program that are not deleted yet
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder for a written table."""
+    """A fresh, unique path under the shared checkpoint folder for a written table. What its owner
+    has not deleted by then goes when the driver program ends: results are read lazily."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, "shopstat-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, "shopstat-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.add(path)
+    return path
+
+
+@atexit.register
+def _discard_all() -> None:
+    jvm = SparkContext._jvm
+    if not _SCRATCH or jvm is None:
+        return
+    try:  # the JVM may be gone, or the folder with the cluster
+        context = SparkContext._active_spark_context
+        conf = context._jsc.hadoopConfiguration() if context is not None and context._jsc is not None else jvm.org.apache.hadoop.conf.Configuration()
+        for path in _SCRATCH:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+    except Exception as e:  # noqa: BLE001
+        print(f"scratch tables are left: {e}", file=sys.stderr)
 
 
 def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
@@ -77,6 +101,7 @@ def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tupl
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete one of our own scratch tables that nothing reads any more."""
+    _SCRATCH.discard(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
