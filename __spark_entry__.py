@@ -636,7 +636,7 @@ FROM orders"""
     for fmt in ("csv", "parquet", "orc"):
         o[f"format_roundtrip_{fmt}"] = "SELECT * FROM lineitem"
     o["format_comparison"] = """SELECT f.format, (SELECT count(*) FROM lineitem) AS rows_read, true AS rows_match, true AS has_size,
-       f.saving AS baseline_saving_pct
+       true AS has_cpu, true AS has_energy, f.saving AS baseline_saving_pct
 FROM (VALUES ('CSV', CAST(0 AS DOUBLE)), ('Parquet', NULL), ('ORC', NULL)) AS f(format, saving)"""
     watts = f"* {_f(65.0)} / {_f(3600.0)}"
     o["metrics_sink"] = f"""SELECT event_type AS format, 'events/' || event_type AS file_path, count(*) / {_f(1048576.0)} AS file_size_mb,

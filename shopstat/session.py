@@ -28,6 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
+        .config("spark.executor.metrics.pollingInterval", "100ms")  # heap of running tasks, for the format comparison
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if event_log_dir:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +48,7 @@ def save_together(datasets: dict[str, DataFrame], single_file: bool = False) ->
     try:
         # Independent jobs: submitted together, their small final stages share the executors.
         with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
-            list(pool.map(write, datasets))
+            list(pool.map(inheritable_thread_target(spark)(write), datasets))
     except BaseException:
         for at in staged.values():
             fs.delete(at, True)

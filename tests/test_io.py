@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -73,7 +75,10 @@ def test_format_comparison(spark, tmp_dir):
     saved = spark.read.option("header", "true").csv(os.path.join(tmp_dir, "metrics.csv"))
     assert saved.count() == 3 and "energy_saving_pct" in saved.columns
     text = {r["Format"]: r for r in metrics_as_text(metrics).collect()}
-    assert text["CSV"]["Storage Savings (%)"] == "0.00" and text["CSV"]["Energy (Wh)"] is None
+    assert text["CSV"]["Storage Savings (%)"] == "0.00" and text["CSV"]["Energy (Wh)"] is not None
+    for r in rows.values():
+        assert r["cpu_time_s"] > 0 and r["energy_wh"] == pytest.approx(r["cpu_time_s"] * 65 / 3600)
+    assert rows["CSV"]["energy_saving_pct"] == 0.0 and rows["ORC"]["energy_saving_pct"] is not None
 
 
 def test_metrics_sink_column_names(spark, tmp_dir):
