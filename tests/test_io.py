@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-import pytest
-
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from shopstat.plans import analytics_job
@@ -16,7 +17,7 @@ from shopstat.plans.dataset_report import dataset_report
 from shopstat.plans.formats import compare_formats, metrics_as_text, roundtrip
 from shopstat.sources.files import read_csv, save_metrics, write_csv
 from shopstat.sources.storage import stored_bytes_value
-from shopstat.sources.tables import load_parquet_nanos
+from shopstat.sources.tables import _footer_by_hadoop, _footers_in_tasks, file_groups, load_parquet_nanos
 
 
 def _bench_table(spark, n=2000):
@@ -52,6 +53,51 @@ def test_nanosecond_parquet_is_normalised(spark, tmp_dir):
                    (3, dt.datetime(2262, 4, 11, 23, 47, 16, 854775))]
 
 
+def _part(folder, name, ids, stamps, unit, **more):
+    os.makedirs(folder, exist_ok=True)
+    kind = pa.timestamp(unit, more.pop("tz", None))
+    table = pa.table({"id": pa.array(ids, pa.int64()), "ts": pa.array(stamps, pa.int64()).cast(kind), **more})
+    pq.write_table(table, os.path.join(folder, name), version="2.6", coerce_timestamps=None)
+
+
+def test_files_of_several_writers(spark, tmp_dir):
+    """An empty first file, nanoseconds, microseconds, a zoned column, a bigint that is no time, a
+    column that one file alone has, and odd characters in the folder's name."""
+    folder = os.path.join(tmp_dir, "mixed [a] {b}")
+    at = dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
+    micros = int(at.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000 + 123456
+    _part(folder, "a.parquet", [], [], "us")
+    _part(folder, "b.parquet", [1, None], [micros * 1000 + 789, None], "ns")
+    _part(folder, "c.parquet", [2], [micros], "us")
+    _part(folder, "d e.parquet", [3], [micros], "us", tz="UTC")
+    _part(folder, "f.parquet", [4], [-1], "ns", extra=pa.array([7], pa.int64()))
+    df = load_parquet_nanos(spark, folder.replace("[", "\\[").replace("]", "\\]").replace("{", "\\{").replace("}", "\\}"))
+    assert df.dtypes == [("id", "bigint"), ("ts", "timestamp_ntz"), ("extra", "bigint")]
+    rows = sorted((tuple(r) for r in df.collect()), key=lambda r: r[0] or 0)
+    assert rows == [(None, None, None), (1, at, None), (2, at, None), (3, at, None), (4, dt.datetime(1969, 12, 31, 23, 59, 59, 999999), 7)]
+    assert df.filter("id = 2").count() == 1 and spark.conf.get("spark.sql.legacy.parquet.nanosAsLong", "false") == "false"
+
+
+def test_several_writers_under_partition_folders(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "parts")
+    for k, unit in ((1, "us"), (2, "ns"), (10, "ns")):
+        _part(os.path.join(folder, f"k={k}"), "x.parquet", [k * 100], [10**9], unit)
+    rows = sorted(tuple(r) for r in load_parquet_nanos(spark, folder).select("id", "ts", "k").collect())
+    second, later = dt.datetime(1970, 1, 1, 0, 0, 1), dt.datetime(1970, 1, 1, 0, 16, 40)
+    assert rows == [(100, later, 1), (200, second, 2), (1000, second, 10)]
+
+
+def test_footers_that_only_the_driver_can_read(spark, tmp_dir):
+    """A scheme that Arrow does not know: the same columns by Spark's own file system."""
+    _part(tmp_dir, "n.parquet", [1], [5], "ns", other=pa.array([1], pa.int64()))
+    uri = "file://" + os.path.join(tmp_dir, "n.parquet")
+    (files, names, nanos), = file_groups(spark, [uri])
+    assert (files, names, nanos) == ([uri], {"id", "ts", "other"}, {"ts"})
+    assert [set(x) for x in _footer_by_hadoop(spark, uri)[1:]] == [names, nanos]
+    unknown = pa.RecordBatch.from_arrays([pa.array(["viewfs://store/n.parquet"])], names=["uri"])
+    assert [b.to_pylist() for b in _footers_in_tasks([unknown])] == [[{"uri": "viewfs://store/n.parquet", "layout": None, "names": None, "nanos": None}]]
+
+
 def test_sizes_and_dataset_report(spark, tmp_dir):
     root = os.path.join(tmp_dir, "store", "x", "store")  # the root's name repeats in its own path
     _bench_table(spark).write.parquet(os.path.join(root, "a.parquet"))
