@@ -1,17 +1,19 @@
 """Command line: the four jobs of the original project, run on Spark.
 
     python -m shopstat generate  --out DIR [--customers N --products N --orders N --seed S]
-    python -m shopstat analytics --raw DIR --processed DIR [--top N]
+    python -m shopstat analytics (--raw DIR | --bucketed DIR) --processed DIR [--top N]
     python -m shopstat formats   --out DIR [--rows N]
     python -m shopstat compare   --raw DIR [--top N]
     python -m shopstat model     --tables DIR --out DIR
+    python -m shopstat bucket    --raw DIR --out DIR [--buckets N]
 
 ``generate`` stores customers/products/orders and prints the stored-dataset report;
 ``analytics`` writes the four reports; ``formats`` runs the CSV/Parquet/ORC
 comparison and stores the metrics CSV; ``compare`` reconciles the top customers
 under Spark null rules with the zero-fill (pandas) rules on the same orders;
 ``model`` materialises the sales model from TPC-H-like tables (lineitem, orders,
-part, customer, nation) in the raw layout the other commands read.
+part, customer, nation) in the raw layout the other commands read; ``bucket`` stores
+such a layout bucketed by product, for reports that shuffle no order line.
 Uses the active session if there is one (e.g. under spark-submit).
 """
 from __future__ import annotations
@@ -28,6 +30,7 @@ from shopstat.plans import analytics_job, generate
 from shopstat.plans.dataset_report import dataset_report
 from shopstat.plans.formats import compare_formats, metrics_as_text
 from shopstat.sources import model
+from shopstat.sources.bucketed import bucket_model
 from shopstat.sources.tables import load_parquet_nanos
 
 
@@ -55,7 +58,9 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     g.add_argument("--orders", type=int, default=1_000_000)
     g.add_argument("--seed", type=int, default=generate.DEFAULT_SEED)
     a = sub.add_parser("analytics")
-    a.add_argument("--raw", required=True)
+    source = a.add_mutually_exclusive_group(required=True)
+    source.add_argument("--raw")
+    source.add_argument("--bucketed")
     a.add_argument("--processed", required=True)
     a.add_argument("--top", type=int, default=10)
     f = sub.add_parser("formats")
@@ -67,6 +72,10 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     m = sub.add_parser("model")
     m.add_argument("--tables", required=True)
     m.add_argument("--out", required=True)
+    b = sub.add_parser("bucket")
+    b.add_argument("--raw", required=True)
+    b.add_argument("--out", required=True)
+    b.add_argument("--buckets", type=int)
     args = p.parse_args(argv)
     spark = spark or _session()
 
@@ -76,7 +85,8 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         print(f"Generated in {time.perf_counter() - t0:.2f} s")
         dataset_report(spark, args.out).show(truncate=False)
     elif args.cmd == "analytics":
-        paths = analytics_job.run_analytics(spark, args.raw, args.processed, args.top)
+        run, source = (analytics_job.run_analytics, args.raw) if args.raw else (analytics_job.run_bucketed, args.bucketed)
+        paths = run(spark, source, args.processed, args.top)
         for name, path in paths.items():
             print(name, "->", path)
             spark.read.parquet(path).show(truncate=False)
@@ -92,6 +102,8 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     elif args.cmd == "model":
         for name, path in model.write_model(spark, args.tables, args.out).items():
             print(name, "->", path)
+    elif args.cmd == "bucket":
+        print("bucketed model ->", bucket_model(spark, args.raw, args.out, args.buckets))
 
 
 if __name__ == "__main__":

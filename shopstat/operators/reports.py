@@ -42,7 +42,10 @@ def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int = 10
 
 def customer_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue and units per customer (no limit): the shared input of R1 and R4."""
-    enriched = enrich_orders(orders.select("customer_id", "product_id", "quantity"), products)
+    return customer_revenue_of(enrich_orders(orders.select("customer_id", "product_id", "quantity"), products))
+
+
+def customer_revenue_of(enriched: DataFrame) -> DataFrame:
     agg = revenue_and_units(enriched, ["customer_id"], "total_revenue", "units_purchased")
     return agg.select("customer_id", money("total_revenue").alias("total_revenue"), "units_purchased")
 

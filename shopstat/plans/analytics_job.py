@@ -19,6 +19,7 @@ from shopstat.operators.aggregates import money, money_sum
 from shopstat.operators.joins import enrich_orders
 from shopstat.operators.reports import country_rollup, country_totals, month_trend
 from shopstat.session import discard, stored
+from shopstat.sources.bucketed import open_bucketed
 from shopstat.sources.files import save_together
 from shopstat.sources.tables import load_parquet_nanos
 
@@ -36,10 +37,11 @@ _GID_CUSTOMER, _GID_CATEGORY, _GID_MONTH = 0b011, 0b101, 0b110
 
 
 def shared_aggregate(orders: DataFrame, products: DataFrame) -> DataFrame:
-    enriched = enrich_orders(
-        orders.select("customer_id", "product_id", "quantity", "order_date"), products
-    ).withColumn("month_start", month_start("order_date"))
-    return enriched.groupingSets(
+    return enriched_aggregate(enrich_orders(orders.select("customer_id", "product_id", "quantity", "order_date"), products))
+
+
+def enriched_aggregate(enriched: DataFrame) -> DataFrame:
+    return enriched.withColumn("month_start", month_start("order_date")).groupingSets(
         [["customer_id"], ["category"], ["month_start"]], "customer_id", "category", "month_start"
     ).agg(
         money_sum("revenue").alias("revenue"),
@@ -93,8 +95,18 @@ def reports_from_aggregate(agg: DataFrame, customers: DataFrame, n: int = 10) ->
 def write_reports(orders: DataFrame, products: DataFrame, customers: DataFrame,
                   processed_dir: str, n: int = 10) -> dict[str, str]:
     """Compute the four reports and write them under ``processed_dir``; returns the paths."""
-    spark = orders.sparkSession
-    agg, scratch = stored_aggregate(orders, products)
+    return _write_reports_of(shared_aggregate(orders, products), customers, processed_dir, n)
+
+
+def run_bucketed(spark: SparkSession, model_dir: str, processed_dir: str, n: int = 10) -> dict[str, str]:
+    """The four reports over a stored bucketed model: no order line passes an exchange."""
+    model = open_bucketed(spark, model_dir)
+    return _write_reports_of(enriched_aggregate(model.enriched()), model.customers, processed_dir, n)
+
+
+def _write_reports_of(aggregate: DataFrame, customers: DataFrame, processed_dir: str, n: int) -> dict[str, str]:
+    spark = aggregate.sparkSession
+    agg, scratch = stored(aggregate, "report-aggregate", ("gid",))
     paths = {name: os.path.join(str(processed_dir), f"{OUTPUT_NAMES[name]}.parquet") for name in OUTPUT_NAMES}
 
     # The reports are small (bounded by customers/categories/months); one file each. They take

@@ -8,7 +8,9 @@ timestamps as strings).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +29,10 @@ def save_parquet(df: DataFrame, path: str) -> str:
     return str(path)
 
 
-def save_together(datasets: dict[str, DataFrame], single_file: bool = False) -> None:
-    """Write Parquet datasets that belong together: each is written beside its place, and only when
-    all are whole do they take their places, by renames. A write that fails leaves all old ones."""
-    spark = next(iter(datasets.values())).sparkSession
+@contextmanager
+def staged_together(spark: SparkSession, paths: Sequence[str]):
+    """For each path, one beside it to write to. Only when the block ends without an error do they
+    take their places, by renames; otherwise they are deleted and the old ones stay."""
     jvm = spark.sparkContext._jvm
     tag = uuid.uuid4().hex[:12]
 
@@ -38,17 +40,10 @@ def save_together(datasets: dict[str, DataFrame], single_file: bool = False) ->
         at = jvm.org.apache.hadoop.fs.Path(path)
         return jvm.org.apache.hadoop.fs.Path(at.getParent(), f"_{kind}-{tag}-{at.getName()}")
 
-    staged = {path: beside(path, "staged") for path in datasets}
+    staged = {path: beside(path, "staged") for path in paths}
     fs = next(iter(staged.values())).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def write(path: str) -> None:
-        df = datasets[path]
-        (df.coalesce(1) if single_file else df).write.parquet(staged[path].toString())
-
     try:
-        # Independent jobs: submitted together, their small final stages share the executors.
-        with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
-            list(pool.map(inheritable_thread_target(spark)(write), datasets))
+        yield {path: at.toString() for path, at in staged.items()}
     except BaseException:
         for at in staged.values():
             fs.delete(at, True)
@@ -60,6 +55,21 @@ def save_together(datasets: dict[str, DataFrame], single_file: bool = False) ->
         fs.delete(old, True)
 
 
+def save_together(datasets: dict[str, DataFrame], single_file: bool = False) -> None:
+    """Write Parquet datasets that belong together: each is written beside its place, and only when
+    all are whole do they take their places, by renames. A write that fails leaves all old ones."""
+    spark = next(iter(datasets.values())).sparkSession
+    with staged_together(spark, list(datasets)) as staged:
+
+        def write(path: str) -> None:
+            df = datasets[path]
+            (df.coalesce(1) if single_file else df).write.parquet(staged[path])
+
+        # Independent jobs: submitted together, their small final stages share the executors.
+        with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
+            list(pool.map(inheritable_thread_target(spark)(write), datasets))
+
+
 # S3 — CSV sink with a header row
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").options(**_CSV_OPTIONS).csv(str(path))
