@@ -467,6 +467,14 @@ def _sql_u(key, seed, salt):
     return f"least((CAST({bits} AS DOUBLE) + {_f(0.5)}) / {_f(2.0**53)}, {_f(1.0 - 2.0**-53)})"
 
 
+def _sql_order_parts(key, seed):
+    digest, at, out = f"md5('{seed}:{G.S_ORDER // 2}:' || CAST(CAST({key} AS BIGINT) AS VARCHAR))", 1, {}
+    for name, digits in G.ORDER_PARTS.items():
+        out[name] = f"((CAST(CAST('0x' || substr({digest}, {at}, {digits}) AS BIGINT) AS DOUBLE) + {_f(0.5)}) / {_f(16.0**digits)})"
+        at += digits
+    return out
+
+
 def _sql_uniform_real(key, seed, salt, a, b):
     return f"({_f(a)} + {_sql_u(key, seed, salt)} * {_f(b - a)})"
 
@@ -567,8 +575,9 @@ p{i + 1} AS (SELECT customer_id, registration_date,
   ((CASE WHEN r < h THEN (r + {squared('k', down)}) % h * w + k ELSE x END) + {shift} % n) % n AS x FROM a{i}),"""
                        for i, (across, down, shift) in enumerate(G.permutation_keys(seed)))
     days = f"greatest(date_diff('day', CAST(registration_date AS DATE), DATE '{as_of.isoformat()}'), 0)"
-    rand_days = f"CAST(floor({_sql_u(oid, seed, G.S_DAYS)} * ({days} + 1)) AS BIGINT)"
-    rand_secs = _sql_uniform_int(oid, seed, G.S_SECONDS, 0, "86400")
+    u = _sql_order_parts(oid, seed)
+    rand_days = f"CAST(floor({u['_days']} * ({days} + 1)) AS BIGINT)"
+    rand_secs = f"CAST(floor({u['_seconds']} * 86400) AS BIGINT)"
     keys = "SELECT c_custkey AS customer_id FROM customer"
     return f"""WITH cust AS ({_sql_customers(keys, seed, as_of)}),
 w AS (SELECT customer_id, {_sql_pareto('customer_id', seed, G.S_WEIGHT, 1.5, 1.0)} AS weight FROM cust),
@@ -583,8 +592,8 @@ p0 AS (SELECT customer_id, registration_date, CAST(pos AS BIGINT) AS x FROM posi
 {rounds}
 numbered AS (SELECT customer_id, registration_date, x + 1 AS order_id FROM p{G.ROUNDS})
 SELECT order_id, CAST(customer_id AS BIGINT) AS customer_id,
-  CAST({first_product} + floor({_sql_u(oid, seed, G.S_PRODUCT)} * {n_products}) AS BIGINT) AS product_id,
-  CAST({_sql_uniform_int(oid, seed, G.S_QUANTITY, 1, '11')} AS SMALLINT) AS quantity,
+  CAST({first_product} + floor({u['_product']} * {n_products}) AS BIGINT) AS product_id,
+  CAST(1 + floor({u['_quantity']} * 10) AS SMALLINT) AS quantity,
   registration_date + to_days(CAST({rand_days} AS INTEGER)) + to_seconds({rand_secs}) AS order_date
 FROM numbered"""
 

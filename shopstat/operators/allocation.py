@@ -31,10 +31,11 @@ QUOTA_DIGITS = 6
 
 def skewed_allocation(keys: DataFrame, key: str, weight: Column, total: int,
                       top_fraction: float = 0.2, top_share: float = 0.8,
-                      remainder: str = "fraction", num_partitions: int | None = None) -> DataFrame:
+                      remainder: str = "fraction", num_partitions: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``carry``: further columns of ``keys`` to keep beside the key."""
     if remainder not in ("fraction", "weight"):
         raise ValueError("remainder must be 'fraction' or 'weight'")
-    w = keys.select(F.col(key), weight.cast("double").alias("weight"))
+    w = keys.select(F.col(key), *carry, weight.cast("double").alias("weight"))
     ranked = global_row_number(w, [F.col("weight").desc(), F.col(key).asc()], "weight_rank", num_partitions)
 
     n_keys = ranked.count()
@@ -82,7 +83,7 @@ def skewed_allocation(keys: DataFrame, key: str, weight: Column, total: int,
                 extra = F.when(F.lit(n_keys) - F.col("remainder_rank") + 1 <= F.lit(-missing), F.lit(-1)) \
                     .otherwise(F.lit(0))
     count = (F.col("base") + extra).cast("long")
-    return out.select(key, "weight", "weight_rank", "is_top", "quota", count.alias("order_count"))
+    return out.select(key, *carry, "weight", "weight_rank", "is_top", "quota", count.alias("order_count"))
 
 
 def _remainder_cut(quotas: DataFrame, total: int):

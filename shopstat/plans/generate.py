@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from shopstat.functions import random as rnd
 from shopstat.functions.exprs import add_days_seconds, capitalize_first, clip, drop_last_char, epoch_seconds_to_ntz
 from shopstat.operators.allocation import skewed_allocation
-from shopstat.operators.joins import lookup_customer_attribute
 from shopstat.operators.ranking import running_sum_by_rank
 
 # ---- fixed values -----------------------------------------------------------
@@ -51,8 +50,10 @@ EMAIL_DOMAINS = ["example.com", "example.org", "example.net"]
 # Salts: one per random column.
 S_FIRST, S_LAST, S_DOMAIN, S_AGE, S_CITY, S_COUNTRY, S_REG = 1, 2, 3, 4, 6, 7, 8
 S_CATEGORY, S_WORD, S_PRICE, S_STOCK, S_RATING = 11, 12, 13, 14, 15
-S_WEIGHT, S_PRODUCT, S_QUANTITY, S_DAYS, S_SECONDS = 21, 22, 23, 24, 25
+S_WEIGHT, S_ORDER = 21, 22
 S_AMOUNT, S_DATE = 31, 32
+# An order's columns share the digest of S_ORDER: hex digits of each, 32 in all.
+ORDER_PARTS = {"_product": 13, "_quantity": 5, "_days": 7, "_seconds": 7}
 
 DEFAULT_SEED = 42
 DEFAULT_AS_OF = dt.date(2025, 6, 30)
@@ -153,11 +154,12 @@ def permuted(df: DataFrame, column: str, n: int, seed: int) -> DataFrame:
 
 def order_counts(customers: DataFrame, n_orders: int, seed: int = DEFAULT_SEED, top_share: float = 0.8,
                  remainder: str = "fraction", pareto_offset: float = 1.0,
-                 num_partitions: int | None = None) -> DataFrame:
-    """G7 + G12: Pareto weights per customer, then the exact skewed allocation."""
-    keyed = rnd.with_hashes(customers.select("customer_id"), "customer_id", seed, {"_h_weight": S_WEIGHT})
+                 num_partitions: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """G7 + G12: Pareto weights per customer, then the exact skewed allocation. ``carry``: columns of
+    the customers to keep."""
+    keyed = rnd.with_hashes(customers.select("customer_id", *carry), "customer_id", seed, {"_h_weight": S_WEIGHT})
     weight = rnd.pareto(_u("_h_weight"), 1.5, pareto_offset)
-    return skewed_allocation(keyed, "customer_id", weight, n_orders, 0.2, top_share, remainder, num_partitions)
+    return skewed_allocation(keyed, "customer_id", weight, n_orders, 0.2, top_share, remainder, num_partitions, carry)
 
 
 def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, seed: int = DEFAULT_SEED,
@@ -169,13 +171,12 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
     added to the Lomax draw: 1.0 gives classic Pareto weights, a tiny value (1e-6)
     the heavier-tailed variant."""
     spark = customers.sparkSession
-    counts = order_counts(customers, n_orders, seed, top_share, remainder, pareto_offset, num_partitions)
+    # The registration date travels with its customer from here to the orders.
+    counts = order_counts(customers, n_orders, seed, top_share, remainder, pareto_offset, num_partitions, ("registration_date",))
     # Blocks of positions are laid end to end in weight-rank order; the rank is dense
     # and unique, so the prefix sum needs no sort of the customers (W4 by rank).
-    placed = running_sum_by_rank(counts.select("customer_id", "weight_rank", "order_count"),
+    placed = running_sum_by_rank(counts.select("customer_id", "registration_date", "weight_rank", "order_count"),
                                  "weight_rank", "order_count", "start_pos", inclusive=False)
-    # The registration date travels with the customer row into the expansion.
-    placed = lookup_customer_attribute(placed, customers, "registration_date")
 
     # Split every customer into chunks of at most chunk_rows orders (G11 guarded: no
     # chunk rows for a zero count), spread the chunks, then expand them.
@@ -194,18 +195,17 @@ def orders_for_customers(customers: DataFrame, n_orders: int, n_products: int, s
     ).select("customer_id", "registration_date", (F.col("chunk_start") + F.col("i")).alias("pos"))
     # The allocation is exact, so there are exactly N positions.
     ids = permuted(rows, "pos", n_orders, seed)
-    salts = {"_h_product": S_PRODUCT, "_h_quantity": S_QUANTITY, "_h_days": S_DAYS, "_h_seconds": S_SECONDS}
-    h = rnd.with_hashes(ids.select((F.col("pos") + 1).alias("order_id"), "customer_id", "registration_date"),
-                        "order_id", seed, salts)
+    h = rnd.with_parts(ids.select((F.col("pos") + 1).alias("order_id"), "customer_id", "registration_date"),
+                       "order_id", seed, S_ORDER // 2, ORDER_PARTS)
     days = F.greatest(F.datediff(F.lit(as_of), F.col("registration_date").cast("date")), F.lit(0))
     return h.select(
         "order_id",
         F.col("customer_id").cast("long").alias("customer_id"),
-        rnd.uniform_int(_u("_h_product"), first_product_id, first_product_id + n_products).cast("long")
+        rnd.uniform_int(F.col("_product"), first_product_id, first_product_id + n_products).cast("long")
         .alias("product_id"),
-        rnd.uniform_int(_u("_h_quantity"), 1, 11).cast("smallint").alias("quantity"),
-        add_days_seconds(F.col("registration_date"), rnd.uniform_upto(_u("_h_days"), days),
-                         rnd.uniform_int(_u("_h_seconds"), 0, 86400)).alias("order_date"),
+        rnd.uniform_int(F.col("_quantity"), 1, 11).cast("smallint").alias("quantity"),
+        add_days_seconds(F.col("registration_date"), rnd.uniform_upto(F.col("_days"), days),
+                         rnd.uniform_int(F.col("_seconds"), 0, 86400)).alias("order_date"),
     )
 
 
