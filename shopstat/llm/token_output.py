@@ -34,9 +34,12 @@ from .bpe import byte_characters
 from .common import CharacterKinds, CommittedFile, only_cache, open_store, remove, stored_at, text_slices
 from shopstat.session import scratch_path
 
-#: Ids of a block and of a shard, roughly: both are closed at the end of a document.
+#: Ids of a block and of a shard, roughly: both are closed at the end of a document, but that a
+#: document longer than a block is cut.
 BLOCK_TOKENS = 1 << 19
 SHARD_TOKENS = 1 << 23
+#: Ids of a part in which a long document's blocks are decoded.
+PART_TOKENS = 1 << 18
 #: Entries of a worker's piece cache; it is emptied when full.
 CACHE_PIECES = 650_000
 
@@ -213,7 +216,7 @@ def count_ids(encoded: DataFrame) -> DataFrame:
     return encoded.select("wide", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-_MANIFEST = "shard int, block int, path string, at long, bytes long, n_docs long, n_tokens long, crc32 long"
+_MANIFEST = "shard int, block int, path string, at long, bytes long, n_docs long, n_tokens long, crc32 long, cut long"
 
 
 def write_token_store(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, vocabulary: int = 1 << 16,
@@ -239,12 +242,12 @@ def write_token_store(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         doc_ids: list[int | None] = []
         rows: list[tuple] = []
 
-        def close_block():
+        def close_block(cut=None):
             lengths = np.array([len(x) for x in ids], dtype="<u8")
             known = np.array([x is not None for x in doc_ids], dtype="u1")
             index = struct.pack("<I", len(ids)) + known.tobytes() + np.array([x or 0 for x in doc_ids], dtype="<i8").tobytes() + lengths.tobytes()
             data = index + rans.encode_block(np.concatenate(ids), table)
-            rows.append((shard, len(rows), f"{folder}/{name}", out.size, len(data), len(ids), int(lengths.sum()), zlib.crc32(data)))
+            rows.append((shard, len(rows), f"{folder}/{name}", out.size, len(data), len(ids), int(lengths.sum()), zlib.crc32(data), cut))
             out.write(data)
             ids.clear()
             doc_ids.clear()
@@ -254,9 +257,19 @@ def write_token_store(docs: DataFrame, tokenizer: str, folder: str, end_id: int
             if out is None and batch.num_rows:
                 table, out = rans.Table(table_box.value), CommittedFile(folder, name, task.taskAttemptId())
             for doc_id, wide, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "wide", "ids")), strict=True):
-                ids.append(_unpack(wide, blob))
+                own = _unpack(wide, blob)
+                if len(own) > block_tokens:  # a long document: blocks of its own, each with its place in it
+                    if ids:
+                        close_block()
+                        held = 0
+                    for at in range(0, len(own), block_tokens):
+                        ids.append(own[at:at + block_tokens])
+                        doc_ids.append(doc_id)
+                        close_block(at)
+                    continue
+                ids.append(own)
                 doc_ids.append(doc_id)
-                held += len(ids[-1])
+                held += len(own)
                 if held >= block_tokens:
                     close_block()
                     held = 0
@@ -265,9 +278,9 @@ def write_token_store(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         if out is not None:
             out.commit()
             columns = list(zip(*rows, strict=True))
-            kinds = [pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 5]
+            kinds = [pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 6]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                             names=["shard", "block", "path", "at", "bytes", "n_docs", "n_tokens", "crc32"])
+                                             names=["shard", "block", "path", "at", "bytes", "n_docs", "n_tokens", "crc32", "cut"])
 
     ordered = (encoded.repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("ids")))
@@ -275,14 +288,26 @@ def write_token_store(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     remove(spark, at)
 
 
-def read_token_store(spark: SparkSession, folder: str) -> DataFrame:
+def _block(path: str, at: int, size: int, crc: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Of a stored block: which documents have an id, the ids, their numbers of token ids, the coded part."""
+    store, local = open_store(path)
+    with store.open_input_file(local) as f:
+        data = f.read_at(size, at)
+    if zlib.crc32(data) != crc:
+        raise ValueError(f"{path}: the block at {at} is damaged")
+    n = struct.unpack_from("<I", data)[0]
+    known, doc_ids = np.frombuffer(data, "u1", n, 4), np.frombuffer(data, "<i8", n, 4 + n)
+    return known, doc_ids, np.frombuffer(data, "<u8", n, 4 + 9 * n).astype(np.int64), data[4 + 17 * n:]
+
+
+def read_token_store(spark: SparkSession, folder: str, part_tokens: int = PART_TOKENS) -> DataFrame:
     """doc_id, start (ids of all documents before it), ids (unsigned 32-bit little-endian)."""
     blocks = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
     shards = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("in_shard"))
     before = shards.select("shard", (F.sum("in_shard").over(Window.orderBy("shard")) - F.col("in_shard")).alias("base"))
     in_shard = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("block")) - F.col("n_tokens")
     placed = blocks.withColumn("start", in_shard).join(before, "shard").select(
-        "path", "at", "bytes", "crc32", (F.col("start") + F.col("base")).alias("start"))
+        "path", "at", "bytes", "crc32", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "cut")
     frequencies = np.frombuffer(spark.read.parquet(f"{folder}/table").first().frequencies, "<u4")
     table_box = spark.sparkContext.broadcast(frequencies)
 
@@ -290,24 +315,34 @@ def read_token_store(spark: SparkSession, folder: str) -> DataFrame:
         table = rans.Table(table_box.value)
         for batch in batches:
             for path, at, size, crc, start in zip(*(batch.column(c).to_pylist() for c in ("path", "at", "bytes", "crc32", "start")), strict=True):
-                store, local = open_store(path)
-                with store.open_input_file(local) as f:
-                    data = f.read_at(size, at)
-                if zlib.crc32(data) != crc:
-                    raise ValueError(f"{path}: the block at {at} is damaged")
-                n = struct.unpack_from("<I", data)[0]
-                known = np.frombuffer(data, "u1", n, 4)
-                doc_ids = np.frombuffer(data, "<i8", n, 4 + n)
-                lengths = np.frombuffer(data, "<u8", n, 4 + 9 * n).astype(np.int64)
-                ids = rans.decode_block(data[4 + 17 * n:], table).astype("<u4")
+                known, doc_ids, lengths, coded = _block(path, at, size, crc)
+                ids = rans.decode_block(coded, table).astype("<u4")
                 ends = np.cumsum(lengths)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(doc_ids, pa.int64(), mask=known == 0), pa.array(start + ends - lengths, pa.int64()),
                     pa.array([ids[e - k:e].tobytes() for e, k in zip(ends, lengths, strict=True)], pa.binary())],
                     names=["doc_id", "start", "ids"])
 
+    def read_part(batches):
+        table = rans.Table(table_box.value)
+        for batch in batches:
+            for path, at, size, crc, start, cut, first in zip(*(batch.column(c).to_pylist() for c in ("path", "at", "bytes", "crc32", "start", "cut", "first")), strict=True):
+                known, doc_ids, _, coded = _block(path, at, size, crc)
+                ids = rans.decode_block(coded, table, first, first + part_tokens).astype("<u4")
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64(), mask=known == 0), pa.array([start - cut], pa.int64()),
+                                                  pa.array([cut + first], pa.int64()), pa.array([ids.tobytes()], pa.binary())], names=["doc_id", "start", "place", "ids"])
+
+    def join(parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("place")
+        return pa.table({"doc_id": parts.column("doc_id")[:1], "start": parts.column("start")[:1], "ids": pa.array([b"".join(parts.column("ids").to_pylist())], pa.binary())})
+
     many = max(1, spark.sparkContext.defaultParallelism * 4)
-    return placed.repartition(many).mapInArrow(read, "doc_id long, start long, ids binary")
+    result = "doc_id long, start long, ids binary"
+    whole = placed.filter("cut IS NULL").repartition(many).mapInArrow(read, result)
+    parts = placed.filter("cut IS NOT NULL").withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.lit(part_tokens).cast("long"))))
+    # A document's parts meet by its start, which no other document shares: one row of the result.
+    long_ones = parts.repartition(many).mapInArrow(read_part, "doc_id long, start long, place long, ids binary").groupBy("start").applyInArrow(join, result)
+    return whole.unionByName(long_ones)
 
 
 def token_store_digest(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:

@@ -55,6 +55,25 @@ def test_small_blocks_and_shards(spark, table, tmp_dir):
     assert got == expected(rows)
 
 
+def test_long_documents_are_cut_and_joined(spark, table, tmp_dir):
+    rows = [(3, "one two three four " * 100_000), (1, "short"), (2, None), (None, "a b c d " * 80_000), (4, "after"), (3, "one two three four " * 100_000), (5, "x y " * 70_000)]
+    write_token_store(table(rows, "doc_id long, text string"), PATH, tmp_dir + "/s", block_tokens=300_000, shard_tokens=1 << 20)
+    cuts = spark.read.parquet(tmp_dir + "/s/manifest").filter("cut IS NOT NULL")
+    assert cuts.count() >= 6 and cuts.filter("n_tokens > 300000").count() == 0
+    read = read_token_store(spark, tmp_dir + "/s", part_tokens=1 << 17)
+    got = sorted(((r.doc_id, r.start, len(r.ids) // 4, zlib.crc32(r.ids)) for r in read.collect()), key=lambda r: r[1])
+    assert got == expected(rows)
+
+
+def test_parts_begin_at_checkpoints():
+    ids = np.random.default_rng(1).zipf(1.3, 400_000) % 50_257
+    t = rans.Table.of_counts(np.bincount(ids, minlength=50_257))
+    data = rans.encode_block(ids, t)
+    mark = rans.LANES * rans.CHECKPOINT_STEPS
+    for first, stop in ((0, mark), (mark, 2 * mark), (2 * mark + 5, 400_000), (3 * mark - 1, 3 * mark + 1), (399_999, 400_000)):
+        assert (rans.decode_block(data, t, first, stop) == ids[first:stop]).all()
+
+
 def test_empty_table(table):
     assert token_store_digest(table([], "doc_id long, text string"), PATH).count() == 0
 
