@@ -37,7 +37,7 @@ from shopstat.plans.formats import check_formats, compare_formats, roundtrip  #
 from shopstat.sources.storage import stored_bytes  # noqa: E402
 from shopstat.sources.tables import load_parquet, load_parquet_nanos, table_path  # noqa: E402
 from shopstat.schemas import DRIVER_TABLES, FORMAT_METRICS  # noqa: E402
-from shopstat.sources.files import read_csv, save_metrics  # noqa: E402
+from shopstat.sources.files import read_csv, read_csv_inferred, save_metrics, write_csv  # noqa: E402
 from shopstat.session import discard, scratch_path, stored  # noqa: E402
 from shopstat.sources import model  # noqa: E402
 from shopstat.sources.bucketed import bucket_model, open_bucketed  # noqa: E402
@@ -188,6 +188,13 @@ def _gen_benchmark(spark, d):
 
 
 
+def _csv_inferred(spark, d):
+    # The types come from the CSV text alone; the casts then only widen (int to long).
+    orders, at = model.raw(spark, d, "orders"), scratch_path(spark, "csv-inferred")
+    read = read_csv_inferred(spark, write_csv(orders, at))
+    return read.select(*[F.col(f.name).cast(f.dataType) for f in orders.schema.fields])
+
+
 def _format_roundtrip(fmt):
     def run(spark, d):
         return roundtrip(model.raw(spark, d, "lineitem"), fmt, scratch_path(spark, f"roundtrip-{fmt}"))
@@ -376,6 +383,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "format_roundtrip_csv": _format_roundtrip("csv"),
         "format_roundtrip_parquet": _format_roundtrip("parquet"),
         "format_roundtrip_orc": _format_roundtrip("orc"),
+        "csv_inferred_orders": _csv_inferred,
         "format_comparison": _format_comparison,
         "metrics_sink": _metrics_sink,
         "orders_normalised": lambda s, d: load_parquet_nanos(s, table_path(d, "orders")),
@@ -669,6 +677,7 @@ FROM orders"""
     o["scan_customer"] = "SELECT * FROM customer"
     for fmt in ("csv", "parquet", "orc"):
         o[f"format_roundtrip_{fmt}"] = "SELECT * FROM lineitem"
+    o["csv_inferred_orders"] = "SELECT * FROM orders"
     o["format_comparison"] = """SELECT f.format, (SELECT count(*) FROM lineitem) AS rows_read, true AS rows_match, true AS has_size,
        true AS has_cpu, true AS has_energy, f.saving AS baseline_saving_pct
 FROM (VALUES ('CSV', CAST(0 AS DOUBLE)), ('Parquet', NULL), ('ORC', NULL)) AS f(format, saving)"""

@@ -1,9 +1,9 @@
 """Sinks and readers for the three Spark-native formats.
 
 Writers produce one file per partition (no ``coalesce(1)`` on data that grows);
-readers always take an explicit schema, so types survive a round trip through
-CSV text (schema inference would turn a smallint into an int, and read
-timestamps as strings).
+readers take an explicit schema, so types survive a round trip through CSV text
+(a smallint comes back as one). Only CSV files whose types nobody knows are read by
+inferred ones (``read_csv_inferred``).
 """
 from __future__ import annotations
 
@@ -81,6 +81,26 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**_CSV_OPTIONS, mode="FAILFAST").csv(str(path))
 
 
+def infer_csv(spark: SparkSession, path: str, texts: Sequence[str] = ()) -> T.StructType:
+    """The schema of CSV files whose types are not known: one pass over all their records, by tasks,
+    so a value far down counts as much as the first. Whole numbers become int or long (a decimal of
+    no digits beyond), others double, dates and zoneless timestamps such, true and false boolean, all else text.
+    A column without any value is text. ``texts`` names columns that stay text whatever they hold (codes
+    with leading zeros)."""
+    kept = spark.conf.get("spark.sql.timestampType")
+    spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")  # a text without a zone is a wall clock
+    try:
+        found = spark.read.options(**_CSV_OPTIONS, inferSchema="true", samplingRatio="1.0", enforceSchema="false").csv(str(path)).schema
+    finally:
+        spark.conf.set("spark.sql.timestampType", kept)
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in texts else f.dataType) for f in found.fields])
+
+
+def read_csv_inferred(spark: SparkSession, path: str, texts: Sequence[str] = ()) -> DataFrame:
+    """S4 without a schema: types from ``infer_csv``, then read strictly by them."""
+    return read_csv(spark, path, infer_csv(spark, path, texts))
+
+
 #: The text of a record that does not fit the schema.
 CORRUPT = "_corrupt_record"
 
