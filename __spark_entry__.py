@@ -151,7 +151,7 @@ def _gen_products(spark, d):
 
 
 def _gen_orders(spark, d):
-    customers = _gen_customers(spark, d)
+    customers = G.registration_dates(model.raw(spark, d, "customer").select(F.col("c_custkey").alias("customer_id")))
     n_orders = model.raw(spark, d, "orders").count()
     n_products, first_product = model.raw(spark, d, "part").agg(F.count(F.lit(1)), F.min("p_partkey")).first()
     return G.orders_for_customers(customers, n_orders, n_products, first_product_id=first_product)

@@ -85,9 +85,6 @@ def customers_for_keys(keys: DataFrame, seed: int = DEFAULT_SEED, as_of: dt.date
     h = rnd.with_hashes(keys.select(F.col("customer_id").cast("long")), "customer_id", seed, salts)
     first = rnd.choice(_u("_h_first"), FIRST_NAMES)
     last = rnd.choice(_u("_h_last"), LAST_NAMES)
-    start = years_before(as_of, 5)
-    span = (as_of - start).days
-    reg_day = F.date_add(F.lit(start), rnd.uniform_int(_u("_h_reg"), 0, span + 1).cast("int"))
     age = clip(F.round(rnd.normal(_u("_h_age1"), _u("_h_age2"), 35.0, 10.0)), 18, 90).cast("int")
     return h.select(
         "customer_id",
@@ -97,10 +94,23 @@ def customers_for_keys(keys: DataFrame, seed: int = DEFAULT_SEED, as_of: dt.date
         age.alias("age"),
         rnd.choice(_u("_h_city"), CITIES).alias("city"),
         rnd.choice(_u("_h_country"), COUNTRIES).alias("country"),
-        reg_day.cast("timestamp_ntz").alias("registration_date"),
+        _registration(as_of),
     )
 
 
+def _registration(as_of: dt.date):
+    """A day of the five years up to ``as_of``, from the hash ``_h_reg``."""
+    start = years_before(as_of, 5)
+    day = F.date_add(F.lit(start), rnd.uniform_int(_u("_h_reg"), 0, (as_of - start).days + 1).cast("int"))
+    return day.cast("timestamp_ntz").alias("registration_date")
+
+
+def registration_dates(keys: DataFrame, seed: int = DEFAULT_SEED, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
+    """Of the customers only what their orders need: key and registration date, as in ``customers_for_keys``."""
+    h = rnd.with_hashes(keys.select(F.col("customer_id").cast("long")), "customer_id", seed, {"_h_reg": S_REG})
+    return h.select("customer_id", _registration(as_of))
+
+
 # ---- G14 products -----------------------------------------------------------
 def products_for_keys(keys: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     salts = {"_h_category": S_CATEGORY, "_h_word": S_WORD, "_h_price": S_PRICE, "_h_stock": S_STOCK,
