@@ -3,6 +3,7 @@ rows for any partitioning or chunk size."""
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 import numpy as np
 import pytest
@@ -134,3 +135,23 @@ def test_surplus_is_taken_only_from_keys_that_have_a_unit(spark):
     for total in (2999, 3000, 12_345):
         got = skewed_allocation(keys, "k", F.col("w"), total).agg(F.sum("order_count"), F.min("order_count")).first()
         assert got[0] == total and got[1] >= 0
+
+
+def test_every_order_column_has_a_draw_of_its_own(spark):
+    """Product, quantity, day and second: 53 bits each of the digest of their salts, not parts of one."""
+    customers = G.customers_for_keys(spark.range(1, 31).withColumnRenamed("id", "customer_id"))
+    registered = {r.customer_id: r.registration_date for r in customers.collect()}
+
+    def u(order_id: int, salt: int) -> float:
+        digest = hashlib.md5(f"{G.DEFAULT_SEED}:{salt // 2}:{order_id}".encode()).hexdigest()
+        at = salt % 2 * rnd.HEX_DIGITS
+        return min(((int(digest[at:at + rnd.HEX_DIGITS], 16) >> 3) + 0.5) / 2.0**53, 1.0 - 2.0**-53)
+
+    rows = G.orders_for_customers(customers, 400, 50).collect()
+    assert len(rows) == 400
+    for r in rows:
+        start = registered[r.customer_id]
+        days = (G.DEFAULT_AS_OF - start.date()).days
+        assert r.product_id == 1 + int(u(r.order_id, 22) * 50)
+        assert r.quantity == 1 + int(u(r.order_id, 23) * 10)
+        assert r.order_date == start + dt.timedelta(days=int(u(r.order_id, 24) * (days + 1)), seconds=int(u(r.order_id, 25) * 86400))
