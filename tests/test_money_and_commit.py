@@ -42,6 +42,15 @@ def test_null_keys_meet_null_keys(spark):
     assert none.filter("product_id IS NULL AND category IS NULL").count() == 2
 
 
+def test_null_keyed_rows_keep_tasks_of_their_own(spark):
+    """Few bytes, but each row meets every product without a key: not merged into a task or two by their bytes."""
+    orders = spark.range(20_000).select(F.col("id").alias("order_id"), F.lit(None).cast("long").alias("product_id"), F.lit(1).alias("quantity"))
+    products = spark.createDataFrame([(None, "n", 2.0), (None, "m", 3.0)], "product_id long, category string, price double")
+    joined = enrich_orders_null_safe(orders.repartition("order_id"), products)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 40_000 and len(sizes) > 20 and max(sizes) < 10_000
+
+
 def test_null_keyed_rows_are_spread(spark):
     orders = spark.range(20_000).select(F.col("id").alias("order_id"), F.lit(None).cast("long").alias("product_id"), F.lit(1).alias("quantity"))
     products = spark.createDataFrame([(None, "n", 2.0)], "product_id long, category string, price double")
