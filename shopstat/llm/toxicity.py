@@ -35,6 +35,8 @@ SPARSITY = 0.03
 RIDGE = 1e-6
 STEPS = 150
 CACHE_WORDS = 300_000
+#: Columns of rows that the fit takes at a time.
+PART_ENTRIES = 1 << 17
 
 # Identity terms by group; a term is swapped for the others of its group in turn.
 IDENTITY_GROUPS = (
@@ -89,30 +91,73 @@ def swapped(text: str | None) -> np.ndarray | None:
 def fit(rows: list[tuple[np.ndarray, np.ndarray | None, int]], counterfactual: float = COUNTERFACTUAL, sparsity: float = SPARSITY,
         ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and intercept from (columns, columns swapped or None, label), by accelerated proximal gradient."""
+    changes = [None if b is None else (np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b, _ in rows]
+    return fit_changes([r[0] for r in rows], changes, [r[2] for r in rows], counterfactual, sparsity, ridge, steps)
+
+
+class Entries:
+    """The columns of all rows end to end in small integers. Products go by parts of ``PART_ENTRIES``, so
+    that what they hold at a time doesn't grow with the rows; they add up in the order of the rows."""
+
+    def __init__(self, own: list[np.ndarray], place: np.ndarray, width: int) -> None:
+        self.width, self.sizes = width, np.array([len(r) for r in own], dtype=np.int64)
+        ends = np.cumsum(self.sizes)
+        self.cols = np.empty(int(ends[-1]), dtype=np.int32)
+        for r, end in zip(own, ends.tolist(), strict=True):
+            self.cols[end - len(r):end] = place[r]
+        self.parts, first = [], 0  # of rows: first, last + 1; of entries: first, last + 1
+        while first < len(own):
+            at = int(ends[first] - self.sizes[first])
+            last = max(first + 1, int(np.searchsorted(ends, at + PART_ENTRIES, "right")))
+            self.parts.append((first, last, at, int(ends[last - 1])))
+            first = last
+
+    def _rows(self, first: int, last: int) -> np.ndarray:
+        return np.repeat(np.arange(last - first), self.sizes[first:last])
+
+    def often(self) -> np.ndarray:
+        """Of each column: its rows."""
+        return sum((np.bincount(self.cols[a:b], minlength=self.width) for _, _, a, b in self.parts), np.zeros(self.width, np.int64))
+
+    def by_row(self, w: np.ndarray) -> np.ndarray:
+        """Of each row: the sum of ``w`` over its columns."""
+        return np.concatenate([np.bincount(self._rows(i, j), weights=w[self.cols[a:b].astype(np.intp)], minlength=j - i) for i, j, a, b in self.parts])
+
+    def by_column(self, r: np.ndarray) -> np.ndarray:
+        """Of each column: the sum of ``r`` over its rows."""
+        out = np.zeros(self.width)
+        for i, j, a, b in self.parts:
+            np.add.at(out, self.cols[a:b], np.repeat(r[i:j], self.sizes[i:j]))
+        return out
+
+
+def fit_changes(own: list[np.ndarray], changes: list[tuple[np.ndarray, np.ndarray] | None], labels: list[int], counterfactual: float = COUNTERFACTUAL,
+                sparsity: float = SPARSITY, ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """As ``fit``, from the columns of the rows and, of those with swapped terms, the columns that go and those that come."""
     weights = np.zeros(1 << COLUMN_BITS)
-    n = len(rows)
+    n = len(own)
     if not n:
         return weights, -50.0
-    y = np.array([r[2] for r in rows], float)
+    y = np.array(labels, float)
     share = min(max(y.mean(), 0.5 / n), 1 - 0.5 / n)
     if y.min() == y.max():
         return weights, float(np.log(share / (1 - share)))
-    used, cols = np.unique(np.concatenate([r[0] for r in rows] + [r[1] for r in rows if r[1] is not None]), return_inverse=True)
-    sizes = [len(r[0]) for r in rows]
-    at = np.repeat(np.arange(n), sizes)
-    x_cols = cols[:len(at)]
-    pairs = [(i, r) for i, r in enumerate(rows) if r[1] is not None]
-    d_row, d_col, d_val = [], [], []
-    for k, (_, (a, b, _)) in enumerate(pairs):
-        for c, v in [(c, 1.0) for c in np.setdiff1d(a, b)] + [(c, -1.0) for c in np.setdiff1d(b, a)]:
-            d_row.append(k)
-            d_col.append(int(np.searchsorted(used, c)))
-            d_val.append(v)
-    d_row, d_col, d_val = np.array(d_row, int), np.array(d_col, int), np.array(d_val, float)
+    seen = np.zeros(1 << COLUMN_BITS, dtype=bool)
+    for r in own:
+        seen[r] = True
+    pairs = [c for c in changes if c is not None]
+    for _, added in pairs:
+        seen[added] = True
+    used = np.nonzero(seen)[0]
+    place = np.cumsum(seen, dtype=np.int32) - 1
     m, width = max(1, len(pairs)), len(used)
+    x = Entries(own, place, width)
+    d_row = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs])
+    d_col = np.concatenate([place[c] for pair in pairs for c in pair]) if pairs else np.zeros(0, int)
+    d_val = np.repeat(np.tile([1.0, -1.0], len(pairs)), [len(c) for pair in pairs for c in pair])
     # Columns are scaled by their frequency: a step size for each that the curvature allows.
-    often = np.bincount(x_cols, minlength=width)
-    mean_size = np.bincount(x_cols, weights=np.array(sizes, float)[at], minlength=width) / np.maximum(often, 1)
+    often = x.often()
+    mean_size = x.by_column(x.sizes.astype(float)) / np.maximum(often, 1)
     typical = np.median(mean_size[often > 0])
     curve = 0.25 * often / n * np.minimum(mean_size, typical) ** 0.5 + ridge + 1e-4
     if len(d_col):
@@ -121,8 +166,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray | None, int]], counterfactual: f
     chance = sparsity * (np.log(width + 1) / n) ** 0.5
     penalty = np.full(width, chance)
 
-    def loss(w, b):
-        s = np.bincount(at, weights=w[x_cols], minlength=n) + b
+    def loss(w, s):
         total = np.mean(np.logaddexp(0, s) - y * s) + 0.5 * ridge * w @ w
         if len(d_col):
             d = np.bincount(d_row, weights=d_val * w[d_col], minlength=m)
@@ -133,20 +177,20 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray | None, int]], counterfactual: f
     for rounds in (steps, steps // 2):
         z, zb, t, scale = w.copy(), b, 1.0, 1.0
         for _ in range(rounds):
-            s = np.bincount(at, weights=z[x_cols], minlength=n) + zb
+            s = x.by_row(z) + zb
             r = (1 / (1 + np.exp(-np.clip(s, -40, 40))) - y) / n
-            grad, grad_b = np.bincount(x_cols, weights=r[at], minlength=width) + ridge * z, r.sum()
+            grad, grad_b = x.by_column(r) + ridge * z, r.sum()
             if len(d_col):
                 d = np.bincount(d_row, weights=d_val * z[d_col], minlength=m)
                 grad += 2 * counterfactual / m * np.bincount(d_col, weights=d_val * d[d_row], minlength=width)
-            base = loss(z, zb)
+            base = loss(z, s)
             while True:
                 step = 1 / (curve * scale)
                 new = z - step * grad
                 new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
                 new_b = zb - grad_b / (0.3 * scale)
                 delta, delta_b = new - z, new_b - zb
-                if loss(new, new_b) <= base + grad @ delta + grad_b * delta_b + 0.5 * (delta @ (delta * curve) + 0.3 * delta_b**2) * scale + 1e-12:
+                if loss(new, x.by_row(new) + new_b) <= base + grad @ delta + grad_b * delta_b + 0.5 * (delta @ (delta * curve) + 0.3 * delta_b**2) * scale + 1e-12:
                     break
                 scale *= 2
             t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
@@ -177,9 +221,8 @@ def train(docs: DataFrame, labels: DataFrame, learn, max_rows: int = MAX_ROWS, i
     rows = (docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text")).join(F.broadcast(picked), "id").select("id", "y", "text")
             .mapInArrow(featurise, "y int, own binary, removed binary, added binary").collect())  # of at most max_rows documents
     rows.sort(key=lambda r: (bytes(r.own), r.y))  # the same order, and so the same sums, each time
-    read = lambda x: np.frombuffer(x, "<u4").astype(np.int64)
-    own = [read(r.own) for r in rows]
-    return fit([(a, None if r.removed is None else np.union1d(np.setdiff1d(a, read(r.removed)), read(r.added)), r.y) for a, r in zip(own, rows, strict=True)])
+    read = lambda x: np.frombuffer(x, "<u4")
+    return fit_changes([read(r.own) for r in rows], [None if r.removed is None else (read(r.removed), read(r.added)) for r in rows], [r.y for r in rows])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:

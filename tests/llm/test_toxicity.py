@@ -72,3 +72,24 @@ def test_learns_from_all_words_of_long_texts(table):
     weights, _ = T.train(docs, table([(i, i % 2) for i in range(40)], "doc_id long, toxic int"), F.lit(True))
     assert weights[T._column(high)] > 0
     assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in T.score(docs, (weights, _)).collect())
+
+
+def test_the_fit_takes_a_few_bytes_an_entry():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    data = [(np.unique(rng.integers(0, 1 << 14, 900)).astype("<u4"), None, i % 2) for i in range(2500)]
+    tracemalloc.start()
+    T.fit(data, steps=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * sum(len(c) for c, _, _ in data)
+
+
+def test_parts_do_not_change_the_fit(monkeypatch):
+    rows, labels = corpus(random.Random(7), 300)
+    data = [(columns(t), T.swapped(t), y) for (_, t), (_, y) in zip(rows, labels)]
+    whole, b = T.fit(data)
+    monkeypatch.setattr(T, "PART_ENTRIES", 50)
+    parts, c = T.fit(data)
+    assert (whole == parts).all() and b == c and (whole != 0).any()
