@@ -125,13 +125,17 @@ class CharacterKinds:
     def odd_in(self, texts: Iterable[str]) -> re.Pattern | None:
         """A pattern of the odd characters in ``texts``, if there are any."""
         points = np.frombuffer("".join([t for t in texts if not t.isascii()]).encode("utf-32-le"), "<u4")
-        if not len(points) or (self.kind[points] == 1).all():
-            return None
-        seen = np.unique(points[self.kind[points] != 1])
-        for c in seen[self.kind[seen] == 0].tolist():
-            self.kind[c] = 2 if self.is_odd(chr(c)) else 1
-        odd = [chr(c) for c in seen[self.kind[seen] == 2].tolist()]
-        return re.compile("[" + "".join(map(re.escape, odd)) + "]") if odd else None
+        seen = np.unique(points[self.odd(points)])
+        return re.compile("[" + "".join(map(re.escape, map(chr, seen.tolist()))) + "]") if len(seen) else None
+
+    def odd(self, points: np.ndarray) -> np.ndarray:
+        """Of each code point, whether it is odd."""
+        kinds = self.kind[points]
+        if (kinds == 0).any():
+            for c in np.unique(points[kinds == 0]).tolist():
+                self.kind[c] = 2 if self.is_odd(chr(c)) else 1
+            kinds = self.kind[points]
+        return kinds == 2
 
 
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import math
-import re
+import string
 import struct
 import zlib
 from array import array
@@ -40,14 +40,17 @@ BLOCK_TOKENS = 1 << 19
 SHARD_TOKENS = 1 << 23
 #: Ids of a part in which a long document's blocks are decoded.
 PART_TOKENS = 1 << 18
-#: Entries of a worker's piece cache; it is emptied when full.
-CACHE_PIECES = 650_000
+#: Entries of each of the two generations of a worker's piece cache.
+CACHE_PIECES = 325_000
 
 _ENCODERS: dict[str, "PieceEncoder"] = {}
-_RUN = re.compile(r"\s\s")
-#: A full stop or comma between a letter or digit and white space is a word of its own.
-_STOP = re.compile(r"[.,](?=[ \n])(?<=[^\W_][.,])")
-_ODD = ("  ", "\n\n", " \n", "\n ", "\0", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+#: Kinds of bytes, as bits: white space that texts are cut at, a byte of which the whole text is looked at closer,
+#: a letter or digit, a mark that may follow one.
+_BREAK, _ODD, _WORDLY, _MARK = 1, 2, 4, 8
+#: Of the characters up to the last white space: white space; letters.
+_KNOWN = 0x3001
+_SPACES = np.array([chr(c).isspace() for c in range(_KNOWN)])
+_LETTERS = np.array([chr(c).isalpha() for c in range(_KNOWN)])
 _WORDS = regex.compile(public_tokenizers.PATTERN)
 #: The character of each byte in a byte-level vocabulary, for str.translate().
 _BYTES = dict(enumerate(byte_characters()))
@@ -56,8 +59,9 @@ _SPACE = _BYTES[ord(" ")]
 
 class PieceEncoder:
     """A byte-level tokenizer by pieces. Between two characters that are not white space, the
-    place before a single space always parts two words of the tokenizer, so pieces cut there
-    encode by themselves: each distinct one once, the others by a look-up of packed ids."""
+    place before a single space always parts two words of the tokenizer, and so do those around a
+    single new line and between a letter or digit and a punctuation mark (but for those of special tokens).
+    Pieces cut there encode by themselves: each distinct one once, the others by a look-up of packed ids."""
 
     def __init__(self, path: str) -> None:
         import os
@@ -69,13 +73,9 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.pieces = Pieces(self.tokenizer)
-
-    @staticmethod
-    def marked(text: str) -> str | None:
-        """The pieces joined by zero characters; None where ``split`` must look closer."""
-        if any(x in text for x in _ODD) or not text.isascii() and _RUN.search(text):
-            return None
-        return _STOP.sub("\0\\g<0>", text).replace("\n", "\0\n\0").replace(" ", "\0 ")
+        marks = set(string.punctuation) - set("".join(self.pieces.special)) if self.pieces.plain else ()
+        self.kinds = bytes(_BREAK if c in " \n" else _ODD if c.isspace() or c == "\0" else _WORDLY if c.isalnum() else _MARK if c in marks else 0
+                           for c in map(chr, range(128))) + bytes(128)
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -92,31 +92,82 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        get = self.pieces.__getitem__
-        odd = self.pieces.odd_in(texts)
-        whole = [odd is not None and bool(odd.search(t)) for t in texts]
-        marked = [None if w else self.marked(t) for t, w in zip(texts, whole, strict=True)]
-        plain = [m for m in marked if m is not None]
-        encoded = iter(self._joined(plain) if plain else ())
-        return [self.pieces.library(t) if w else b"".join(map(get, self.split(t))) if m is None else next(encoded)
-                for t, m, w in zip(texts, marked, whole, strict=True)]
-
-    def _joined(self, marked: list[str]) -> list[bytes]:
-        """Ids of marked texts: their pieces are numbered together, each distinct one is looked up
+        return self.encode_column(pa.array(texts, pa.string())).to_pylist()
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """As ``encode``; nulls count as empty."""
+        self.pieces.age()
+        texts = pc.fill_null(texts, "").cast(pa.string())
+        ends, data = (np.frombuffer(b or b"", t) for b, t in zip(texts.buffers()[1:], ("<i4", "u1"), strict=True))
+        ends = ends[texts.offset:texts.offset + len(texts) + 1]
+        data, ends = data[ends[0]:ends[-1]], ends - ends[0]
+        begin, closer, strange = self._marks(data, ends)
+        row_of = lambda x: set((np.searchsorted(ends, np.flatnonzero(x), "right") - 1).tolist())
+        strange = row_of(strange)
+        closer = row_of(closer) | strange
+        if not closer:
+            return self._joined(data, ends, begin)
+        plain = [i for i in range(len(texts)) if i not in closer]
+        encoded = iter(self.encode_column(texts.take(pa.array(plain, pa.int64()))).to_pylist() if plain else ())
+        rows = ((i, texts[i].as_py() if i in closer else None) for i in range(len(texts)))
+        return pa.array([next(encoded) if t is None else self.pieces.library(t) if i in strange else b"".join(map(self.pieces.__getitem__, self.split(t)))
+                         for i, t in rows], pa.binary())
+
+    def _marks(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each byte of texts end to end in UTF-8: whether a piece begins there, whether ``split`` must look
+        closer at its text, and whether the library must encode it."""
+        kinds = np.frombuffer(data.tobytes().translate(self.kinds), "u1")
+        begin, closer, wordly = (kinds & k != 0 for k in (_BREAK, _ODD, _WORDLY))
+        opens, closes, strange = begin, begin, np.zeros(len(data), dtype=bool)
+        at, sizes, points = characters(data)
+        if len(at):
+            strange[at[self.pieces.odd(points)]] = True
+            known = points < _KNOWN
+            first, last, own = at[known], (at + sizes - 1)[known], points[known]
+            wordly[last] = _LETTERS[own]
+            if _SPACES[own].any():
+                opens, closes = begin.copy(), begin.copy()
+                opens[first], closes[last] = _SPACES[own], _SPACES[own]
+        pair = closes[:-1] & opens[1:]  # white space after white space, but of the text before
+        starts = ends[:-1][ends[:-1] < len(data)]
+        pair[starts[starts > 0] - 1] = False
+        closer[1:] |= pair
+        begin[1:] |= (data[:-1] == 10) | (wordly[:-1] & (kinds[1:] & _MARK != 0))
+        begin[starts] = True
+        return begin, closer, strange
+
+    def _joined(self, data: np.ndarray, ends: np.ndarray, begin: np.ndarray) -> pa.Array:
+        """Ids of texts end to end: their pieces are numbered together, each distinct one is looked up
         once, and the ids of all are gathered by number."""
-        lists = pc.split_pattern(pa.array(marked, pa.string()), "\0")
-        coded = lists.flatten().dictionary_encode()
-        packed = pa.array(list(map(self.pieces.__getitem__, coded.dictionary.to_pylist())), pa.binary())
-        offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), packed.take(coded.indices)), b"").to_pylist()
+        starts = np.flatnonzero(begin)
+        bounds = np.append(starts, len(data)).astype("<i4")
+        pieces = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        # Pieces hold no zero character: such texts are looked at closer.
+        one = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), "\0")[0].as_py()
+        packed = pa.array(self.pieces.all_of(one.split("\0") if one else []), pa.binary())
+        offsets = pa.array(np.searchsorted(starts, ends), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, packed.take(coded.indices)), b"")
+
+
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the characters beyond ASCII in UTF-8: where they begin, their sizes and code points."""
+    at = np.flatnonzero(data >= 0xC0)
+    lead = data[at].astype(np.int32)
+    sizes = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    points = lead & (0x7F >> sizes)
+    for k in (1, 2, 3):
+        more = sizes > k
+        points[more] = points[more] << 6 | (data[at[more] + k] & 0x3F)
+    return at, sizes, points
 
 
 class Pieces(dict):
-    """Packed ids by piece; a piece that is not there yet is encoded by the library."""
+    """Packed ids by piece; a piece that is not there yet is encoded by the library. When full, it
+    keeps what was used since it was last full."""
 
     def __init__(self, tokenizer) -> None:
+        self.old: dict[str, bytes] = {}
         self.whole, self.word = tokenizer.encode, tokenizer.model.tokenize
         steps = json.loads(tokenizer.to_str())
         #: Whether words go to the merges by their bytes and nothing else happens before.
@@ -134,28 +185,41 @@ class Pieces(dict):
         alike = own == [w for w, _ in self.pre_tokenise(probe)] and c.isalpha() == (len(_WORDS.findall(f"a{c}b")) == 1)
         return not alike or c.isspace() != bool(regex.match(r"\s", c))
 
-    def odd_in(self, texts: list[str]) -> re.Pattern | None:
-        return self.kinds.odd_in(texts) if self.plain else None
+    def odd(self, points: np.ndarray) -> np.ndarray:
+        return self.kinds.odd(points) if self.plain else np.zeros(len(points), dtype=bool)
+
+    def age(self) -> None:
+        if len(self) > CACHE_PIECES:
+            self.old = dict(self)
+            self.clear()
+
+    def all_of(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of distinct pieces that are not empty."""
+        found, old, word, plain = list(map(self.get, pieces)), self.old.get, self.word, self.plain
+        for i in [i for i, x in enumerate(found) if x is None]:
+            piece = pieces[i]
+            packed = old(piece)
+            if packed is None:
+                spaced = piece[0] == " "
+                if plain and (piece[1:] if spaced else piece).isalpha():  # one word
+                    text = (_SPACE + piece[1:] if spaced else piece) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
+                    packed = array("I", [t.id for t in word(text)]).tobytes()
+                else:
+                    packed = self.several(piece)
+            found[i] = self[piece] = packed
+        return found
 
     def library(self, text: str) -> bytes:
         return array("I", self.whole(text, add_special_tokens=False).ids).tobytes()
 
+    def several(self, piece: str) -> bytes:
+        """Packed ids of a piece that may be of several words."""
+        if not self.plain or any(s in piece for s in self.special):
+            return self.library(piece)
+        return array("I", [t.id for w in _WORDS.findall(piece) for t in self.word(w.encode().decode("latin-1").translate(_BYTES))]).tobytes()
+
     def __missing__(self, piece: str) -> bytes:
-        letters = piece[1:] if piece.startswith(" ") else piece
-        if self.plain and letters.isalpha():  # one word
-            text = piece.replace(" ", _SPACE) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
-            packed = self[piece] = array("I", [t.id for t in self.word(text)]).tobytes()
-            return packed
-        if self.plain and not any(s in piece for s in self.special):
-            words = _WORDS.findall(piece)
-        else:
-            words = None
-        if words is None:
-            ids = self.whole(piece, add_special_tokens=False).ids
-        else:
-            ids = [t.id for w in words for t in self.word(w.encode().decode("latin-1").translate(_BYTES))]
-        packed = self[piece] = array("I", ids).tobytes()
-        return packed
+        return self.all_of([piece])[0] if piece else b""
 
 
 def _encoder(path: str) -> PieceEncoder:
@@ -175,8 +239,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, end_id: int | None = 0,
         end = pa.scalar(b"" if end_id is None else struct.pack("<I", end_id), pa.binary())
         for batch in batches:
             for part in text_slices(batch, "text", 6 << 20):
-                packed = pa.array(encoder.encode([t or "" for t in part.column("text").to_pylist()]), pa.binary())
-                packed = pc.binary_join_element_wise(packed, end, b"")
+                packed = pc.binary_join_element_wise(encoder.encode_column(part.column("text")), end, b"")
                 n = pc.binary_length(packed).to_numpy() // 4
                 ids = np.frombuffer(b"".join(packed.to_pylist()), "<u4")
                 at = np.concatenate([[0], np.cumsum(n)])

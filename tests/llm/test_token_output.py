@@ -108,3 +108,25 @@ def test_pieces_encode_as_the_library_does_on_random_texts():
     texts = ["", " ", "  abc", "a  b"] + ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(5000)]
     want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert encoder.encode(texts) == want
+
+
+def test_words_before_marks_are_encoded_once():
+    encoder, theirs = PieceEncoder(PATH), Tokenizer.from_file(PATH)
+    texts = ["so word word. word, word$$$ word!? it's word's", "é wordé. 1,000; (word) word<|endoftext|>", "x\xa0y  z a　 b", "", "word\nword.\nword"]
+    want = [theirs.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == want
+    assert " word" in encoder.pieces and not {" word.", " word,", " word$$$", " word!?", " word's", " wordé."} & encoder.pieces.keys()
+
+
+def test_a_full_cache_keeps_what_was_used(monkeypatch):
+    from shopstat.llm import token_output
+
+    monkeypatch.setattr(token_output, "CACHE_PIECES", 3)
+    encoder, theirs = PieceEncoder(PATH), Tokenizer.from_file(PATH)
+    calls = []
+    word = encoder.pieces.word
+    encoder.pieces.word = lambda w: calls.append(w) or word(w)
+    for i in range(6):
+        text = f"common words here {'abcdef'[i]}x"
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
+    assert len(calls) == len(set(calls))
