@@ -51,6 +51,20 @@ def test_null_keyed_rows_keep_tasks_of_their_own(spark):
     assert sum(sizes) == 40_000 and len(sizes) > 20 and max(sizes) < 10_000
 
 
+def test_products_without_a_key_are_met_in_blocks(spark):
+    """A line alone meets all of them: not in one task, also if they are equal, and their copies are not broadcast by the size of one."""
+    orders = spark.createDataFrame([(1, None, 2)], "order_id long, product_id long, quantity int")
+    for kinds in (20_000, 1):
+        products = spark.range(20_000).select(F.lit(None).cast("long").alias("product_id"), (F.col("id") % kinds).cast("string").alias("category"),
+                                              (F.col("id") % kinds * 0.5).alias("price"))
+        joined = enrich_orders_null_safe(orders, products)
+        assert "SortMergeJoin [_part" in joined._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 15_000
+        assert joined.groupBy("category", "price", "revenue").count().filter(f"count <> {20_000 // kinds} OR revenue <> 2 * price").count() == 0
+        assert joined.select("category").distinct().count() == kinds
+
+
 def test_null_keyed_rows_are_spread(spark):
     orders = spark.range(20_000).select(F.col("id").alias("order_id"), F.lit(None).cast("long").alias("product_id"), F.lit(1).alias("quantity"))
     products = spark.createDataFrame([(None, "n", 2.0)], "product_id long, category string, price double")
